@@ -4,8 +4,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shardlog.functions.sequence import sequence_key
+from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
 from shardlog.operators.positions import read_from_positions
 from shardlog.schema import AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER, SHARD_KEYS
+from shardlog.workdir import work_dir
 
 
 def checkpoint(records: DataFrame) -> DataFrame:
@@ -24,6 +26,21 @@ def checkpoint(records: DataFrame) -> DataFrame:
     )
 
 
+def progress(records: DataFrame) -> DataFrame:
+    """Messages read and last sequence number per shard, in one pass."""
+    numbered = F.when(F.col("sequence_number") != "", sequence_key())
+    return (
+        records.groupBy(*SHARD_KEYS)
+        .agg(
+            F.count(F.lit(1)).alias("n_messages"),
+            F.max(numbered).alias("last"),
+            F.collect_set(F.coalesce("sequence_len", F.lit(0))).alias("lengths"),
+        )
+        .where(F.size("lengths") > 0)
+        .select(*SHARD_KEYS, "n_messages", F.col("last.sequence_number").alias("checkpoint"))
+    )
+
+
 def advance(saved: DataFrame, seen: DataFrame) -> DataFrame:
     """Saved checkpoint moved forward by another one, shard by shard."""
     return checkpoint(saved.unionByName(seen))
@@ -58,13 +75,33 @@ def resume(
     return read_from_positions(records, resume_positions(positions, saved, inclusive), **options)
 
 
+IDENTITY = [*SHARD_KEYS, "sequence_number"]
+
+
 def drop_replays(records: DataFrame, within: str | None = None) -> DataFrame:
     """Keep one copy of every (stream, shard, sequence number).
 
     On a stream, the default remembers every number.  ``within`` bounds that
     state by arrival time, and then records later than that bound may be lost.
     """
-    identity = [*SHARD_KEYS, "sequence_number"]
     if within is None:
-        return records.dropDuplicates(identity)
-    return records.withWatermark("arrival_ts", within).dropDuplicatesWithinWatermark(identity)
+        return records.dropDuplicates(IDENTITY)
+    return records.withWatermark("arrival_ts", within).dropDuplicatesWithinWatermark(IDENTITY)
+
+
+def drop_rare_replays(records: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``drop_replays`` for a large stored log in which few records come twice.
+
+    ``drop_replays`` sorts and shuffles every payload.  Here only the identifying
+    columns are shuffled, to find what comes twice; those few numbers are saved,
+    and all other records pass without a shuffle.  The log is read three times,
+    so the input should be a stored table rather than a long computation.
+    """
+    spark = records.sparkSession
+    path = work_dir(spark, "replays")
+    counted = records.groupBy(*IDENTITY).count()
+    counted.where(F.col("count") > 1).drop("count").write.parquet(path)
+    twice = spark.read.schema(records.select(*IDENTITY).schema).parquet(path)
+    once = lookup(records, twice, IDENTITY, "left_anti", max_bytes=max_bytes)
+    copies = lookup(records, twice, IDENTITY, "left_semi", max_bytes=max_bytes)
+    return once.unionByName(copies.dropDuplicates(IDENTITY))

@@ -80,7 +80,7 @@ def delivery_counts_keyless(
         .groupBy("request_id")
         .agg(F.count_if(~(failures & has_error())).alias("_delivered"))
     )
-    owner = requests.groupBy("request_id").agg(F.max("stream").alias("stream"))
+    owner = requests.select("request_id", "stream").distinct()
     return (
         owner.join(per_request, "request_id", "left")
         .groupBy("stream")

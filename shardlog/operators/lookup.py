@@ -12,8 +12,11 @@ def measured_bytes(df: DataFrame) -> int:
     """Rough in-memory size of a table, from one distributed aggregate over it."""
     width = F.lit(0)
     for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        column = F.col(field.name)
+        if isinstance(field.dataType, T.StructType):
+            column = F.to_json(column)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType, T.StructType)):
+            width = width + F.coalesce(F.octet_length(column), F.lit(0))
         width = width + F.lit(16)
     return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
 

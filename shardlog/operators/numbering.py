@@ -69,11 +69,13 @@ def number_rows(
         .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
         .drop("count")
     )
-    # Number first: the join then reuses the window's partitioning and sort.
+    # Number first: the join then reuses the window's partitioning and sort.  It is
+    # a left join because an inner one would search the range once more per row,
+    # to filter nulls.
     within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
     numbered = tagged.withColumn("_within", F.row_number().over(within))
     return (
-        numbered.join(offsets, [*keys, "_range"])
+        numbered.join(offsets, [*keys, "_range"], "left")
         .withColumn(name, F.col("_before") + F.col("_within") - F.lit(1))
         .select(*df.columns, name)
     )

@@ -3,7 +3,7 @@
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlog.functions.sequence import after, at_or_after
@@ -13,9 +13,11 @@ from shardlog.schema import (
     AT_SEQUENCE_NUMBER,
     AT_TIMESTAMP,
     LATEST,
+    POSITION_CODES,
     SHARD_KEYS,
     TRIM_HORIZON,
 )
+from shardlog.sources.log import scan
 
 # Up to this many positions become literal predicates, which reach the scan.
 INLINE_POSITIONS = 32
@@ -68,6 +70,28 @@ def resolve_latest(positions: DataFrame, marks: DataFrame) -> DataFrame:
     )
 
 
+def start_at(
+    records: DataFrame,
+    position: str | int = LATEST,
+    sequence_number: str | None = None,
+    start_time: datetime | Column | None = None,
+    marks: DataFrame | None = None,
+) -> DataFrame:
+    """Read from one start position, given by name or code; a start time overrides it."""
+    name = POSITION_CODES.get(position, "") if isinstance(position, int) else position
+    if start_time is not None:
+        return from_timestamp(records, start_time)
+    if name == TRIM_HORIZON:
+        return from_trim_horizon(records)
+    if name == AT_SEQUENCE_NUMBER and sequence_number:
+        return from_sequence(records, sequence_number)
+    if name == AFTER_SEQUENCE_NUMBER and sequence_number:
+        return from_after_sequence(records, sequence_number)
+    if name == LATEST and marks is not None:
+        return from_latest(records, marks)
+    raise ValueError(f"cannot start at position {name!r} with what is given")
+
+
 def _literal_rule(row) -> Column:
     if row.position == TRIM_HORIZON:
         return F.lit(True)
@@ -80,6 +104,21 @@ def _literal_rule(row) -> Column:
     raise ValueError(f"cannot start at position {row.position!r}: no mark or unknown name")
 
 
+def _few(positions: DataFrame, at_most: int) -> list | None:
+    """The positions as rows on the driver, or None when there are more."""
+    few = positions.withColumn("at_micros", F.unix_micros("at_ts")).drop("at_ts")
+    rows = few.limit(at_most + 1).collect()
+    return rows if len(rows) <= at_most else None
+
+
+def _shard(row) -> Column:
+    return (F.col("stream") == row.stream) & (F.col("shard_id") == row.shard_id)
+
+
+def _any(conditions) -> Column:
+    return reduce(Column.__or__, conditions, F.lit(False))
+
+
 def _joined_rule() -> Column:
     start_len, start = F.length("_start"), F.col("_start")
     return (
@@ -109,16 +148,12 @@ def read_from_positions(
     if marks is not None:
         positions = resolve_latest(positions, marks)
 
-    few = positions.withColumn("at_micros", F.unix_micros("at_ts")).drop("at_ts")
-    rows = few.limit(inline_positions + 1).collect()
-    if len(rows) <= inline_positions:
-        listed = [
-            (F.col("stream") == row.stream) & (F.col("shard_id") == row.shard_id) for row in rows
-        ]
-        wanted = [shard & _literal_rule(row) for shard, row in zip(listed, rows)]
+    rows = _few(positions, inline_positions)
+    if rows is not None:
+        wanted = [_shard(row) & _literal_rule(row) for row in rows]
         if keep_unlisted:
-            wanted.append(~reduce(Column.__or__, listed, F.lit(False)))
-        return records.where(reduce(Column.__or__, wanted, F.lit(False)))
+            wanted.append(~_any(_shard(row) for row in rows))
+        return records.where(_any(wanted))
 
     side = positions.select(
         *SHARD_KEYS,
@@ -138,3 +173,31 @@ def read_from_positions(
     if keep_unlisted:
         rule = F.col("_position").isNull() | rule
     return joined.where(rule).select(*records.columns)
+
+
+def read_log_from_positions(
+    spark: SparkSession,
+    path: str,
+    positions: DataFrame,
+    marks: DataFrame | None = None,
+    inline_positions: int = INLINE_POSITIONS,
+) -> DataFrame:
+    """``read_from_positions`` on a stored log, which is partitioned by shard.
+
+    In one predicate over all shards a single TRIM_HORIZON shard would keep the
+    sequence bounds of the others from the Parquet filters.  So the shards of each
+    kind of position get a scan of their own, over their own partitions.
+    """
+    if marks is not None:
+        positions = resolve_latest(positions, marks)
+    records = scan(spark, path)
+    rows = _few(positions, inline_positions)
+    if rows is None:
+        # Every file belongs to one shard, so a listed shard prunes at run time.
+        return read_from_positions(records, positions, inline_positions=0)
+    kinds = sorted({row.position for row in rows})
+    parts = [
+        records.where(_any(_shard(row) & _literal_rule(row) for row in rows if row.position == kind))
+        for kind in kinds
+    ]
+    return reduce(DataFrame.unionByName, parts, records.where(F.lit(False)))

@@ -13,6 +13,7 @@ from shardlog.schema import (
     SHARD_KEYS,
     require_concurrency,
 )
+from shardlog.workdir import work_dir
 
 
 def admit(
@@ -25,12 +26,31 @@ def admit(
 
     No row is removed: ``accepted`` tells the two apart and ``reason`` says why
     not.  On a stream use it per micro-batch; the capacity is then per batch.
+
+    Only the order columns are shuffled, to find the last offer that fits each
+    shard; the offers themselves are compared with it where they are.  When equal
+    offers lie on both sides of that cut, all rows are numbered instead, so that
+    exactly the capacity is kept.
     """
     require_concurrency(concurrency)
     order_by = order_by or SEQUENCE_ORDER
-    numbered = number_rows(offers, SHARD_KEYS, order_by, "_row", **options)
-    accepted = F.col("_row") < concurrency * BUFFER_PER_WORKER
-    return numbered.select(
+    capacity = concurrency * BUFFER_PER_WORKER
+    narrow = offers.select(*SHARD_KEYS, *order_by)
+    edge = number_rows(narrow, SHARD_KEYS, order_by, "_row", **options).where(
+        F.col("_row").isin(capacity - 1, capacity)
+    )
+    path = work_dir(offers.sparkSession, "admit")
+    place = F.struct(*order_by)
+    edge.select(*SHARD_KEYS, "_row", place.alias("_last")).write.parquet(path)
+    edge = offers.sparkSession.read.parquet(path)
+    last = edge.where(F.col("_row") == capacity - 1).drop("_row")
+    if edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1).isEmpty():
+        marked = lookup(offers, last, SHARD_KEYS, "left", spread_by=order_by)
+        accepted = F.col("_last").isNull() | (place <= F.col("_last"))
+    else:
+        marked = number_rows(offers, SHARD_KEYS, order_by, "_row", **options)
+        accepted = F.col("_row") < capacity
+    return marked.select(
         *offers.columns,
         accepted.alias("accepted"),
         F.when(~accepted, F.lit(ERR_DROPPED)).alias("reason"),

@@ -14,10 +14,16 @@ from shardlog.functions.message import (
     value_text,
 )
 from shardlog.operators import consume, fetch, positions, status
-from shardlog.operators.checkpoint import checkpoint, drop_replays, resume
+from shardlog.operators.checkpoint import (
+    checkpoint,
+    drop_rare_replays,
+    drop_replays,
+    progress,
+    resume,
+)
 from shardlog.plans import tables
 from shardlog.schema import SHARD_KEYS
-from shardlog.sources.log import select_shards
+from shardlog.sources.log import append_sync, select_shards
 from shardlog.workdir import work_dir
 
 # Times at which readers in these queries stop, save or begin (see the SQL).
@@ -68,14 +74,8 @@ def saved_at_cut(records: DataFrame) -> DataFrame:
 
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Left to read per shard from its own start position, and where it would end."""
-    left = positions.read_from_positions(
-        tables.event_records(spark, sf), tables.positions(spark)
-    )
-    return (
-        consume.message_counts(left)
-        .join(checkpoint(left), SHARD_KEYS)
-        .select(*SHARD_KEYS, "n_messages", F.col("sequence_number").alias("checkpoint"))
-    )
+    records = tables.event_records(spark, sf)
+    return progress(positions.read_from_positions(records, tables.positions(spark)))
 
 
 def scan_shard(spark, sf):
@@ -110,6 +110,13 @@ def pos_per_shard(spark, sf):
     return shown(positions.read_from_positions(records, tables.positions(spark)))
 
 
+def log_positions(spark, sf):
+    """The same from a stored log, where each kind of position prunes its own scan."""
+    path = work_dir(spark, "log")
+    append_sync(tables.event_records(spark, sf), path)
+    return shown(positions.read_log_from_positions(spark, path, tables.positions(spark)))
+
+
 def active_only(spark, sf):
     return shown(status.active_only(tables.typed_records(spark, sf), tables.streams(spark)))
 
@@ -137,7 +144,8 @@ def code_names(spark, sf):
 
 def message_parts(spark, sf):
     records = tables.event_records(spark, sf)
-    changed = set_value(records, F.upper("data").cast("binary"))
+    named = F.concat_ws(" ", F.col("partition_key"), value_text())
+    changed = set_value(records, F.encode(named, "UTF-8"))
     sent = message(F.col("data"), F.col("partition_key")).alias("sent")
     return changed.select(
         "sequence_number", F.hex(key_bytes()).alias("key_hex"), sent
@@ -181,6 +189,10 @@ def drop_replays_query(spark, sf):
     return shown(drop_replays(replayed(tables.event_records(spark, sf), spark)))
 
 
+def drop_rare_replays_query(spark, sf):
+    return shown(drop_rare_replays(replayed(tables.event_records(spark, sf), spark)))
+
+
 def retrieve_next(spark, sf):
     records = tables.event_records(spark, sf)
     left = positions.read_from_positions(records, tables.positions(spark))
@@ -231,6 +243,7 @@ QUERIES = {
     "pos_after_sequence": pos_after_sequence,
     "pos_at_timestamp": pos_at_timestamp,
     "pos_per_shard": pos_per_shard,
+    "log_positions": log_positions,
     "active_only": active_only,
     "rejected_streams": rejected_streams,
     "code_names": code_names,
@@ -240,6 +253,7 @@ QUERIES = {
     "resume": resume_inclusive,
     "resume_exclusive": resume_exclusive,
     "drop_replays": drop_replays_query,
+    "drop_rare_replays": drop_rare_replays_query,
     "retrieve_next": retrieve_next,
     "retrieve_fn": retrieve_fn,
     "message_counts": message_counts,
@@ -260,6 +274,11 @@ SELECT {SHOWN} FROM rec JOIN pos USING (shard_id) LEFT JOIN saved USING (shard_i
 WHERE CASE WHEN m IS NOT NULL THEN event_id {comparison} m ELSE {RULE} END"""
 
 
+REPLAYS_SQL = f"""{REC}, saved AS (
+  SELECT shard_id, max(event_id) AS m FROM rec WHERE ts < TIMESTAMP '{EARLY}' GROUP BY shard_id),
+twice AS (SELECT {SHOWN} FROM rec WHERE ts < TIMESTAMP '{LATE}'
+  UNION ALL SELECT {SHOWN} FROM rec JOIN saved USING (shard_id) WHERE event_id >= m)
+SELECT DISTINCT {SHOWN} FROM twice"""
 K = "CAST(json_extract(payload, '$.k') AS BIGINT)"
 STATUSES = """
   SELECT * FROM (VALUES ('signup', 'CREATING'), ('error', 'DELETING'), ('click', 'ACTIVE'),
@@ -296,7 +315,7 @@ SELECT user_id % 9 AS code, count(*) AS n_events,
     WHEN 7 THEN 'UPDATING' ELSE '' END AS status
 FROM events GROUP BY user_id % 9""",
     "message_parts": f"""{REC}
-SELECT sequence_number, hex(encode(partition_key)) AS key_hex, upper(payload) AS sent_text,
+SELECT sequence_number, hex(encode(partition_key)) AS key_hex, partition_key || ' ' || payload AS sent_text,
   partition_key AS sent_key, true AS unsequenced FROM rec""",
     "fetch_batches": f"""{REC}
 SELECT stream, shard_id, sequence_number,
@@ -308,11 +327,9 @@ SELECT stream, shard_id, CAST(max(event_id) AS VARCHAR) AS sequence_number,
 FROM rec GROUP BY stream, shard_id""",
     "resume": _resume_sql(">="),
     "resume_exclusive": _resume_sql(">"),
-    "drop_replays": f"""{REC}, saved AS (
-  SELECT shard_id, max(event_id) AS m FROM rec WHERE ts < TIMESTAMP '{EARLY}' GROUP BY shard_id),
-twice AS (SELECT {SHOWN} FROM rec WHERE ts < TIMESTAMP '{LATE}'
-  UNION ALL SELECT {SHOWN} FROM rec JOIN saved USING (shard_id) WHERE event_id >= m)
-SELECT DISTINCT {SHOWN} FROM twice""",
+    "drop_replays": REPLAYS_SQL,
+    "drop_rare_replays": REPLAYS_SQL,
+    "log_positions": f"{READ} SELECT {SHOWN} FROM red",
     "retrieve_next": f"""{READ}
 SELECT {SHOWN} FROM red JOIN (SELECT shard_id, min(event_id) AS event_id FROM red GROUP BY shard_id)
 USING (shard_id, event_id)""",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.message import value_text
 from shardlog.operators.produce import put_shape
-from shardlog.schema import POSITION, REQUEST, STREAM
+from shardlog.schema import REQUEST
 from shardlog.workdir import work_dir
 
 EVENTS = (
@@ -81,30 +81,28 @@ def document_records(spark: SparkSession, sf: str) -> DataFrame:
 
 def positions(spark: SparkSession) -> DataFrame:
     """A different start position for each of the four event shards."""
-    rows = [
-        ("TRIM_HORIZON", None, None),
-        ("AT_SEQUENCE_NUMBER", "500", None),
-        ("AFTER_SEQUENCE_NUMBER", "502", None),
-        ("AT_TIMESTAMP", None, "2024-01-16 00:00:00"),
-    ]
-    listed = [("events", f"shardId-{n:012d}", *row) for n, row in enumerate(rows)]
-    text = spark.createDataFrame(
-        listed, "stream string, shard_id string, position string, sequence_number string, at string"
+    return spark.sql(
+        """
+        SELECT 'events' AS stream, shard_id, position, sequence_number,
+               CAST(CAST(at AS TIMESTAMP_NTZ) AS TIMESTAMP) AS at_ts
+        FROM VALUES
+          ('shardId-000000000000', 'TRIM_HORIZON', NULL, NULL),
+          ('shardId-000000000001', 'AT_SEQUENCE_NUMBER', '500', NULL),
+          ('shardId-000000000002', 'AFTER_SEQUENCE_NUMBER', '502', NULL),
+          ('shardId-000000000003', 'AT_TIMESTAMP', NULL, '2024-01-16')
+          AS t(shard_id, position, sequence_number, at)
+        """
     )
-    at_ts = F.col("at").cast("timestamp_ntz").cast("timestamp").alias("at_ts")
-    return text.select(*POSITION.names[:4], at_ts)
 
 
 def streams(spark: SparkSession) -> DataFrame:
     """A status for each event type."""
-    rows = [
-        ("signup", "CREATING"),
-        ("error", "DELETING"),
-        ("click", "ACTIVE"),
-        ("view", "UPDATING"),
-        ("purchase", None),
-    ]
-    return spark.createDataFrame(rows, STREAM)
+    return spark.sql(
+        """
+        SELECT * FROM VALUES ('signup', 'CREATING'), ('error', 'DELETING'),
+          ('click', 'ACTIVE'), ('view', 'UPDATING'), ('purchase', NULL) AS t(stream, status)
+        """
+    )
 
 
 def sent_requests(spark: SparkSession, sf: str) -> DataFrame:

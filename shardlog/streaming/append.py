@@ -9,12 +9,23 @@ from shardlog.schema import SHARD_KEYS
 from shardlog.sources.log import deliver_payload
 
 
-def append(records: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def append(
+    records: DataFrame,
+    path: str,
+    checkpoint: str,
+    files_per_shard: int | None = None,
+    **trigger,
+) -> StreamingQuery:
     """Start appending to the log and return at once.
 
     Start it again with the same ``checkpoint`` after a stop: it continues where
-    it was, without gaps or copies.
+    it was, without gaps or copies.  Without ``files_per_shard`` every task writes
+    a file for each shard it meets; with it, a micro-batch is shuffled so that a
+    shard, hot ones included, is written by at most that many tasks.
     """
+    if files_per_shard is not None:
+        part = F.pmod(F.xxhash64("sequence_number", "data"), F.lit(files_per_shard))
+        records = records.repartition(*SHARD_KEYS, part)
     return (
         records.writeStream.format("parquet")
         .partitionBy(*SHARD_KEYS)
@@ -25,9 +36,11 @@ def append(records: DataFrame, path: str, checkpoint: str, **trigger) -> Streami
     )
 
 
-def append_sync(records: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def append_sync(
+    records: DataFrame, path: str, checkpoint: str, files_per_shard: int | None = None
+) -> StreamingQuery:
     """Append everything that is there now and return when it is durable."""
-    query = append(records, path, checkpoint, availableNow=True)
+    query = append(records, path, checkpoint, files_per_shard, availableNow=True)
     query.awaitTermination()
     return query
 
