@@ -18,7 +18,7 @@ def scan_stream(
     spark: SparkSession,
     path: str,
     max_files: int | None = None,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """The same log read continuously; the limits bound one micro-batch."""
     reader = spark.readStream.schema(RECORD)

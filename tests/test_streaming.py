@@ -1,0 +1,214 @@
+import pytest
+from pyspark.sql import functions as F
+
+from shardlog.operators.checkpoint import drop_replays
+from shardlog.operators.consume import for_each_message, observe_messages, observed_counts
+from shardlog.operators.quota import traffic
+from shardlog.schema import SHARD_KEYS
+from shardlog.sources.log import append_sync as store
+from shardlog.sources.log import scan, scan_stream
+from shardlog.streaming import append as sinks
+from shardlog.streaming import deliver, latest, rates
+from tests.util import BIG, numbers, record, records
+
+DONE = {"availableNow": True}
+
+
+def batch(spark, shard, names, **more):
+    return records(spark, [record(shard, n, data=n.encode(), **more) for n in names])
+
+
+def test_round_trip_keeps_payloads(spark, tmp_path):
+    """Send to the log, read from LATEST, handle: every payload comes back."""
+    path = str(tmp_path / "log")
+    store(batch(spark, "0", ["1", "2"]), path)
+    marks = str(tmp_path / "marks")
+    frozen = latest.freeze_marks(scan(spark, path), marks)
+    assert numbers(frozen) == [("0", "2")]
+    store(batch(spark, "0", ["10", BIG]), path)
+    stream = latest.read_latest(scan_stream(spark, path), scan(spark, path), marks)
+    query = (
+        for_each_message(stream, lambda p: bytes(p), "binary")
+        .writeStream.format("memory")
+        .queryName("handled")
+        .trigger(**DONE)
+        .start()
+    )
+    query.awaitTermination()
+    assert {bytes(r.value) for r in spark.table("handled").collect()} == {b"10", BIG.encode()}
+
+
+def test_marks_stay_frozen_over_a_restart(spark, tmp_path):
+    path, marks = str(tmp_path / "log"), str(tmp_path / "marks")
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    store(batch(spark, "a", ["1", "2"]), path)
+    for new in (batch(spark, "a", ["3"]), batch(spark, "b", ["1"]), batch(spark, "a", ["10"])):
+        stream = latest.read_latest(scan_stream(spark, path), scan(spark, path), marks)
+        sinks.append_sync(stream, out, ck)
+        store(new, path)
+    stream = latest.read_latest(scan_stream(spark, path), scan(spark, path), marks)
+    sinks.append_sync(stream, out, ck)
+    assert numbers(scan(spark, out)) == [("a", "10"), ("a", "3"), ("b", "1")]
+
+
+def test_restart_goes_on_without_gaps_or_copies(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for names in (["1", "2"], ["3"], []):
+        if names:
+            store(batch(spark, "a", names), path)
+        sinks.append_sync(scan_stream(spark, path, max_bytes=1 << 30), out, ck, files_per_shard=2)
+    assert numbers(scan(spark, out)) == [("a", "1"), ("a", "2"), ("a", "3")]
+
+
+def test_running_query_stops_and_shows_it(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    store(batch(spark, "a", ["1", "2"]), path)
+    query = sinks.append(observe_messages(scan_stream(spark, path)), out, ck)
+    query.processAllAvailable()
+    assert query.isActive and observed_counts(query) == 2
+    query.stop()
+    assert not query.isActive
+    store(batch(spark, "a", ["3"]), path)
+    query = sinks.append(observe_messages(scan_stream(spark, path)), out, ck)
+    query.processAllAvailable()
+    query.stop()
+    assert observed_counts(query) == 1
+    assert numbers(scan(spark, out)) == [("a", "1"), ("a", "2"), ("a", "3")]
+
+
+@pytest.mark.parametrize("within", [None, "1 hour"])
+def test_replays_are_dropped_across_batches(spark, tmp_path, within):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for names in (["1", "2", "2"], ["2", "3"], ["1", "10"]):
+        store(batch(spark, "a", names), path)
+        sinks.append_sync(drop_replays(scan_stream(spark, path), within), out, ck)
+    assert numbers(scan(spark, out)) == [("a", "1"), ("a", "10"), ("a", "2"), ("a", "3")]
+
+
+def test_traffic_adds_up_late_records_and_replaces_a_batch_run_twice(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    whole = None
+    for part, (names, at) in enumerate([(["1", "2"], 50), (["3"], 0), (["4"], 50)]):
+        new = batch(spark, "a", names, at=at)
+        whole = new if whole is None else whole.unionByName(new)
+        store(new, path)
+        rates.collect_traffic(scan_stream(spark, path), out, ck, **DONE).awaitTermination()
+    got = rates.read_traffic(spark, out)
+    want = traffic(whole, SHARD_KEYS)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    traffic(new, SHARD_KEYS).write.mode("overwrite").parquet(f"{out}/batch_id={part}")
+    assert rates.read_traffic(spark, out).exceptAll(want).isEmpty()
+
+
+def test_payload_sink(spark, tmp_path):
+    path = str(tmp_path / "log")
+    store(batch(spark, "a", ["1", "2"]), path)
+    for name, sep in (("text", "\n"), ("bytes", None)):
+        out, ck = str(tmp_path / name), str(tmp_path / f"ck-{name}")
+        sinks.append_payload(scan_stream(spark, path), out, ck, sep, **DONE).awaitTermination()
+    assert {r.value for r in spark.read.text(str(tmp_path / "text")).collect()} == {"1", "2"}
+    stored = spark.read.parquet(str(tmp_path / "bytes"))
+    assert {bytes(r.data) for r in stored.collect()} == {b"1", b"2"}
+
+
+def picky(request, attempt):
+    """9 is never taken, 5 at the third attempt, 7 has no answer at first, 8 breaks once."""
+    names = [data for _, data in request]
+    if b"7" in names and attempt == 1:
+        return None
+    if b"8" in names and attempt == 1:
+        raise ConnectionError("reset by peer")
+    entries = []
+    for name in names:
+        refused = name == b"9" or (name == b"5" and attempt < 3)
+        entries.append((None, "busy") if refused else ("", ""))
+    return sum(1 for e in entries if e[1]), entries
+
+
+def fates(spark, out):
+    rows = deliver.attempts(spark, out).collect()
+    assert len({r.run for r in rows}) == len({r.batch_id for r in rows})
+    fate = {}
+    for r in sorted(rows, key=lambda r: r.attempt):
+        fate.setdefault((r.partition_key, r.n_bytes), []).append(r.outcome)
+    return fate
+
+
+def test_delivery_sends_again_until_done_or_out_of_attempts(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for names in (["1", "5", "9"], ["7"], ["8", "2"]):
+        rows = records(spark, [record("a", n, f"k{n}", n.encode()) for n in names])
+        store(rows, path, partitions=1)
+    query = deliver.deliver(
+        scan_stream(spark, path, max_files=1), picky, out, ck, trigger=DONE, max_attempts=3
+    )
+    query.awaitTermination()
+    fate = {key: outcomes for (key, _), outcomes in fates(spark, out).items()}
+    assert fate == {
+        "k1": ["delivered"],
+        "k2": ["unanswered", "delivered"],
+        "k5": ["failed", "failed", "delivered"],
+        "k7": ["unanswered", "delivered"],
+        "k8": ["unanswered", "delivered"],
+        "k9": ["failed", "failed", "failed"],
+    }
+    assert [bytes(r.data) for r in deliver.dead_letters(spark, out).collect()] == [b"9"]
+    done = deliver.delivered(spark, out)
+    assert done.count() == 5 and done.where("data is not null").isEmpty()
+    broken = deliver.attempts(spark, out).where(F.col("error_message") == "reset by peer")
+    assert broken.count() == 2
+
+
+def test_a_run_that_was_cut_off_does_not_count(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = batch(spark, "a", ["1", "2", "9"])
+
+    def cut_off(request, attempt):
+        return None
+
+    # The first run leaves two attempts behind and names no run for its batch.
+    pending = rows.select("stream", "partition_key", "data")
+    for attempt in (1, 2):
+        left = f"{out}/attempts/batch_id=0/run=dead/attempt={attempt}"
+        deliver._attempt(pending, cut_off, attempt, 500).write.parquet(left)
+    deliver.deliver_batch(rows, 0, picky, out, max_attempts=2, keep_payload=True)
+    assert deliver.attempts(spark, out).where("outcome = 'unanswered'").isEmpty()
+    assert {bytes(r.data) for r in deliver.delivered(spark, out).collect()} == {b"1", b"2"}
+
+    # A batch that is complete is not sent again.
+    def never(request, attempt):
+        raise AssertionError("sent again")
+
+    deliver.deliver_batch(rows, 0, never, out)
+    assert deliver.delivered(spark, out).count() == 2
+
+
+def test_keyless_delivery_loses_the_key_when_sending_again(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = records(spark, [record("a", n, "key", n.encode()) for n in ("1", "5")])
+    deliver.deliver_batch(rows, 0, picky, out, keyless=True, per_request=1, concurrency=2)
+    sent = deliver.attempts(spark, out).orderBy("attempt", "outcome").collect()
+    assert [(r.attempt, r.partition_key, r.outcome) for r in sent] == [
+        (1, "key", "delivered"),
+        (1, "key", "failed"),
+        (2, "", "failed"),
+        (3, "", "delivered"),
+    ]
+
+
+def test_null_key_is_sent_as_the_empty_one(spark, tmp_path):
+    out = str(tmp_path / "out")
+
+    def check(request, attempt):
+        assert [key for key, _ in request] == [""]
+        return 0, [(None, None)]
+
+    deliver.deliver_batch(records(spark, [record("a", "1", None)]), 0, check, out)
+    assert deliver.delivered(spark, out).count() == 1
+
+
+def test_an_empty_batch_is_complete(spark, tmp_path):
+    out = str(tmp_path / "out")
+    deliver.deliver_batch(records(spark, []), 4, picky, out)
+    assert deliver.attempts(spark, out).count() == 0
+    assert deliver._commit_of(spark, out, 4) is not None
