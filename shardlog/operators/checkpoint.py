@@ -7,7 +7,7 @@ from shardlog.functions.sequence import sequence_key
 from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
 from shardlog.operators.positions import read_from_positions
 from shardlog.schema import AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER, SHARD_KEYS
-from shardlog.workdir import work_dir
+from shardlog.workdir import saved
 
 
 def checkpoint(records: DataFrame) -> DataFrame:
@@ -97,11 +97,8 @@ def drop_rare_replays(records: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES)
     and all other records pass without a shuffle.  The log is read three times,
     so the input should be a stored table rather than a long computation.
     """
-    spark = records.sparkSession
-    path = work_dir(spark, "replays")
     counted = records.groupBy(*IDENTITY).count()
-    counted.where(F.col("count") > 1).drop("count").write.parquet(path)
-    twice = spark.read.schema(records.select(*IDENTITY).schema).parquet(path)
+    twice = saved(counted.where(F.col("count") > 1).drop("count"), "replays")
     once = lookup(records, twice, IDENTITY, "left_anti", max_bytes=max_bytes)
     copies = lookup(records, twice, IDENTITY, "left_semi", max_bytes=max_bytes)
     return once.unionByName(copies.dropDuplicates(IDENTITY))

@@ -1,13 +1,83 @@
 """Exact row numbers per group that do not need a whole group in one task."""
 
+import json
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shardlog.operators.lookup import lookup
+from shardlog.workdir import saved
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
-_JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# More samples than cuts, of which every eighth is used, make the ranges even.
+SAMPLES_PER_RANGE = 8
+
+
+def _text_in_order(df: DataFrame, column: str) -> Column:
+    """A string that sorts like the column, nulls first."""
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, T.TimestampType):
+        value = F.unix_micros(value)
+    elif not isinstance(kind, (T.StringType, T.IntegralType)):
+        raise TypeError(f"cannot order by {column}: use text, integers or timestamps")
+    if not isinstance(kind, T.StringType):
+        # With the sign bit flipped, 16 hex digits sort like the number.
+        value = F.lpad(F.hex(value.cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    return F.coalesce(value, F.lit(""))
+
+
+def _range_of(
+    df: DataFrame, keys: list[str], order_by: list[str], rows_per_range: int, max_ranges: int
+) -> Column | None:
+    """Number of the key-order range a row falls in, or None when one range will do."""
+    total = df.count()
+    if total <= rows_per_range:
+        return None
+    ranges = min(max_ranges, math.ceil(total / rows_per_range))
+    place = F.concat_ws("\0", *[_text_in_order(df, c) for c in [*keys, *order_by]])
+    share = min(1.0, ranges * SAMPLES_PER_RANGE / total)
+    chosen = F.shiftrightunsigned(F.xxhash64(*keys, *order_by), 1) < F.lit(int(share * (2**63 - 1)))
+    sample = [row[0] for row in df.where(chosen).select(place).distinct().collect()]
+    sample.sort(key=lambda text: text.encode())
+    cuts = sample[SAMPLES_PER_RANGE - 1 :: SAMPLES_PER_RANGE]
+    cut_array = F.from_json(F.lit(json.dumps(cuts)), "array<string>")
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(max(1, len(cuts).bit_length())))])
+    # Binary search for the number of cuts at or before the row.  The array of one
+    # element binds the row's place once instead of once per step; the coalesce
+    # tells joins that there are no nulls to filter, which would search again.
+    found = F.transform(
+        F.array(place),
+        lambda at: F.aggregate(
+            steps,
+            F.lit(0),
+            lambda found, step: F.when(
+                F.get(cut_array, found + step - 1) <= at, found + step
+            ).otherwise(found),
+        ),
+    )[0]
+    return F.coalesce(found, F.lit(0))
+
+
+def _sizes(tagged: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows in every range of a group, and in the ranges before it."""
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy("_range")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    counts = tagged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+
+
+def _number_whole_groups(
+    df: DataFrame, keys: list[str], order_by: list[str], name: str
+) -> DataFrame:
+    group = Window.partitionBy(*keys).orderBy(*order_by)
+    return df.withColumn(name, F.row_number().over(group).cast("long") - F.lit(1))
 
 
 def number_rows(
@@ -27,55 +97,54 @@ def number_rows(
     added.  The payload is shuffled once; the count, sample and range-count passes
     read only key columns.
 
-    Cut points are rows chosen by a hash of their own key, so every evaluation,
-    also after an executor loss, cuts at the same places; they only decide which
-    task numbers a row, never the number itself.  Group keys must not be null and
-    ``order_by`` should identify a row within its group.
+    Cut points are taken from rows chosen by a hash of their own key, at most
+    ``8 * max_ranges`` or so.  They are literals of the plan, so every task cuts at
+    the same places, and they only decide which task numbers a row, never the
+    number itself.  Group keys must not be null,
+    ``order_by`` should identify a row within its group, and its text columns
+    must not contain NUL characters, unless the last one.
     """
-    total = df.count()
-    if total <= rows_per_range:
-        group = Window.partitionBy(*keys).orderBy(*order_by)
-        return df.withColumn(name, F.row_number().over(group).cast("long") - F.lit(1))
-
-    ranges = min(max_ranges, math.ceil(total / rows_per_range))
-    place = F.struct(*keys, *order_by)
-    chosen = F.shiftrightunsigned(F.xxhash64(*keys, *order_by), 1) < F.lit(
-        int(ranges / total * 2**63)
-    )
-    cuts = df.where(chosen).agg(F.sort_array(F.collect_set(place)).alias("cuts"))
-    cuts_type = cuts.schema["cuts"].dataType
-    cuts_json = cuts.select(F.to_json("cuts", _JSON_OPTIONS)).first()[0]
-    cut_array = F.from_json(F.lit(cuts_json), cuts_type, _JSON_OPTIONS)
-
-    # Binary search: the number of cut points at or before the row.
-    steps = [2**k for k in reversed(range(max(1, (2 * ranges + 64).bit_length())))]
-    range_no = F.aggregate(
-        F.array(*[F.lit(step) for step in steps]),
-        F.lit(0),
-        lambda found, step: F.when(
-            F.get(cut_array, found + step - 1) <= place, found + step
-        ).otherwise(found),
-    )
+    range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
+    if range_no is None:
+        return _number_whole_groups(df, keys, order_by, name)
     tagged = df.withColumn("_range", range_no)
-
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = (
-        tagged.groupBy(*keys, "_range")
-        .count()
-        .withColumn("_before", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
-        .drop("count")
-    )
-    # Number first: the join then reuses the window's partitioning and sort.  It is
-    # a left join because an inner one would search the range once more per row,
-    # to filter nulls.
+    # Number first: the join then reuses the window's partitioning and sort.
     within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
     numbered = tagged.withColumn("_within", F.row_number().over(within))
     return (
-        numbered.join(offsets, [*keys, "_range"], "left")
+        numbered.join(_sizes(tagged, keys), [*keys, "_range"], "left")
         .withColumn(name, F.col("_before") + F.col("_within") - F.lit(1))
         .select(*df.columns, name)
     )
+
+
+def rows_numbered(
+    df: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    first: int,
+    last: int,
+    name: str = "row_no",
+    rows_per_range: int = ROWS_PER_RANGE,
+    max_ranges: int = MAX_RANGES,
+) -> DataFrame:
+    """Only the rows of each group that ``number_rows`` gives a number in first..last.
+
+    Ranges that hold none of them are left out by their counts, so of a large
+    table only a few ranges per group are shuffled and sorted.
+    """
+    wanted = F.col(name).between(first, last)
+    range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
+    if range_no is None:
+        return _number_whole_groups(df, keys, order_by, name).where(wanted)
+    tagged = df.withColumn("_range", range_no)
+    holding = _sizes(tagged, keys).where(
+        (F.col("_before") <= last) & (F.col("_before") + F.col("_rows") > first)
+    )
+    within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
+    return (
+        lookup(tagged, saved(holding, "ranges"), [*keys, "_range"], spread_by=order_by)
+        .withColumn(name, F.col("_before") + F.row_number().over(within) - F.lit(1))
+        .where(wanted)
+        .select(*df.columns, name)
+    )

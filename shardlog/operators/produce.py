@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardlog.operators.lookup import lookup
-from shardlog.operators.numbering import number_rows
+from shardlog.operators.numbering import number_rows, rows_numbered
 from shardlog.schema import (
     BUFFER_PER_WORKER,
     ERR_DROPPED,
@@ -13,7 +13,7 @@ from shardlog.schema import (
     SHARD_KEYS,
     require_concurrency,
 )
-from shardlog.workdir import work_dir
+from shardlog.workdir import saved
 
 
 def admit(
@@ -27,22 +27,20 @@ def admit(
     No row is removed: ``accepted`` tells the two apart and ``reason`` says why
     not.  On a stream use it per micro-batch; the capacity is then per batch.
 
-    Only the order columns are shuffled, to find the last offer that fits each
-    shard; the offers themselves are compared with it where they are.  When equal
-    offers lie on both sides of that cut, all rows are numbered instead, so that
-    exactly the capacity is kept.
+    Only order columns are shuffled, to find the last offer that fits each shard;
+    the offers themselves are compared with it where they are.  When equal offers
+    lie on both sides of that cut, all rows are numbered instead, so that exactly
+    the capacity is kept.
     """
     require_concurrency(concurrency)
     order_by = order_by or SEQUENCE_ORDER
     capacity = concurrency * BUFFER_PER_WORKER
     narrow = offers.select(*SHARD_KEYS, *order_by)
-    edge = number_rows(narrow, SHARD_KEYS, order_by, "_row", **options).where(
-        F.col("_row").isin(capacity - 1, capacity)
+    edge = rows_numbered(
+        narrow, SHARD_KEYS, order_by, capacity - 1, capacity, "_row", **options
     )
-    path = work_dir(offers.sparkSession, "admit")
     place = F.struct(*order_by)
-    edge.select(*SHARD_KEYS, "_row", place.alias("_last")).write.parquet(path)
-    edge = offers.sparkSession.read.parquet(path)
+    edge = saved(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
     last = edge.where(F.col("_row") == capacity - 1).drop("_row")
     if edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1).isEmpty():
         marked = lookup(offers, last, SHARD_KEYS, "left", spread_by=order_by)

@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -18,3 +18,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="shardlog-")
     return f"{root.rstrip('/')}/shardlog/{name}-{uuid.uuid4().hex}"
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The table written to the shared folder and read back: computed once, lineage cut."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
