@@ -33,9 +33,10 @@ def value_text(data: str = "data") -> Column:
 
 
 def append_terminator(data: Column, terminator: bytes = b"") -> Column:
+    """Payload followed by the terminator; a null payload counts as empty."""
     if not terminator:
         return data
-    return F.concat(data, F.lit(bytearray(terminator)))
+    return F.concat(F.coalesce(data, F.lit(bytearray())), F.lit(bytearray(terminator)))
 
 
 def _name_of(code: Column, names: dict[int, str]) -> Column:

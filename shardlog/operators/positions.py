@@ -89,19 +89,20 @@ def start_at(
         return from_after_sequence(records, sequence_number)
     if name == LATEST and marks is not None:
         return from_latest(records, marks)
-    raise ValueError(f"cannot start at position {name!r} with what is given")
+    raise ValueError(f"cannot start at position {name} with what is given")
 
 
 def _literal_rule(row) -> Column:
     if row.position == TRIM_HORIZON:
         return F.lit(True)
-    if row.position == AT_SEQUENCE_NUMBER:
-        return at_or_after(len(row.sequence_number), row.sequence_number)
-    if row.position == AFTER_SEQUENCE_NUMBER:
-        return after(len(row.sequence_number), row.sequence_number)
-    if row.position == AT_TIMESTAMP:
+    number = row.sequence_number
+    if row.position == AT_SEQUENCE_NUMBER and number:
+        return at_or_after(len(number), number)
+    if row.position == AFTER_SEQUENCE_NUMBER and number:
+        return after(len(number), number)
+    if row.position == AT_TIMESTAMP and row.at_micros is not None:
         return F.col("arrival_ts") >= F.timestamp_micros(F.lit(row.at_micros))
-    raise ValueError(f"cannot start at position {row.position!r}: no mark or unknown name")
+    raise ValueError(f"cannot start at position {row.position} with what is given")
 
 
 def _few(positions: DataFrame, at_most: int) -> list | None:
@@ -120,13 +121,18 @@ def _any(conditions) -> Column:
 
 
 def _joined_rule() -> Column:
-    start_len, start = F.length("_start"), F.col("_start")
+    position, start, start_len = F.col("_position"), F.col("_start"), F.length("_start")
+    numbered = start_len > 0
+    problem = F.concat(F.lit("cannot start at position "), position, F.lit(" with what is given"))
     return (
-        F.when(F.col("_position") == TRIM_HORIZON, F.lit(True))
-        .when(F.col("_position") == AT_SEQUENCE_NUMBER, at_or_after(start_len, start))
-        .when(F.col("_position") == AFTER_SEQUENCE_NUMBER, after(start_len, start))
-        .when(F.col("_position") == AT_TIMESTAMP, F.col("arrival_ts") >= F.col("_at_ts"))
-        .otherwise(F.raise_error(F.concat(F.lit("cannot start at position "), "_position")))
+        F.when(position == TRIM_HORIZON, F.lit(True))
+        .when((position == AT_SEQUENCE_NUMBER) & numbered, at_or_after(start_len, start))
+        .when((position == AFTER_SEQUENCE_NUMBER) & numbered, after(start_len, start))
+        .when(
+            (position == AT_TIMESTAMP) & F.col("_at_ts").isNotNull(),
+            F.col("arrival_ts") >= F.col("_at_ts"),
+        )
+        .otherwise(F.raise_error(problem))
     )
 
 
@@ -138,7 +144,7 @@ def read_from_positions(
     inline_positions: int = INLINE_POSITIONS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Read every shard from its own start position.
+    """Read every shard from its own start position; at most one position per shard.
 
     Shards that are not in ``positions`` are not read, unless ``keep_unlisted``.
     A few positions are turned into literal predicates: the shard part prunes

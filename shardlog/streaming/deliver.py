@@ -45,7 +45,7 @@ def _outcomes(request: list, sender: Sender, attempt: int) -> list[tuple[str, st
     failed_count, entries = response
     outcomes = [(DELIVERED, None)] * len(request)
     if failed_count:
-        for idx, (code, text) in enumerate(entries):
+        for idx, (code, text) in enumerate(entries[: len(request)]):
             if code or text:
                 outcomes[idx] = (FAILED, text or "")
     return outcomes
@@ -142,10 +142,17 @@ def deliver(
 
 
 def attempts(spark: SparkSession, out: str) -> DataFrame:
-    """Every send of every complete batch, with its outcome."""
+    """Every send of every complete batch, with its outcome.
+
+    ``answered`` and ``failed`` are there for ``delivery_counts``.
+    """
     sent = spark.read.schema(_SENT_IN).parquet(f"{out}/attempts")
     commits = spark.read.schema(f"{_COMMIT}, batch_id bigint").parquet(f"{out}/commits")
-    return sent.join(commits, ["batch_id", "run"])
+    return (
+        sent.join(commits, ["batch_id", "run"])
+        .withColumn("answered", F.col("outcome") != UNANSWERED)
+        .withColumn("failed", F.col("outcome") == FAILED)
+    )
 
 
 def delivered(spark: SparkSession, out: str) -> DataFrame:

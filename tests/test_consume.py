@@ -99,6 +99,8 @@ def test_message_functions(spark):
     ).collect()
     assert [None if r.key is None else bytes(r.key) for r in got] == [None, b"", "é".encode()]
     assert [bytes(r.ended) for r in got] == [b"a\n", b"\n", b"c\n"]
+    empty = records(spark, [record("0", "1", data=None)])
+    assert bytes(deliver_payload(empty, b";").first().data) == b";"
     assert [bytes(r.same) for r in got] == [bytes(r.v) for r in got] == [b"a", b"", b"c"]
     assert all(r.m.sequence_number is None for r in got)
     assert bytes(set_value(rows, F.lit(bytearray(b"new"))).first().data) == b"new"

@@ -79,10 +79,13 @@ def test_latest_among_other_positions(spark, way):
 
 
 @pytest.mark.parametrize("way", WAYS)
-def test_latest_without_marks_is_an_error(spark, way):
+def test_positions_that_lack_something_are_errors(spark, way):
     start = positions(spark, [position("a", "LATEST")])
-    with pytest.raises(Exception, match="cannot start at position"):
-        read_from_positions(records(spark, LOG), start, **way).collect()
+    bad = [start]
+    bad += [positions(spark, [position("a", p)]) for p in ("AT_SEQUENCE_NUMBER", AT_TIMESTAMP, "X")]
+    for start in bad:
+        with pytest.raises(Exception, match="cannot start at position"):
+            read_from_positions(records(spark, LOG), start, **way).collect()
 
 
 def test_single_start_positions(spark):

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from shardlog.operators.checkpoint import drop_replays
 from shardlog.operators.consume import for_each_message, observe_messages, observed_counts
+from shardlog.operators.delivery import delivery_counts
 from shardlog.operators.quota import traffic
 from shardlog.schema import SHARD_KEYS
 from shardlog.sources.log import append_sync as store
@@ -51,6 +52,14 @@ def test_marks_stay_frozen_over_a_restart(spark, tmp_path):
     assert numbers(scan(spark, out)) == [("a", "10"), ("a", "3"), ("b", "1")]
 
 
+def test_marks_of_an_empty_log_stay_empty(spark, tmp_path):
+    path, marks = str(tmp_path / "log"), str(tmp_path / "marks")
+    assert latest.freeze_marks(records(spark, []), marks).isEmpty()
+    store(batch(spark, "a", ["1"]), path)
+    assert latest.freeze_marks(scan(spark, path), marks).isEmpty()
+    assert numbers(latest.read_latest(scan(spark, path), scan(spark, path), marks)) == [("a", "1")]
+
+
 def test_restart_goes_on_without_gaps_or_copies(spark, tmp_path):
     path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
     for names in (["1", "2"], ["3"], []):
@@ -155,6 +164,9 @@ def test_delivery_sends_again_until_done_or_out_of_attempts(spark, tmp_path):
     assert [bytes(r.data) for r in deliver.dead_letters(spark, out).collect()] == [b"9"]
     done = deliver.delivered(spark, out)
     assert done.count() == 5 and done.where("data is not null").isEmpty()
+    counts = delivery_counts(deliver.attempts(spark, out)).first()
+    # Sends of 1, 5, 9 three at first, then 5, 9 twice, and two each of 2, 7, 8; five fail.
+    assert (counts.n_messages, counts.n_delivered) == (13 - 5, 5)
     broken = deliver.attempts(spark, out).where(F.col("error_message") == "reset by peer")
     assert broken.count() == 2
 
