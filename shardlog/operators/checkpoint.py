@@ -1,5 +1,8 @@
 """Remember the last record per shard, continue from it, remove what comes twice."""
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,12 +81,28 @@ def resume(
 IDENTITY = [*SHARD_KEYS, "sequence_number"]
 
 
+def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop copies inside each Arrow batch; the payload is not looked at."""
+    for batch in batches:
+        rows = pa.table({c: batch.column(c) for c in IDENTITY})
+        rows = rows.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
+        first = rows.group_by(IDENTITY).aggregate([("row", "min")])["row_min"]
+        yield batch.take(first.combine_chunks())
+
+
 def drop_replays(records: DataFrame, within: str | None = None) -> DataFrame:
     """Keep one copy of every (stream, shard, sequence number).
 
+    Every record must have a sequence number: those without one count as copies
+    of each other.  A table's copies are combined before the shuffle.  A stream's
+    are not by Spark, so copies are first dropped where they lie next to each
+    other: a record that comes again and again does not fill one task.
+
     On a stream, the default remembers every number.  ``within`` bounds that
     state by arrival time, and then records later than that bound may be lost.
     """
+    if records.isStreaming:
+        records = records.mapInArrow(_first_copies, records.schema)
     if within is None:
         return records.dropDuplicates(IDENTITY)
     return records.withWatermark("arrival_ts", within).dropDuplicatesWithinWatermark(IDENTITY)

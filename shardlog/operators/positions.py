@@ -18,6 +18,7 @@ from shardlog.schema import (
     TRIM_HORIZON,
 )
 from shardlog.sources.log import scan
+from shardlog.workdir import saved
 
 # Up to this many positions become literal predicates, which reach the scan.
 INLINE_POSITIONS = 32
@@ -169,7 +170,7 @@ def read_from_positions(
     )
     joined = lookup(
         records,
-        side,
+        saved(side, "positions"),
         SHARD_KEYS,
         how="left" if keep_unlisted else "inner",
         spread_by=["sequence_number"],

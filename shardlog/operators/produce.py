@@ -77,7 +77,7 @@ def put_shape(
         .agg(requests_of.alias("_requests"))
         .select(*SHARD_KEYS, F.coalesce(F.sum("_requests").over(before), F.lit(0)).alias("_first"))
     )
-    shaped = lookup(numbered, first_ids, SHARD_KEYS, spread_by=["_row"])
+    shaped = lookup(numbered, saved(first_ids, "first-ids"), SHARD_KEYS, spread_by=["_row"])
     return shaped.select(
         "stream",
         (F.col("_first") + F.floor(F.col("_row") / per_request)).alias("request_id"),
