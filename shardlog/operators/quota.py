@@ -12,6 +12,7 @@ from shardlog.schema import (
     DELIVERY_RECORDS_PER_SECOND,
     DELIVERY_REQUESTS_PER_SECOND,
     FETCHES_PER_SECOND,
+    MAX_DELIVERY_CALL_BYTES,
     MAX_RECORD_BYTES,
     MAX_REQUEST_BYTES,
     MAX_REQUEST_RECORDS,
@@ -82,6 +83,16 @@ def oversized_requests(
     )
 
 
+def oversized_calls(
+    requests: DataFrame,
+    max_records: int = MAX_REQUEST_RECORDS,
+    max_bytes: int = MAX_DELIVERY_CALL_BYTES,
+) -> DataFrame:
+    """The same for keyless delivery, which sends the payload only."""
+    payload = requests.withColumn("partition_key", F.lit(""))
+    return oversized_requests(payload, max_records, max_bytes)
+
+
 def delivery_rate(
     records: DataFrame,
     per_request: int = 1,

@@ -104,6 +104,11 @@ def oversized_requests(spark, sf):
     return quota.oversized_requests(requests, max_records=19, max_bytes=60_000)
 
 
+def oversized_calls(spark, sf):
+    requests = produce.put_shape(tables.document_records(spark, sf), 20)
+    return quota.oversized_calls(requests, max_records=19, max_bytes=60_000)
+
+
 QUERIES = {
     "admit": admit,
     "put_shape": put_shape,
@@ -120,6 +125,7 @@ QUERIES = {
     "delivery_rate": delivery_rate,
     "oversized_records": oversized_records,
     "oversized_requests": oversized_requests,
+    "oversized_calls": oversized_calls,
 }
 
 
@@ -194,5 +200,9 @@ SELECT source AS stream, CAST(doc_id AS VARCHAR) AS sequence_number,
     "oversized_requests": f"""{SOURCES}
 SELECT stream, request_id, count(*) AS n_records,
   CAST(sum(octet_length(encode(payload)) + octet_length(encode(partition_key))) AS BIGINT) AS n_bytes
+FROM req GROUP BY 1, 2 HAVING count(*) > 19 OR n_bytes > 60000""",
+    "oversized_calls": f"""{SOURCES}
+SELECT stream, request_id, count(*) AS n_records,
+  CAST(sum(octet_length(encode(payload))) AS BIGINT) AS n_bytes
 FROM req GROUP BY 1, 2 HAVING count(*) > 19 OR n_bytes > 60000""",
 }

@@ -6,18 +6,28 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.message import value_text
 from shardlog.operators.checkpoint import drop_replays
-from shardlog.operators.quota import write_rate
+from shardlog.operators.consume import split_errors
 from shardlog.plans import tables
 from shardlog.plans.delivery import HOUR
 from shardlog.plans.delivery import ORACLES as DELIVERY_SQL
-from shardlog.plans.reading import CUT, LATEST_SQL, REC, SHOWN, before, replayed, shown
+from shardlog.plans.reading import (
+    CUT,
+    LATEST_SQL,
+    REC,
+    SHOWN,
+    before,
+    parse_k_or_fail,
+    replayed,
+    shown,
+)
 from shardlog.plans.reading import ORACLES as READING_SQL
 from shardlog.sources import log
 from shardlog.streaming import append as sinks
-from shardlog.streaming import deliver, latest, rates
+from shardlog.streaming import deliver, latest, listen, rates
 from shardlog.workdir import work_dir
 
 DONE = {"availableNow": True}
+KEYS = ["stream", "shard_id", "sequence_number"]
 
 
 def stream_append(spark, sf):
@@ -93,6 +103,26 @@ def stream_deliver(spark, sf):
     )
 
 
+def stream_listen(spark, sf):
+    base = work_dir(spark, "listen")
+    records = tables.event_stream(spark, sf)
+    listen.listen(
+        records, parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE
+    ).awaitTermination()
+    good, errors = split_errors(listen.outcomes(spark, f"{base}/out", "bigint"))
+    return good.unionByName(errors, allowMissingColumns=True)
+
+
+def stream_admit(spark, sf):
+    """All offers are there at the start, so they make one micro-batch."""
+    base = work_dir(spark, "admit-stream")
+    offers = tables.event_stream(spark, sf)
+    listen.admit_stream(offers, 2, f"{base}/out", f"{base}/ck", trigger=DONE).awaitTermination()
+    kept = listen.admitted(spark, f"{base}/out").select(*KEYS, F.lit(None).alias("reason"))
+    gone = listen.dropped(spark, f"{base}/out").select(*KEYS, "reason")
+    return kept.unionByName(gone).withColumn("accepted", F.col("reason").isNull())
+
+
 def stream_deliver_payload(spark, sf):
     base = work_dir(spark, "payload")
     sinks.append_payload(
@@ -118,6 +148,8 @@ QUERIES = {
     "stream_resume": stream_resume,
     "stream_drop_replays": stream_drop_replays,
     "stream_deliver": stream_deliver,
+    "stream_listen": stream_listen,
+    "stream_admit": stream_admit,
     "stream_deliver_payload": stream_deliver_payload,
     "stream_write_rate": stream_write_rate,
 }
@@ -136,6 +168,8 @@ sent AS (SELECT x.*, CAST(a AS INTEGER) AS attempt, k % 10 = 0 OR (k % 10 = 1 AN
 SELECT stream, partition_key, octet_length(encode(payload)) AS n_bytes, attempt,
   CASE WHEN refused THEN 'failed' ELSE 'delivered' END AS outcome,
   CASE WHEN refused THEN 'not now: ' || k END AS error_message FROM sent""",
+    "stream_listen": READING_SQL["split_errors"],
+    "stream_admit": DELIVERY_SQL["admit"],
     "stream_deliver_payload": "SELECT props AS payload FROM events",
     "stream_write_rate": DELIVERY_SQL["write_rate"],
 }

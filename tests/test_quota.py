@@ -1,5 +1,6 @@
 from shardlog.operators.quota import (
     delivery_rate,
+    oversized_calls,
     oversized_records,
     oversized_requests,
     read_rate,
@@ -49,6 +50,8 @@ def test_oversized(spark):
     assert over == {(1, 3, 30)}
     over = {r.request_id for r in oversized_requests(requests(spark, sent), 500, 39).collect()}
     assert over == {2}
+    over = {(r.request_id, r.n_bytes) for r in oversized_calls(requests(spark, sent), 500, 26).collect()}
+    assert over == {(1, 27), (2, 40)}
 
 
 def test_delivery_rate_is_per_stream_without_keys(spark):

@@ -2,14 +2,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardlog.operators.checkpoint import drop_replays
-from shardlog.operators.consume import for_each_message, observe_messages, observed_counts
+from shardlog.operators.consume import (
+    error_counts,
+    for_each_message,
+    observe_messages,
+    observed_counts,
+    split_errors,
+)
 from shardlog.operators.delivery import delivery_counts
 from shardlog.operators.quota import traffic
 from shardlog.schema import SHARD_KEYS
 from shardlog.sources.log import append_sync as store
 from shardlog.sources.log import scan, scan_stream
 from shardlog.streaming import append as sinks
-from shardlog.streaming import deliver, latest, rates
+from shardlog.streaming import deliver, latest, listen, rates
 from tests.util import BIG, T0, numbers, record, records
 
 DONE = {"availableNow": True}
@@ -227,3 +233,37 @@ def test_an_empty_batch_is_complete(spark, tmp_path):
     deliver.deliver_batch(records(spark, []), 4, picky, out)
     assert deliver.attempts(spark, out).count() == 0
     assert deliver._commit_of(spark, out, 4) is not None
+
+
+def test_listener_counts_errors_and_keeps_listening(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+
+    def handle(payload):
+        if payload == b"2":
+            raise RuntimeError("All your base are belong to us")
+        return int(payload)
+
+    store(batch(spark, "a", ["1", "2"]), path)
+    query = listen.listen(scan_stream(spark, path), handle, "int", out, ck, concurrency=2)
+    query.processAllAvailable()
+    store(batch(spark, "a", ["3"]), path)
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert observed_counts(query) == 3
+    good, errors = split_errors(listen.outcomes(spark, out, "int"))
+    assert {r.value for r in good.collect()} == {1, 3}
+    assert error_counts(errors).first().n_errors == 1
+
+
+def test_admission_is_per_batch(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for first in (0, 2000):
+        names = [str(first + n) for n in range(1200 if first else 900)]
+        store(batch(spark, "a", names), path, partitions=1)
+    offers = scan_stream(spark, path, max_files=1)
+    listen.admit_stream(offers, 1, out, ck, trigger=DONE).awaitTermination()
+    assert listen.admitted(spark, out).count() == 1900
+    gone = listen.dropped(spark, out)
+    assert {r.sequence_number for r in gone.collect()} == {str(n) for n in range(3000, 3200)}
+    assert {r.reason for r in gone.collect()} == {"Channel is full, dropped message"}
