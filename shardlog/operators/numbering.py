@@ -73,9 +73,10 @@ def _sizes(tagged: DataFrame, keys: list[str]) -> DataFrame:
     return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
 
 
-def _number_whole_groups(
+def number_whole_groups(
     df: DataFrame, keys: list[str], order_by: list[str], name: str
 ) -> DataFrame:
+    """Number the rows of groups that are known to be small."""
     group = Window.partitionBy(*keys).orderBy(*order_by)
     return df.withColumn(name, F.row_number().over(group).cast("long") - F.lit(1))
 
@@ -106,7 +107,7 @@ def number_rows(
     """
     range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
     if range_no is None:
-        return _number_whole_groups(df, keys, order_by, name)
+        return number_whole_groups(df, keys, order_by, name)
     tagged = df.withColumn("_range", range_no)
     # Number first: the join then reuses the window's partitioning and sort.
     within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
@@ -136,7 +137,7 @@ def rows_numbered(
     wanted = F.col(name).between(first, last)
     range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
     if range_no is None:
-        return _number_whole_groups(df, keys, order_by, name).where(wanted)
+        return number_whole_groups(df, keys, order_by, name).where(wanted)
     tagged = df.withColumn("_range", range_no)
     holding = _sizes(tagged, keys).where(
         (F.col("_before") <= last) & (F.col("_before") + F.col("_rows") > first)

@@ -4,7 +4,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardlog.operators.lookup import lookup
-from shardlog.operators.numbering import number_rows, rows_numbered
+from shardlog.operators.numbering import (
+    ROWS_PER_RANGE,
+    number_rows,
+    number_whole_groups,
+    rows_numbered,
+)
 from shardlog.schema import (
     BUFFER_PER_WORKER,
     ERR_DROPPED,
@@ -20,34 +25,44 @@ def admit(
     offers: DataFrame,
     concurrency: int,
     order_by: list[str] | None = None,
-    **options,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Keep the first ``concurrency * 1000`` offers per shard, mark the rest as dropped.
 
     No row is removed: ``accepted`` tells the two apart and ``reason`` says why
     not.  On a stream use it per micro-batch; the capacity is then per batch.
 
-    Only order columns are shuffled, to find the last offer that fits each shard;
-    the offers themselves are compared with it where they are.  When equal offers
-    lie on both sides of that cut, all rows are numbered instead, so that exactly
-    the capacity is kept.
+    A small table is numbered as it is.  Of a large one only order columns are
+    shuffled, to find the last offer that fits each shard; the offers themselves
+    are compared with it where they are.  When equal offers lie on both sides of
+    that cut, all rows are numbered instead, so that exactly the capacity is kept.
     """
     require_concurrency(concurrency)
     order_by = order_by or SEQUENCE_ORDER
     capacity = concurrency * BUFFER_PER_WORKER
-    narrow = offers.select(*SHARD_KEYS, *order_by)
-    edge = rows_numbered(
-        narrow, SHARD_KEYS, order_by, capacity - 1, capacity, "_row", **options
-    )
-    place = F.struct(*order_by)
-    edge = saved(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
-    last = edge.where(F.col("_row") == capacity - 1).drop("_row")
-    if edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1).isEmpty():
-        marked = lookup(offers, last, SHARD_KEYS, "left", spread_by=order_by)
-        accepted = F.col("_last").isNull() | (place <= F.col("_last"))
+    numbered = F.col("_row") < capacity
+    if offers.count() <= rows_per_range:
+        marked, accepted = number_whole_groups(offers, SHARD_KEYS, order_by, "_row"), numbered
     else:
-        marked = number_rows(offers, SHARD_KEYS, order_by, "_row", **options)
-        accepted = F.col("_row") < capacity
+        place = F.struct(*order_by)
+        edge = rows_numbered(
+            offers.select(*SHARD_KEYS, *order_by),
+            SHARD_KEYS,
+            order_by,
+            capacity - 1,
+            capacity,
+            "_row",
+            rows_per_range,
+        )
+        edge = saved(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
+        tied = edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1)
+        if tied.isEmpty():
+            last = edge.where(F.col("_row") == capacity - 1).drop("_row")
+            marked = lookup(offers, last, SHARD_KEYS, "left", spread_by=order_by)
+            accepted = F.col("_last").isNull() | (place <= F.col("_last"))
+        else:
+            marked = number_rows(offers, SHARD_KEYS, order_by, "_row", rows_per_range)
+            accepted = numbered
     return marked.select(
         *offers.columns,
         accepted.alias("accepted"),

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shardlog.operators.fetch import fetch_batches, retrieve
 from shardlog.operators.lookup import lookup, measured_bytes
-from shardlog.operators.numbering import number_rows
+from shardlog.operators.numbering import number_rows, rows_numbered
 from shardlog.operators.produce import admit, put_shape
 from shardlog.schema import SEQUENCE_ORDER, SHARD_KEYS
 from tests.util import BIG, numbers, record, records
@@ -44,6 +44,26 @@ def test_ranges_split_a_hot_shard(spark):
     assert all(r.row_no == r.t for r in rows) and len(rows) == 6000
 
 
+def test_ranges_order_like_spark(spark):
+    """Negative and missing numbers, times before 1970, letters of several bytes."""
+    rows = []
+    for n in range(1200):
+        number = None if n % 50 == 0 else (n * 7919 % 601) - 300
+        name = ["", "a", "ab", "é", "z", "日", "\U0001f600"][n % 7] + str(n)
+        rows.append(("s", f"shard {n % 3} é", number, name, (n * 31 % 997) - 500))
+    schema = "stream string, shard_id string, number int, name string, second long"
+    table = spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds("second"))
+    for order in (["number", "name"], ["at", "number", "name"], ["name"]):
+        whole = number_rows(table, SHARD_KEYS, order)
+        ranged = number_rows(table, SHARD_KEYS, order, rows_per_range=40)
+        assert ranged.exceptAll(whole).isEmpty() and whole.exceptAll(ranged).isEmpty()
+        some = rows_numbered(table, SHARD_KEYS, order, 99, 130, rows_per_range=40)
+        want = whole.where("row_no between 99 and 130")
+        assert some.exceptAll(want).isEmpty() and want.exceptAll(some).isEmpty()
+    with pytest.raises(TypeError):
+        number_rows(table.withColumn("x", F.rand(1)), SHARD_KEYS, ["x"], rows_per_range=40)
+
+
 def test_fetches_hold_at_most_the_limit_in_order(spark):
     fetched = fetch_batches(skewed(spark), 700, rows_per_range=300)
     rows = (
@@ -90,9 +110,10 @@ def test_short_shards_are_accepted_whole(spark):
     assert admit(offers(spark, 0), concurrency=1).count() == 0
 
 
-def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark):
+@pytest.mark.parametrize("limits", [{}, {"rows_per_range": 100}])
+def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark, limits):
     rows = [record("0", "5") for _ in range(1500)] + [record("1", str(i)) for i in range(20)]
-    marked = admit(records(spark, rows), concurrency=1)
+    marked = admit(records(spark, rows), concurrency=1, **limits)
     counts = {
         (r.shard_id, r.accepted): r["count"]
         for r in marked.groupBy("shard_id", "accepted").count().collect()
@@ -101,7 +122,7 @@ def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark):
 
 
 def test_admit_does_not_shuffle_payloads(spark):
-    marked = admit(skewed(spark), concurrency=1)
+    marked = admit(skewed(spark), concurrency=1, rows_per_range=1000)
     assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
 
 
