@@ -10,7 +10,7 @@ from shardlog.functions.sequence import sequence_key
 from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
 from shardlog.operators.positions import read_from_positions
 from shardlog.schema import AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER, SHARD_KEYS
-from shardlog.workdir import saved
+from shardlog.workdir import materialised
 
 
 def checkpoint(records: DataFrame) -> DataFrame:
@@ -117,7 +117,7 @@ def drop_rare_replays(records: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES)
     so the input should be a stored table rather than a long computation.
     """
     counted = records.groupBy(*IDENTITY).count()
-    twice = saved(counted.where(F.col("count") > 1).drop("count"), "replays")
+    twice = materialised(counted.where(F.col("count") > 1).drop("count"), "replays")
     once = lookup(records, twice, IDENTITY, "left_anti", max_bytes=max_bytes)
     copies = lookup(records, twice, IDENTITY, "left_semi", max_bytes=max_bytes)
     return once.unionByName(copies.dropDuplicates(IDENTITY))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardlog.operators.lookup import lookup
-from shardlog.workdir import saved
+from shardlog.workdir import materialised
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 16_384
@@ -101,9 +101,9 @@ def number_rows(
     Cut points are taken from rows chosen by a hash of their own key, at most
     ``8 * max_ranges`` or so.  They are literals of the plan, so every task cuts at
     the same places, and they only decide which task numbers a row, never the
-    number itself.  Group keys must not be null,
-    ``order_by`` should identify a row within its group, and its text columns
-    must not contain NUL characters, unless the last one.
+    number itself.  Group keys must not be null, ``order_by`` should identify a row
+    within its group, and its text columns must not contain NUL characters, unless
+    the last one.
     """
     range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
     if range_no is None:
@@ -144,7 +144,7 @@ def rows_numbered(
     )
     within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
     return (
-        lookup(tagged, saved(holding, "ranges"), [*keys, "_range"], spread_by=order_by)
+        lookup(tagged, materialised(holding, "ranges"), [*keys, "_range"], spread_by=order_by)
         .withColumn(name, F.col("_before") + F.row_number().over(within) - F.lit(1))
         .where(wanted)
         .select(*df.columns, name)

@@ -18,7 +18,7 @@ from shardlog.schema import (
     TRIM_HORIZON,
 )
 from shardlog.sources.log import scan
-from shardlog.workdir import saved
+from shardlog.workdir import materialised
 
 # Up to this many positions become literal predicates, which reach the scan.
 INLINE_POSITIONS = 32
@@ -170,7 +170,7 @@ def read_from_positions(
     )
     joined = lookup(
         records,
-        saved(side, "positions"),
+        materialised(side, "positions"),
         SHARD_KEYS,
         how="left" if keep_unlisted else "inner",
         spread_by=["sequence_number"],

@@ -18,7 +18,7 @@ from shardlog.schema import (
     SHARD_KEYS,
     require_concurrency,
 )
-from shardlog.workdir import saved
+from shardlog.workdir import materialised
 
 
 def admit(
@@ -54,7 +54,7 @@ def admit(
             "_row",
             rows_per_range,
         )
-        edge = saved(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
+        edge = materialised(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
         tied = edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1)
         if tied.isEmpty():
             last = edge.where(F.col("_row") == capacity - 1).drop("_row")
@@ -92,7 +92,7 @@ def put_shape(
         .agg(requests_of.alias("_requests"))
         .select(*SHARD_KEYS, F.coalesce(F.sum("_requests").over(before), F.lit(0)).alias("_first"))
     )
-    shaped = lookup(numbered, saved(first_ids, "first-ids"), SHARD_KEYS, spread_by=["_row"])
+    shaped = lookup(numbered, materialised(first_ids, "first-ids"), SHARD_KEYS, spread_by=["_row"])
     return shaped.select(
         "stream",
         (F.col("_first") + F.floor(F.col("_row") / per_request)).alias("request_id"),

@@ -24,7 +24,7 @@ from shardlog.operators.checkpoint import (
 from shardlog.plans import tables
 from shardlog.schema import SHARD_KEYS
 from shardlog.sources.log import append_sync, select_shards
-from shardlog.workdir import saved, work_dir
+from shardlog.workdir import materialised, work_dir
 
 # Times at which readers in these queries stop, save or begin (see the SQL).
 EARLY, CUT, LATE = "2024-01-10", "2024-01-16", "2024-01-20"
@@ -228,7 +228,7 @@ def split_errors(spark, sf):
     outcomes = consume.for_each_message(
         tables.event_records(spark, sf), parse_k_or_fail, "bigint"
     )
-    good, errors = consume.split_errors(saved(outcomes, "outcomes"))
+    good, errors = consume.split_errors(materialised(outcomes, "outcomes"))
     return good.unionByName(errors, allowMissingColumns=True)
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.message import value_text
 from shardlog.operators.produce import put_shape
-from shardlog.workdir import saved
+from shardlog.workdir import materialised
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
@@ -106,7 +106,7 @@ def streams(spark: SparkSession) -> DataFrame:
 
 def sent_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Delivery records as put requests of 500, written down as they were sent."""
-    return saved(put_shape(delivery_records(spark, sf), 500), "requests")
+    return materialised(put_shape(delivery_records(spark, sf), 500), "requests")
 
 
 def responses(requests: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -44,15 +44,18 @@ def in_shard_order(records: DataFrame, partitions: int | None = None) -> DataFra
     """Range-partition by shard and sequence number, sorted inside each partition.
 
     The range boundaries fall inside large shards too, so one hot shard is spread
-    over many consecutive partitions instead of landing in one.
+    over many consecutive partitions instead of landing in one.  Copies of one
+    record are told apart by the input partition they come from, so that a record
+    that was sent again and again is spread as well.
     """
     order = [*SHARD_KEYS, *SEQUENCE_ORDER]
+    told_apart = records.withColumn("_from", F.spark_partition_id())
     ranged = (
-        records.repartitionByRange(partitions, *order)
+        told_apart.repartitionByRange(partitions, *order, "_from")
         if partitions
-        else records.repartitionByRange(*order)
+        else told_apart.repartitionByRange(*order, "_from")
     )
-    return ranged.sortWithinPartitions(*order)
+    return ranged.sortWithinPartitions(*order).drop("_from")
 
 
 def append_sync(records: DataFrame, path: str, partitions: int | None = None) -> None:

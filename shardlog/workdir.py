@@ -20,7 +20,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/shardlog/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def materialised(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: computed once, lineage cut."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)

@@ -16,7 +16,7 @@ from shardlog.operators.positions import (
     start_at,
 )
 from shardlog.schema import AT_TIMESTAMP
-from shardlog.sources.log import append_sync, scan, select_shards
+from shardlog.sources.log import append_sync, in_shard_order, scan, select_shards
 from tests.util import (
     BIG,
     checkpoints,
@@ -176,3 +176,27 @@ def test_log_reads_prune_shards_and_push_bounds(spark, tmp_path):
     assert any("GreaterThanOrEqual(arrival_ts" in line for line in pushed)
     pruned = [line for line in plan.splitlines() if "PartitionFilters" in line]
     assert len(pruned) == 3 and all("shard_id" in line for line in pruned)
+
+
+def test_copies_and_hot_shards_are_spread_in_order(spark):
+    copies = spark.range(4000, numPartitions=8).select(
+        F.lit("s").alias("stream"),
+        F.lit("a").alias("shard_id"),
+        F.lit("7").alias("sequence_number"),
+        F.lit(1).alias("sequence_len"),
+    )
+    spread = in_shard_order(copies, 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) > 1 and sum(r["count"] for r in spread) == 4000
+    hot = copies.withColumn("sequence_number", F.monotonically_increasing_id().cast("string"))
+    hot = hot.withColumn("sequence_len", F.length("sequence_number"))
+    parts = (
+        in_shard_order(hot, 4)
+        .groupBy(F.spark_partition_id().alias("p"))
+        .agg(
+            F.min(F.struct("sequence_len", "sequence_number")).alias("lo"),
+            F.max(F.struct("sequence_len", "sequence_number")).alias("hi"),
+        )
+        .orderBy("p")
+        .collect()
+    )
+    assert len(parts) == 4 and all(a.hi < b.lo for a, b in zip(parts, parts[1:]))
