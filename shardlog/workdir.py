@@ -1,22 +1,17 @@
 """Where jobs keep tables that must outlive an executor."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A new folder path under the cluster's shared ``spark.checkpoint.dir``.
+    """A new folder path under the shared ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting gets a temporary folder of
-    its own; on a cluster a machine-local folder would be lost with its host.
+    Where that setting is absent, the session's warehouse folder takes its
+    place: it is shared on a cluster too, unlike a temporary folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="shardlog-")
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/shardlog/{name}-{uuid.uuid4().hex}"
 
 
