@@ -145,7 +145,7 @@ def cutoffs(counted: DataFrame, labels: DataFrame) -> DataFrame:
         .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
     )
     levels = materialised(rows, "levels")
-    strata = levels.select(F.countDistinct("stratum").alias("strata"))
+    strata = levels.agg(F.countDistinct("stratum")).first()[0]
     # at most one row a signal and level: a stratum's histograms as arrays
     sums = levels.groupBy("stratum", "signal").agg(
         F.sum("good").alias("n"), F.sum("bad").alias("m"),
@@ -156,9 +156,9 @@ def cutoffs(counted: DataFrame, labels: DataFrame) -> DataFrame:
         F.struct(F.lit(j).alias("j"), F.lit(c).alias("cutoff"), F.col(f"good_{j}").alias("k"), F.col(f"bad_{j}").alias("caught"))
         for j, c in enumerate(GRID)
     ))
-    tried = sums.crossJoin(F.broadcast(strata)).select("stratum", "signal", "n", "m", "strata", F.explode(tries).alias("x"))
+    tried = sums.select("stratum", "signal", "n", "m", F.explode(tries).alias("x"))
     p = ALPHA / len(SIGNALS)
-    passed = binomial_at_most(F.col("x.k"), F.col("n"), p) <= DELTA / (len(SIGNALS) * F.col("strata"))
+    passed = binomial_at_most(F.col("x.k"), F.col("n"), p) <= DELTA / (len(SIGNALS) * max(1, strata))
     gain = F.coalesce(F.col("x.caught") / F.expr("nullif(m, 0)"), F.lit(0.0)) - COST * F.col("x.k") / F.expr("nullif(n, 0)")
     tested = tried.select("stratum", "signal", "x.j", "x.cutoff", passed.alias("passed"), gain.alias("gain"))
     failed = F.coalesce(F.max(F.when(~F.col("passed"), F.col("j"))), F.lit(-1))

@@ -3,10 +3,30 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardlog.llm import exact, quality, simhash
+import corpus_pipeline
+import public_tokenizers
+from shardlog.llm import exact, mixing, packing, quality, simhash
 from shardlog.llm.common import table
 
 
+# the shares of tokens that each domain of the labels table is to have
+TARGETS = {"good": 0.90, "poor": 0.07, "toxic": 0.03}
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = mixing.labelled(table(spark, sf_dir, "labels"))
+    rows = mixing.mixture(table(spark, sf_dir, "documents"), labels, TARGETS)
+    shares = (F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(TARGETS))
+    return rows.select("doc_id", "tokens", *shares, "rate", "copies")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.Duplicates(table(spark, sf_dir, "documents")).report()
 
@@ -23,5 +43,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op5_exact_dedup, op6_simhash, op7_quality_rules)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+_ALL = (op1_mixing, op2_packing, op5_exact_dedup, op6_simhash, op7_quality_rules, pipeline)
+QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {}

@@ -2,7 +2,7 @@
 
 A chunk is what one task wrote; a row is known by its chunk and its position there. The
 table is bucketed by chunk, so a later decision for every row of a chunk comes back as one
-small row (a byte for each position) and meets the texts without shuffling them.
+small row (a number for each position) and meets the texts without shuffling them.
 """
 
 import uuid
@@ -39,21 +39,21 @@ def stored(df: DataFrame, name: str, **derived: Column) -> DataFrame:
 
 
 def by_chunk(decisions: DataFrame) -> DataFrame:
-    """``(chunk, pos, value)`` as one row a chunk: ``values``, a small number by position.
+    """``(chunk, pos, value)`` as one row a chunk: ``values``, a number by position.
 
     Positions that are not named have 0. A chunk is bounded by what one task reads.
     """
 
     def dense(rows: pd.DataFrame) -> pd.DataFrame:
         pos = rows["pos"].to_numpy()
-        values = np.zeros(pos.max() + 1, np.int8)
+        values = np.zeros(pos.max() + 1, np.int32)
         values[pos] = rows["value"]
         return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "values": [values]})
 
     return (
-        decisions.select("chunk", "pos", F.col("value").cast("tinyint").alias("value"))
+        decisions.select("chunk", "pos", F.col("value").cast("int").alias("value"))
         .groupBy("chunk")
-        .applyInPandas(dense, "chunk long, values array<tinyint>")
+        .applyInPandas(dense, "chunk long, values array<int>")
     )
 
 
