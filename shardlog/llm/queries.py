@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from shardlog.llm import exact, mixing, packing, quality, simhash
+from shardlog.llm import additive, exact, hosts, language, licences, mixing, packing, quality, simhash
 from shardlog.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"), licences.known_digests(spark))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.Duplicates(table(spark, sf_dir, "documents")).report()
 
@@ -43,10 +47,29 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages take the outcomes of the labels table by their number: bad is poor or toxic."""
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
+    rows = hosts.judged(table(spark, sf_dir, "pages"), outcomes, RULES)
+    return rows.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_ALL = (op1_mixing, op2_packing, op5_exact_dedup, op6_simhash, op7_quality_rules, pipeline)
+_ALL = (op1_mixing, op2_packing, op3_license_scan, op5_exact_dedup, op6_simhash, op7_quality_rules, op8_url_filter, op9_language, op10_quality_classifier, pipeline)
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {}
