@@ -79,7 +79,7 @@ class Filters:
             for batch in batches:
                 for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                     found = np.unique(grams([text])[0]).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found)), pa.array(found)], names=["lang", "gram"])
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found)], names=["lang", "gram"])
 
         counted = chosen.mapInArrow(distinct, "lang string, gram long").groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
         least = F.greatest(F.lit(2), F.ceil(SHARE * F.col("docs")))

@@ -12,7 +12,7 @@ from shardlog.llm.common import text_of
 from shardlog.workdir import materialised
 
 # fixed values: lines that name a holder, not terms
-COPYRIGHT = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+COPYRIGHT = r"(?md)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
 # fixed values: spellings and words that count as equal, applied in this order to lower-case words
 EQUIVALENT = (
     (r"\bhttps\b", "http"),

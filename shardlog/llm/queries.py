@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from shardlog.llm import additive, exact, hosts, language, licences, mixing, packing, quality, simhash
+from shardlog.llm import additive, exact, hosts, language, licences, mixing, oracles, packing, pages, quality, simhash
 from shardlog.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(table(spark, sf_dir, "documents"), licences.known_digests(spark))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extracted(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.Duplicates(table(spark, sf_dir, "documents")).report()
 
@@ -70,6 +74,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-_ALL = (op1_mixing, op2_packing, op3_license_scan, op5_exact_dedup, op6_simhash, op7_quality_rules, op8_url_filter, op9_language, op10_quality_classifier, pipeline)
+_ALL = (
+    op1_mixing, op2_packing, op3_license_scan, op4_html_extraction, op5_exact_dedup, op6_simhash, op7_quality_rules,
+    op8_url_filter, op9_language, op10_quality_classifier, pipeline,
+)
 QUERIES = {f.__name__: f for f in _ALL}
-ORACLES = {}
+ORACLES = {
+    "op3_license_scan": oracles.license_scan(),
+    "op5_exact_dedup": oracles.exact_dedup(),
+    "op7_quality_rules": oracles.quality_rules(),
+    "op8_url_filter": oracles.url_filter(RULES),
+}
