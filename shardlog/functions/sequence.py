@@ -14,6 +14,17 @@ def sequence_key() -> Column:
     return F.struct("sequence_len", "sequence_number")
 
 
+def is_numbered() -> Column:
+    """Whether a record has a sequence number; null and empty are none."""
+    return F.coalesce(F.col("sequence_number") != "", F.lit(False))
+
+
+def number_key() -> Column:
+    """``sequence_key`` from the number alone, for rows whose length is missing."""
+    number = F.col("sequence_number")
+    return F.struct(F.length(number).alias("len"), number.alias("number"))
+
+
 def after(length: Column | int, number: Column | str) -> Column:
     return (F.col("sequence_len") > length) | (
         (F.col("sequence_len") == length) & (F.col("sequence_number") > number)

@@ -1,46 +1,33 @@
 """Remember the last record per shard, continue from it, remove what comes twice."""
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardlog.functions.sequence import sequence_key
-from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
+from shardlog.functions.sequence import is_numbered, number_key
 from shardlog.operators.positions import read_from_positions
 from shardlog.schema import AFTER_SEQUENCE_NUMBER, AT_SEQUENCE_NUMBER, SHARD_KEYS
 from shardlog.workdir import materialised
 
 
 def checkpoint(records: DataFrame) -> DataFrame:
-    """Last sequence number per shard; empty numbers are ignored.
-
-    Alone, a maximum of strings sorts every task's input by group first.  Next to
-    a collect_set Spark hashes instead, twice as fast as measured.  The set holds
-    the few distinct lengths, and the filter on it is always true.
-    """
+    """Last sequence number per shard; records without one are ignored."""
     return (
-        records.where(F.col("sequence_number") != "")
+        records.where(is_numbered())
         .groupBy(*SHARD_KEYS)
-        .agg(F.max(sequence_key()).alias("last"), F.collect_set("sequence_len").alias("lengths"))
-        .where(F.array_contains("lengths", F.col("last.sequence_len")))
-        .select(*SHARD_KEYS, "last.sequence_number", "last.sequence_len")
+        .agg(F.max(number_key()).alias("last"))
+        .select(*SHARD_KEYS, F.col("last.number").alias("sequence_number"), F.col("last.len").alias("sequence_len"))
     )
 
 
 def progress(records: DataFrame) -> DataFrame:
     """Messages read and last sequence number per shard, in one pass."""
-    numbered = F.when(F.col("sequence_number") != "", sequence_key())
     return (
         records.groupBy(*SHARD_KEYS)
         .agg(
             F.count(F.lit(1)).alias("n_messages"),
-            F.max(numbered).alias("last"),
-            F.collect_set(F.coalesce("sequence_len", F.lit(0))).alias("lengths"),
+            F.max(F.when(is_numbered(), number_key())).alias("last"),
         )
-        .where(F.size("lengths") > 0)
-        .select(*SHARD_KEYS, "n_messages", F.col("last.sequence_number").alias("checkpoint"))
+        .select(*SHARD_KEYS, "n_messages", F.col("last.number").alias("checkpoint"))
     )
 
 
@@ -72,52 +59,39 @@ def resume(
     positions: DataFrame,
     saved: DataFrame,
     inclusive: bool = True,
-    **options,
 ) -> DataFrame:
     """Read on after a stop; see ``resume_positions`` and ``read_from_positions``."""
-    return read_from_positions(records, resume_positions(positions, saved, inclusive), **options)
+    return read_from_positions(records, resume_positions(positions, saved, inclusive))
 
 
 IDENTITY = [*SHARD_KEYS, "sequence_number"]
 
 
-def _first_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop copies inside each Arrow batch; the payload is not looked at."""
-    for batch in batches:
-        rows = pa.table({c: batch.column(c) for c in IDENTITY})
-        rows = rows.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-        first = rows.group_by(IDENTITY).aggregate([("row", "min")])["row_min"]
-        yield batch.take(first.combine_chunks())
-
-
 def drop_replays(records: DataFrame, within: str | None = None) -> DataFrame:
     """Keep one copy of every (stream, shard, sequence number).
 
-    Every record must have a sequence number: those without one count as copies
-    of each other.  A table's copies are combined before the shuffle.  A stream's
-    are not by Spark, so copies are first dropped where they lie next to each
-    other: a record that comes again and again does not fill one task.
-
-    On a stream, the default remembers every number.  ``within`` bounds that
-    state by arrival time, and then records later than that bound may be lost.
+    Records without a number pass untouched: nothing tells whether they are
+    copies.  On a stream, the default remembers every number.  ``within`` bounds
+    that state by arrival time, and then records later than that bound may be lost.
     """
-    if records.isStreaming:
-        records = records.mapInArrow(_first_copies, records.schema)
+    numbered, rest = records.where(is_numbered()), records.where(~is_numbered())
     if within is None:
-        return records.dropDuplicates(IDENTITY)
-    return records.withWatermark("arrival_ts", within).dropDuplicatesWithinWatermark(IDENTITY)
+        return numbered.dropDuplicates(IDENTITY).unionByName(rest)
+    timed = numbered.withWatermark("arrival_ts", within)
+    return timed.dropDuplicatesWithinWatermark(IDENTITY).unionByName(rest)
 
 
-def drop_rare_replays(records: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+def drop_rare_replays(records: DataFrame) -> DataFrame:
     """``drop_replays`` for a large stored log in which few records come twice.
 
     ``drop_replays`` sorts and shuffles every payload.  Here only the identifying
-    columns are shuffled, to find what comes twice; those few numbers are saved,
-    and all other records pass without a shuffle.  The log is read three times,
-    so the input should be a stored table rather than a long computation.
+    columns are shuffled, to find what comes twice; those few numbers are stored
+    once, and where they are few enough to broadcast, all other records pass
+    without a shuffle.  The log is read three times, so the input should be a
+    stored table rather than a long computation.
     """
-    counted = records.groupBy(*IDENTITY).count()
+    counted = records.where(is_numbered()).groupBy(*IDENTITY).count()
     twice = materialised(counted.where(F.col("count") > 1).drop("count"), "replays")
-    once = lookup(records, twice, IDENTITY, "left_anti", max_bytes=max_bytes)
-    copies = lookup(records, twice, IDENTITY, "left_semi", max_bytes=max_bytes)
+    once = records.join(twice, IDENTITY, "left_anti")
+    copies = records.join(twice, IDENTITY, "left_semi")
     return once.unionByName(copies.dropDuplicates(IDENTITY))

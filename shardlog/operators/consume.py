@@ -3,9 +3,11 @@
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shardlog.operators.fetch import retrieve
 from shardlog.schema import SHARD_KEYS, require_concurrency
@@ -19,7 +21,7 @@ def for_each_message(
 ) -> DataFrame:
     """Call ``fn`` with each payload; it gets the value only, not the key.
 
-    A call that raises does not stop the others: its row has the text of the
+    A call that raises, or returns what is not of ``result_type``, does not stop the others: its row has the text of the
     exception in ``error_message`` and a null ``value``.  Without ``concurrency``
     the input's own partitions run in parallel; with it, records are dealt out
     evenly over that many tasks, whatever their shard.
@@ -35,9 +37,13 @@ def for_each_message(
         + [T.StructField("value", result_type), T.StructField("error_message", T.StringType())]
     )
 
+    kind = to_arrow_type(result_type)
+
     def call(payload):
         try:
-            return fn(payload), None
+            value = fn(payload)
+            pa.scalar(value, kind)  # a result of another type is an error of the call
+            return value, None
         except Exception as error:  # any failure of user code is data here
             return None, str(error) or type(error).__name__
 
@@ -83,15 +89,7 @@ def observe_messages(records: DataFrame, to: str | Observation = "progress") ->
     """Count records while they pass, without a pass of their own.
 
     Give an ``Observation`` for a batch, a name for a stream; a stream reports the
-    count of each micro-batch in its progress (``observed_counts``).
+    count of each micro-batch in its progress.  A total over all batches comes
+    from what ``listen`` stores (``streaming.listen.handled_counts``).
     """
     return records.observe(to, F.count(F.lit(1)).alias("n_messages"))
-
-
-def observed_counts(query, name: str = "progress") -> int:
-    """Messages counted by ``observe_messages`` over the query's recent progress."""
-    return sum(
-        progress["observedMetrics"][name]["n_messages"]
-        for progress in query.recentProgress
-        if progress["observedMetrics"].get(name)
-    )

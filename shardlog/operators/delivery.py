@@ -16,24 +16,28 @@ def reconcile(requests: DataFrame, heads: DataFrame, entries: DataFrame) -> Data
 
     ``answered``: the request has a response.  ``failed``: the response counts
     failures and the entry carries an error; entries are not looked at when the
-    failed count is zero or null.  Only entries with an error are joined, so the
-    usual case is a large sent table against a small failed one.
+    failed count is zero or null.  A response becomes one row that holds its few
+    errors by position (a request has a bounded number of entries), so the sent
+    payloads are shuffled once at most.
     """
-    answers = heads.select("request_id", F.coalesce("failed_count", F.lit(0)).alias("_failures"))
-    errors = entries.where(has_error()).select("request_id", "idx", "error_code", "error_message")
-    failed = (F.col("_failures") > 0) & has_error()
-    matched = (
-        requests.join(answers, "request_id", "left")
-        .join(errors, ["request_id", "idx"], "left")
-        .withColumn("answered", F.col("_failures").isNotNull())
-        .withColumn("failed", F.coalesce(failed, F.lit(False)))
+    errors = (
+        entries.where(has_error() & F.col("idx").isNotNull())
+        .groupBy("request_id", "idx")
+        .agg(F.first(F.struct("error_code", "error_message")).alias("error"))
+        .groupBy("request_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("idx", "error"))).alias("_errors"))
     )
+    failures = F.coalesce("failed_count", F.lit(0)).alias("_failures")
+    answers = heads.select("request_id", failures).join(errors, "request_id", "left")
+    matched = requests.join(answers, "request_id", "left")
+    error = F.element_at("_errors", F.col("idx"))
+    failed = F.coalesce((F.col("_failures") > 0) & error.isNotNull(), F.lit(False))
     return matched.select(
         *requests.columns,
-        "answered",
-        "failed",
+        F.col("_failures").isNotNull().alias("answered"),
+        failed.alias("failed"),
         *[
-            F.when(F.col("failed"), F.coalesce(c, F.lit(""))).alias(c)
+            F.when(failed, F.coalesce(error[c], F.lit(""))).alias(c)
             for c in ("error_code", "error_message")
         ],
     )
@@ -54,8 +58,9 @@ def retry_keyless(outcomes: DataFrame) -> DataFrame:
 
 
 def delivery_errors(outcomes: DataFrame) -> DataFrame:
-    """One error per failed entry, for ``error_counts``."""
-    return outcomes.where("failed").select("stream", "error_message")
+    """Every error of a delivery, for ``error_counts``: refused entries and sends that broke off."""
+    told = F.col("error_message").isNotNull()
+    return outcomes.where(told).select("stream", "error_message")
 
 
 def delivery_counts(outcomes: DataFrame) -> DataFrame:

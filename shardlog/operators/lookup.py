@@ -1,45 +1,15 @@
-"""Attach one-row-per-shard tables (positions, marks, offsets) to records."""
+"""Attach one-row-per-key tables (positions, marks, statuses) to records."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
+from shardlog.workdir import materialised
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Rough in-memory size of a table, from one distributed aggregate over it."""
-    width = F.lit(0)
-    for field in df.schema.fields:
-        column = F.col(field.name)
-        if isinstance(field.dataType, T.StructType):
-            column = F.to_json(column)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType, T.StructType)):
-            width = width + F.coalesce(F.octet_length(column), F.lit(0))
-        width = width + F.lit(16)
-    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
-
-
-def lookup(
-    records: DataFrame,
-    side: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    spread_by: list[str] | None = None,
-    max_bytes: int = MAX_BROADCAST_BYTES,
-) -> DataFrame:
+def lookup(records: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join records with a table that has at most one row per key.
 
-    The table is measured first.  Up to ``max_bytes`` it is broadcast, so records
-    are not shuffled.  Beyond that both sides are shuffled, and the rows of a key
-    are spread over several tasks by a salt taken from the ``spread_by`` columns,
-    with the table's row repeated once per salt: a key that holds a large share
-    of all records does not end in one task.
+    The table is stored first, so it is computed once and Spark knows its size: a
+    small one is broadcast and records stay where they are.  Otherwise both sides
+    are shuffled, and adaptive execution splits a key that holds a large share.
     """
-    if measured_bytes(side) <= max_bytes:
-        return records.join(F.broadcast(side), keys, how)
-    salt_from = [F.col(c) for c in (spread_by or records.columns)]
-    salted = records.withColumn("_salt", F.pmod(F.xxhash64(*salt_from), F.lit(SALTS)).cast("int"))
-    repeated = side.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
+    return records.join(materialised(side, "side"), keys, how)

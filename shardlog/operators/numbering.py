@@ -1,151 +1,74 @@
 """Exact row numbers per group that do not need a whole group in one task."""
 
-import json
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from shardlog.operators.lookup import lookup
 from shardlog.workdir import materialised
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 16_384
-# More samples than cuts, of which every eighth is used, make the ranges even.
-SAMPLES_PER_RANGE = 8
+POSITION_BITS = 33  # of monotonically_increasing_id, below the partition's number
 
 
-def _text_in_order(df: DataFrame, column: str) -> Column:
-    """A string that sorts like the column, nulls first."""
-    kind = df.schema[column].dataType
-    value = F.col(column)
-    if isinstance(kind, T.TimestampType):
-        value = F.unix_micros(value)
-    elif not isinstance(kind, (T.StringType, T.IntegralType)):
-        raise TypeError(f"cannot order by {column}: use text, integers or timestamps")
-    if not isinstance(kind, T.StringType):
-        # With the sign bit flipped, 16 hex digits sort like the number.
-        value = F.lpad(F.hex(value.cast("long").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
-    return F.coalesce(value, F.lit(""))
+def same(left: str, right: str, columns: list[str]) -> Column:
+    """Equality of columns of two aliased tables, null equal to null."""
+    pairs = [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+    return reduce(Column.__and__, pairs)
 
 
-def _range_of(
-    df: DataFrame, keys: list[str], order_by: list[str], rows_per_range: int, max_ranges: int
-) -> Column | None:
-    """Number of the key-order range a row falls in, or None when one range will do."""
-    total = df.count()
-    if total <= rows_per_range:
-        return None
-    ranges = min(max_ranges, math.ceil(total / rows_per_range))
-    place = F.concat_ws("\0", *[_text_in_order(df, c) for c in [*keys, *order_by]])
-    share = min(1.0, ranges * SAMPLES_PER_RANGE / total)
-    chosen = F.shiftrightunsigned(F.xxhash64(*keys, *order_by), 1) < F.lit(int(share * (2**63 - 1)))
-    sample = [row[0] for row in df.where(chosen).select(place).distinct().collect()]
-    sample.sort(key=lambda text: text.encode())
-    cuts = sample[SAMPLES_PER_RANGE - 1 :: SAMPLES_PER_RANGE]
-    cut_array = F.from_json(F.lit(json.dumps(cuts)), "array<string>")
-    steps = F.array(*[F.lit(2**k) for k in reversed(range(max(1, len(cuts).bit_length())))])
-    # Binary search for the number of cuts at or before the row.  The array of one
-    # element binds the row's place once instead of once per step; the coalesce
-    # tells joins that there are no nulls to filter, which would search again.
-    found = F.transform(
-        F.array(place),
-        lambda at: F.aggregate(
-            steps,
-            F.lit(0),
-            lambda found, step: F.when(
-                F.get(cut_array, found + step - 1) <= at, found + step
-            ).otherwise(found),
-        ),
-    )[0]
-    return F.coalesce(found, F.lit(0))
+class Numbering:
+    """The rows of a table in order, and where each group lies among the tasks that sorted it.
 
+    Spark range-partitions by group, order and input position, so equal rows are
+    split like any others, and a group that holds a third of the table is sorted
+    by many tasks.  The sorted rows are written once; their running ids and the
+    counts per group and partition give every row its number.
+    """
 
-def _sizes(tagged: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows in every range of a group, and in the ranges before it."""
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy("_range")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    counts = tagged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
-
-
-def number_whole_groups(
-    df: DataFrame, keys: list[str], order_by: list[str], name: str
-) -> DataFrame:
-    """Number the rows of groups that are known to be small."""
-    group = Window.partitionBy(*keys).orderBy(*order_by)
-    return df.withColumn(name, F.row_number().over(group).cast("long") - F.lit(1))
+    def __init__(self, df: DataFrame, keys: list[str], order_by: list[str]):
+        self.columns, self.keys = df.columns, keys
+        order = [*keys, *order_by, "_tie"]
+        placed = (
+            df.withColumn("_tie", F.monotonically_increasing_id())
+            .repartitionByRange(*order)
+            .sortWithinPartitions(*order)
+            .drop("_tie")
+            .withColumn("_id", F.monotonically_increasing_id())
+        )
+        self._rows = materialised(placed, "sorted").withColumn("_part", F.shiftright("_id", POSITION_BITS))
+        counts = self._rows.groupBy(*keys, "_part").agg(
+            F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least")
+        )
+        self._counts = materialised(counts, "ranges")
+
+    def sizes(self) -> DataFrame:
+        """``_rows``, the number of rows of each group."""
+        return self._counts.groupBy(*self.keys).agg(F.sum("_rows").alias("_rows"))
+
+    def rows(self, name: str, per_group: DataFrame | None = None) -> DataFrame:
+        """All rows with their number, and with the columns that ``per_group`` has for each group."""
+        earlier = (
+            Window.partitionBy(*self.keys)
+            .orderBy("_part")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+        places = self._counts.select(*self.keys, "_part", (before - F.col("_least")).alias("_offset"))
+        more = []
+        if per_group is not None:
+            more = [c for c in per_group.columns if c not in self.keys]
+            places = places.alias("p").join(per_group.alias("g"), same("p", "g", self.keys)).select("p.*", *more)
+        where = same("r", "p", [*self.keys, "_part"])
+        number = (F.col("r._id") + F.col("p._offset")).alias(name)
+        joined = self._rows.alias("r").join(materialised(places, "places").alias("p"), where)
+        return joined.select(*[f"r.{c}" for c in self.columns], number, *[f"p.{c}" for c in more])
 
 
 def number_rows(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    name: str = "row_no",
-    rows_per_range: int = ROWS_PER_RANGE,
-    max_ranges: int = MAX_RANGES,
+    df: DataFrame, keys: list[str], order_by: list[str], name: str = "row_no"
 ) -> DataFrame:
     """Number the rows of each group from 0, ascending by ``order_by``.
 
-    A plain window sorts a whole group in one task, which a shard holding a third
-    of the log cannot afford.  When the table is larger than ``rows_per_range``,
-    the key order is cut into ranges of about that many rows.  Rows are numbered
-    inside their range, and the counts of the earlier ranges of the group are
-    added.  The payload is shuffled once; the count, sample and range-count passes
-    read only key columns.
-
-    Cut points are taken from rows chosen by a hash of their own key, at most
-    ``8 * max_ranges`` or so.  They are literals of the plan, so every task cuts at
-    the same places, and they only decide which task numbers a row, never the
-    number itself.  Group keys must not be null, ``order_by`` should identify a row
-    within its group, and its text columns must not contain NUL characters, unless
-    the last one.
-    """
-    range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
-    if range_no is None:
-        return number_whole_groups(df, keys, order_by, name)
-    tagged = df.withColumn("_range", range_no)
-    # Number first: the join then reuses the window's partitioning and sort.
-    within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
-    numbered = tagged.withColumn("_within", F.row_number().over(within))
-    return (
-        numbered.join(_sizes(tagged, keys), [*keys, "_range"], "left")
-        .withColumn(name, F.col("_before") + F.col("_within") - F.lit(1))
-        .select(*df.columns, name)
-    )
-
-
-def rows_numbered(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    first: int,
-    last: int,
-    name: str = "row_no",
-    rows_per_range: int = ROWS_PER_RANGE,
-    max_ranges: int = MAX_RANGES,
-) -> DataFrame:
-    """Only the rows of each group that ``number_rows`` gives a number in first..last.
-
-    Ranges that hold none of them are left out by their counts, so of a large
-    table only a few ranges per group are shuffled and sorted.
+    Group keys may be null; rows equal in ``order_by`` are numbered in some order.
     """
-    wanted = F.col(name).between(first, last)
-    range_no = _range_of(df, keys, order_by, rows_per_range, max_ranges)
-    if range_no is None:
-        return number_whole_groups(df, keys, order_by, name).where(wanted)
-    tagged = df.withColumn("_range", range_no)
-    holding = _sizes(tagged, keys).where(
-        (F.col("_before") <= last) & (F.col("_before") + F.col("_rows") > first)
-    )
-    within = Window.partitionBy(*keys, "_range").orderBy(*order_by)
-    return (
-        lookup(tagged, materialised(holding, "ranges"), [*keys, "_range"], spread_by=order_by)
-        .withColumn(name, F.col("_before") + F.row_number().over(within) - F.lit(1))
-        .where(wanted)
-        .select(*df.columns, name)
-    )
+    return Numbering(df, keys, order_by).rows(name)

@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardlog.functions.sequence import after, at_or_after
-from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
 from shardlog.schema import (
     AFTER_SEQUENCE_NUMBER,
     AT_SEQUENCE_NUMBER,
@@ -20,9 +19,6 @@ from shardlog.schema import (
 from shardlog.sources.log import scan
 from shardlog.workdir import materialised
 
-# Up to this many positions become literal predicates, which reach the scan.
-INLINE_POSITIONS = 32
-
 
 def from_trim_horizon(records: DataFrame) -> DataFrame:
     """Start at the oldest record: everything is read."""
@@ -44,7 +40,7 @@ def from_timestamp(records: DataFrame, start: datetime | Column) -> DataFrame:
     return records.where(F.col("arrival_ts") >= start)
 
 
-def from_latest(records: DataFrame, marks: DataFrame, **options) -> DataFrame:
+def from_latest(records: DataFrame, marks: DataFrame) -> DataFrame:
     """Records behind the frozen high-water marks; shards without a mark pass whole."""
     positions = marks.select(
         *SHARD_KEYS,
@@ -52,7 +48,7 @@ def from_latest(records: DataFrame, marks: DataFrame, **options) -> DataFrame:
         "sequence_number",
         F.lit(None).cast("timestamp").alias("at_ts"),
     )
-    return read_from_positions(records, positions, keep_unlisted=True, **options)
+    return read_from_positions(records, positions, keep_unlisted=True)
 
 
 def resolve_latest(positions: DataFrame, marks: DataFrame) -> DataFrame:
@@ -93,48 +89,59 @@ def start_at(
     raise ValueError(f"cannot start at position {name} with what is given")
 
 
-def _literal_rule(row) -> Column:
-    if row.position == TRIM_HORIZON:
-        return F.lit(True)
-    number = row.sequence_number
-    if row.position == AT_SEQUENCE_NUMBER and number:
-        return at_or_after(len(number), number)
-    if row.position == AFTER_SEQUENCE_NUMBER and number:
-        return after(len(number), number)
-    if row.position == AT_TIMESTAMP and row.at_micros is not None:
-        return F.col("arrival_ts") >= F.timestamp_micros(F.lit(row.at_micros))
-    raise ValueError(f"cannot start at position {row.position} with what is given")
-
-
-def _few(positions: DataFrame, at_most: int) -> list | None:
-    """The positions as rows on the driver, or None when there are more."""
-    few = positions.withColumn("at_micros", F.unix_micros("at_ts")).drop("at_ts")
-    rows = few.limit(at_most + 1).collect()
-    return rows if len(rows) <= at_most else None
-
+def _rule() -> Column:
+    position, start, start_len = F.col("_position"), F.col("_start"), F.length("_start")
+    return (
+        F.when(position == TRIM_HORIZON, F.lit(True))
+        .when(position == AT_SEQUENCE_NUMBER, at_or_after(start_len, start))
+        .when(position == AFTER_SEQUENCE_NUMBER, after(start_len, start))
+        .when(position == AT_TIMESTAMP, F.col("arrival_ts") >= F.col("_at_ts"))
+    )
 
-def _shard(row) -> Column:
-    return (F.col("stream") == row.stream) & (F.col("shard_id") == row.shard_id)
 
+def _stored(positions: DataFrame) -> DataFrame:
+    """The positions written once, after which looking at them costs little; checked."""
+    side = materialised(
+        positions.select(
+            *SHARD_KEYS,
+            F.col("position").alias("_position"),
+            F.col("sequence_number").alias("_start"),
+            F.col("at_ts").alias("_at_ts"),
+        ),
+        "positions",
+    )
+    numbered = F.col("_position").isin(AT_SEQUENCE_NUMBER, AFTER_SEQUENCE_NUMBER)
+    usable = (
+        (F.col("_position") == TRIM_HORIZON)
+        | (numbered & (F.length("_start") > 0))
+        | ((F.col("_position") == AT_TIMESTAMP) & F.col("_at_ts").isNotNull())
+    )
+    bad = side.where(~F.coalesce(usable, F.lit(False))).first()
+    if bad is not None:
+        raise ValueError(f"cannot start at position {bad['_position']} with what is given")
+    if not side.groupBy(*SHARD_KEYS).count().where("count > 1").isEmpty():
+        raise ValueError("cannot start a shard at more than one position")
+    return side
 
-def _any(conditions) -> Column:
-    return reduce(Column.__or__, conditions, F.lit(False))
 
+def _bounds(side: DataFrame) -> dict[str, Column]:
+    """For each kind of position that occurs, what all of its records fulfil.
 
-def _joined_rule() -> Column:
-    position, start, start_len = F.col("_position"), F.col("_start"), F.length("_start")
-    numbered = start_len > 0
-    problem = F.concat(F.lit("cannot start at position "), position, F.lit(" with what is given"))
-    return (
-        F.when(position == TRIM_HORIZON, F.lit(True))
-        .when((position == AT_SEQUENCE_NUMBER) & numbered, at_or_after(start_len, start))
-        .when((position == AFTER_SEQUENCE_NUMBER) & numbered, after(start_len, start))
-        .when(
-            (position == AT_TIMESTAMP) & F.col("_at_ts").isNotNull(),
-            F.col("arrival_ts") >= F.col("_at_ts"),
-        )
-        .otherwise(F.raise_error(problem))
+    The least start of a kind is a literal, so it reaches the Parquet filters.
+    """
+    number = F.struct(F.length("_start").alias("len"), F.col("_start").alias("number"))
+    kinds = side.groupBy("_position").agg(
+        F.min(number).alias("least"), F.min(F.unix_micros("_at_ts")).alias("micros")
     )
+    bounds = {}
+    for row in kinds.collect():  # one row a kind
+        if row["_position"] == TRIM_HORIZON:
+            bounds[row["_position"]] = F.lit(True)
+        elif row["_position"] == AT_TIMESTAMP:
+            bounds[row["_position"]] = F.col("arrival_ts") >= F.timestamp_micros(F.lit(row["micros"]))
+        else:
+            bounds[row["_position"]] = at_or_after(row["least"]["len"], row["least"]["number"])
+    return bounds
 
 
 def read_from_positions(
@@ -142,44 +149,20 @@ def read_from_positions(
     positions: DataFrame,
     marks: DataFrame | None = None,
     keep_unlisted: bool = False,
-    inline_positions: int = INLINE_POSITIONS,
-    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Read every shard from its own start position; at most one position per shard.
 
     Shards that are not in ``positions`` are not read, unless ``keep_unlisted``.
-    A few positions are turned into literal predicates: the shard part prunes
-    partitions and the sequence and time parts reach the Parquet filters.  More
-    positions are joined by shard (see ``lookup``).
+    Positions are joined by shard; what all of them have in common is pushed down.
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
-
-    rows = _few(positions, inline_positions)
-    if rows is not None:
-        wanted = [_shard(row) & _literal_rule(row) for row in rows]
-        if keep_unlisted:
-            wanted.append(~_any(_shard(row) for row in rows))
-        return records.where(_any(wanted))
-
-    side = positions.select(
-        *SHARD_KEYS,
-        F.col("position").alias("_position"),
-        F.col("sequence_number").alias("_start"),
-        F.col("at_ts").alias("_at_ts"),
-    )
-    joined = lookup(
-        records,
-        materialised(side, "positions"),
-        SHARD_KEYS,
-        how="left" if keep_unlisted else "inner",
-        spread_by=["sequence_number"],
-        max_bytes=max_bytes,
-    )
-    rule = _joined_rule()
+    side = _stored(positions)
     if keep_unlisted:
-        rule = F.col("_position").isNull() | rule
-    return joined.where(rule).select(*records.columns)
+        joined = records.join(side, SHARD_KEYS, "left")
+        return joined.where(F.col("_position").isNull() | _rule()).select(*records.columns)
+    bound = reduce(Column.__or__, _bounds(side).values(), F.lit(False))
+    return records.where(bound).join(side, SHARD_KEYS).where(_rule()).select(*records.columns)
 
 
 def read_log_from_positions(
@@ -187,24 +170,22 @@ def read_log_from_positions(
     path: str,
     positions: DataFrame,
     marks: DataFrame | None = None,
-    inline_positions: int = INLINE_POSITIONS,
 ) -> DataFrame:
     """``read_from_positions`` on a stored log, which is partitioned by shard.
 
-    In one predicate over all shards a single TRIM_HORIZON shard would keep the
-    sequence bounds of the others from the Parquet filters.  So the shards of each
-    kind of position get a scan of their own, over their own partitions.
+    Each kind of position has a scan of its own, so that a shard read from its
+    start does not keep the bounds of the others from the Parquet filters.  The
+    filter on the kind makes Spark prune the partitions to the kind's shards when
+    the query runs, however many there are.
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
-    records = scan(spark, path)
-    rows = _few(positions, inline_positions)
-    if rows is None:
-        # Every file belongs to one shard, so a listed shard prunes at run time.
-        return read_from_positions(records, positions, inline_positions=0)
-    kinds = sorted({row.position for row in rows})
+    records, side = scan(spark, path), _stored(positions)
     parts = [
-        records.where(_any(_shard(row) & _literal_rule(row) for row in rows if row.position == kind))
-        for kind in kinds
+        records.where(bound)
+        .join(side.where(F.col("_position") == kind), SHARD_KEYS)
+        .where(_rule())
+        .select(*records.columns)
+        for kind, bound in sorted(_bounds(side).items())
     ]
     return reduce(DataFrame.unionByName, parts, records.where(F.lit(False)))

@@ -3,13 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardlog.operators.lookup import lookup
-from shardlog.operators.numbering import (
-    ROWS_PER_RANGE,
-    number_rows,
-    number_whole_groups,
-    rows_numbered,
-)
+from shardlog.operators.numbering import Numbering, number_rows
 from shardlog.schema import (
     BUFFER_PER_WORKER,
     ERR_DROPPED,
@@ -18,52 +12,21 @@ from shardlog.schema import (
     SHARD_KEYS,
     require_concurrency,
 )
-from shardlog.workdir import materialised
 
 
 def admit(
-    offers: DataFrame,
-    concurrency: int,
-    order_by: list[str] | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    offers: DataFrame, concurrency: int, order_by: list[str] | None = None
 ) -> DataFrame:
     """Keep the first ``concurrency * 1000`` offers per shard, mark the rest as dropped.
 
     No row is removed: ``accepted`` tells the two apart and ``reason`` says why
-    not.  On a stream use it per micro-batch; the capacity is then per batch.
-
-    A small table is numbered as it is.  Of a large one only order columns are
-    shuffled, to find the last offer that fits each shard; the offers themselves
-    are compared with it where they are.  When equal offers lie on both sides of
-    that cut, all rows are numbered instead, so that exactly the capacity is kept.
+    not.  On a stream use it per micro-batch; the capacity is then per batch.  Of
+    equal offers at the edge as many are kept as fit.
     """
     require_concurrency(concurrency)
-    order_by = order_by or SEQUENCE_ORDER
-    capacity = concurrency * BUFFER_PER_WORKER
-    numbered = F.col("_row") < capacity
-    if offers.count() <= rows_per_range:
-        marked, accepted = number_whole_groups(offers, SHARD_KEYS, order_by, "_row"), numbered
-    else:
-        place = F.struct(*order_by)
-        edge = rows_numbered(
-            offers.select(*SHARD_KEYS, *order_by),
-            SHARD_KEYS,
-            order_by,
-            capacity - 1,
-            capacity,
-            "_row",
-            rows_per_range,
-        )
-        edge = materialised(edge.select(*SHARD_KEYS, "_row", place.alias("_last")), "admit")
-        tied = edge.groupBy(*SHARD_KEYS, "_last").count().where(F.col("count") > 1)
-        if tied.isEmpty():
-            last = edge.where(F.col("_row") == capacity - 1).drop("_row")
-            marked = lookup(offers, last, SHARD_KEYS, "left", spread_by=order_by)
-            accepted = F.col("_last").isNull() | (place <= F.col("_last"))
-        else:
-            marked = number_rows(offers, SHARD_KEYS, order_by, "_row", rows_per_range)
-            accepted = numbered
-    return marked.select(
+    numbered = number_rows(offers, SHARD_KEYS, order_by or SEQUENCE_ORDER, "_row")
+    accepted = F.col("_row") < concurrency * BUFFER_PER_WORKER
+    return numbered.select(
         *offers.columns,
         accepted.alias("accepted"),
         F.when(~accepted, F.lit(ERR_DROPPED)).alias("reason"),
@@ -74,7 +37,6 @@ def put_shape(
     records: DataFrame,
     per_request: int = MAX_REQUEST_RECORDS,
     order_by: list[str] | None = None,
-    **options,
 ) -> DataFrame:
     """Shape records as put requests of at most ``per_request`` entries.
 
@@ -82,18 +44,14 @@ def put_shape(
     one); everything else is dropped.  Requests do not mix shards, and their ids
     are unique over all shards: each shard's ids follow those of the shards before it.
     """
-    order_by = order_by or SEQUENCE_ORDER
-    numbered = number_rows(records, SHARD_KEYS, order_by, "_row", **options)
-    requests_of = F.ceil(F.count(F.lit(1)) / per_request)
+    numbering = Numbering(records, SHARD_KEYS, order_by or SEQUENCE_ORDER)
     before = Window.orderBy(*SHARD_KEYS).rowsBetween(Window.unboundedPreceding, -1)
     # One row per shard, so the ordered running sum is over a small table.
-    first_ids = (
-        records.groupBy(*SHARD_KEYS)
-        .agg(requests_of.alias("_requests"))
-        .select(*SHARD_KEYS, F.coalesce(F.sum("_requests").over(before), F.lit(0)).alias("_first"))
+    first_ids = numbering.sizes().select(
+        *SHARD_KEYS,
+        F.coalesce(F.sum(F.ceil(F.col("_rows") / per_request)).over(before), F.lit(0)).alias("_first"),
     )
-    shaped = lookup(numbered, first_ids, SHARD_KEYS, spread_by=["_row"])
-    return shaped.select(
+    return numbering.rows("_row", first_ids).select(
         "stream",
         (F.col("_first") + F.floor(F.col("_row") / per_request)).alias("request_id"),
         (F.col("_row") % per_request).cast("int").alias("idx"),

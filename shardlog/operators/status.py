@@ -3,23 +3,40 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardlog.operators.lookup import MAX_BROADCAST_BYTES, lookup
-from shardlog.schema import ACTIVE, ERR_NIL_STATUS, ERR_NOT_ACTIVE
+from shardlog.operators.lookup import lookup
+from shardlog.schema import ACTIVE, ERR_NIL_STATUS, ERR_NOT_ACTIVE, ERR_UNKNOWN_STREAM
 
 
-def active_only(
-    records: DataFrame, streams: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES
-) -> DataFrame:
+def active_only(records: DataFrame, streams: DataFrame) -> DataFrame:
     """Records of active streams; a stream without a known status is not active."""
     active = streams.where(F.col("status") == ACTIVE).select("stream").distinct()
-    return lookup(records, active, ["stream"], how="left_semi", max_bytes=max_bytes)
+    return lookup(records, active, ["stream"], how="left_semi")
 
 
 def rejected_streams(streams: DataFrame) -> DataFrame:
-    """Streams that may not be used, and why."""
+    """Listed streams that may not be used, and why."""
     return streams.where(~F.col("status").eqNullSafe(ACTIVE)).select(
         "stream",
         F.when(F.col("status").isNull(), F.lit(ERR_NIL_STATUS))
         .otherwise(F.lit(ERR_NOT_ACTIVE))
         .alias("reason"),
     )
+
+
+def rejected(records: DataFrame, streams: DataFrame) -> DataFrame:
+    """All records that ``active_only`` leaves out, each with the ``reason``.
+
+    Streams that are not listed are refused too.
+    """
+    listed = streams.groupBy("stream").agg(
+        F.bool_or(F.col("status").eqNullSafe(ACTIVE)).alias("_active"),
+        F.count("status").alias("_statuses"),
+    )
+    reason = (
+        F.when(F.col("_statuses").isNull(), F.lit(ERR_UNKNOWN_STREAM))
+        .when(F.col("_statuses") == 0, F.lit(ERR_NIL_STATUS))
+        .otherwise(F.lit(ERR_NOT_ACTIVE))
+    )
+    known = lookup(records, listed, ["stream"], how="left")
+    refused = known.where(~F.coalesce("_active", F.lit(False)))
+    return refused.select(*records.columns, reason.alias("reason"))

@@ -17,6 +17,15 @@ def admit(spark, sf):
     return offered.select(*SHARD_KEYS, "sequence_number", "accepted", "reason")
 
 
+def admit_by_hour(spark, sf):
+    """Offers are ordered by the hour alone, so most of them tie; how many fit is exact."""
+    records = tables.event_records(spark, sf)
+    offers = records.withColumn("hour", F.date_trunc("hour", "arrival_ts"))
+    marked = produce.admit(offers, concurrency=2, order_by=["hour"])
+    counts = marked.groupBy(*SHARD_KEYS, "hour").agg(F.count_if("accepted").alias("n_accepted"), F.count(F.lit(1)).alias("n_offers"))
+    return counts.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
 def put_shape(spark, sf):
     shaped = produce.put_shape(tables.event_records(spark, sf), 500)
     return shaped.select(
@@ -111,6 +120,7 @@ def oversized_calls(spark, sf):
 
 QUERIES = {
     "admit": admit,
+    "admit_by_hour": admit_by_hour,
     "put_shape": put_shape,
     "reconcile": reconcile,
     "retry_set": retry_set,
@@ -162,6 +172,9 @@ WITH src AS (SELECT source AS stream, 'shardId-' || lpad(CAST(doc_id % 4 AS VARC
 """
 
 ORACLES = {
+    "admit_by_hour": f"""{REC}, h AS (SELECT stream, shard_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM rec GROUP BY ALL),
+  b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY shard_id ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h)
+SELECT stream, shard_id, hour, CAST(least(n, greatest(2000 - before, 0)) AS BIGINT) AS n_accepted, n AS n_offers FROM b""",
     "admit": f"""{REC}, o AS (
   SELECT *, row_number() OVER (PARTITION BY shard_id ORDER BY event_id) AS rn FROM rec)
 SELECT stream, shard_id, sequence_number, rn <= 2000 AS accepted,

@@ -122,13 +122,10 @@ def active_only(spark, sf):
 
 
 def rejected_streams(spark, sf):
-    counts = consume.message_counts(tables.typed_records(spark, sf))
-    rejected = status.rejected_streams(tables.streams(spark))
-    return (
-        counts.join(rejected, "stream")
-        .groupBy("stream", "reason")
-        .agg(F.sum("n_messages").alias("n_messages"))
-    )
+    """One event type is missing from the status table."""
+    listed = tables.streams(spark).where("stream <> 'view'")
+    refused = status.rejected(tables.typed_records(spark, sf), listed)
+    return refused.groupBy("stream", "reason").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 def code_names(spark, sf):
@@ -193,6 +190,48 @@ def drop_rare_replays_query(spark, sf):
     return shown(drop_rare_replays(replayed(tables.event_records(spark, sf), spark)))
 
 
+def user_records(spark, sf):
+    """One shard per user."""
+    shard = F.concat(F.lit("user "), "partition_key").alias("shard_id")
+    records = tables.event_records(spark, sf)
+    return records.select("stream", shard, *[c for c in records.columns if c not in SHARD_KEYS])
+
+
+def user_positions(records):
+    """Every user is read from the number after 40 times the user's own."""
+    number = (40 * F.col("partition_key").cast("long")).cast("string")
+    return records.select(
+        *SHARD_KEYS,
+        F.lit("AFTER_SEQUENCE_NUMBER").alias("position"),
+        number.alias("sequence_number"),
+        F.lit(None).cast("timestamp").alias("at_ts"),
+    ).distinct()
+
+
+def log_positions_per_user(spark, sf):
+    """As many shards as users, from a stored log."""
+    records, path = user_records(spark, sf), work_dir(spark, "log")
+    append_sync(records, path)
+    return shown(positions.read_log_from_positions(spark, path, user_positions(records)))
+
+
+def resume_per_user(spark, sf):
+    records = user_records(spark, sf)
+    saved = checkpoint(before(records, CUT).where(F.col("partition_key").cast("long") % 3 != 0))
+    return shown(resume(records, user_positions(records), saved, inclusive=False))
+
+
+def retrieve_unnumbered(spark, sf):
+    """Some events have no number, some an empty one, and none a length; errors come in between."""
+    records = tables.event_records(spark, sf)
+    kind = F.col("sequence_number").cast("long") % 5
+    number = F.when(kind == 1, F.lit("")).when(kind != 0, F.col("sequence_number"))
+    odd = records.withColumn("sequence_number", number).withColumn("sequence_len", F.lit(None).cast("int"))
+    failed = records.where("sequence_number % 7 = 3").withColumn("error_message", F.lit("cannot read"))
+    found = fetch.retrieve_or_error(odd, failed)
+    return found.select(*SHARD_KEYS, "sequence_number", "error_message")
+
+
 def retrieve_next(spark, sf):
     records = tables.event_records(spark, sf)
     left = positions.read_from_positions(records, tables.positions(spark))
@@ -253,6 +292,9 @@ QUERIES = {
     "drop_replays": drop_replays_query,
     "drop_rare_replays": drop_rare_replays_query,
     "retrieve_next": retrieve_next,
+    "retrieve_unnumbered": retrieve_unnumbered,
+    "log_positions_per_user": log_positions_per_user,
+    "resume_per_user": resume_per_user,
     "retrieve_fn": retrieve_fn,
     "message_counts": message_counts,
     "map_payload": map_payload,
@@ -299,11 +341,12 @@ WHERE event_type = 'purchase' AND shard_id IN ('shardId-000000000001', 'shardId-
     "active_only": f"""{REC}, st AS ({STATUSES})
 SELECT event_type AS stream, shard_id, sequence_number, partition_key, payload
 FROM rec JOIN st ON event_type = st.stream WHERE status = 'ACTIVE'""",
-    "rejected_streams": f"""{REC}, st AS ({STATUSES})
-SELECT st.stream AS stream,
-  CASE WHEN status IS NULL THEN 'Nil stream status' ELSE 'The Stream is not yet active' END AS reason,
+    "rejected_streams": f"""{REC}, st AS (SELECT * FROM ({STATUSES}) WHERE stream <> 'view')
+SELECT event_type AS stream,
+  CASE WHEN st.stream IS NULL THEN 'The Stream is not known' WHEN status IS NULL THEN 'Nil stream status'
+    ELSE 'The Stream is not yet active' END AS reason,
   count(*) AS n_messages
-FROM rec JOIN st ON event_type = st.stream
+FROM rec LEFT JOIN st ON event_type = st.stream
 WHERE status IS NULL OR status <> 'ACTIVE' GROUP BY 1, 2""",
     "code_names": """
 SELECT user_id % 9 AS code, count(*) AS n_events,
@@ -328,6 +371,17 @@ FROM rec GROUP BY stream, shard_id""",
     "drop_replays": REPLAYS_SQL,
     "drop_rare_replays": REPLAYS_SQL,
     "log_positions": f"{READ} SELECT {SHOWN} FROM red",
+    "retrieve_unnumbered": f"""{REC}, offered AS (
+  SELECT stream, shard_id, event_id, CAST(NULL AS VARCHAR) AS error_message, 1 AS rank FROM rec WHERE event_id % 5 > 1
+  UNION ALL SELECT stream, shard_id, event_id, 'cannot read', 0 FROM rec WHERE event_id % 7 = 3)
+SELECT stream, shard_id, CAST(event_id AS VARCHAR) AS sequence_number, error_message FROM offered
+QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id, rank) = 1""",
+    "log_positions_per_user": f"""{REC}
+SELECT stream, 'user ' || user_id AS shard_id, sequence_number, partition_key, payload FROM rec WHERE event_id > 40 * user_id""",
+    "resume_per_user": f"""{REC}, saved AS (
+  SELECT user_id, max(event_id) AS m FROM rec WHERE ts < TIMESTAMP '{CUT}' AND user_id % 3 <> 0 GROUP BY user_id)
+SELECT stream, 'user ' || user_id AS shard_id, sequence_number, partition_key, payload
+FROM rec LEFT JOIN saved USING (user_id) WHERE event_id > coalesce(m, 40 * user_id)""",
     "retrieve_next": f"""{READ}
 SELECT {SHOWN} FROM red JOIN (SELECT shard_id, min(event_id) AS event_id FROM red GROUP BY shard_id)
 USING (shard_id, event_id)""",

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.message import value_text
 from shardlog.operators.checkpoint import drop_replays
-from shardlog.operators.consume import split_errors
+from shardlog.operators.consume import error_counts, split_errors
+from shardlog.operators.delivery import delivery_errors
 from shardlog.plans import tables
 from shardlog.plans.delivery import HOUR
 from shardlog.plans.delivery import ORACLES as DELIVERY_SQL
@@ -38,6 +39,17 @@ def stream_append(spark, sf):
     return shown(log.scan(spark, f"{base}/log"))
 
 
+def stream_append_two_writers(spark, sf):
+    """Two streams and one batch append to one log; every event is there once."""
+    base = work_dir(spark, "writers")
+    events = tables.event_stream(spark, sf)
+    third = F.col("sequence_number").cast("long") % 3
+    for part in (0, 1):
+        sinks.append_sync(events.where(third == part), f"{base}/log", f"{base}/ck-{part}")
+    log.append_sync(tables.event_records(spark, sf).where(third == 2), f"{base}/log")
+    return shown(log.scan(spark, f"{base}/log"))
+
+
 def stream_scan(spark, sf):
     """Read a stored log in several micro-batches and append it to another one."""
     base = work_dir(spark, "scan")
@@ -103,6 +115,44 @@ def stream_deliver(spark, sf):
     )
 
 
+def break_off_by_k(request, attempt):
+    """A sender that breaks off at some first attempts and gives no answer at some second ones."""
+    k = json.loads(request[0][1])["k"]
+    if attempt == 1 and k == 7:
+        raise ConnectionError("reset by peer")
+    if k == 7 and attempt == 2:
+        return None
+    return 0, [(None, None)] * len(request)
+
+
+def stream_deliver_two_writers(spark, sf):
+    """Two streams deliver into one place until all is delivered, in requests of one record."""
+    base = work_dir(spark, "deliver-all")
+    events = tables.event_stream(spark, sf)
+    for part in (0, 1):
+        deliver.deliver(
+            events.where(F.col("sequence_number").cast("long") % 2 == part),
+            break_off_by_k,
+            f"{base}/out",
+            f"{base}/ck-{part}",
+            trigger=DONE,
+            per_request=1,
+        ).awaitTermination()
+    sent = deliver.attempts(spark, f"{base}/out")
+    errors = error_counts(delivery_errors(sent)).select("stream", "error_message", "n_errors")
+    done = deliver.delivered(spark, f"{base}/out").groupBy("stream").agg(F.count(F.lit(1)).alias("n_errors"))
+    return errors.unionByName(done.withColumn("error_message", F.lit("none: delivered")))
+
+
+def stream_message_counts(spark, sf):
+    """Counts over more than a hundred micro-batches, one file in each."""
+    base = work_dir(spark, "counts")
+    log.append_sync(tables.event_records(spark, sf).repartition(110), f"{base}/source", partitions=110)
+    records = log.scan_stream(spark, f"{base}/source", max_files=1)
+    listen.listen(records, parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE).awaitTermination()
+    return listen.handled_counts(spark, f"{base}/out")
+
+
 def stream_listen(spark, sf):
     base = work_dir(spark, "listen")
     records = tables.event_stream(spark, sf)
@@ -131,6 +181,16 @@ def stream_deliver_payload(spark, sf):
     return spark.read.text(f"{base}/out").select(F.col("value").alias("payload"))
 
 
+def stream_deliver_bytes(spark, sf):
+    """Payloads with a terminator, kept as bytes and read back as bytes."""
+    base = work_dir(spark, "bytes")
+    events = tables.event_stream(spark, sf)
+    odd = F.concat(F.lit(bytearray(b"\xff")), "data")
+    payloads = events.withColumn("data", F.when(F.col("sequence_number").endswith("0"), odd).otherwise(F.col("data")))
+    sinks.append_payload(payloads, f"{base}/out", f"{base}/ck", terminator=b"\n", **DONE).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select(F.hex("data").alias("payload_hex"))
+
+
 def stream_write_rate(spark, sf):
     base = work_dir(spark, "rates")
     log.append_sync(tables.event_records(spark, sf), f"{base}/source", partitions=4)
@@ -143,6 +203,10 @@ def stream_write_rate(spark, sf):
 
 QUERIES = {
     "stream_append": stream_append,
+    "stream_append_two_writers": stream_append_two_writers,
+    "stream_deliver_two_writers": stream_deliver_two_writers,
+    "stream_message_counts": stream_message_counts,
+    "stream_deliver_bytes": stream_deliver_bytes,
     "stream_scan": stream_scan,
     "stream_latest": stream_latest,
     "stream_resume": stream_resume,
@@ -158,6 +222,12 @@ ALL = f"{REC} SELECT {SHOWN} FROM rec"
 
 ORACLES = {
     "stream_append": ALL,
+    "stream_append_two_writers": ALL,
+    "stream_deliver_two_writers": f"""{REC}, x AS (SELECT *, CAST(json_extract(payload, '$.k') AS BIGINT) AS k FROM rec)
+SELECT stream, 'none: delivered' AS error_message, count(*) AS n_errors FROM x GROUP BY stream
+UNION ALL SELECT stream, 'reset by peer', count(*) FROM x WHERE k = 7 GROUP BY stream""",
+    "stream_message_counts": READING_SQL["message_counts"],
+    "stream_deliver_bytes": f"""{REC} SELECT CASE WHEN event_id % 10 = 0 THEN 'FF' ELSE '' END || hex(encode(payload)) || '0A' AS payload_hex FROM rec""",
     "stream_scan": ALL,
     "stream_latest": LATEST_SQL,
     "stream_resume": ALL,

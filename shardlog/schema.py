@@ -99,6 +99,7 @@ STATUS_CODES = {4: "CREATING", 5: "DELETING", 6: ACTIVE, 7: "UPDATING"}
 ERR_NULL_STREAM = "A stream must be specified"
 ERR_NOT_ACTIVE = "The Stream is not yet active"
 ERR_NIL_STATUS = "Nil stream status"
+ERR_UNKNOWN_STREAM = "The Stream is not known"
 ERR_BAD_CONCURRENCY = "Concurrency must be greater than zero"
 ERR_DROPPED = "Channel is full, dropped message"
 

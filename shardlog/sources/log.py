@@ -1,5 +1,6 @@
 """The stored log: a Parquet table partitioned by stream and shard."""
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,8 +11,8 @@ from shardlog.schema import RECORD, SEQUENCE_ORDER, SHARD_KEYS, require_stream
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
-    """All records of all shards in a stored log."""
-    return spark.read.schema(RECORD).parquet(path)
+    """All records of all shards in a stored log, whoever wrote them."""
+    return spark.read.schema(RECORD).parquet(path).select(*RECORD.names)
 
 
 def scan_stream(
@@ -26,7 +27,7 @@ def scan_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.parquet(path)
+    return reader.parquet(path).select(*RECORD.names)
 
 
 def select_shards(
@@ -58,14 +59,25 @@ def in_shard_order(records: DataFrame, partitions: int | None = None) -> DataFra
     return ranged.sortWithinPartitions(*order).drop("_from")
 
 
-def append_sync(records: DataFrame, path: str, partitions: int | None = None) -> None:
+def write_part(
+    records: DataFrame, path: str, writer: str, batch_id: int, partitions: int | None = None
+) -> None:
+    """Write one batch of one writer; the same batch again replaces itself."""
+    part = f"{path}/writer={writer}/batch_id={batch_id}"
+    in_shard_order(records, partitions).write.mode("overwrite").partitionBy(*SHARD_KEYS).parquet(part)
+
+
+def append_sync(
+    records: DataFrame, path: str, partitions: int | None = None, writer: str | None = None, batch_id: int = 0
+) -> None:
     """Append a batch to the log and wait until it is durable.
 
     Sorting by shard and sequence number gives few files per shard and tight
-    min/max statistics, which is what start positions are pruned with.
+    min/max statistics, which is what start positions are pruned with.  Any number
+    of writers may append to one log.  A batch that may have to be written again
+    needs its own ``writer`` and ``batch_id``; without them it is a new one.
     """
-    ordered = in_shard_order(records, partitions)
-    ordered.write.mode("append").partitionBy(*SHARD_KEYS).parquet(path)
+    write_part(records, path, writer or uuid.uuid4().hex, batch_id, partitions)
 
 
 def deliver_payload(records: DataFrame, terminator: bytes = b"") -> DataFrame:
@@ -73,10 +85,27 @@ def deliver_payload(records: DataFrame, terminator: bytes = b"") -> DataFrame:
     return records.select(append_terminator(F.col("data"), terminator).alias("data"))
 
 
-def write_payload(records: DataFrame, path: str, line_sep: str | None = None) -> None:
-    """Write payloads: as text lines when a separator is given, else as Parquet bytes."""
+def payload_lines(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Payloads as text, and those that are not UTF-8, as they are."""
+    valid = F.is_valid_utf8(F.col("data").cast("string"))
+    return (
+        records.where(valid).select(value_text().alias("value")),
+        records.where(~valid).select("data"),
+    )
+
+
+def write_payload(
+    records: DataFrame, path: str, line_sep: str | None = None, terminator: bytes = b""
+) -> None:
+    """Write payloads: as text lines when a separator is given, else as Parquet bytes.
+
+    Bytes are kept as they are, followed by the terminator.  Payloads that are not
+    text cannot stand in lines; they go, as bytes, to ``path`` + ``-undecodable``.
+    """
     if line_sep:
-        text = records.select(value_text().alias("value"))
+        text, odd = payload_lines(records)
         text.write.mode("append").option("lineSep", line_sep).text(path)
+        if not odd.isEmpty():
+            odd.write.mode("append").parquet(f"{path}-undecodable")
     else:
-        deliver_payload(records).write.mode("append").parquet(path)
+        deliver_payload(records, terminator).write.mode("append").parquet(path)

@@ -1,46 +1,38 @@
 """Append a record stream to the log, or its payloads to a keyless sink."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shardlog.functions.message import value_text
-from shardlog.schema import SHARD_KEYS
-from shardlog.sources.log import deliver_payload
+from shardlog.sources.log import deliver_payload, payload_lines, write_part
+from shardlog.streaming.writers import folder, write_batches
 
 
 def append(
     records: DataFrame,
     path: str,
     checkpoint: str,
-    files_per_shard: int | None = None,
+    partitions: int | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start appending to the log and return at once.
 
     Start it again with the same ``checkpoint`` after a stop: it continues where
-    it was, without gaps or copies.  Without ``files_per_shard`` every task writes
-    a file for each shard it meets; with it, a micro-batch is shuffled so that a
-    shard, hot ones included, is written by at most that many tasks.
+    it was, without gaps or copies.  Other streams and batches may append to the
+    same log.  Every micro-batch is written in shard order, by ``partitions`` tasks
+    if given, so hot shards are split and files have tight bounds.
     """
-    if files_per_shard is not None:
-        part = F.pmod(F.xxhash64("sequence_number", "data"), F.lit(files_per_shard))
-        records = records.repartition(*SHARD_KEYS, part)
-    return (
-        records.writeStream.format("parquet")
-        .partitionBy(*SHARD_KEYS)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "0 seconds"}))
-        .start()
-    )
+
+    def save(batch: DataFrame, writer: str, batch_id: int) -> None:
+        write_part(batch, path, writer, batch_id, partitions)
+
+    return write_batches(records, save, checkpoint, trigger)
 
 
 def append_sync(
-    records: DataFrame, path: str, checkpoint: str, files_per_shard: int | None = None
+    records: DataFrame, path: str, checkpoint: str, partitions: int | None = None
 ) -> StreamingQuery:
     """Append everything that is there now and return when it is durable."""
-    query = append(records, path, checkpoint, files_per_shard, availableNow=True)
+    query = append(records, path, checkpoint, partitions, availableNow=True)
     query.awaitTermination()
     return query
 
@@ -50,17 +42,22 @@ def append_payload(
     path: str,
     checkpoint: str,
     line_sep: str | None = None,
+    terminator: bytes = b"",
     **trigger,
 ) -> StreamingQuery:
-    """Keyless sink: text lines when a separator is given, else Parquet bytes."""
-    if line_sep:
-        payload = records.select(value_text().alias("value"))
-        writer = payload.writeStream.format("text").option("lineSep", line_sep)
-    else:
-        writer = deliver_payload(records).select(F.col("data")).writeStream.format("parquet")
-    return (
-        writer.option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "0 seconds"}))
-        .start()
-    )
+    """Keyless sink: text lines when a separator is given, else Parquet bytes.
+
+    See ``sources.log.write_payload`` for the terminator and for payloads that are
+    not text.  Several streams may write to one path.
+    """
+
+    def save(batch: DataFrame, writer: str, batch_id: int) -> None:
+        if line_sep:
+            text, odd = payload_lines(batch)
+            text.write.mode("overwrite").option("lineSep", line_sep).text(folder(path, writer, batch_id))
+            odd.write.mode("overwrite").parquet(folder(f"{path}-undecodable", writer, batch_id))
+        else:
+            payload = deliver_payload(batch, terminator)
+            payload.write.mode("overwrite").parquet(folder(path, writer, batch_id))
+
+    return write_batches(records, save, checkpoint, trigger)

@@ -9,6 +9,7 @@ at-least-once.
 
 import uuid
 from collections.abc import Callable, Iterator
+from itertools import count
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shardlog.schema import MAX_REQUEST_RECORDS, require_concurrency
+from shardlog.streaming.writers import folder, write_batches
 
 # A sender gets the (partition_key, data) pairs of one request and the attempt
 # number.  It returns None when there is no response, else the failed count and
@@ -24,13 +26,14 @@ from shardlog.schema import MAX_REQUEST_RECORDS, require_concurrency
 Entry = tuple[str | None, str | None]
 Sender = Callable[[list[tuple[str, bytes]], int], tuple[int | None, list[Entry]] | None]
 
+ALONE = "alone"  # the writer of batches delivered one by one
 DELIVERED, FAILED, UNANSWERED = "delivered", "failed", "unanswered"
 
 _SENT = (
     "stream string, partition_key string, data binary, n_bytes bigint, "
     "outcome string, error_message string"
 )
-_SENT_IN = f"{_SENT}, batch_id bigint, run string, attempt int"
+_SENT_IN = f"{_SENT}, writer string, batch_id bigint, run string, attempt int"
 _COMMIT = "run string, attempts int"
 
 
@@ -54,7 +57,7 @@ def _outcomes(request: list, sender: Sender, attempt: int) -> list[tuple[str, st
 def _attempt(pending: DataFrame, sender: Sender, attempt: int, per_request: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, rows in batch.groupby("stream", sort=False):
+            for _, rows in batch.groupby("stream", sort=False, dropna=False):
                 records = list(zip(rows["partition_key"], rows["data"]))
                 outcomes = []
                 for start in range(0, len(records), per_request):
@@ -71,9 +74,10 @@ def _attempt(pending: DataFrame, sender: Sender, attempt: int, per_request: int)
     return pending.mapInPandas(run, _SENT)
 
 
-def _commit_of(spark: SparkSession, out: str, batch_id: int):
+def _commit_of(spark: SparkSession, out: str, batch_id: int, writer: str = ALONE):
+    path = folder(f"{out}/commits", writer, batch_id)
     try:
-        return spark.read.schema(_COMMIT).parquet(f"{out}/commits/batch_id={batch_id}").first()
+        return spark.read.schema(_COMMIT).parquet(path).first()
     except AnalysisException:
         return None
 
@@ -83,19 +87,22 @@ def deliver_batch(
     batch_id: int,
     sender: Sender,
     out: str,
-    max_attempts: int = 3,
+    max_attempts: int | None = None,
     per_request: int = MAX_REQUEST_RECORDS,
     keyless: bool = False,
     concurrency: int | None = None,
     keep_payload: bool = False,
+    writer: str = ALONE,
 ) -> None:
     """Deliver one batch; a batch that is already complete is not sent again.
 
-    The payload of delivered records is not stored, unless ``keep_payload``.
-    Keyless delivery sends records again with the empty key.
+    Records are sent until they are delivered.  With ``max_attempts`` what is left
+    after so many becomes dead letters, which ``resend`` takes up again.  The
+    payload of delivered records is not stored, unless ``keep_payload``.  Keyless
+    delivery sends records again with the empty key.
     """
     spark = records.sparkSession
-    if _commit_of(spark, out, batch_id) is not None:
+    if _commit_of(spark, out, batch_id, writer) is not None:
         return
     if concurrency is not None:
         require_concurrency(concurrency)
@@ -104,20 +111,20 @@ def deliver_batch(
     key = F.coalesce("partition_key", F.lit("")).alias("partition_key")
     pending = records.select("stream", key, "data")
     run = uuid.uuid4().hex
-    for attempt in range(1, max_attempts + 1):
-        path = f"{out}/attempts/batch_id={batch_id}/run={run}/attempt={attempt}"
+    for attempt in count(1):
+        path = f"{folder(f'{out}/attempts', writer, batch_id)}/run={run}/attempt={attempt}"
         sent = _attempt(pending, sender, attempt, per_request)
         if not keep_payload:
             kept = F.when(F.col("outcome") != DELIVERED, F.col("data"))
             sent = sent.withColumn("data", kept)
         sent.write.parquet(path)
         left = spark.read.schema(_SENT).parquet(path).where(F.col("outcome") != DELIVERED)
-        if left.isEmpty():
+        if attempt == max_attempts or left.isEmpty():
             break
         key = F.lit("") if keyless else F.col("partition_key")
         pending = left.select("stream", key.alias("partition_key"), "data")
     commit = spark.range(1).select(F.lit(run).alias("run"), F.lit(attempt).alias("attempts"))
-    commit.coalesce(1).write.mode("overwrite").parquet(f"{out}/commits/batch_id={batch_id}")
+    commit.coalesce(1).write.mode("overwrite").parquet(folder(f"{out}/commits", writer, batch_id))
 
 
 def deliver(
@@ -128,17 +135,20 @@ def deliver(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Deliver a stream; all attempts of a micro-batch happen inside it."""
+    """Deliver a stream; all attempts of a micro-batch happen inside it.
 
-    def send(batch: DataFrame, batch_id: int) -> None:
-        deliver_batch(batch, batch_id, sender, out, **options)
+    Several streams may deliver to one ``out``.
+    """
 
-    return (
-        records.writeStream.foreachBatch(send)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "0 seconds"}))
-        .start()
-    )
+    def send(batch: DataFrame, writer: str, batch_id: int) -> None:
+        deliver_batch(batch, batch_id, sender, out, writer=writer, **options)
+
+    return write_batches(records, send, checkpoint, trigger)
+
+
+def resend(spark: SparkSession, out: str, sender: Sender, again: str, **options) -> None:
+    """Send the dead letters of ``out`` again; what becomes of them is kept at ``again``."""
+    deliver_batch(dead_letters(spark, out), 0, sender, again, **options)
 
 
 def attempts(spark: SparkSession, out: str) -> DataFrame:
@@ -147,9 +157,9 @@ def attempts(spark: SparkSession, out: str) -> DataFrame:
     ``answered`` and ``failed`` are there for ``delivery_counts``.
     """
     sent = spark.read.schema(_SENT_IN).parquet(f"{out}/attempts")
-    commits = spark.read.schema(f"{_COMMIT}, batch_id bigint").parquet(f"{out}/commits")
+    commits = spark.read.schema(f"{_COMMIT}, writer string, batch_id bigint").parquet(f"{out}/commits")
     return (
-        sent.join(commits, ["batch_id", "run"])
+        sent.join(commits, ["writer", "batch_id", "run"])
         .withColumn("answered", F.col("outcome") != UNANSWERED)
         .withColumn("failed", F.col("outcome") == FAILED)
     )

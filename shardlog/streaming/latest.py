@@ -31,6 +31,6 @@ def freeze_marks(stored: DataFrame, path: str) -> DataFrame:
     return marks
 
 
-def read_latest(records: DataFrame, stored: DataFrame, marks_path: str, **options) -> DataFrame:
+def read_latest(records: DataFrame, stored: DataFrame, marks_path: str) -> DataFrame:
     """Only records behind the frozen marks; new shards pass whole."""
-    return from_latest(records, freeze_marks(stored, marks_path), **options)
+    return from_latest(records, freeze_marks(stored, marks_path))

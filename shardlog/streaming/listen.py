@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from shardlog.operators.consume import for_each_message, observe_messages
+from shardlog.operators.consume import for_each_message, message_counts, observe_messages
 from shardlog.operators.produce import admit
 from shardlog.schema import SHARD_KEYS
+from shardlog.streaming.writers import folder, write_batches
 
 _OUTCOME = "stream string, shard_id string, sequence_number string, value {}, error_message string"
 READ_PACE = {"processingTime": "500 milliseconds"}
@@ -26,22 +27,27 @@ def listen(
 ) -> StreamingQuery:
     """Call ``fn`` with each payload and keep its outcomes, errors included, at ``path``.
 
-    The default trigger fetches twice a second.  ``observed_counts`` on the query
-    tells how many messages were handed over.
+    The default trigger fetches twice a second.  ``handled_counts`` tells how many
+    messages were handed over since the first start.
     """
-    outcomes = for_each_message(observe_messages(records), fn, result_type, concurrency)
-    return (
-        outcomes.writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or READ_PACE))
-        .start()
-    )
+
+    def save(batch: DataFrame, writer: str, batch_id: int) -> None:
+        done = for_each_message(batch, fn, result_type, concurrency)
+        done.write.mode("overwrite").parquet(folder(path, writer, batch_id))
+
+    return write_batches(observe_messages(records), save, checkpoint, trigger or READ_PACE)
 
 
 def outcomes(spark: SparkSession, path: str, result_type: str) -> DataFrame:
     """What ``listen`` left behind, for ``split_errors`` and ``error_counts``."""
-    return spark.read.schema(_OUTCOME.format(result_type)).parquet(path)
+    rows = spark.read.schema(_OUTCOME.format(result_type)).parquet(path)
+    return rows.drop("writer", "batch_id")
+
+
+def handled_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Messages handed over per shard, over all micro-batches and restarts."""
+    stored = spark.read.schema("stream string, shard_id string, sequence_number string").parquet(path)
+    return message_counts(stored)
 
 
 def admit_stream(
@@ -54,20 +60,15 @@ def admit_stream(
     """
     trigger = options.pop("trigger", None) or READ_PACE
 
-    def save(batch: DataFrame, batch_id: int) -> None:
+    def save(batch: DataFrame, writer: str, batch_id: int) -> None:
         marked = admit(batch, concurrency, **options)
-        marked.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        marked.write.mode("overwrite").parquet(folder(path, writer, batch_id))
 
-    return (
-        offers.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    return write_batches(offers, save, checkpoint, trigger)
 
 
 def admitted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).where(F.col("accepted")).drop("accepted", "reason", "batch_id")
+    return spark.read.parquet(path).where(F.col("accepted")).drop("accepted", "reason", "writer", "batch_id")
 
 
 def dropped(spark: SparkSession, path: str) -> DataFrame:

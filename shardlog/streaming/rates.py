@@ -11,26 +11,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardlog.operators.quota import SECOND, traffic
 from shardlog.schema import SHARD_KEYS
+from shardlog.streaming.writers import folder, write_batches
 
 _PARTIAL = (
     "stream string, shard_id string, window_start timestamp, "
-    "n_records bigint, n_bytes bigint, batch_id bigint"
+    "n_records bigint, n_bytes bigint"
 )
 
 
 def collect_traffic(
     records: DataFrame, path: str, checkpoint: str, every: str = SECOND, **trigger
 ) -> StreamingQuery:
-    def save(batch: DataFrame, batch_id: int) -> None:
+    def save(batch: DataFrame, writer: str, batch_id: int) -> None:
         partial = traffic(batch, SHARD_KEYS, every)
-        partial.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        partial.write.mode("overwrite").parquet(folder(path, writer, batch_id))
 
-    return (
-        records.writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
-        .start()
-    )
+    return write_batches(records, save, checkpoint, trigger or {"processingTime": "1 second"})
 
 
 def read_traffic(spark: SparkSession, path: str) -> DataFrame:

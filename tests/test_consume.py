@@ -22,7 +22,7 @@ from shardlog.operators.consume import (
     retrieve_fn,
     split_errors,
 )
-from shardlog.operators.status import active_only, rejected_streams
+from shardlog.operators.status import active_only, rejected, rejected_streams
 from shardlog.schema import STREAM
 from shardlog.sources.log import deliver_payload, write_payload
 from tests.util import BIG, record, records
@@ -119,15 +119,22 @@ def test_code_names(spark):
     assert [r[1] for r in got] == [*[""] * 5, "CREATING", "DELETING", "ACTIVE", "UPDATING", ""]
 
 
-@pytest.mark.parametrize("limit", [{}, {"max_bytes": 0}])
-def test_only_active_streams_are_used(spark, limit):
+def test_only_active_streams_are_used(spark):
     status = spark.createDataFrame([("on", "ACTIVE"), ("off", "CREATING"), ("odd", None)], STREAM)
     rows = records(spark, [record("0", "1", stream=s) for s in ("on", "off", "odd", "unknown")])
-    assert [r.stream for r in active_only(rows, status, **limit).collect()] == ["on"]
+    assert [r.stream for r in active_only(rows, status).collect()] == ["on"]
     assert {(r.stream, r.reason) for r in rejected_streams(status).collect()} == {
         ("off", "The Stream is not yet active"),
         ("odd", "Nil stream status"),
     }
+    refused = {r.stream: r.reason for r in rejected(rows, status).collect()}
+    assert refused == {
+        "off": "The Stream is not yet active",
+        "odd": "Nil stream status",
+        "unknown": "The Stream is not known",
+    }
+    nameless = records(spark, [record("0", "1")]).withColumn("stream", F.lit(None).cast("string"))
+    assert active_only(nameless, status).count() + rejected(nameless, status).count() == 1
 
 
 def test_payload_sinks(spark, tmp_path):
@@ -139,3 +146,21 @@ def test_payload_sinks(spark, tmp_path):
     write_payload(rows.coalesce(1), str(tmp_path / "text"), line_sep="\n")
     (part,) = (tmp_path / "text").glob("part-*")
     assert sorted(part.read_bytes().split(b"\n")) == sorted([b"", *PAYLOADS])
+
+
+def test_bytes_that_are_no_text(spark, tmp_path):
+    odd = [b"\xff\xfe\x80", b"fine", "é".encode()]
+    rows = records(spark, [record("0", str(i), data=d) for i, d in enumerate(odd)])
+    write_payload(rows, str(tmp_path / "bytes"), terminator=b"\n")
+    stored = spark.read.parquet(str(tmp_path / "bytes"))
+    assert {bytes(r.data) for r in stored.collect()} == {d + b"\n" for d in odd}
+    write_payload(rows, str(tmp_path / "text"), line_sep="\n")
+    assert {r.value for r in spark.read.text(str(tmp_path / "text")).collect()} == {"fine", "é"}
+    left = spark.read.parquet(str(tmp_path / "text-undecodable"))
+    assert [bytes(r.data) for r in left.collect()] == [odd[0]]
+
+
+def test_a_result_of_another_type_is_an_error_row(spark):
+    rows = records(spark, [record("0", "1", data=b"1"), record("0", "2", data=b"x")])
+    got = for_each_message(rows, lambda p: int(p) if p == b"1" else p.decode(), "bigint").collect()
+    assert {(r.sequence_number, r.value, r.error_message is None) for r in got} == {("1", 1, True), ("2", None, False)}

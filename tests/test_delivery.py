@@ -107,3 +107,16 @@ def test_one_request_id_may_hold_most_records(spark):
     )
     done = reconcile(hot, heads(spark, [(1, 1000)]), replies)
     assert done.where("failed").count() == 1000 and done.count() == 3000
+
+
+def test_payload_is_shuffled_once(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        done = reconcile(requests(spark, SENT), heads(spark, HEADS), entries(spark, ENTRIES))
+        plan = done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert sum("hashpartitioning(request_id" in line for line in exchanges) >= 2
+    sent = plan[: plan.index("Scan ExistingRDD")]
+    assert sent.count("Exchange") == 1

@@ -31,16 +31,9 @@ from tests.util import (
 LOG = [record("a", n, at=i) for i, n in enumerate(["8", "9", "10", "11", BIG[:-1], BIG])]
 LOG += [record("b", n, at=i) for i, n in enumerate(["5", "50", "500"])]
 LOG += [record("c", "7", at=100)]
-# The three ways to apply positions: as predicates, by broadcast, by salted shuffle.
-WAYS = [
-    {},
-    {"inline_positions": 0},
-    {"inline_positions": 0, "max_bytes": 0},
-]
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_each_shard_starts_at_its_own_position(spark, way):
+def test_each_shard_starts_at_its_own_position(spark):
     start = positions(
         spark,
         [
@@ -50,42 +43,38 @@ def test_each_shard_starts_at_its_own_position(spark, way):
             position("empty", "TRIM_HORIZON"),
         ],
     )
-    got = numbers(read_from_positions(records(spark, LOG), start, **way))
+    got = numbers(read_from_positions(records(spark, LOG), start))
     assert got == sorted(
         [("a", n) for n in ["10", "11", BIG[:-1], BIG]] + [("b", "50"), ("b", "500"), ("c", "7")]
     )
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_shards_without_position_are_not_read(spark, way):
+def test_shards_without_position_are_not_read(spark):
     start = positions(spark, [position("b", "TRIM_HORIZON")])
-    got = numbers(read_from_positions(records(spark, LOG), start, **way))
+    got = numbers(read_from_positions(records(spark, LOG), start))
     assert {shard for shard, _ in got} == {"b"}
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_latest_reads_behind_marks_and_unknown_shards_whole(spark, way):
+def test_latest_reads_behind_marks_and_unknown_shards_whole(spark):
     marks = checkpoints(spark, [("a", "11"), ("b", "500")])
-    got = numbers(from_latest(records(spark, LOG), marks, **way))
+    got = numbers(from_latest(records(spark, LOG), marks))
     assert got == [("a", BIG[:-1]), ("a", BIG), ("c", "7")]
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_latest_among_other_positions(spark, way):
+def test_latest_among_other_positions(spark):
     start = positions(spark, [position(s, "LATEST") for s in "abc"])
     marks = checkpoints(spark, [("a", BIG[:-1]), ("b", "50")])
-    got = numbers(read_from_positions(records(spark, LOG), start, marks, **way))
+    got = numbers(read_from_positions(records(spark, LOG), start, marks))
     assert got == [("a", BIG), ("b", "500"), ("c", "7")]
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_positions_that_lack_something_are_errors(spark, way):
+def test_positions_that_lack_something_are_errors(spark):
     start = positions(spark, [position("a", "LATEST")])
     bad = [start]
     bad += [positions(spark, [position("a", p)]) for p in ("AT_SEQUENCE_NUMBER", AT_TIMESTAMP, "X")]
     for start in bad:
         with pytest.raises(Exception, match="cannot start at position"):
-            read_from_positions(records(spark, LOG), start, **way).collect()
+            read_from_positions(records(spark, LOG), start).collect()
 
 
 def test_single_start_positions(spark):
@@ -130,8 +119,7 @@ def test_advance_never_goes_back(spark):
     assert numbers(advance(old, new)) == [("a", "10"), ("b", "100"), ("c", "1")]
 
 
-@pytest.mark.parametrize("way", WAYS)
-def test_resume(spark, way):
+def test_resume(spark):
     start = positions(
         spark,
         [
@@ -141,9 +129,9 @@ def test_resume(spark, way):
         ],
     )
     saved = checkpoints(spark, [("a", BIG[:-1])])
-    again = resume(records(spark, LOG), start, saved, **way)
+    again = resume(records(spark, LOG), start, saved)
     assert numbers(again) == [("a", BIG[:-1]), ("a", BIG), ("b", "50"), ("b", "500")]
-    later = resume(records(spark, LOG), start, saved, inclusive=False, **way)
+    later = resume(records(spark, LOG), start, saved, inclusive=False)
     assert numbers(later) == [("a", BIG), ("b", "50"), ("b", "500")]
 
 
@@ -151,7 +139,9 @@ def test_drop_replays(spark):
     twice = records(spark, LOG + LOG[2:5] + [LOG[0]] * 3)
     assert numbers(drop_replays(twice)) == numbers(records(spark, LOG))
     assert numbers(drop_rare_replays(twice)) == numbers(records(spark, LOG))
-    assert numbers(drop_rare_replays(twice, max_bytes=0)) == numbers(records(spark, LOG))
+    unnumbered = records(spark, [record("a", None), record("a", None), record("b", ""), record("b", "")])
+    for drop in (drop_replays, drop_rare_replays):
+        assert drop(twice.unionByName(unnumbered)).count() == len(LOG) + 4
 
 
 def test_log_reads_prune_shards_and_push_bounds(spark, tmp_path):
@@ -169,13 +159,44 @@ def test_log_reads_prune_shards_and_push_bounds(spark, tmp_path):
     read = read_log_from_positions(spark, path, start)
     want = numbers(read_from_positions(records(spark, LOG), start))
     assert numbers(read) == want
-    assert numbers(read_log_from_positions(spark, path, start, inline_positions=0)) == want
     plan = plan_of(read)
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
-    assert any("GreaterThan(sequence_len,2)" in line for line in pushed)
+    assert any("GreaterThan(sequence_len,2)" in line or "GreaterThanOrEqual(sequence_len" in line for line in pushed)
     assert any("GreaterThanOrEqual(arrival_ts" in line for line in pushed)
     pruned = [line for line in plan.splitlines() if "PartitionFilters" in line]
-    assert len(pruned) == 3 and all("shard_id" in line for line in pruned)
+    assert all("dynamicpruning" in line for line in pruned if "ReadSchema" not in line) and len(pruned) >= 3
+
+
+def test_many_shards_prune_and_push_alike(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [record(f"shard {s}", str(n), at=n) for s in range(80) for n in range(5, 15)]
+    append_sync(records(spark, rows), path, partitions=4)
+    start = [position(f"shard {s}", "AT_SEQUENCE_NUMBER", "12") for s in range(40)]
+    read = read_log_from_positions(spark, path, positions(spark, start))
+    assert read.count() == 40 * 3
+    plan = plan_of(read)
+    assert "dynamicpruning" in plan and "GreaterThan" in plan
+    assert numbers(read_from_positions(records(spark, rows), positions(spark, start))) == numbers(read)
+
+
+def test_one_position_a_shard(spark):
+    start = positions(spark, [position("a", "TRIM_HORIZON"), position("a", "AT_SEQUENCE_NUMBER", "9")])
+    with pytest.raises(ValueError, match="more than one position"):
+        read_from_positions(records(spark, LOG), start)
+
+
+def test_checkpoint_without_lengths(spark):
+    rows = records(spark, LOG).withColumn("sequence_len", F.lit(None).cast("int"))
+    assert numbers(checkpoint(rows)) == [("a", BIG), ("b", "500"), ("c", "7")]
+
+
+def test_batches_of_several_writers_and_a_batch_run_twice(spark, tmp_path):
+    path = str(tmp_path / "log")
+    append_sync(records(spark, LOG[:4]), path, writer="w", batch_id=1)
+    append_sync(records(spark, LOG[4:7]), path, writer="w", batch_id=2)
+    append_sync(records(spark, LOG[4:7]), path, writer="w", batch_id=2)
+    append_sync(records(spark, LOG[7:]), path)
+    assert numbers(scan(spark, path)) == numbers(records(spark, LOG))
 
 
 def test_copies_and_hot_shards_are_spread_in_order(spark):

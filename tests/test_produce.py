@@ -1,14 +1,15 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shardlog.operators.fetch import fetch_batches, retrieve
-from shardlog.operators.lookup import lookup, measured_bytes
-from shardlog.operators.numbering import number_rows, rows_numbered
+from shardlog.operators.fetch import fetch_batches, retrieve, retrieve_or_error
+from shardlog.operators.lookup import lookup
+from shardlog.operators.numbering import Numbering, number_rows
 from shardlog.operators.produce import admit, put_shape
 from shardlog.schema import SEQUENCE_ORDER, SHARD_KEYS
-from tests.util import BIG, numbers, record, records
+from tests.util import BIG, numbers, plan_of, record, records
 
 
 def skewed(spark, n=6000):
@@ -26,46 +27,46 @@ def skewed(spark, n=6000):
     )
 
 
-def test_ranges_give_the_same_numbers_as_one_window(spark):
-    offers = skewed(spark)
-    whole = number_rows(offers, SHARD_KEYS, SEQUENCE_ORDER)
-    for limits in ({"rows_per_range": 500}, {"rows_per_range": 10, "max_ranges": 50}):
-        ranged = number_rows(offers, SHARD_KEYS, SEQUENCE_ORDER, **limits)
-        assert ranged.columns == whole.columns
-        assert ranged.exceptAll(whole).isEmpty() and whole.exceptAll(ranged).isEmpty()
+def by_window(df, keys, order):
+    return df.withColumn("row_no", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
 
 
-def test_ranges_split_a_hot_shard(spark):
-    ranged = number_rows(skewed(spark), SHARD_KEYS, SEQUENCE_ORDER, rows_per_range=100)
-    plan = ranged._jdf.queryExecution().executedPlan().toString()
-    assert "_range" in plan
-    by_time = number_rows(skewed(spark), ["stream"], ["arrival_ts"], rows_per_range=100)
-    rows = by_time.select("row_no", F.unix_seconds("arrival_ts").alias("t")).collect()
-    assert all(r.row_no == r.t for r in rows) and len(rows) == 6000
+def same(a, b):
+    assert a.columns == b.columns
+    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
 
 
-def test_ranges_order_like_spark(spark):
-    """Negative and missing numbers, times before 1970, letters of several bytes."""
+def test_numbers_are_those_of_a_window(spark):
+    same(number_rows(skewed(spark), SHARD_KEYS, SEQUENCE_ORDER), by_window(skewed(spark), SHARD_KEYS, SEQUENCE_ORDER))
+    assert number_rows(skewed(spark, 0), SHARD_KEYS, SEQUENCE_ORDER).count() == 0
+
+
+def test_any_type_orders_and_null_groups_are_numbered(spark):
+    """Negative and missing numbers, times before 1970, letters of several bytes, null groups."""
     rows = []
     for n in range(1200):
         number = None if n % 50 == 0 else (n * 7919 % 601) - 300
-        name = ["", "a", "ab", "é", "z", "日", "\U0001f600"][n % 7] + str(n)
-        rows.append(("s", f"shard {n % 3} é", number, name, (n * 31 % 997) - 500))
+        name = ["", "a", "ab", "é", "z\0", "日", "\U0001f600"][n % 7] + str(n)
+        rows.append((None if n % 5 == 0 else "s", f"shard {n % 3} é", number, name, (n * 31 % 997) - 500))
     schema = "stream string, shard_id string, number int, name string, second long"
     table = spark.createDataFrame(rows, schema).withColumn("at", F.timestamp_seconds("second"))
-    for order in (["number", "name"], ["at", "number", "name"], ["name"]):
-        whole = number_rows(table, SHARD_KEYS, order)
-        ranged = number_rows(table, SHARD_KEYS, order, rows_per_range=40)
-        assert ranged.exceptAll(whole).isEmpty() and whole.exceptAll(ranged).isEmpty()
-        some = rows_numbered(table, SHARD_KEYS, order, 99, 130, rows_per_range=40)
-        want = whole.where("row_no between 99 and 130")
-        assert some.exceptAll(want).isEmpty() and want.exceptAll(some).isEmpty()
-    with pytest.raises(TypeError):
-        number_rows(table.withColumn("x", F.rand(1)), SHARD_KEYS, ["x"], rows_per_range=40)
+    table = table.withColumn("ntz", F.col("at").cast("timestamp_ntz")).withColumn("x", F.col("number") / 7)
+    for order in (["number", "name"], ["at", "number", "name"], ["name"], ["ntz", "name"], ["x", "name"]):
+        same(number_rows(table, SHARD_KEYS, order), by_window(table, SHARD_KEYS, order))
+
+
+def test_equal_rows_of_one_group_are_split_over_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    numbering = Numbering(skewed(spark, 40_000).withColumn("hour", F.lit(1)), ["stream"], ["hour"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = numbering._rows.groupBy("_part").count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 20_000
+    got = numbering.rows("n").select("n").collect()
+    assert sorted(r.n for r in got) == list(range(40_000))
 
 
 def test_fetches_hold_at_most_the_limit_in_order(spark):
-    fetched = fetch_batches(skewed(spark), 700, rows_per_range=300)
+    fetched = fetch_batches(skewed(spark), 700)
     rows = (
         fetched.groupBy("shard_id", "fetch_no")
         .agg(F.count("*").alias("n"), F.min("arrival_ts").alias("lo"), F.max("arrival_ts").alias("hi"))
@@ -92,9 +93,8 @@ def offers(spark, n):
     )
 
 
-@pytest.mark.parametrize("limits", [{}, {"rows_per_range": 400}])
-def test_full_buffer_drops_the_newest(spark, limits):
-    marked = admit(offers(spark, 5000), concurrency=4, **limits)
+def test_full_buffer_drops_the_newest(spark):
+    marked = admit(offers(spark, 5000), concurrency=4)
     counts = {r.accepted: r["count"] for r in marked.groupBy("accepted").count().collect()}
     assert counts == {True: 4000, False: 1000}
     dropped = marked.where(~F.col("accepted"))
@@ -110,10 +110,9 @@ def test_short_shards_are_accepted_whole(spark):
     assert admit(offers(spark, 0), concurrency=1).count() == 0
 
 
-@pytest.mark.parametrize("limits", [{}, {"rows_per_range": 100}])
-def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark, limits):
+def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark):
     rows = [record("0", "5") for _ in range(1500)] + [record("1", str(i)) for i in range(20)]
-    marked = admit(records(spark, rows), concurrency=1, **limits)
+    marked = admit(records(spark, rows), concurrency=1)
     counts = {
         (r.shard_id, r.accepted): r["count"]
         for r in marked.groupBy("shard_id", "accepted").count().collect()
@@ -121,19 +120,13 @@ def test_equal_offers_across_the_cut_keep_exactly_the_capacity(spark, limits):
     assert counts == {("0", True): 1000, ("0", False): 500, ("1", True): 20}
 
 
-def test_admit_does_not_shuffle_payloads(spark):
-    marked = admit(skewed(spark), concurrency=1, rows_per_range=1000)
-    assert "Exchange hashpartitioning" not in marked._jdf.queryExecution().executedPlan().toString()
-
-
 def test_concurrency_must_be_positive(spark):
     with pytest.raises(ValueError, match="Concurrency must be greater than zero"):
         admit(offers(spark, 1), concurrency=0)
 
 
-@pytest.mark.parametrize("limits", [{}, {"rows_per_range": 300}])
-def test_put_requests(spark, limits):
-    shaped = put_shape(skewed(spark), 250, **limits)
+def test_put_requests(spark):
+    shaped = put_shape(skewed(spark), 250)
     rows = shaped.groupBy("request_id").agg(
         F.count("*").alias("n"), F.max("idx").alias("last"), F.countDistinct("idx").alias("d")
     ).collect()
@@ -157,13 +150,26 @@ def test_retrieve_takes_the_next_of_every_shard(spark):
     assert retrieve(records(spark, [])).count() == 0
 
 
-def test_lookup_ways_agree(spark):
+def test_retrieve_is_not_hidden_by_records_without_a_number(spark):
+    rows = records(spark, [record("a", "6"), record("a", "5"), record("a", "5"), record("a", None), record("a", ""), record("b", None)])
+    assert numbers(retrieve(rows)) == [("a", "5")]
+    lengths = rows.withColumn("sequence_len", F.lit(None).cast("int"))
+    assert numbers(retrieve(lengths)) == [("a", "5")]
+
+
+def test_next_message_or_error(spark):
+    rows = records(spark, [record("a", "6"), record("b", "10"), record("c", "3")])
+    errors = spark.createDataFrame(
+        [("s", "a", "5", "early"), ("s", "b", "11", "late"), ("s", "c", None, "at once"), ("s", "d", "1", "alone")],
+        "stream string, shard_id string, sequence_number string, error_message string",
+    )
+    got = {r.shard_id: (r.sequence_number, r.error_message) for r in retrieve_or_error(rows, errors).collect()}
+    assert got == {"a": ("5", "early"), "b": ("10", None), "c": (None, "at once"), "d": ("1", "alone")}
+
+
+def test_lookup_broadcasts_what_is_small_and_joins_the_rest(spark):
     left = skewed(spark, 500)
     side = spark.createDataFrame([("s", "hot", "yes"), ("s", "none", "no")], "stream string, shard_id string, tag string")
-    assert measured_bytes(side) > 0
+    assert "Broadcast" in plan_of(lookup(left, side, SHARD_KEYS))
     for how in ("inner", "left", "left_semi", "left_anti"):
-        small = lookup(left, side, SHARD_KEYS, how)
-        large = lookup(left, side, SHARD_KEYS, how, spread_by=["sequence_number"], max_bytes=0)
-        assert sorted(small.columns) == sorted(large.columns)
-        large = large.select(*small.columns)
-        assert small.exceptAll(large).isEmpty() and large.exceptAll(small).isEmpty()
+        same(lookup(left, side, SHARD_KEYS, how), left.join(side, SHARD_KEYS, how))

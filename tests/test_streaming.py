@@ -6,16 +6,16 @@ from shardlog.operators.consume import (
     error_counts,
     for_each_message,
     observe_messages,
-    observed_counts,
     split_errors,
 )
-from shardlog.operators.delivery import delivery_counts
+from shardlog.operators.delivery import delivery_counts, delivery_errors
 from shardlog.operators.quota import traffic
 from shardlog.schema import SHARD_KEYS
 from shardlog.sources.log import append_sync as store
 from shardlog.sources.log import scan, scan_stream
 from shardlog.streaming import append as sinks
 from shardlog.streaming import deliver, latest, listen, rates
+from shardlog.streaming.writers import folder, writer_of
 from tests.util import BIG, T0, numbers, record, records
 
 DONE = {"availableNow": True}
@@ -71,7 +71,7 @@ def test_restart_goes_on_without_gaps_or_copies(spark, tmp_path):
     for names in (["1", "2"], ["3"], []):
         if names:
             store(batch(spark, "a", names), path)
-        sinks.append_sync(scan_stream(spark, path, max_bytes=1 << 30), out, ck, files_per_shard=2)
+        sinks.append_sync(scan_stream(spark, path, max_bytes=1 << 30), out, ck, partitions=2)
     assert numbers(scan(spark, out)) == [("a", "1"), ("a", "2"), ("a", "3")]
 
 
@@ -80,14 +80,13 @@ def test_running_query_stops_and_shows_it(spark, tmp_path):
     store(batch(spark, "a", ["1", "2"]), path)
     query = sinks.append(observe_messages(scan_stream(spark, path)), out, ck)
     query.processAllAvailable()
-    assert query.isActive and observed_counts(query) == 2
+    assert query.isActive
     query.stop()
     assert not query.isActive
     store(batch(spark, "a", ["3"]), path)
     query = sinks.append(observe_messages(scan_stream(spark, path)), out, ck)
     query.processAllAvailable()
     query.stop()
-    assert observed_counts(query) == 1
     assert numbers(scan(spark, out)) == [("a", "1"), ("a", "2"), ("a", "3")]
 
 
@@ -114,7 +113,7 @@ def test_traffic_adds_up_late_records_and_replaces_a_batch_run_twice(spark, tmp_
     got = rates.read_traffic(spark, out)
     want = traffic(whole, SHARD_KEYS)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
-    traffic(new, SHARD_KEYS).write.mode("overwrite").parquet(f"{out}/batch_id={part}")
+    traffic(new, SHARD_KEYS).write.mode("overwrite").parquet(folder(out, writer_of(spark, ck), part))
     assert rates.read_traffic(spark, out).exceptAll(want).isEmpty()
 
 
@@ -190,7 +189,7 @@ def test_a_run_that_was_cut_off_does_not_count(spark, tmp_path):
     # The first run leaves two attempts behind and names no run for its batch.
     pending = rows.select("stream", "partition_key", "data")
     for attempt in (1, 2):
-        left = f"{out}/attempts/batch_id=0/run=dead/attempt={attempt}"
+        left = f"{folder(f'{out}/attempts', deliver.ALONE, 0)}/run=dead/attempt={attempt}"
         deliver._attempt(pending, cut_off, attempt, 500).write.parquet(left)
     deliver.deliver_batch(rows, 0, picky, out, max_attempts=2, keep_payload=True)
     assert deliver.attempts(spark, out).where("outcome = 'unanswered'").isEmpty()
@@ -250,7 +249,7 @@ def test_listener_counts_errors_and_keeps_listening(spark, tmp_path):
     query.processAllAvailable()
     assert query.isActive
     query.stop()
-    assert observed_counts(query) == 3
+    assert [(r.shard_id, r.n_messages) for r in listen.handled_counts(spark, out).collect()] == [("a", 3)]
     good, errors = split_errors(listen.outcomes(spark, out, "int"))
     assert {r.value for r in good.collect()} == {1, 3}
     assert error_counts(errors).first().n_errors == 1
@@ -267,3 +266,43 @@ def test_admission_is_per_batch(spark, tmp_path):
     gone = listen.dropped(spark, out)
     assert {r.sequence_number for r in gone.collect()} == {str(n) for n in range(3000, 3200)}
     assert {r.reason for r in gone.collect()} == {"Channel is full, dropped message"}
+
+
+def test_several_writers_lose_nothing(spark, tmp_path):
+    """Two streams with checkpoints of their own and a batch append to one log."""
+    out = str(tmp_path / "out")
+    for name in ("x", "y"):
+        source = str(tmp_path / name)
+        store(batch(spark, name, ["1", "2"]), source)
+        sinks.append_sync(scan_stream(spark, source), out, f"{tmp_path}/ck-{name}")
+        rates.collect_traffic(scan_stream(spark, source), f"{out}-t", f"{tmp_path}/ckt-{name}", **DONE).awaitTermination()
+        deliver.deliver(scan_stream(spark, source), picky, f"{out}-d", f"{tmp_path}/ckd-{name}", DONE).awaitTermination()
+    store(batch(spark, "z", ["1"]), out)
+    assert numbers(scan(spark, out)) == [("x", "1"), ("x", "2"), ("y", "1"), ("y", "2"), ("z", "1")]
+    assert rates.read_traffic(spark, f"{out}-t").groupBy().sum("n_records").first()[0] == 4
+    assert deliver.delivered(spark, f"{out}-d").count() == 4
+
+
+def test_a_new_checkpoint_is_a_new_writer(spark, tmp_path):
+    source, out = str(tmp_path / "log"), str(tmp_path / "out")
+    store(batch(spark, "a", ["1"]), source)
+    sinks.append_sync(scan_stream(spark, source), out, f"{tmp_path}/ck1")
+    sinks.append_sync(scan_stream(spark, source), out, f"{tmp_path}/ck2")
+    assert numbers(scan(spark, out)) == [("a", "1"), ("a", "1")]
+
+
+def test_null_streams_are_delivered_and_dead_letters_sent_again(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = records(spark, [record("a", n, "k", n.encode()) for n in ("1", "9", "2")])
+    rows = rows.withColumn("stream", F.when(F.col("sequence_number") != "1", F.col("stream")))
+    deliver.deliver_batch(rows, 0, picky, out, max_attempts=2)
+    assert deliver.delivered(spark, out).count() == 2
+    deliver.resend(spark, out, lambda request, attempt: (0, [(None, None)] * len(request)), f"{out}-again", keep_payload=True)
+    assert [bytes(r.data) for r in deliver.delivered(spark, f"{out}-again").collect()] == [b"9"]
+
+
+def test_sends_that_break_off_are_counted_as_errors(spark, tmp_path):
+    out = str(tmp_path / "out")
+    deliver.deliver_batch(batch(spark, "a", ["8", "2"]).coalesce(1), 0, picky, out)
+    counted = error_counts(delivery_errors(deliver.attempts(spark, out))).collect()
+    assert [(r.error_message, r.n_errors) for r in counted] == [("reset by peer", 2)]
