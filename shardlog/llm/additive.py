@@ -111,13 +111,21 @@ def _pair_tree(g: np.ndarray, h: np.ndarray, n: np.ndarray) -> tuple[float, np.n
     return best
 
 
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Where bins meet: at quantiles of the values and of the distinct values, so that rare ones have bins too."""
+    if not len(values):
+        return np.zeros(0)
+    at = np.linspace(0, 1, BINS // 2 + 1)[1:-1]
+    return np.unique(np.concatenate([np.quantile(values, at), np.quantile(np.unique(values), at)]))
+
+
 class Additive:
     """The fitted tables. Without labels of both kinds, every score is the share of good ones, or one half."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         k = x.shape[1]
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) if len(x) else np.zeros(0) for j in range(k)]
-        self.coarse = [c[:: max(1, -(-len(c) // (PAIR_BINS - 1)))][: PAIR_BINS - 1] for c in self.cuts]
+        self.cuts = [_cuts(x[:, j]) for j in range(k)]
+        self.coarse = [c if len(c) < PAIR_BINS else c[np.linspace(0, len(c) - 1, PAIR_BINS + 1)[1:-1].round().astype(int)] for c in self.cuts]
         self.tables = np.zeros((k, BINS))
         self.pairs: list[tuple[int, int]] = []
         self.pair_tables = np.zeros((0, PAIR_BINS, PAIR_BINS))

@@ -1,6 +1,7 @@
 """Pages as trees of blocks, and what can be measured on their nodes."""
 
 import re
+from functools import lru_cache
 from html import unescape
 
 import numpy as np
@@ -51,9 +52,22 @@ TOKEN = re.compile(
 )
 MARKS = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+LONG = sorted((w for w in GROUPS if len(w) >= 5), key=len, reverse=True)
 LABEL = re.compile(r'data-main="([01])"')
 
 
+@lru_cache(maxsize=65536)
+def groups_of(value: str) -> tuple[int, ...]:
+    """The groups that an attribute's value names, in pieces or within words run together."""
+    found = set()
+    for piece in PIECES.findall(value):
+        word = piece.lower()
+        known = word if word in GROUPS else next((w for w in LONG if word.startswith(w) or word.endswith(w)), None)
+        if known:
+            found.add(GROUPS[known])
+    return tuple(sorted(found))
+
+
 class Page:
     """The blocks of one page in order: tag, parent, attributes; texts with the block they stand in."""
 
@@ -196,9 +210,8 @@ class Page:
             marks = np.zeros(N_GROUPS)
             if self.attrs[i]:
                 for found in MARKS.finditer(self.attrs[i]):
-                    for piece in PIECES.findall(found[1] or found[2] or found[3] or ""):
-                        if (g := GROUPS.get(piece.lower())) is not None:
-                            marks[g] = 1
+                    for g in groups_of(found[1] or found[2] or found[3] or ""):
+                        marks[g] = 1
             x[i, 17 : 17 + N_GROUPS] = marks
             x[i, 17 + 2 * N_GROUPS + kind] = 1
             own[i, 6] = kind == 7

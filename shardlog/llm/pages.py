@@ -20,8 +20,19 @@ from shardlog.llm.dom import TOKENS, Page
 SAMPLE = 300  # pages whose paragraphs the made pages are built from, at most
 PARAGRAPHS = 40  # taken from one of them, each cut to LONGEST characters
 LONGEST = 1500
-MADE = 900  # pages made
-TREES, DEPTH, RATE, BINS, LEAST = 80, 5, 0.2, 32, 10
+MADE = 1600  # pages made
+TREES, DEPTH, RATE, BINS, LEAST = 120, 5, 0.2, 32, 5
+PART = 0.4  # of the features, tried by a tree
+
+
+# fixed values: tags that tell a part without any attribute
+MEANT = {"nav": ("nav",), "side": ("aside",), "foot": ("footer",), "head": ("header",), "form": ("form",), "body": ("article", "main")}
+
+
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Where bins meet: between the values if they are few, else at their quantiles, so rare marks keep a bin."""
+    own = np.unique(values)
+    return (own[1:] + own[:-1]) / 2 if len(own) <= BINS else np.unique(np.quantile(values, np.linspace(0, 1, BINS + 1)[1:-1]))
 
 
 class Boosted:
@@ -29,19 +40,20 @@ class Boosted:
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
         k = x.shape[1]
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(k)]
+        self.cuts = [_cuts(x[:, j]) for j in range(k)]
         binned = self._bins(x)
         share = (y.sum() + 1) / (len(y) + 2)
         self.base = float(np.log(share / (1 - share)))
         inner, leaves = (1 << DEPTH) - 1, 1 << DEPTH
         self.feature, self.cut = np.zeros((TREES, inner), np.int64), np.full((TREES, inner), BINS)
         self.value = np.zeros((TREES, leaves))
-        z = np.full(len(y), self.base)
+        z, rng = np.full(len(y), self.base), np.random.default_rng(11)
         for tree in range(TREES):
+            tried = np.flatnonzero(rng.random(k) < PART)
             p = 1 / (1 + np.exp(-z))
             g, h, place = y - p, p * (1 - p), np.zeros(len(y), np.int64)
             for level in range(DEPTH):
-                self._grow(tree, level, binned, g, h, place)
+                self._grow(tree, level, binned, g, h, place, tried)
                 place = self._down(tree, level, binned, place)
             sums = [np.bincount(place, w, minlength=leaves) for w in (g, h)]
             self.value[tree] = RATE * sums[0] / (sums[1] + 1)
@@ -50,10 +62,10 @@ class Boosted:
     def _bins(self, x: np.ndarray) -> np.ndarray:
         return np.stack([np.searchsorted(c, x[:, j], side="right") for j, c in enumerate(self.cuts)], axis=1).astype(np.int64)
 
-    def _grow(self, tree, level, binned, g, h, place) -> None:
+    def _grow(self, tree, level, binned, g, h, place, tried) -> None:
         nodes, first = 1 << level, (1 << level) - 1
         best = np.full(nodes, 1e-6)
-        for j in range(binned.shape[1]):
+        for j in tried:
             at = place * BINS + binned[:, j]
             left = [np.cumsum(np.bincount(at, w, minlength=nodes * BINS).reshape(nodes, BINS), axis=1) for w in (g, h, None)]
             (gl, hl, nl), (ga, ha, na) = left, (c[:, -1:] for c in left)
@@ -90,13 +102,15 @@ def made_page(rng: random.Random, material: list[list[str]]) -> str:
     def marked(kind: str, tags: str, often: float = 0.85) -> tuple[str, str]:
         tag = rng.choice(tags.split())
         words = TOKENS[kind].split()
-        name = rng.choice(["", "site-", "page-", "x_"]) + rng.choice(words) + rng.choice(["", "", "-box", "-wrap", "2"])
-        attrs = f' {rng.choice(["class", "id", "class"])}="{name}"' if rng.random() < often else ""
+        name = rng.choice(["", "", "site-", "page-", "x_"]) + rng.choice(words) + rng.choice(["", "", "", "-box", "-wrap", "2"])
+        if tag in MEANT.get(kind, ()):  # the tag says it all
+            often = 0.4
+        attrs = f' {rng.choice(["class", "id", "class", "role"])}="{name}"' if rng.random() < often else ""
         return tag, attrs
 
     def sentence(short: bool = True) -> str:
         text = rng.choice(rng.choice(material))
-        return " ".join(text.split()[: rng.randint(1, 14)]) if short else text
+        return " ".join(text.split()[: rng.choice([1, 2, 4, 8, 14])]) if short else text
 
     def links(n: int) -> str:
         items = [f'<a href="/{i}">{sentence()}</a>' if rng.random() < 0.5 else f'<a href="/{i}">{sentence().split(" ")[0]}</a>' for i in range(n)]
@@ -109,20 +123,20 @@ def made_page(rng: random.Random, material: list[list[str]]) -> str:
         if kind in ("nav", "share"):
             tag, attrs = marked(kind, "nav div ul section" if kind == "nav" else "div ul section", 0.8)
             attrs = attrs or (f' class="{kind}"' if tag != "nav" else "")
-            body = links(rng.randint(2, 9))
+            body = links(rng.randint(2, 9)) if rng.random() < 0.8 else sentence()
         elif kind == "form":
             tag, attrs = marked(kind, "form form div section")
             body = f"<label>{sentence()}</label><input name=q><button>{sentence()}</button>" + (f"<p>{sentence()}</p>" if rng.random() < 0.6 else "")
             body = body if tag == "form" else f"<form>{body}</form>"
         elif kind == "comment":
             tag, attrs = marked(kind, "div section ol ul", 1.0)
-            each = ["<p>" + sentence(rng.random() < 0.4) + "</p>" for _ in range(rng.randint(1, 6))]
+            each = [rng.choice(["<p>{}</p>", "{}"]).format(sentence(rng.random() < 0.3)) for _ in range(rng.randint(1, 6))]
             inner, ia = ("li", "") if tag in ("ol", "ul") else marked(kind, "div article div", 0.7)
             body = (f"<h3>{sentence()}</h3>" if rng.random() < 0.6 and tag not in ("ol", "ul") else "") + "".join(f"<{inner}{ia}>{c}</{inner}>" for c in each)
         elif kind == "side":
             tag, attrs = marked(kind, "aside div section")
             attrs = attrs or (' class="sidebar"' if tag != "aside" else "")
-            body = rng.choice([f"<h4>{sentence()}</h4>", ""]) + rng.choice([links(rng.randint(2, 7)), f"<p>{sentence(False)}</p>", f"<p>{sentence()}</p>"])
+            body = rng.choice([f"<h4>{sentence()}</h4>", ""]) + rng.choice([links(rng.randint(2, 7)), f"<p>{sentence(False)}</p>", sentence(False), f"<p>{sentence()}</p>"])
         elif kind == "foot":
             tag, attrs = marked(kind, "footer footer div")
             attrs = attrs or (' class="footer"' if tag != "footer" else "")
@@ -130,10 +144,10 @@ def made_page(rng: random.Random, material: list[list[str]]) -> str:
         elif kind == "head":
             tag, attrs = marked(kind, "header header div")
             attrs = attrs or (' class="header"' if tag != "header" else "")
-            body = rng.choice([sentence(), f"<p>{sentence()}</p>", f"<h1>{sentence()}</h1>", f"<div>{sentence()}</div>"]) + rng.choice(["", links(4)])
+            body = rng.choice([sentence(), f"<p>{sentence()}</p>", f"<h1>{sentence()}</h1><p>{sentence(False)}</p>", f"<h1>{sentence()}</h1>", f"<div>{sentence()}</div>"]) + rng.choice(["", links(4)])
         else:  # adverts and notices
             tag, attrs = marked(kind, "div div section p aside", 1.0)
-            text = sentence(rng.random() < 0.6)
+            text = sentence(rng.random() < 0.4)
             body = text if tag == "p" else rng.choice([text, f"<p>{text}</p>", f"{text}<a href=x>{sentence()}</a>", f"<p>{text}</p><button>{sentence()}</button>"])
         return f'<{tag}{attrs} data-main="0">{body}</{tag}>'
 
@@ -141,7 +155,7 @@ def made_page(rng: random.Random, material: list[list[str]]) -> str:
         return [aside(rng.choice(kinds.split())) for _ in range(rng.randint(0, most))]
 
     parts = []
-    texts = rng.choice(material)[: rng.choice([1, 2, 3, PARAGRAPHS, PARAGRAPHS, PARAGRAPHS])]
+    texts = rng.choice(material)[: rng.choice([1, 1, 2, 3, 5, PARAGRAPHS])]
     if rng.random() < 0.15:
         texts = [sentence() for _ in texts[:3]]
     plain = rng.random() < 0.4
@@ -161,13 +175,13 @@ def made_page(rng: random.Random, material: list[list[str]]) -> str:
             parts.append(f"<figure><img src=x><figcaption>{sentence()}</figcaption></figure>")
         else:
             parts.append(rng.choice([f"<div>{text}</div>", f"<p>{text} <a href=y>{sentence()}</a> {sentence()}</p>", f"<section><h3>{sentence()}</h3><p>{text}</p></section>"]))
-    for extra in some("ad ad share notice side form nav comment", 0 if plain else 2):
+    for extra in some("ad ad share notice side side form nav comment head foot", 0 if plain else 3):
         parts.insert(rng.randint(0, len(parts)), extra)
     if rng.random() < 0.75:
         title = " ".join(texts[0].split()[:12]) if rng.random() < 0.5 else sentence()
         parts.insert(0, f"<h1>{title}</h1>")
     tag, attrs = marked("body", "article article main div div section", 0.6)
-    main = f'<{tag}{attrs} data-main="1">{"".join(parts)}{aside("comment") if rng.random() < 0.15 else ""}</{tag}>'
+    main = f'<{tag}{attrs} data-main="1">{"".join(parts)}{aside("comment") if rng.random() < 0.2 else ""}</{tag}>'
     if rng.random() < 0.3:
         outer, more = marked("body", "div main section", 0.5)
         main = f"<{outer}{more}>{main}{''.join(some('side ad comment share', 2))}</{outer}>"
