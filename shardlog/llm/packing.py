@@ -5,6 +5,8 @@ digit of the rest. A piece is a sequence of its own, so none crosses documents,
 lengths form one bucket for training batches of one shape.
 """
 
+import re
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,49 +18,68 @@ from tokenizers import Tokenizer
 
 LENGTH = 2048
 END = 1  # the id that closes a document
-REMEMBERED = 250_000  # words whose ids a task keeps, in each of two generations
+REMEMBERED = 400_000  # parts of texts whose ids a task keeps in each of two generations
 LONGEST = 64  # letters of a word that is kept
 FLUSH = 1 << 20  # tokens in one returned batch, about
 # fixed values: split as white space by str.split, but not by the tokenizer
 NOT_BLANK = "\x1c\x1d\x1e\x1f"
+# fixed values: how the tokenizer divides a lower-case text; texts of ASCII and western letters need no other step
+PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
+ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+# bytes that cannot be shown stand for themselves 256 places and more further on, in order
+HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN)}
+
+
+class Recent(dict):
+    """What was met lately, in two generations: when the younger is full, the older is forgotten."""
+
+    def __init__(self, made, most: int):
+        super().__init__()
+        self.made, self.most, self.old = made, most, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key)
+        if value is None:
+            value = self.made(key)
+        if len(key) <= LONGEST:
+            if len(self) >= self.most:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordTokenizer:
-    """Ids of whole texts from the ids of their words.
+    """Ids of whole texts from the ids of their parts.
 
-    The tokenizer drops white space and never joins across it, so a text's ids are those
-    of its words one after another. Words seen lately are kept: when a generation is full
-    the older one is forgotten, which bounds memory for any corpus.
+    The tokenizer drops white space, lower-cases and divides a text into parts that its
+    merge table takes one by one. A text of plain characters is divided here in the same
+    way; any other goes through the whole tokenizer word by word. Lately met parts and
+    words are kept, in bounded numbers.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.merges = self.tokenizer.model
+        self.parts = Recent(self._part, REMEMBERED)
+        self.words = Recent(self._whole, REMEMBERED // 4)
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _direct(self, texts: list[str]) -> list[bytes]:
-        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+    def _part(self, part: str) -> bytes:
+        """``part``: lower-case letters, a digit, a run of signs or a short ending."""
+        tokens = self.merges.tokenize(part if part.isascii() else part.encode().decode("latin-1").translate(SHOWN))
+        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if not ODD.search(text) and "<|" not in text:
+            return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
         if any(c in text for c in NOT_BLANK):
-            return self._direct([text])[0]
-        words = text.split()
-        young = self.young
-        if missing := set(words).difference(young):
-            for word in missing.intersection(self.old):
-                young[word] = self.old[word]
-            new = list(missing.difference(self.old))
-            found = dict(zip(new, self._direct(new), strict=True))
-            if any(len(w) > LONGEST for w in new):
-                young = young | found  # for this text only
-                found = {w: i for w, i in found.items() if len(w) <= LONGEST}
-            self.young.update(found)
-        ids = b"".join(map(young.__getitem__, words))
-        if len(self.young) > REMEMBERED:
-            self.young, self.old = {}, self.young
-        return ids
+            return self._whole(text)
+        return b"".join(map(self.words.__getitem__, text.split()))
 
 
 @lru_cache(maxsize=1)
