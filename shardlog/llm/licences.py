@@ -13,21 +13,16 @@ from shardlog.workdir import materialised
 
 # fixed values: lines that name a holder, not terms
 COPYRIGHT = r"(?md)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
-# fixed values: spellings and words that count as equal, applied in this order to lower-case words
+# fixed values: spellings and words that count as equal, replaced in this order in lower-case words between blanks
 EQUIVALENT = (
-    (r"\bhttps\b", "http"),
-    (r"licence", "license"),
-    (r"\b(behavi|fav|hon|lab|col)our", "$1or"),
-    (r"\b(authori|initiali|organi|recogni|utili|merchandi)s(e|ed|es|ing|ation|ations)\b", "$1z$2"),
-    (r"\bsub licens", "sublicens"),
-    (r"\bnon (commercial|infringement|exclusive)", "non$1"),
-    (r"\bcopyright holder(s?)\b", "copyright owner$1"),
-    (r"\bjudgement", "judgment"),
-    (r"\bcentre\b", "center"),
-    (r"\bwhilst\b", "while"),
-    (r"\bfulfil\b", "fulfill"),
-    (r"\bversion (\d)", "v$1"),
-)
+    ("https", "http"), ("licence", "license"), ("behaviour", "behavior"), ("colour", "color"), ("favour", "favor"),
+    ("honour", "honor"), ("labour", "labor"), ("authoris", "authoriz"), ("initialis", "initializ"), ("organis", "organiz"),
+    ("recognis", "recogniz"), ("utilis", "utiliz"), ("merchandis", "merchandiz"), (" sub licens", " sublicens"),
+    (" non commercial", " noncommercial"), (" non infringement", " noninfringement"), (" non exclusive", " nonexclusive"),
+    (" copyright holder", " copyright owner"), ("judgement", "judgment"), (" centre ", " center "), (" whilst ", " while "),
+    (" fulfil ", " fulfill "),
+)
+VERSION = (r" version (\d)", " v$1")
 # fixed values: texts of licences and the notices that grant them
 KNOWN = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
@@ -71,28 +66,45 @@ THIS SOFTWARE."""),
 )
 
 
-def canonical(text: Column) -> Column:
-    """A text's words as they count: lower case, equivalent spellings, one blank between words.
+def canonicals(texts: Column) -> Column:
+    """The words of each text of an array as they count: lower case, equivalent spellings, one blank between.
 
     Copyright lines go first, then everything but letters and digits. A text without words
-    is empty.
+    is empty. Each step is a pass of its own over the array, so that none of them is
+    computed more than once.
     """
-    made = F.regexp_replace(F.lower(text), COPYRIGHT, " ")
-    made = F.trim(F.regexp_replace(made, r"[^\p{L}\p{N}]+", " "))
-    for pattern, put in EQUIVALENT:
-        made = F.regexp_replace(made, pattern, put)
-    return made
+
+    def without_holders(x: Column) -> Column:
+        named = x.contains("copyright") | x.contains("(c)") | x.contains("©") | x.contains("all rights")
+        return F.when(named, F.regexp_replace(x, COPYRIGHT, " ")).otherwise(x)
+
+    def equal_spellings(x: Column) -> Column:
+        made = F.concat(F.lit(" "), F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+        for variant, put in EQUIVALENT:
+            made = F.replace(made, F.lit(variant), F.lit(put))
+        return made
+
+    def short_versions(x: Column) -> Column:
+        return F.trim(F.when(x.contains(" version "), F.regexp_replace(x, *VERSION)).otherwise(x))
+
+    for step in (F.lower, without_holders, equal_spellings, short_versions):
+        texts = F.transform(texts, step)
+    return texts
+
+
+def canonical(text: Column) -> Column:
+    return F.get(canonicals(F.array(text)), F.lit(0))
 
 
-def digest(canonical_text: Column) -> Column:
-    """The name of a canonical text; null for one without words, which is no licence."""
-    return F.when(canonical_text != "", F.unhex(F.sha2(canonical_text.cast("binary"), 256)))
+def digests(texts: Column) -> Column:
+    """The name of each canonical text of an array; null for one without words, which is no licence."""
+    return F.transform(canonicals(texts), lambda x: F.when(x != "", F.unhex(F.sha2(x.cast("binary"), 256))))
 
 
 def known_digests(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN) -> DataFrame:
     """``(digest, license)`` of the known texts; of names with one digest the first."""
     rows = spark.createDataFrame(list(known), "license string, text string")
-    named = rows.select(digest(canonical(F.col("text"))).alias("digest"), "license").where("digest is not null")
+    named = rows.select(F.get(digests(F.array("text")), F.lit(0)).alias("digest"), "license").where("digest is not null")
     return materialised(named.groupBy("digest").agg(F.min("license").alias("license")), "licences")
 
 
@@ -106,19 +118,23 @@ def licences(documents: DataFrame, known: DataFrame, text: str = "text", key: st
     scanned each.
     """
     rows = documents.select(documents[key].alias("doc_id"), text_of(documents[text]).alias("text"))
-    of_lines = F.filter(F.transform(F.split("text", "\n"), lambda x: digest(canonical(x))), lambda x: x.isNotNull())
-    digests = rows.select(
-        F.monotonically_increasing_id().alias("n"), "doc_id", digest(canonical(F.col("text"))).alias("digest"), of_lines.alias("lines")
+    # the whole text first, then its lines
+    pieces = digests(F.concat(F.array("text"), F.split("text", "\n")))
+    found = rows.select("doc_id", pieces.alias("digests")).select(
+        F.monotonically_increasing_id().alias("n"),
+        "doc_id",
+        F.get("digests", F.lit(0)).alias("digest"),
+        F.filter("digests", lambda x, i: (i > 0) & x.isNotNull()).alias("lines"),
     )
-    digests = materialised(digests, "digests")  # the numbers have to stay as they are for the joins
+    found = materialised(found, "digests")  # the numbers have to stay as they are for the joins
     lines = (
-        digests.select("n", F.explode("lines").alias("digest"))
+        found.select("n", F.explode("lines").alias("digest"))
         .join(known, "digest")
         .groupBy("n")
         .agg(F.array_join(F.array_sort(F.collect_set("license")), ",").alias("line_licenses"), F.count(F.lit(1)).alias("n_license_lines"))
     )
     return (
-        digests.select("n", "doc_id", "digest")
+        found.select("n", "doc_id", "digest")
         .join(known, "digest", "left")
         .join(lines, "n", "left")
         .select(

@@ -98,10 +98,11 @@ def quality_rules() -> str:
 def license_scan() -> str:
     def canonical(text: str) -> str:
         made = f"regexp_replace(lower({text}), {_quoted(licences.COPYRIGHT.replace('(?md)', '(?m)'))}, ' ', 'g')"
-        made = rf"trim(regexp_replace({made}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
-        for pattern, put in licences.EQUIVALENT:
-            made = f"regexp_replace({made}, {_quoted(pattern)}, {_quoted(put.replace('$', chr(92)))}, 'g')"
-        return made
+        made = rf"(' ' || regexp_replace({made}, '[^\p{{L}}\p{{N}}]+', ' ', 'g') || ' ')"
+        for variant, put in licences.EQUIVALENT:
+            made = f"replace({made}, {_quoted(variant)}, {_quoted(put)})"
+        pattern, put = licences.VERSION
+        return f"trim(regexp_replace({made}, {_quoted(pattern)}, {_quoted(put.replace('$', chr(92)))}, 'g'))"
 
     rows = ", ".join(f"({_quoted(name)}, {_quoted(text)})" for name, text in licences.KNOWN)
     return f"""
