@@ -232,6 +232,12 @@ def retrieve_unnumbered(spark, sf):
     return found.select(*SHARD_KEYS, "sequence_number", "error_message")
 
 
+def conversation_progress(spark, sf):
+    """How far each shard of the conversations goes, when all are read from their first hundred on."""
+    turns = tables.conversation_records(spark, sf)
+    return progress(positions.from_sequence(turns, "100000000"))
+
+
 def retrieve_next(spark, sf):
     records = tables.event_records(spark, sf)
     left = positions.read_from_positions(records, tables.positions(spark))
@@ -293,6 +299,7 @@ QUERIES = {
     "drop_rare_replays": drop_rare_replays_query,
     "retrieve_next": retrieve_next,
     "retrieve_unnumbered": retrieve_unnumbered,
+    "conversation_progress": conversation_progress,
     "log_positions_per_user": log_positions_per_user,
     "resume_per_user": resume_per_user,
     "retrieve_fn": retrieve_fn,
@@ -376,6 +383,10 @@ FROM rec GROUP BY stream, shard_id""",
   UNION ALL SELECT stream, shard_id, event_id, 'cannot read', 0 FROM rec WHERE event_id % 7 = 3)
 SELECT stream, shard_id, CAST(event_id AS VARCHAR) AS sequence_number, error_message FROM offered
 QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id, rank) = 1""",
+    "conversation_progress": """
+SELECT role AS stream, 'shardId-' || lpad(CAST(conv_id % 4 AS VARCHAR), 12, '0') AS shard_id,
+  count(*) AS n_messages, CAST(max(conv_id * 1000000 + turn) AS VARCHAR) AS checkpoint
+FROM conversations WHERE conv_id >= 100 GROUP BY 1, 2""",
     "log_positions_per_user": f"""{REC}
 SELECT stream, 'user ' || user_id AS shard_id, sequence_number, partition_key, payload FROM rec WHERE event_id > 40 * user_id""",
     "resume_per_user": f"""{REC}, saved AS (

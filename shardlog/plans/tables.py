@@ -78,6 +78,14 @@ def document_records(spark: SparkSession, sf: str) -> DataFrame:
     return records_from(docs, F.col("source"), F.col("doc_id"), F.col("doc_id"), F.col("text"), start)
 
 
+def conversation_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns of conversations in order, one stream per role."""
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    number = F.col("conv_id") * 1_000_000 + F.col("turn")
+    start = F.lit("2024-01-01").cast("timestamp")
+    return records_from(turns, F.col("role"), number, F.col("conv_id"), F.col("text"), start)
+
+
 def positions(spark: SparkSession) -> DataFrame:
     """A different start position for each of the four event shards."""
     return spark.sql(
