@@ -233,9 +233,9 @@ def retrieve_unnumbered(spark, sf):
 
 
 def conversation_progress(spark, sf):
-    """How far each shard of the conversations goes, when all are read from their first hundred on."""
+    """How far each shard of the conversations goes, when all are read from the tenth on."""
     turns = tables.conversation_records(spark, sf)
-    return progress(positions.from_sequence(turns, "100000000"))
+    return progress(positions.from_sequence(turns, "10000000"))
 
 
 def retrieve_next(spark, sf):
@@ -386,7 +386,7 @@ QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id, rank) = 1"""
     "conversation_progress": """
 SELECT role AS stream, 'shardId-' || lpad(CAST(conv_id % 4 AS VARCHAR), 12, '0') AS shard_id,
   count(*) AS n_messages, CAST(max(conv_id * 1000000 + turn) AS VARCHAR) AS checkpoint
-FROM conversations WHERE conv_id >= 100 GROUP BY 1, 2""",
+FROM conversations WHERE conv_id >= 10 GROUP BY 1, 2""",
     "log_positions_per_user": f"""{REC}
 SELECT stream, 'user ' || user_id AS shard_id, sequence_number, partition_key, payload FROM rec WHERE event_id > 40 * user_id""",
     "resume_per_user": f"""{REC}, saved AS (
