@@ -9,14 +9,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardlog.llm.common import text_of
 from shardlog.workdir import materialised
 
-SAMPLE = 2000  # documents of a language that its filter is filled from, at most
+SAMPLE = 2000  # documents of a language that its filter is filled from, give or take a few hundred
 SLOTS = 20  # as a power of two
 SIZES = (3, 4)  # of n-grams, in characters
 SHARE = 0.01  # of its sampled documents in which an n-gram must occur to belong to a language
@@ -62,14 +62,17 @@ def slots_of(number: np.ndarray) -> list[np.ndarray]:
 class Filters:
     """The filters of all languages in ``rows (lang, text, h)``.
 
-    Of each language at most ``sample`` documents are taken, those with the smallest ``h``.
+    Of each language about ``sample`` documents are taken (all, if it has no more): the
+    share of them whose hash ``h`` is low enough, so that no texts have to be brought together.
     An n-gram belongs to it when at least ``SHARE`` of them, and two, have it. The slots are
-    combined by Spark; the driver gets at most one row for each slot and 32 languages.
+    combined by Spark; the driver gets at most one row for each slot and 32 languages, and
+    the names of the languages, which are as few as the world's.
     """
 
     def __init__(self, rows: DataFrame, sample: int = SAMPLE):
-        order = Window.partitionBy("lang").orderBy("h")
-        chosen = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= sample).select("lang", "text")
+        known = materialised(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("known")), "languages")
+        share = F.shiftrightunsigned("h", 11) / float(1 << 53)
+        chosen = rows.join(known, "lang").where(share <= sample / F.col("known")).select("lang", "text")
         chosen = materialised(chosen, "sample")
         sizes = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
         self.languages = sorted(r.lang for r in sizes.select("lang").collect())
@@ -83,7 +86,7 @@ class Filters:
 
         counted = chosen.mapInArrow(distinct, "lang string, gram long").groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
         least = F.greatest(F.lit(2), F.ceil(SHARE * F.col("docs")))
-        own = counted.join(F.broadcast(sizes), "lang").where((F.col("n") >= least) | (F.col("n") == F.col("docs"))).select("lang", "gram")
+        own = counted.join(sizes, "lang").where((F.col("n") >= least) | (F.col("n") == F.col("docs"))).select("lang", "gram")
 
         def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -94,8 +97,8 @@ class Filters:
 
         filled = own.mapInArrow(placed, "slot long, word long, bits long").groupBy("slot", "word").agg(F.bit_or("bits").alias("bits"))
         self.table = np.zeros((-(-max(1, len(self.languages)) // WORD), 1 << SLOTS), np.uint32)
-        for slot, word, bits in filled.collect():
-            self.table[word, slot] = bits
+        filled = filled.toPandas()
+        self.table[filled["word"], filled["slot"]] = filled["bits"]
         full = [np.mean(self.table[i // WORD] >> np.uint32(i % WORD) & 1) for i in range(len(self.languages))]
         self.chance = np.array(full) ** len(MIX)
 
