@@ -199,8 +199,8 @@ def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Add
     """
     marks = labels.where("quality is not null and doc_id is not null")
     chosen = marks.select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).orderBy("h", "quality").limit(sample)
-    rows = documents.join(F.broadcast(chosen), "doc_id").orderBy("h", "doc_id", "quality").limit(sample)
-    found: pd.DataFrame = _described(rows.select("quality", text_of(F.col("text")).alias("text"))).toPandas()
+    rows = documents.join(F.broadcast(chosen), "doc_id").select("h", "quality", text_of(F.col("text")).alias("text"))
+    found: pd.DataFrame = _described(rows).orderBy("h", "quality", "x").limit(sample).select("quality", "x").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, len(NAMES))
     return Additive(x, (found["quality"].to_numpy() == 1).astype(float))
 
