@@ -8,7 +8,6 @@ the domains' expected tokens, rate times tokens times posterior, match the targe
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,8 @@ from shardlog.workdir import materialised
 SURE = 2.5  # deviations from which a word's odds count
 SAMPLE = 20_000  # labelled documents that the classifier is fitted on, at most
 FEATURES = 1 << 14  # hashed words
-REMEMBERED = 300_000  # words whose features a task keeps at once
-ROUNDS = 60  # gradient steps, at most; a round reads the posteriors once
+REMEMBERED = 100_000  # words whose features a task keeps at once
+ROUNDS = 30  # of gradient steps, at most; a round reads the posteriors once
 CLOSE = 1e-5  # largest distance of a domain's share from its target at which the steps end
 
 
@@ -38,7 +37,7 @@ class Features:
     """Hashed words, and each word's kinds of characters, which tell markup and shouting."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple[int, int]] = {}
+        self.known: dict[str, int] = {}
 
     def of(self, text: str) -> np.ndarray:
         words = text.split()
@@ -47,8 +46,9 @@ class Features:
         known = self.known
         for word in set(words).difference(known):
             shape = re.sub("[a-z]+", "x", re.sub("[A-Z]", "X", word))
-            known[word] = (zlib.crc32(word.encode()) % FEATURES, zlib.crc32(b"1" + shape.encode()) % FEATURES)
-        return np.fromiter(chain.from_iterable(map(known.__getitem__, words)), np.int64, 2 * len(words))
+            known[word] = zlib.crc32(word.encode()) % FEATURES * FEATURES + zlib.crc32(b"1" + shape.encode()) % FEATURES
+        both = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+        return np.concatenate([both // FEATURES, both % FEATURES])
 
 
 class Posteriors:
@@ -135,9 +135,10 @@ class Posteriors:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             features = Features()
             for batch in batches:
-                found = [features.of(t.as_py()) for t in batch.column(text)]
-                tokens = np.array([len(f) // 2 for f in found], np.int64)
-                scores = np.array([self.scores(f) for f in found]).reshape(-1, len(self.middle))
+                scores, tokens = np.zeros((batch.num_rows, len(self.middle))), np.zeros(batch.num_rows, np.int64)
+                for i, t in enumerate(batch.column(text)):
+                    found = features.of(t.as_py())
+                    scores[i], tokens[i] = self.scores(found), len(found) // 2
                 columns = [*(batch.column(k) for k in keys), pa.array(tokens), pa.array(list(self(scores)), pa.list_(pa.float64()))]
                 yield pa.RecordBatch.from_arrays(columns, names=[*keys, "tokens", "p"])
 
@@ -163,42 +164,46 @@ def _matrix(batch: pa.RecordBatch, n: int) -> np.ndarray:
 def fitted(posteriors: DataFrame, targets: list[float], rounds: int = ROUNDS) -> np.ndarray:
     """The gradient steps; a document's rate follows from them and its own posterior.
 
-    With e the shares' distance from the targets and H the token-weighted mean of p p',
-    each step is H^-1 e, and a rate becomes max(0, rate - p . step): projected gradient
-    with step length 1 on the squares of e in the metric of H, from rates of 1. Only sums
-    over all documents, a few numbers for each task, reach the driver.
+    With e the shares' distance from the targets and H the token-weighted sum of p p' over
+    documents whose rate is not zero, a step is H^-1 e, and a rate becomes
+    max(0, rate - p . step): projected gradient, from rates of 1, on the squares of e in
+    the metric of H. A step after which e is larger is halved. One pass a round gives e and
+    H; only sums, a few numbers for each task, reach the driver.
     """
     n = len(targets)
     goal = np.array(targets, float) / sum(targets)
+    size = n + n * n + 1
 
-    def summed(steps: np.ndarray, squares: bool) -> np.ndarray:
-        size = n * n + 1 if squares else n
-
+    def summed(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size)
             for batch in batches:
                 p, t = _matrix(batch, n), np.asarray(batch.column("tokens"), float)
-                if squares:
-                    total += np.append((p * t[:, None]).T @ p, t.sum())
-                else:
-                    total += (_rates(p, steps) * t) @ p
+                rate = _rates(p, steps)
+                total[:n] += (rate * t) @ p
+                total[n:-1] += ((p * (t * (rate > 0))[:, None]).T @ p).ravel()
+                total[-1] += t.sum()
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=[f"s{i}" for i in range(size)])
 
         parts = posteriors.select("tokens", "p").mapInArrow(run, ", ".join(f"s{i} double" for i in range(size)))
-        return np.array([x or 0.0 for x in parts.agg(*(F.sum(f"s{i}") for i in range(size))).first()])
-
-    *h, tokens = summed(np.zeros((0, n)), True)
-    steps = np.zeros((0, n))
-    if not tokens:
-        return steps
-    metric = np.linalg.inv(np.array(h).reshape(n, n) / tokens + 1e-9 * np.eye(n))
-    before = np.inf
+        sums = np.array([x or 0.0 for x in parts.agg(*(F.sum(f"s{i}") for i in range(size))).first()])
+        tokens = max(sums[-1], 1.0)
+        return sums[:n] / tokens - goal, sums[n:-1].reshape(n, n) / tokens, sums[-1]
+
+    steps, before, metric = np.zeros((0, n)), np.inf, np.eye(n)
     for _ in range(rounds):
-        error = summed(steps, False) / tokens - goal
-        now = float(error @ metric @ error)
-        if np.abs(error).max() < CLOSE or now > before * (1 - 1e-6):
+        error, squares, tokens = summed(steps)
+        if not tokens or np.abs(error).max() < CLOSE:
             break
-        before, steps = now, np.vstack([steps, metric @ error])
+        if not len(steps):
+            metric = np.linalg.inv(squares + 1e-9 * np.eye(n))
+        now = float(error @ metric @ error)
+        if now < before:
+            if now > 0.999 * before:
+                break
+            before, steps = now, np.vstack([steps, np.linalg.inv(squares + 1e-9 * np.eye(n)) @ error])
+        else:
+            steps[-1] /= 2
     return steps
 
 
