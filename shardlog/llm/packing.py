@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 
 LENGTH = 2048
 END = 1  # the id that closes a document
-REMEMBERED = 400_000  # parts of texts whose ids a task keeps in each of two generations
+REMEMBERED = 200_000  # parts of texts whose ids a task keeps in each of two generations
 LONGEST = 64  # letters of a word that is kept
 FLUSH = 1 << 20  # tokens in one returned batch, about
 # fixed values: split as white space by str.split, but not by the tokenizer
