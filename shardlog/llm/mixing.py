@@ -1,13 +1,16 @@
 """Mixing to target weights by soft membership.
 
 A classifier fitted on a labelled table gives every document a posterior over domains.
-Non-negative rates for the documents are then fitted by projected gradient steps, so that
-the domains' expected tokens, rate times tokens times posterior, match the targets.
+Non-negative rates for the documents are then fitted by least squares with a ridge towards
+rates of 1, so that the domains' expected tokens, rate times tokens times posterior, match
+the targets, or come as near to them as the documents allow.
 """
 
+import logging
 import re
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +26,10 @@ SURE = 2.5  # deviations from which a word's odds count
 SAMPLE = 20_000  # labelled documents that the classifier is fitted on, at most
 FEATURES = 1 << 14  # hashed words
 REMEMBERED = 100_000  # words whose features a task keeps at once
-ROUNDS = 30  # of gradient steps, at most; a round reads the posteriors once
-CLOSE = 1e-5  # largest distance of a domain's share from its target at which the steps end
+ROUNDS = 60  # of Newton's method, at most; a round reads the posteriors once
+CLOSE = 1e-5  # largest gradient, in shares of tokens, at which the rounds end
+RIDGE = 1e-4  # weight of the rates' distance from 1, beside that of the shares from the targets
+FAR = 0.005  # distance of a share from its target that is logged
 
 
 def labelled(labels: DataFrame) -> DataFrame:
@@ -150,70 +155,86 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
-def _rates(p: np.ndarray, steps: np.ndarray) -> np.ndarray:
-    rate = np.ones(len(p))
-    for step in steps:
-        rate = np.maximum(0.0, rate - p @ step)
-    return rate
+def _rates(p: np.ndarray, pull: np.ndarray) -> np.ndarray:
+    return np.maximum(0.0, 1.0 - p @ pull)
 
 
 def _matrix(batch: pa.RecordBatch, n: int) -> np.ndarray:
     return np.asarray(batch.column("p").flatten(), float).reshape(-1, n)
 
 
-def fitted(posteriors: DataFrame, targets: list[float], rounds: int = ROUNDS) -> np.ndarray:
-    """The gradient steps; a document's rate follows from them and its own posterior.
+class Fit(NamedTuple):
+    """``pull`` gives the rates, max(0, 1 - p . pull); ``error`` is what each domain's share is above its target."""
+
+    pull: np.ndarray
+    error: np.ndarray
+
+
+def fit(posteriors: DataFrame, targets: list[float], rounds: int = ROUNDS) -> Fit:
+    """The rates that minimise |e|^2 + ``RIDGE`` * sum(tokens (rate - 1)^2) / sum(tokens), and the e that remains.
 
-    With e the shares' distance from the targets and H the token-weighted sum of p p' over
-    documents whose rate is not zero, a step is H^-1 e, and a rate becomes
-    max(0, rate - p . step): projected gradient, from rates of 1, on the squares of e in
-    the metric of H. A step after which e is larger is halved. One pass a round gives e and
-    H; only sums, a few numbers for each task, reach the driver.
+    e is the distance of the domains' shares of the tokens from the targets. Where targets
+    can be met, the ridge leaves them off by about ``RIDGE`` over the domain's squared
+    posteriors. Where they cannot, as in a domain that has no documents, it keeps the rates
+    near 1 instead of raising whatever has the largest of the small posteriors. At the
+    least, a rate is max(0, 1 - p . e / RIDGE), so Newton's method with halved steps looks
+    for the few numbers e / RIDGE only. One pass a round gives the value, its slope and its
+    curvature; only sums, a few numbers for each task, reach the driver.
     """
     n = len(targets)
     goal = np.array(targets, float) / sum(targets)
-    size = n + n * n + 1
+    size = n + n * n + 2
 
-    def summed(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    def summed(pull: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(size)
             for batch in batches:
                 p, t = _matrix(batch, n), np.asarray(batch.column("tokens"), float)
-                rate = _rates(p, steps)
+                rate = _rates(p, pull)
                 total[:n] += (rate * t) @ p
-                total[n:-1] += ((p * (t * (rate > 0))[:, None]).T @ p).ravel()
-                total[-1] += t.sum()
+                total[n:-2] += ((p * (t * (rate > 0))[:, None]).T @ p).ravel()
+                total[-2:] += (t * rate * rate).sum(), t.sum()
             yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], names=[f"s{i}" for i in range(size)])
 
         parts = posteriors.select("tokens", "p").mapInArrow(run, ", ".join(f"s{i} double" for i in range(size)))
         sums = np.array([x or 0.0 for x in parts.agg(*(F.sum(f"s{i}") for i in range(size))).first()])
-        tokens = max(sums[-1], 1.0)
-        return sums[:n] / tokens - goal, sums[n:-1].reshape(n, n) / tokens, sums[-1]
-
-    steps, before, metric = np.zeros((0, n)), np.inf, np.eye(n)
-    for _ in range(rounds):
-        error, squares, tokens = summed(steps)
-        if not tokens or np.abs(error).max() < CLOSE:
+        sums /= max(sums[-1], 1.0)
+        error = sums[:n] - goal
+        value = float(RIDGE / 2 * pull @ pull + sums[-2] / 2 + goal @ pull)
+        return value, error, RIDGE * pull - error, RIDGE * np.eye(n) + sums[n:-2].reshape(n, n)
+
+    pull = np.zeros(n)
+    value, error, slope, curve = summed(pull)
+    if not curve.trace() > RIDGE * n:  # no tokens
+        return Fit(pull, error)
+    step, part = -np.linalg.solve(curve, slope), 1.0
+    for _ in range(rounds - 1):
+        if np.abs(slope).max() < CLOSE:
             break
-        if not len(steps):
-            metric = np.linalg.inv(squares + 1e-9 * np.eye(n))
-        now = float(error @ metric @ error)
-        if now < before:
-            if now > 0.999 * before:
-                break
-            before, steps = now, np.vstack([steps, np.linalg.inv(squares + 1e-9 * np.eye(n)) @ error])
+        tried = summed(pull + part * step)
+        if tried[0] <= value + 1e-4 * part * float(slope @ step) + 1e-13:
+            pull = pull + part * step
+            value, error, slope, curve = tried
+            step, part = -np.linalg.solve(curve, slope), 1.0
         else:
-            steps[-1] /= 2
-    return steps
+            part /= 2
+    if np.abs(error).max() > FAR:
+        logging.getLogger(__name__).warning("shares of tokens above the targets after mixing: %s", error.round(4).tolist())
+    return Fit(pull, error)
+
+
+def fitted(posteriors: DataFrame, targets: list[float], rounds: int = ROUNDS) -> np.ndarray:
+    """What ``rated`` takes; a document's rate follows from it and its own posterior."""
+    return fit(posteriors, targets, rounds).pull
 
 
-def rated(posteriors: DataFrame, steps: np.ndarray, n: int) -> DataFrame:
+def rated(posteriors: DataFrame, pull: np.ndarray, n: int) -> DataFrame:
     """``posteriors`` with each document's ``rate``."""
     keys = posteriors.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate = _rates(_matrix(batch, n), steps)
+            rate = _rates(_matrix(batch, n), pull)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate)], names=[*keys, "rate"])
 
     return posteriors.mapInArrow(run, T.StructType([*posteriors.schema.fields, T.StructField("rate", T.DoubleType())]))
@@ -230,13 +251,13 @@ def mixture(documents: DataFrame, labels: DataFrame, targets: dict[str, float])
 
     ``labels`` has ``(doc_id, domain)``. Null and empty texts have no tokens and the
     posterior of a text without words. Repeated rows are rated each. An empty table gives
-    no rows.
+    no rows. A domain without documents keeps its target unmet; ``fit`` returns by how much.
     """
     model = Posteriors(documents, labels, list(targets))
     rows = documents.select(documents["doc_id"].alias("doc_id"), text_of(documents["text"]).alias("text"))
     posteriors = materialised(model.applied(rows, "text"), "posteriors")
-    steps = fitted(posteriors, list(targets.values()))
-    return with_copies(rated(posteriors, steps, len(targets)), "doc_id")
+    pull = fitted(posteriors, list(targets.values()))
+    return with_copies(rated(posteriors, pull, len(targets)), "doc_id")
 
 
 def mixed(documents: DataFrame, labels: DataFrame, targets: dict[str, float]) -> DataFrame:
@@ -245,8 +266,8 @@ def mixed(documents: DataFrame, labels: DataFrame, targets: dict[str, float]) ->
     store = rowstore.stored(documents, "mix")
     rows = store.select("chunk", "pos", store["row"]["doc_id"].alias("doc_id"), text_of(store["row"]["text"]).alias("text"))
     posteriors = materialised(model.applied(rows, "text"), "posteriors")
-    steps = fitted(posteriors, list(targets.values()))
-    copies = with_copies(rated(posteriors, steps, len(targets)), "doc_id", "chunk", "pos")
+    pull = fitted(posteriors, list(targets.values()))
+    copies = with_copies(rated(posteriors, pull, len(targets)), "doc_id", "chunk", "pos")
     decided = rowstore.by_chunk(copies.select("chunk", "pos", F.col("copies").alias("value")))
     often = rowstore.with_value(store, decided, "copies").where("copies > 0")
     return rowstore.rows_of(often.select("row", F.explode(F.sequence(F.lit(1), "copies"))))

@@ -5,6 +5,7 @@ import os
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from shardlog.llm import mixing
 from tests.llm.cases import awkward, documents
 
@@ -41,6 +42,27 @@ def test_fit_finds_the_least_squares(spark):
     assert (rate * t) @ p / t.sum() == pytest.approx(goal, abs=1e-3)
 
 
+def test_domain_without_documents_leaves_the_others_in_place(spark):
+    rng = np.random.default_rng(5)
+    toxic = rng.random(3000) < 0.1
+    poor = rng.gamma(0.3, 0.001, 3000)
+    p = np.stack([np.where(toxic, 0.03, 0.97) - poor / 2, poor, np.where(toxic, 0.97, 0.03) - poor / 2], axis=1)
+    t = rng.integers(50, 900, 3000)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p, strict=True)], "tokens long, p array<double>")
+    goal = [0.95, 0.03, 0.02]
+    found = mixing.fit(df.repartition(5), goal)
+    rate = mixing._rates(p, found.pull)
+    assert (rate * t) @ p / t.sum() - goal == pytest.approx(found.error, abs=1e-6)
+    assert found.error[1] == pytest.approx(-0.03, abs=0.002)
+    assert rate.max() < 3 and (rate[~toxic] > 0.5).all()
+    assert abs(found.error[0]) < 0.02 and abs(found.error[2]) < 0.02
+    assert (rate.sum() / len(rate)) == pytest.approx(1, abs=0.1)
+
+
+def test_pipeline_names_all_domains():
+    assert corpus_pipeline.TARGETS == {"good": 0.95, "poor": 0.03, "toxic": 0.02}
+
+
 def test_awkward(spark):
     labels = spark.createDataFrame([(4, "good"), (4, "good"), (5, "poor"), (None, "good"), (16, None), (99, "toxic"), (8, "other")], "doc_id long, domain string")
     docs = documents(spark, awkward(), extra=True)
