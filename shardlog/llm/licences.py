@@ -11,8 +11,40 @@ from pyspark.sql import functions as F
 from shardlog.llm.common import text_of
 from shardlog.workdir import materialised
 
-# fixed values: lines that name a holder, not terms
-COPYRIGHT = r"(?md)^[^\p{L}\p{N}\n]*(?:copyright\b|\(c\)|©)[^\n]*$|^[^\p{L}\p{N}\n]*all rights reserved[^\p{L}\p{N}\n]*$"
+# fixed values: words that follow "copyright" or "(c)" in terms, where no holder is named
+TERMS = (
+    "a", "act", "all", "an", "and", "any", "applicable", "are", "as", "at", "belongs", "claim", "claims", "conveying",
+    "disclaimer", "doctrine", "do", "does", "each", "except", "for", "from", "held", "holder", "holders", "however",
+    "if", "in", "information", "infringement", "interest", "interests", "is", "it", "its", "law", "laws", "like", "licence",
+    "licences", "license", "licenses", "line", "lines", "may", "means", "mentions", "no", "not", "notice", "notices", "of",
+    "on", "or", "otherwise", "owner", "owners", "ownership", "patent", "patents", "permission", "permissions", "policy",
+    "prohibit", "protection", "provided", "right", "rights", "shall", "similar", "statement", "statements", "status",
+    "such", "that", "the", "these", "this", "those", "to", "trademark", "treaty", "under", "where", "which", "with", "work",
+    "works", "you", "your",
+)
+
+
+def _other_than(words: tuple[str, ...]) -> str:
+    """A pattern for the start of a word that is none of ``words``, without lookahead, which SQL's patterns lack."""
+    beyond = "ß-ɏͰ-῿぀-퟿"  # letters that are not ASCII
+
+    def rest(depth: int, of: list[str]) -> str:
+        then = sorted({w[depth] for w in of if len(w) > depth})
+        each = [c + rest(depth + 1, [w for w in of if w[depth : depth + 1] == c]) for c in then]
+        letters = "".join(c for c in "0123456789abcdefghijklmnopqrstuvwxyz" if c not in then) + beyond
+        ends = depth and all(len(w) > depth for w in of)  # no word of the list, should it end here
+        return "(?:" + "|".join([*each, f"[{letters}]", *([r"[^\p{L}\p{N}]|$"] if ends else [])]) + ")"
+
+    return rest(0, list(words))
+
+
+_GAP, _NAME = r"[^\p{L}\p{N}\n]*", _other_than(TERMS)
+_GROUP = r"the\b[^\n]*\b(?:authors|contributors|developers|foundation|maintainers|project|team)\b"
+# fixed values: lines that name a holder, by a year, a sign or a name; not terms that were wrapped before "copyright"
+COPYRIGHT = (
+    rf"(?md)^{_GAP}(?:copyright\b{_GAP}(?:©|{_GROUP}|{_NAME})|(?:\(c\)|©){_GAP}(?:copyright\b|{_GROUP}|{_NAME}))[^\n]*$"
+    rf"|^{_GAP}all rights reserved{_GAP}$"
+)
 # fixed values: spellings and words that count as equal, replaced in this order in lower-case words between blanks
 EQUIVALENT = (
     ("https", "http"), ("licence", "license"), ("behaviour", "behavior"), ("colour", "color"), ("favour", "favor"),
@@ -69,8 +101,8 @@ THIS SOFTWARE."""),
 def canonicals(texts: Column) -> Column:
     """The words of each text of an array as they count: lower case, equivalent spellings, one blank between.
 
-    Copyright lines go first, then everything but letters and digits. A text without words
-    is empty. Each step is a pass of its own over the array, so that none of them is
+    Lines that name a copyright holder go first, then everything but letters and digits. A
+    text without words is empty. Each step is a pass of its own over the array, so that none of them is
     computed more than once.
     """
 

@@ -1,5 +1,8 @@
 """Licence scan: texts that differ in form only have one digest."""
 
+import textwrap
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,6 +28,63 @@ def test_forms(spark, text, license, lines):
     assert (got.text_digest is None) == (not text or text == "...")
 
 
+SOFTWARE = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+AUTHOR = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY
+AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
+LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
+OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
+PERFORMANCE OF THIS SOFTWARE."""
+# as they are published
+PUBLISHED = {
+    "MIT": ("""Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""", """The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.""", SOFTWARE),
+    "ISC": ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""", AUTHOR),
+    "0BSD": ("""Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted.""", AUTHOR),
+}
+
+
+def test_wrapping_does_not_matter(spark):
+    texts = []
+    for name, parts in PUBLISHED.items():
+        plain = [" ".join(p.split()) for p in parts]
+        for width in (None, 10_000, *range(20, 130, 3)):
+            texts.append((name, "Copyright (c) 2015 Some Body\n\n" + "\n\n".join(parts if width is None else (textwrap.fill(p, width) for p in plain))))
+    docs = documents(spark, [(i, t, None, None) for i, (_, t) in enumerate(texts)])
+    got = {r.doc_id: r.license for r in licences.licences(docs, licences.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == [n for n, _ in texts]
+
+
+@pytest.mark.parametrize("line,named", [
+    ("Copyright (c) 2015 Some Body, Inc.", True), ("  * Copyright 2015-2020 holders of x", True), ("(C) 2015 me", True), ("© Ünal", True),
+    ("COPYRIGHT Joyent, Inc. and other Node contributors", True), ("Copyright The Kubernetes Authors.", True), ("copyright: Noticeable Ltd", True),
+    ("Copyright <YEAR> <OWNER>", True), ("Copyright © Évora", True), ("All rights reserved.", True), ("Copyright Act", False),
+    ("COPYRIGHT HOLDERS BE LIABLE", False), ("copyright owner", False), ("Copyright notice, this list", False), ("copyright", False),
+    ("(c) You must retain", False), ("copyrighted by 2 people", False), ("copyright “holder”", False), ("No copyright 2015", False),
+])
+def test_lines_that_name_a_holder(spark, line, named):
+    got = spark.createDataFrame([(f"x\n{line}\ny",)], "t string").select(licences.canonical(F.col("t"))).first()[0]
+    assert (got == "x y") == named
+    assert duckdb.execute("SELECT regexp_replace(?, ?, ' ', 'g')", [f"x\n{line}\ny".lower(), licences.COPYRIGHT.replace("(?md)", "(?m)")]).fetchone()[0].split() == (
+        ["x", "y"] if named else f"x {line} y".lower().split()
+    )
+
+
 def test_awkward_and_empty(spark):
     known = licences.known_digests(spark)
     rows = [*awkward(), (5, "Released under the MIT License.\n" * 3, None, None)] * 2
