@@ -5,6 +5,9 @@ that count as equal) and hashed whole. The digests meet those of known licences
 The same is done for each line, where notices such as "Released under ..." stand.
 """
 
+from collections.abc import Iterator
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +58,14 @@ EQUIVALENT = (
     (" fulfil ", " fulfill "),
 )
 VERSION = (r" version (\d)", " v$1")
-# fixed values: texts of licences and the notices that grant them
-KNOWN = (
+# fixed values: titles that may stand before texts
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "Expat License", "License: MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "ISC License (ISCL)"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "BSD Zero Clause License (0BSD)", "0BSD License"),
+}
+# fixed values: texts of short licences and the notices that grant them
+_SHORT = (
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
 rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
@@ -96,6 +105,29 @@ THIS SOFTWARE."""),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+PUBLISHED = Path(__file__).with_name("published")
+
+
+def published(folder: Path = PUBLISHED) -> Iterator[tuple[str, str]]:
+    """``(license, text)`` of the full texts stored in a folder, one file a licence.
+
+    Form feeds divide a file into titles (any of those between lines "|"), the terms and
+    what may follow them, such as an appendix. Each text comes with each title and without,
+    and up to each part that may follow.
+    """
+    for path in sorted(folder.glob("*.txt")):
+        titles, *parts = path.read_text(encoding="utf-8").split("\f\n")
+        for title in ("", *titles.split("|\n")):
+            for n in range(1, len(parts) + 1):
+                yield path.stem, title + "\n" + "".join(parts[:n])
+
+
+# fixed values: all texts that are looked up
+KNOWN = (
+    *_SHORT,
+    *((name, title + "\n" + text) for name, text in _SHORT if len(text) > 400 for title in TITLES[name]),
+    *published(),
+)
 
 
 def canonicals(texts: Column) -> Column:

@@ -70,6 +70,20 @@ def test_wrapping_does_not_matter(spark):
     assert [got[i] for i in range(len(texts))] == [n for n, _ in texts]
 
 
+def test_whole_licence_files(spark):
+    """As files hold them: title, holder, terms, and the appendix or not."""
+    mine, files = "Copyright (c) 2015 Some Body\n\n", {p.stem: p.read_text().split("\f\n") for p in licences.PUBLISHED.glob("*.txt")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"} <= set(files)
+    texts = [(n, f"{n} License\n\n{mine}" + "\n\n".join(parts)) for n, parts in PUBLISHED.items() if n != "0BSD"]
+    for name, (titles, *parts) in files.items():
+        for title in ("", titles.split("|\n")[0]):
+            texts += [(name, title + "\n" + mine + "".join(parts)), (name, (title + "\n" + parts[0]).replace("\n", "\r\n"))]
+        texts.append((None, "".join(parts).rsplit(None, 1)[0]))
+    docs = documents(spark, [(i, t, None, None) for i, (_, t) in enumerate(texts)])
+    got = {r.doc_id: r.license for r in licences.licences(docs, licences.known_digests(spark)).collect()}
+    assert [got[i] for i in range(len(texts))] == [n for n, _ in texts]
+
+
 @pytest.mark.parametrize("line,named", [
     ("Copyright (c) 2015 Some Body, Inc.", True), ("  * Copyright 2015-2020 holders of x", True), ("(C) 2015 me", True), ("© Ünal", True),
     ("COPYRIGHT Joyent, Inc. and other Node contributors", True), ("Copyright The Kubernetes Authors.", True), ("copyright: Noticeable Ltd", True),
