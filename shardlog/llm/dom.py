@@ -1,6 +1,7 @@
 """Pages as trees of blocks, and what can be measured on their nodes."""
 
 import re
+from collections import Counter
 from functools import lru_cache
 from html import unescape
 
@@ -243,9 +244,10 @@ class Page:
             k = len(kids)
             sizes = np.log1p(chars[kids])
             same = [self.tag[i] for i in kids]
+            count = Counter(same)
             x[kids, 8] = np.arange(k) / k
             x[kids, 9] = np.log1p(k)
-            x[kids, 10] = [same.count(t) / k if k < 200 else 1.0 for t in same]
+            x[kids, 10] = [count[t] / k for t in same]
             x[kids, 11] = chars[kids] / max(1.0, chars[up])
             x[kids, 12] = np.concatenate([[0], sizes[:-1]])
             x[kids, 13] = np.concatenate([sizes[1:], [0]])

@@ -22,6 +22,13 @@ def slow_text(html):
     return "\n\n".join(t for t in texts if t)
 
 
+def test_share_of_siblings_with_the_same_tag_at_any_number():
+    for n in (9, 198, 199, 250, 1000):
+        page = Page("<section>" + "<p>Some words.</p>" * n + "<div>Buy it now.</div></section>")
+        share = {page.tag[i]: x for i, x in enumerate(page.features()[:, 10])}
+        assert share["div"] == 1 / (n + 1) and share["p"] == n / (n + 1)
+
+
 def test_whole_table(spark):
     table = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r for r in pages.extracted(table).collect()}
