@@ -15,6 +15,7 @@ BLOCK = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr keygen".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math head".split())
+FOREIGN = frozenset("svg math".split())  # complete where the start tag ends in a slash
 CLOSES_P = BLOCK - frozenset("html body #root tr td th thead tbody tfoot caption option optgroup label select button legend".split())
 # an element, those it closes when it begins, and those where the search for them ends
 IMPLIED = {
@@ -51,6 +52,7 @@ N_GROUPS, N_KINDS, N_ABOVE = len(TOKENS), max(KINDS.values()) + 1, 6
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S
 )
+UNQUOTED = re.compile(r"""=\s*[^\s"'>]*/\Z""")  # a last slash that belongs to a value
 MARKS = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LONG = sorted((w for w in GROUPS if len(w) >= 5), key=len, reverse=True)
@@ -132,6 +134,8 @@ class Page:
             if not name:
                 continue
             here = stack[-1][1]
+            if name in FOREIGN and found[3].endswith("/") and not UNQUOTED.search(found[3]):
+                continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
                 if name == "head" and not end:

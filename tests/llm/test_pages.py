@@ -22,6 +22,14 @@ def slow_text(html):
     return "\n\n".join(t for t in texts if t)
 
 
+@pytest.mark.parametrize("icon,whole", [
+    ("<svg/>", True), ('<svg class="i" />', True), ("<MATH a='='/>", True), ("<svg><path d='M0'/></svg>", True), ("<svg a=b/>", False), ("<svg>", False),
+])
+def test_self_closed_icons_drop_no_text(icon, whole):
+    texts = [t for _, t, _ in Page(f"<p>Before {icon} after.</p><p>More.</p>").texts]
+    assert texts == (["Before after.", "More."] if whole else ["Before"])
+
+
 def test_share_of_siblings_with_the_same_tag_at_any_number():
     for n in (9, 198, 199, 250, 1000):
         page = Page("<section>" + "<p>Some words.</p>" * n + "<div>Buy it now.</div></section>")
