@@ -62,20 +62,22 @@ class Posteriors:
     Half of the sample gives the log odds of each word between a domain and the rest, where
     they differ by more than ``SURE`` deviations; the other half gives the softmax over a
     document's mean, largest and summed odds. Both come from at most ``sample`` labelled
-    documents, those with the smallest hashes of their ids; their ids are all that is
-    broadcast. Domains without a labelled document keep a posterior of nearly zero.
+    documents of the table, those with the smallest hashes of their ids; their ids are all
+    that is broadcast. A repeated id counts once, with the least of its texts. Domains without a labelled document keep a posterior of nearly zero.
     Without any label, every document has the same posterior everywhere.
     """
 
     def __init__(self, documents: DataFrame, labels: DataFrame, domains: list[str], sample: int = SAMPLE):
         self.domains = domains
         order = F.xxhash64("doc_id")
+        present = documents.select(documents["doc_id"].alias("doc_id")).distinct()  # before the sample, which is to be full
         chosen = (
-            labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull())
-            .select("doc_id", "domain", order.alias("h")).orderBy("h", "domain").limit(sample)
+            labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).select("doc_id", "domain").distinct()
+            .join(present, "doc_id", "left_semi").select("doc_id", "domain", order.alias("h")).orderBy("h", "domain").limit(sample)
         )
         rows = documents.select(documents["doc_id"].alias("doc_id"), text_of(documents["text"]).alias("text"))
-        rows = materialised(rows.join(F.broadcast(chosen), "doc_id").select("domain", (F.col("h") % 2 == 0).alias("first"), "text"), "labelled")
+        rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "domain", "h").agg(F.min("text").alias("text"))
+        rows = materialised(rows.select("domain", (F.col("h") % 2 == 0).alias("first"), "text"), "labelled")
         n = len(domains)
         self.middle, self.width = np.zeros(3 * n), np.ones(3 * n)
         self.weights, self.bias = np.zeros((3 * n, n)), np.zeros(n)

@@ -59,6 +59,21 @@ def test_domain_without_documents_leaves_the_others_in_place(spark):
     assert (rate.sum() / len(rate)) == pytest.approx(1, abs=0.1)
 
 
+def test_sample_is_of_documents_that_are_there_once_each(spark):
+    class Counted(mixing.Posteriors):
+        n = 0
+
+        def _count(self, rows):
+            self.n += rows.count()
+
+        _calibrate = _count
+
+    docs = documents(spark, [*((i, f"text {i}", None, None) for i in range(40)), *((7, f"hot {i}", None, None) for i in range(300))])
+    labels = spark.createDataFrame([(i, "good") for i in (*range(40), 7, 7, *range(1000, 9000))], "doc_id long, domain string")
+    assert Counted(docs, labels, ["good", "poor"], sample=1000).n == 40
+    assert Counted(docs, labels, ["good", "poor"], sample=30).n == 30
+
+
 def test_pipeline_names_all_domains():
     assert corpus_pipeline.TARGETS == {"good": 0.95, "poor": 0.03, "toxic": 0.02}
 
