@@ -1,6 +1,6 @@
 """The same results in DuckDB's SQL, for those operators that SQL can express."""
 
-from shardlog.llm import hosts, licences, quality
+from shardlog.llm import hosts, licences, negatives, quality, quantise
 
 BLANK = r"[\x20\x09-\x0D]"
 
@@ -177,3 +177,75 @@ def url_filter(rules: list[tuple[str, str]]) -> str:
            mean - {hosts.DEVIATIONS} * sqrt(mean * (1 - mean) / (size + 1)) > {hosts.LIMIT} THEN 'block' ELSE 'allow' END) AS verdict
     FROM p JOIN known USING (host) LEFT JOIN fits USING (rid)
     """
+
+
+def _whole_vectors(factor: int) -> str:
+    """``embeddings`` numbered, its vectors as integers, without those that have gaps."""
+    return f"""
+        SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: floor({factor} * x::DOUBLE)) AS q
+        FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    """
+
+
+def hard_negatives() -> str:
+    return f"""
+    WITH e AS (
+        SELECT * REPLACE (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label)
+        FROM ({_whole_vectors(negatives.FACTOR)}) WHERE vec_id IS NOT NULL AND label IS NOT NULL
+    ),
+    pairs AS MATERIALIZED (
+        SELECT a.rid AS anchor, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS alike,
+               CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+        FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.rid <> b.rid
+    ),
+    liked AS (
+        SELECT * FROM pairs WHERE alike
+        QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) <= {negatives.POSITIVES}
+    )
+    SELECT p.anchor_id, p.vec_id AS positive_id,
+           CAST(row_number() OVER (PARTITION BY p.anchor, p.rid ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+           n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+    FROM liked p JOIN pairs n ON p.anchor = n.anchor AND NOT n.alike AND 80 * p.score <= 100 * n.score AND n.score <= p.score
+    QUALIFY rank <= {negatives.NEGATIVES}
+    """
+
+
+def vector_codes() -> str:
+    parts, entries, rounds = quantise.PARTS, quantise.ENTRIES, quantise.ROUNDS
+
+    def assigned(n: int) -> str:
+        """The nearest entry of each part, as its distance and index in one number."""
+        return f"""near{n} AS MATERIALIZED (
+            SELECT rid, part, min(d * {entries} + entry) AS best
+            FROM (SELECT rid, part, entry, sum((v - c) * (v - c)) AS d FROM x JOIN book{n} USING (part, pos) GROUP BY ALL) GROUP BY ALL
+        )"""
+
+    def moved(n: int) -> str:
+        return f"""book{n + 1} AS MATERIALIZED (
+            SELECT part, entry, pos, coalesce(m.c, b.c) AS c FROM book{n} b LEFT JOIN (
+                SELECT part, best % {entries} AS entry, pos, CAST(floor(sum(v) / count(*)) AS BIGINT) AS c
+                FROM x JOIN near{n} USING (rid, part) GROUP BY ALL
+            ) m USING (part, entry, pos)
+        )"""
+
+    steps = ",\n".join(f"{assigned(n)},\n{moved(n)}" for n in range(rounds))
+    return f"""
+    WITH e AS MATERIALIZED ({_whole_vectors(quantise.FACTOR)}),
+    x AS MATERIALIZED (
+        SELECT rid, (i - 1) // (n // {parts}) AS part, (i - 1) % (n // {parts}) AS pos, CAST(q[i] AS BIGINT) AS v
+        FROM (SELECT rid, q, len(q) AS n, unnest(range(1, len(q) + 1)) AS i FROM e)
+    ),
+    first AS (SELECT rid, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM e QUALIFY entry < {entries}),
+    book0 AS MATERIALIZED (SELECT part, entry, pos, v AS c FROM x JOIN first USING (rid)),
+    {steps},
+    {assigned(rounds)},
+    coded AS (
+        SELECT rid, string_agg(printf('%02x', CAST(best % {entries} AS INTEGER)), '' ORDER BY part) AS code,
+               CAST(sum(best // {entries}) AS BIGINT) AS error
+        FROM near{rounds} GROUP BY rid
+    )
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM book{rounds}) AS codebooks_sha256
+    FROM coded JOIN e USING (rid)
+    """

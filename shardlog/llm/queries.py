@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 import public_tokenizers
-from shardlog.llm import additive, exact, hosts, language, licences, mixing, oracles, packing, pages, quality, simhash
+from shardlog.llm import (
+    additive, bestfit, exact, hosts, language, licences, mixing, negatives, oracles, packing, pages, quality, quantise, simhash,
+)
 from shardlog.llm.common import table
 
 
@@ -70,13 +72,32 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return additive.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    of_id = F.col("vec_id") % 7 == 0
+    label = F.when(of_id, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows.withColumn("label", label))
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, books = quantise.compressed(table(spark, sf_dir, "embeddings"))
+    hexed = F.lower(F.hex("code"))  # two digits a byte
+    return rows.select("vec_id", hexed.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 _ALL = (
     op1_mixing, op2_packing, op3_license_scan, op4_html_extraction, op5_exact_dedup, op6_simhash, op7_quality_rules,
-    op8_url_filter, op9_language, op10_quality_classifier, pipeline,
+    op8_url_filter, op9_language, op10_quality_classifier, op11_hard_negatives, op12_best_fit_packing,
+    op13_vector_codes, pipeline,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 ORACLES = {
@@ -84,4 +105,6 @@ ORACLES = {
     "op5_exact_dedup": oracles.exact_dedup(),
     "op7_quality_rules": oracles.quality_rules(),
     "op8_url_filter": oracles.url_filter(RULES),
+    "op11_hard_negatives": oracles.hard_negatives(),
+    "op13_vector_codes": oracles.vector_codes(),
 }

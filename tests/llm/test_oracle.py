@@ -13,14 +13,14 @@ TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "boolean": "
 
 
 def test_names():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 11)), "pipeline"]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [*(f"op{i}" for i in range(1, 14)), "pipeline"]
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
 @pytest.mark.parametrize("name", list(queries.ORACLES))
 def test_query(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "labels", "pages"):
+    for t in ("documents", "labels", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(queries.ORACLES[name])
