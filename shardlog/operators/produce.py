@@ -1,6 +1,6 @@
 """Bounded admission and the shape of put requests."""
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardlog.operators.numbering import Numbering, number_rows
@@ -20,14 +20,29 @@ def admit(
     """Keep the first ``concurrency * 1000`` offers per shard, mark the rest as dropped.
 
     No row is removed: ``accepted`` tells the two apart and ``reason`` says why
-    not.  On a stream use it per micro-batch; the capacity is then per batch.  Of
-    equal offers at the edge as many are kept as fit.
+    not.  Of equal offers at the edge as many are kept as fit.  A buffer that is
+    partly full takes what ``admit_into`` says; see ``streaming.listen.admit_stream``.
     """
-    require_concurrency(concurrency)
     numbered = number_rows(offers, SHARD_KEYS, order_by or SEQUENCE_ORDER, "_row")
-    accepted = F.col("_row") < concurrency * BUFFER_PER_WORKER
+    return _marked(numbered, offers.columns, F.lit(capacity(concurrency)))
+
+
+def capacity(concurrency: int) -> int:
+    require_concurrency(concurrency)
+    return concurrency * BUFFER_PER_WORKER
+
+
+def admit_into(offers: DataFrame, room: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """``admit`` where each shard has its own ``room`` left, one row a shard that has offers."""
+    numbering = Numbering(offers, SHARD_KEYS, order_by or SEQUENCE_ORDER)
+    numbered = numbering.rows("_row", room.select(*SHARD_KEYS, F.col("room").alias("_room")))
+    return _marked(numbered, offers.columns, F.col("_room"))
+
+
+def _marked(numbered: DataFrame, columns: list[str], room: Column) -> DataFrame:
+    accepted = F.col("_row") < room
     return numbered.select(
-        *offers.columns,
+        *columns,
         accepted.alias("accepted"),
         F.when(~accepted, F.lit(ERR_DROPPED)).alias("reason"),
     )

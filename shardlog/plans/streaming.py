@@ -22,10 +22,11 @@ from shardlog.plans.reading import (
     shown,
 )
 from shardlog.plans.reading import ORACLES as READING_SQL
+from shardlog.schema import RECORD
 from shardlog.sources import log
 from shardlog.streaming import append as sinks
 from shardlog.streaming import deliver, latest, listen, rates
-from shardlog.workdir import work_dir
+from shardlog.workdir import materialised, work_dir
 
 DONE = {"availableNow": True}
 KEYS = ["stream", "shard_id", "sequence_number"]
@@ -144,6 +145,82 @@ def stream_deliver_two_writers(spark, sf):
     return errors.unionByName(done.withColumn("error_message", F.lit("none: delivered")))
 
 
+PARTS = 8  # micro-batches that the queries on carried state make of the events
+
+
+def _in_parts(spark, sf, path):
+    """The events as a stream of ``PARTS`` micro-batches, one file each."""
+    records = tables.event_records(spark, sf)
+    for part in range(PARTS):
+        some = records.where(F.col("sequence_number").cast("long") % PARTS == part)
+        some.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+def refuse_five_times(request, attempt):
+    """A sender: a tenth of the records is refused five times."""
+    entries = []
+    for _, data in request:
+        refused = json.loads(data)["k"] % 10 == 0 and attempt <= 5
+        entries.append(("Throttled", "busy") if refused else (None, None))
+    return sum(code is not None for code, _ in entries), entries
+
+
+def stream_deliver_queue(spark, sf):
+    """What is refused waits behind newer records, which are delivered in their own micro-batch.
+
+    After the last micro-batch the queue is drained.
+    """
+    base = work_dir(spark, "queue")
+    out = f"{base}/out"
+    records = _in_parts(spark, sf, f"{base}/source")
+    deliver.deliver_queued(records, refuse_five_times, out, f"{base}/ck", trigger=DONE).awaitTermination()
+    waiting = deliver.queued(spark, out).groupBy("stream").agg(F.count(F.lit(1)).alias("n"))
+    left = materialised(waiting.select("stream", F.lit(PARTS - 1).cast("long").alias("batch_id"), F.lit(None).cast("int").alias("attempt"),
+                        F.lit("waiting").alias("outcome"), "n"), "waiting")
+    deliver.drain(spark, out, refuse_five_times)
+    sent = deliver.attempts(spark, out).groupBy("stream", "batch_id", "attempt", "outcome").agg(F.count(F.lit(1)).alias("n"))
+    return sent.unionByName(left)
+
+
+def stream_admit_drained(spark, sf):
+    """A buffer of 1,000 messages a shard, from which 100 are taken between micro-batches."""
+    base = work_dir(spark, "admit-drained")
+    records = _in_parts(spark, sf, f"{base}/source")
+    listen.admit_stream(records, 1, f"{base}/out", f"{base}/ck", drained=100, trigger=DONE).awaitTermination()
+    kept = listen.admitted(spark, f"{base}/out").select(*KEYS, F.lit(None).alias("reason"))
+    gone = listen.dropped(spark, f"{base}/out").select(*KEYS, "reason")
+    return kept.unionByName(gone).withColumn("accepted", F.col("reason").isNull())
+
+
+def stream_scan_after_rerun(spark, sf):
+    """A stream follows a log in which one batch is written again and another is cut off half-way."""
+    base = work_dir(spark, "rerun")
+    records = tables.event_records(spark, sf)
+    even = F.col("sequence_number").cast("long") % 2 == 0
+    first, second = records.where(even), records.where(~even)
+
+    def write(batch_id, rows):
+        log.append_sync(rows, f"{base}/source", partitions=4, writer="w", batch_id=batch_id)
+
+    write(0, first)
+    query = sinks.append(log.scan_stream(spark, f"{base}/source"), f"{base}/log", f"{base}/ck")
+    query.processAllAvailable()
+    write(0, first)
+    broken = F.when(F.col("sequence_number").endswith("99"), F.raise_error(F.lit("cut off")).cast("binary"))
+    try:
+        write(1, second.withColumn("data", F.coalesce(broken, "data")))
+    except Exception as error:  # the run ends here; whatever it has written does not count
+        if "cut off" not in str(error):
+            raise
+    query.processAllAvailable()
+    write(1, second)
+    write(1, second)
+    query.processAllAvailable()
+    query.stop()
+    return shown(log.scan(spark, f"{base}/log"))
+
+
 def stream_message_counts(spark, sf):
     """Counts over more than a hundred micro-batches, one file in each."""
     base = work_dir(spark, "counts")
@@ -216,6 +293,9 @@ QUERIES = {
     "stream_admit": stream_admit,
     "stream_deliver_payload": stream_deliver_payload,
     "stream_write_rate": stream_write_rate,
+    "stream_scan_after_rerun": stream_scan_after_rerun,
+    "stream_deliver_queue": stream_deliver_queue,
+    "stream_admit_drained": stream_admit_drained,
 }
 
 ALL = f"{REC} SELECT {SHOWN} FROM rec"
@@ -242,4 +322,23 @@ SELECT stream, partition_key, octet_length(encode(payload)) AS n_bytes, attempt,
     "stream_admit": DELIVERY_SQL["admit"],
     "stream_deliver_payload": "SELECT props AS payload FROM events",
     "stream_write_rate": DELIVERY_SQL["write_rate"],
+    "stream_scan_after_rerun": ALL,
+    "stream_deliver_queue": f"""{REC}, x AS (SELECT stream, event_id % {PARTS} AS part, CAST(json_extract(payload, '$.k') AS BIGINT) % 10 = 0 AS slow FROM rec),
+sent AS (SELECT stream, least(part + a - 1, {PARTS - 1}) AS batch_id, CAST(a AS INTEGER) AS attempt,
+    CASE WHEN slow AND a <= 5 THEN 'failed' ELSE 'delivered' END AS outcome
+  FROM x JOIN range(1, 7) AS t(a) ON a = 1 OR slow)
+SELECT *, count(*) AS n FROM sent GROUP BY ALL
+UNION ALL SELECT stream, {PARTS - 1}, NULL, 'waiting', count(*) FROM x WHERE slow AND part + 5 > {PARTS - 1} GROUP BY stream""",
+    "stream_admit_drained": f"""{REC.replace('WITH', 'WITH RECURSIVE', 1)}, n AS (
+  SELECT shard_id, event_id % {PARTS} AS part, count(*) AS offered FROM rec GROUP BY ALL),
+fill AS (
+  SELECT s.shard_id, 0 AS part, 1000 AS room, least(coalesce(offered, 0), 1000) AS held
+  FROM (SELECT DISTINCT shard_id FROM rec) s LEFT JOIN n ON n.shard_id = s.shard_id AND part = 0
+  UNION ALL
+  SELECT f.shard_id, f.part + 1, 1000 - greatest(held - 100, 0),
+    greatest(held - 100, 0) + least(coalesce(offered, 0), 1000 - greatest(held - 100, 0))
+  FROM fill f LEFT JOIN n ON n.shard_id = f.shard_id AND n.part = f.part + 1 WHERE f.part < {PARTS - 1}),
+o AS (SELECT *, event_id % {PARTS} AS part, row_number() OVER (PARTITION BY shard_id, event_id % {PARTS} ORDER BY event_id) AS rn FROM rec)
+SELECT stream, shard_id, sequence_number, rn <= room AS accepted,
+  CASE WHEN rn > room THEN 'Channel is full, dropped message' END AS reason FROM o JOIN fill USING (shard_id, part)""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shardlog.functions.message import append_terminator, value_text
 from shardlog.schema import RECORD, SEQUENCE_ORDER, SHARD_KEYS, require_stream
+from shardlog.sources.files import write_once
 
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
@@ -62,9 +63,15 @@ def in_shard_order(records: DataFrame, partitions: int | None = None) -> DataFra
 def write_part(
     records: DataFrame, path: str, writer: str, batch_id: int, partitions: int | None = None
 ) -> None:
-    """Write one batch of one writer; the same batch again replaces itself."""
-    part = f"{path}/writer={writer}/batch_id={batch_id}"
-    in_shard_order(records, partitions).write.mode("overwrite").partitionBy(*SHARD_KEYS).parquet(part)
+    """Write one batch of one writer, which readers see whole or not at all.
+
+    The same batch again changes nothing: its first complete run counts.
+    """
+
+    def write(run: str) -> None:
+        in_shard_order(records, partitions).write.partitionBy(*SHARD_KEYS).parquet(run)
+
+    write_once(records.sparkSession, path, f"writer={writer}/batch_id={batch_id}", write)
 
 
 def append_sync(
@@ -75,7 +82,9 @@ def append_sync(
     Sorting by shard and sequence number gives few files per shard and tight
     min/max statistics, which is what start positions are pruned with.  Any number
     of writers may append to one log.  A batch that may have to be written again
-    needs its own ``writer`` and ``batch_id``; without them it is a new one.
+    needs its own ``writer`` and ``batch_id``; without them it is a new one.  Readers,
+    also those that follow the log, get each batch once and whole, however often it
+    is started (see ``sources.files.write_once``).
     """
     write_part(records, path, writer or uuid.uuid4().hex, batch_id, partitions)
 

@@ -3,8 +3,9 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from shardlog.sources.files import write_once
 from shardlog.sources.log import deliver_payload, payload_lines, write_part
-from shardlog.streaming.writers import folder, write_batches
+from shardlog.streaming.writers import save_once, write_batches
 
 
 def append(
@@ -54,10 +55,10 @@ def append_payload(
     def save(batch: DataFrame, writer: str, batch_id: int) -> None:
         if line_sep:
             text, odd = payload_lines(batch)
-            text.write.mode("overwrite").option("lineSep", line_sep).text(folder(path, writer, batch_id))
-            odd.write.mode("overwrite").parquet(folder(f"{path}-undecodable", writer, batch_id))
+            part = f"writer={writer}/batch_id={batch_id}"
+            write_once(batch.sparkSession, path, part, text.write.option("lineSep", line_sep).text)
+            save_once(odd, f"{path}-undecodable", writer, batch_id)
         else:
-            payload = deliver_payload(batch, terminator)
-            payload.write.mode("overwrite").parquet(folder(path, writer, batch_id))
+            save_once(deliver_payload(batch, terminator), path, writer, batch_id)
 
     return write_batches(records, save, checkpoint, trigger)

@@ -9,16 +9,17 @@ at-least-once.
 
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import count
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shardlog.schema import MAX_REQUEST_RECORDS, require_concurrency
-from shardlog.streaming.writers import folder, write_batches
+from shardlog.sources.files import exists, remove
+from shardlog.streaming.writers import folder, save_once, write_batches
 
 # A sender gets the (partition_key, data) pairs of one request and the attempt
 # number.  It returns None when there is no response, else the failed count and
@@ -54,15 +55,17 @@ def _outcomes(request: list, sender: Sender, attempt: int) -> list[tuple[str, st
     return outcomes
 
 
-def _attempt(pending: DataFrame, sender: Sender, attempt: int, per_request: int) -> DataFrame:
+def _round(pending: DataFrame, sender: Sender, per_request: int) -> DataFrame:
+    """Send every pending record once; a request holds records of one stream and ``attempt``."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for _, rows in batch.groupby("stream", sort=False, dropna=False):
+            for (_, attempt), rows in batch.groupby(["stream", "attempt"], sort=False, dropna=False):
                 records = list(zip(rows["partition_key"], rows["data"]))
                 outcomes = []
                 for start in range(0, len(records), per_request):
                     request = records[start : start + per_request]
-                    outcomes += _outcomes(request, sender, attempt)
+                    outcomes += _outcomes(request, sender, int(attempt))
                 yield rows.assign(
                     n_bytes=[len(data or b"") for _, data in records],
                     outcome=[outcome for outcome, _ in outcomes],
@@ -71,15 +74,16 @@ def _attempt(pending: DataFrame, sender: Sender, attempt: int, per_request: int)
                     ),
                 )
 
-    return pending.mapInPandas(run, _SENT)
+    return pending.select("stream", "partition_key", "data", "attempt").mapInPandas(run, f"{_SENT}, attempt int")
+
+
+def _attempt(pending: DataFrame, sender: Sender, attempt: int, per_request: int) -> DataFrame:
+    return _round(pending.withColumn("attempt", F.lit(attempt)), sender, per_request).drop("attempt")
 
 
 def _commit_of(spark: SparkSession, out: str, batch_id: int, writer: str = ALONE):
     path = folder(f"{out}/commits", writer, batch_id)
-    try:
-        return spark.read.schema(_COMMIT).parquet(path).first()
-    except AnalysisException:
-        return None
+    return spark.read.schema(_COMMIT).parquet(path).first() if exists(spark, path) else None
 
 
 def deliver_batch(
@@ -123,8 +127,7 @@ def deliver_batch(
             break
         key = F.lit("") if keyless else F.col("partition_key")
         pending = left.select("stream", key.alias("partition_key"), "data")
-    commit = spark.range(1).select(F.lit(run).alias("run"), F.lit(attempt).alias("attempts"))
-    commit.coalesce(1).write.mode("overwrite").parquet(folder(f"{out}/commits", writer, batch_id))
+    _commit(spark, out, writer, batch_id, run, attempt)
 
 
 def deliver(
@@ -137,7 +140,8 @@ def deliver(
 ) -> StreamingQuery:
     """Deliver a stream; all attempts of a micro-batch happen inside it.
 
-    Several streams may deliver to one ``out``.
+    A record that is refused again and again holds up what comes behind it, so order is
+    kept; ``deliver_queued`` sends it later instead.  Several streams may deliver to one ``out``.
     """
 
     def send(batch: DataFrame, writer: str, batch_id: int) -> None:
@@ -146,6 +150,130 @@ def deliver(
     return write_batches(records, send, checkpoint, trigger)
 
 
+_QUEUED = "stream string, partition_key string, data binary, attempt int, due bigint"
+
+
+def _queue(spark: SparkSession, out: str, writer: str, batch_id: int) -> DataFrame:
+    """What waits to be sent again after a micro-batch; nothing once ``drain`` has sent it."""
+    path = folder(f"{out}/queue", writer, batch_id)
+    if batch_id < 0 or exists(spark, folder(f"{out}/drained", writer, batch_id)):
+        return spark.createDataFrame([], _QUEUED)
+    return spark.read.schema(_QUEUED).parquet(path)
+
+
+def deliver_queued(
+    records: DataFrame,
+    sender: Sender,
+    out: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    max_attempts: int | None = None,
+    per_request: int = MAX_REQUEST_RECORDS,
+    keyless: bool = False,
+    concurrency: int | None = None,
+    wait: int = 1,
+) -> StreamingQuery:
+    """Deliver a stream; what is refused queues behind what is new and holds nothing up.
+
+    A micro-batch sends its own records and those of the queue that are due, each once, and
+    ends.  What was not delivered goes into the queue and is due ``wait`` micro-batches
+    later, each further time after twice as long, if ``wait`` is not 1.  The queue is a table
+    of its own for each micro-batch, published when it is whole and removed when the one
+    after the next is there, so that it may be of any size and survives executors and
+    restarts.  ``attempts`` and ``delivered`` tell what happened; records refused
+    ``max_attempts`` times are ``dead_letters``.  When the stream has ended, ``queued`` is
+    what still waits, and ``drain`` sends it.
+    """
+    if concurrency is not None:
+        require_concurrency(concurrency)
+
+    def send(batch: DataFrame, writer: str, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = _queue(spark, out, writer, batch_id - 1)
+        key = F.coalesce("partition_key", F.lit("")).alias("partition_key")
+        fresh = batch.select("stream", key, "data", F.lit(1).alias("attempt"))
+        pending = fresh.unionByName(before.where(F.col("due") <= batch_id).drop("due"))
+        if concurrency is not None:
+            pending = pending.repartition(concurrency)
+        _send_round(pending, sender, per_request, out, writer, batch_id, max_attempts)
+        refused = _refused(_attempts_of(spark, out, writer, batch_id), max_attempts, keyless)
+        pause = F.lit(1) if wait == 1 else (F.lit(wait) * F.pow(F.lit(2), F.least(F.col("attempt") - 2, F.lit(30)))).cast("long")
+        queue = refused.withColumn("due", batch_id + pause.cast("long")).unionByName(before.where(F.col("due") > batch_id))
+        save_once(queue, f"{out}/queue", writer, batch_id)
+        if batch_id > 1:
+            remove(spark, folder(f"{out}/queue", writer, batch_id - 2))
+
+    return write_batches(records, send, checkpoint, trigger)
+
+
+def _send_round(
+    pending: DataFrame, sender: Sender, per_request: int, out: str, writer: str, batch_id: int, max_attempts: int | None
+) -> None:
+    """Send every pending record once, unless a run of this batch has done so."""
+    spark = pending.sparkSession
+    if _commit_of(spark, out, batch_id, writer) is not None:
+        return
+    run = uuid.uuid4().hex
+    sent = _round(pending, sender, per_request)
+    kept = F.when(F.col("outcome") != DELIVERED, F.col("data"))
+    path = f"{folder(f'{out}/attempts', writer, batch_id)}/run={run}"
+    sent.withColumn("data", kept).write.partitionBy("attempt").parquet(path)
+    _commit(spark, out, writer, batch_id, run, max_attempts or 0)
+
+
+def _attempts_of(spark: SparkSession, out: str, writer: str, batch_id: int) -> DataFrame:
+    run = _commit_of(spark, out, batch_id, writer)["run"]
+    return spark.read.schema(f"{_SENT}, attempt int").parquet(f"{folder(f'{out}/attempts', writer, batch_id)}/run={run}")
+
+
+def _refused(sent: DataFrame, max_attempts: int | None, keyless: bool) -> DataFrame:
+    """What of a round is to be sent once more, with the number that this attempt will have."""
+    again = F.col("outcome") != DELIVERED
+    if max_attempts is not None:
+        again &= F.col("attempt") < max_attempts
+    key = F.lit("") if keyless else F.col("partition_key")
+    return sent.where(again).select("stream", key.alias("partition_key"), "data", (F.col("attempt") + 1).alias("attempt"))
+
+
+def _commit(spark: SparkSession, out: str, writer: str, batch_id: int, run: str, attempts: int) -> None:
+    commit = spark.range(1).select(F.lit(run).alias("run"), F.lit(attempts).alias("attempts"))
+    save_once(commit.coalesce(1), f"{out}/commits", writer, batch_id)
+
+
+def _last_queues(spark: SparkSession, out: str) -> list[tuple[str, int]]:
+    """For each writer its last micro-batch that left a queue, unless that is drained."""
+    if not exists(spark, f"{out}/queue"):
+        return []
+    # the newest folders only: a writer keeps two
+    last = spark.read.schema("writer string, batch_id bigint").parquet(f"{out}/commits").groupBy("writer").agg(F.max("batch_id").alias("b"))
+    return [(r.writer, r.b) for r in last.collect() if exists(spark, folder(f"{out}/queue", r.writer, r.b))]
+
+
+def queued(spark: SparkSession, out: str) -> DataFrame:
+    """What waits to be sent again, with the number of the next attempt."""
+    waiting = [_queue(spark, out, writer, batch_id) for writer, batch_id in _last_queues(spark, out)]
+    return reduce(DataFrame.unionByName, waiting, spark.createDataFrame([], _QUEUED)).drop("due")
+
+
+def drain(
+    spark: SparkSession, out: str, sender: Sender, max_attempts: int | None = None, per_request: int = MAX_REQUEST_RECORDS, keyless: bool = False
+) -> None:
+    """Send what waits until it is delivered, when the streams that deliver to ``out`` have ended.
+
+    A stream that starts again finds its queue empty.  Each turn is kept as a batch of its
+    own, so a drain that was cut off goes on with the turn it was in.
+    """
+    for writer, batch_id in _last_queues(spark, out):
+        pending = _queue(spark, out, writer, batch_id).drop("due")
+        for turn in count():
+            if pending.isEmpty():
+                break
+            name = f"{writer}-drain-{turn}"
+            _send_round(pending, sender, per_request, out, name, batch_id, max_attempts)
+            pending = _refused(_attempts_of(spark, out, name, batch_id), max_attempts, keyless)
+        save_once(spark.createDataFrame([], _QUEUED), f"{out}/drained", writer, batch_id)
+
+
 def resend(spark: SparkSession, out: str, sender: Sender, again: str, **options) -> None:
     """Send the dead letters of ``out`` again; what becomes of them is kept at ``again``."""
     deliver_batch(dead_letters(spark, out), 0, sender, again, **options)

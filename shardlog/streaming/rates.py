@@ -2,7 +2,7 @@
 
 A watermark would drop what arrives late.  Instead each micro-batch writes its
 own partial counts under its batch id, and the reader adds them up: the stream
-keeps no state, and a batch that runs twice replaces its own partials.
+keeps no state, and a batch that runs twice counts once.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardlog.operators.quota import SECOND, traffic
 from shardlog.schema import SHARD_KEYS
-from shardlog.streaming.writers import folder, write_batches
+from shardlog.streaming.writers import save_once, write_batches
 
 _PARTIAL = (
     "stream string, shard_id string, window_start timestamp, "
@@ -23,8 +23,7 @@ def collect_traffic(
     records: DataFrame, path: str, checkpoint: str, every: str = SECOND, **trigger
 ) -> StreamingQuery:
     def save(batch: DataFrame, writer: str, batch_id: int) -> None:
-        partial = traffic(batch, SHARD_KEYS, every)
-        partial.write.mode("overwrite").parquet(folder(path, writer, batch_id))
+        save_once(traffic(batch, SHARD_KEYS, every), path, writer, batch_id)
 
     return write_batches(records, save, checkpoint, trigger or {"processingTime": "1 second"})
 

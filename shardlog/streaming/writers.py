@@ -1,17 +1,18 @@
 """Micro-batches of several writers side by side under one path.
 
 A writer has an id, stored with its checkpoint, and every micro-batch has a folder of
-its own below it.  A batch that runs twice replaces its own folder; writers never touch
-each other's.
+its own below it, which appears when it is complete and then stays as it is: a batch that
+runs twice finds it.  Writers never touch each other's.
 """
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from shardlog.sources.files import write_once
+
 AT_ONCE = {"processingTime": "0 seconds"}
 
 
@@ -19,21 +20,19 @@ def folder(path: str, writer: str, batch_id: int) -> str:
     return f"{path}/writer={writer}/batch_id={batch_id}"
 
 
+def save_once(rows: DataFrame, path: str, writer: str, batch_id: int) -> None:
+    """One micro-batch as Parquet, whole or not at all."""
+    write_once(rows.sparkSession, path, f"writer={writer}/batch_id={batch_id}", rows.write.parquet)
+
+
 def writer_of(spark: SparkSession, checkpoint: str) -> str:
     """The id of the writer that owns this checkpoint, made at its first start.
 
     It lies inside the checkpoint: a checkpoint that begins anew is another writer.
     """
-    path = f"{checkpoint}/writer"
-    try:
-        saved = spark.read.schema("writer string").parquet(path).first()
-    except AnalysisException:
-        saved = None
-    if saved is not None:
-        return saved["writer"]
-    writer = uuid.uuid4().hex
-    spark.createDataFrame([(writer,)], "writer string").coalesce(1).write.mode("overwrite").parquet(path)
-    return writer
+    named = spark.createDataFrame([(uuid.uuid4().hex,)], "writer string").coalesce(1)
+    write_once(spark, checkpoint, "writer", named.write.parquet)
+    return spark.read.schema("writer string").parquet(f"{checkpoint}/writer").first()["writer"]
 
 
 def write_batches(

@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardlog.operators.checkpoint import drop_replays
 from shardlog.operators.consume import (
@@ -10,7 +11,8 @@ from shardlog.operators.consume import (
 )
 from shardlog.operators.delivery import delivery_counts, delivery_errors
 from shardlog.operators.quota import traffic
-from shardlog.schema import SHARD_KEYS
+from shardlog.schema import RECORD, SHARD_KEYS
+from shardlog.sources import files
 from shardlog.sources.log import append_sync as store
 from shardlog.sources.log import scan, scan_stream
 from shardlog.streaming import append as sinks
@@ -306,3 +308,147 @@ def test_sends_that_break_off_are_counted_as_errors(spark, tmp_path):
     deliver.deliver_batch(batch(spark, "a", ["8", "2"]).coalesce(1), 0, picky, out)
     counted = error_counts(delivery_errors(deliver.attempts(spark, out))).collect()
     assert [(r.error_message, r.n_errors) for r in counted] == [("reset by peer", 2)]
+
+
+def test_a_batch_written_again_and_one_cut_off_are_read_once(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    rows = batch(spark, "a", [str(n) for n in range(10)])
+    store(rows, path, writer="w", batch_id=0)
+    query = sinks.append(scan_stream(spark, path), out, ck)
+    query.processAllAvailable()
+    store(rows, path, writer="w", batch_id=0)
+    more = batch(spark, "b", ["1", "2"])
+    broken = more.withColumn("data", F.when(F.col("sequence_number") == "2", F.raise_error(F.lit("cut off")).cast("binary")))
+    with pytest.raises(Exception, match="cut off"):
+        store(broken.repartition(2), path, partitions=2, writer="w", batch_id=1)
+    query.processAllAvailable()
+    assert numbers(scan(spark, path)) == numbers(rows) == numbers(scan(spark, out))
+    store(more, path, writer="w", batch_id=1)
+    query.processAllAvailable()
+    query.stop()
+    assert numbers(scan(spark, path)) == numbers(rows.unionByName(more)) == numbers(scan(spark, out))
+
+
+def test_of_two_runs_the_first_that_is_complete_counts(spark, tmp_path):
+    root = str(tmp_path / "w")
+    assert files.write_once(spark, root, "x=1/y=2", lambda run: spark.range(3).write.parquet(run))
+    assert not files.write_once(spark, root, "x=1/y=2", lambda run: spark.range(9).write.parquet(run))
+    # a second run that began before the first one was published
+    spark.range(5).write.parquet(f"{root}/_runs/late")
+    assert not files.publish(spark, f"{root}/_runs/late", f"{root}/x=1/y=2")
+    assert not files.exists(spark, f"{root}/_runs/late")
+    assert spark.read.schema("id long").parquet(root).count() == 3
+    with pytest.raises(Exception, match="missing"):
+        files.publish(spark, f"{root}/_runs/missing", f"{root}/x=2")
+
+
+def test_only_absence_makes_a_new_writer_or_new_marks(spark, tmp_path):
+    ck = str(tmp_path / "ck")
+    (tmp_path / "ck" / "writer").mkdir(parents=True)
+    (tmp_path / "ck" / "writer" / "part-0.parquet").write_bytes(b"not a file of that kind")
+    with pytest.raises(Exception, match="part-0"):
+        writer_of(spark, ck)
+
+
+def slow_buffer(offers, most, drained):
+    """How many of each batch of offers are accepted."""
+    held, taken = 0, []
+    for n, gone in zip(offers, [0, *drained], strict=False):
+        held = max(0, held - gone)
+        taken.append(min(n, most - held))
+        held += taken[-1]
+    return taken
+
+
+@pytest.mark.parametrize("drained", [0, 100])
+def test_the_buffer_stays_as_full_as_it_is(spark, tmp_path, drained):
+    """5,000 offers in ten micro-batches into room for 4,000."""
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    offers = records(spark, [record("a", str(n)) for n in range(5000)])
+    for part in range(10):
+        offers.where(F.col("sequence_number").cast("int") % 10 == part).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+    listen.admit_stream(stream, 4, out, ck, drained=drained, trigger=DONE).awaitTermination()
+    want = slow_buffer([500] * 10, 4000, [drained] * 9)
+    counts = spark.read.parquet(out).where("accepted").groupBy("batch_id").count().orderBy("batch_id").collect()
+    assert [r["count"] for r in counts] == [n for n in want if n]
+    assert sum(want) == (4000 if drained == 0 else 4900)
+
+
+def test_what_was_sent_makes_room(spark, tmp_path):
+    """A function tells what left the buffer; shards without offers keep theirs, null shards too."""
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in RECORD])
+    offered = [("a", 900), ("b", 1200)], [("a", 900)], [("b", 600), (None, 1)], [("a", 300), (None, 2000)]
+    for part in offered:
+        rows = [record(shard, str(n)) for shard, n_offers in part for n in range(n_offers)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+    def gone(session, batch_id):
+        return session.createDataFrame([("s", "a", 50 * batch_id), ("s", "b", 7)], "stream string, shard_id string, n long")
+
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    listen.admit_stream(stream, 1, out, ck, drained=gone, trigger=DONE).awaitTermination()
+    rows = spark.read.parquet(out).where("accepted").groupBy("shard_id", "batch_id").count().collect()
+    assert {(r.shard_id, r.batch_id): r["count"] for r in rows} == {
+        ("a", 0): 900, ("b", 0): 1000, ("a", 1): 150, ("b", 2): 14, (None, 2): 1, ("a", 3): 250, (None, 3): 999,
+    }
+
+
+def test_refused_records_wait_behind_newer_ones(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for part in range(4):
+        rows = [record("a", str(10 * part + n), f"k{10 * part + n}", str(10 * part + n).encode()) for n in range(10)]
+        records(spark, rows).coalesce(1).write.mode("append").parquet(path)
+
+    def busy(request, attempt):
+        refused = [data.endswith(b"3") and attempt <= 3 for _, data in request]
+        return sum(refused), [("busy" if r else None, None) for r in refused]
+
+    stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+    deliver.deliver_queued(stream, busy, out, ck, trigger=DONE).awaitTermination()
+    done = {(r.partition_key, r.batch_id, r.attempt) for r in deliver.delivered(spark, out).collect()}
+    assert done == {(f"k{n}", n // 10, 1) for n in range(40) if n % 10 != 3} | {("k3", 3, 4)}
+    waiting = {(r.partition_key, bytes(r.data), r.attempt) for r in deliver.queued(spark, out).collect()}
+    assert waiting == {("k13", b"13", 4), ("k23", b"23", 3), ("k33", b"33", 2)}
+    assert len(list((tmp_path / "out" / "queue").glob("writer=*/batch_id=*"))) == 2  # older ones are gone
+
+    # The stream goes on where it was, with its queue.
+    records(spark, [record("a", "40", "k40", b"40")]).coalesce(1).write.mode("append").parquet(path)
+    deliver.deliver_queued(stream, busy, out, ck, trigger=DONE).awaitTermination()
+    assert {r.partition_key for r in deliver.queued(spark, out).collect()} == {"k23", "k33"}
+    deliver.drain(spark, out, busy)
+    assert deliver.queued(spark, out).isEmpty() and deliver.delivered(spark, out).count() == 41
+    attempts = deliver.attempts(spark, out).groupBy("partition_key").agg(F.max("attempt").alias("n"), F.count("*").alias("rows"))
+    assert {r.partition_key: (r.n, r.rows) for r in attempts.collect() if r.n > 1} == {f"k{n}": (4, 4) for n in (3, 13, 23, 33)}
+
+    # What is drained is not sent by a stream that starts again.
+    records(spark, [record("a", "50", "k50", b"50")]).coalesce(1).write.mode("append").parquet(path)
+    deliver.deliver_queued(stream, busy, out, ck, trigger=DONE).awaitTermination()
+    assert deliver.delivered(spark, out).count() == 42
+
+
+def test_the_queue_gives_up_after_its_last_attempt(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    for n in ("9", "1", "2", "3", "4"):
+        records(spark, [record("a", n, None, n.encode())]).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+    deliver.deliver_queued(stream, picky, out, ck, DONE, max_attempts=2, wait=2, keyless=True, concurrency=2).awaitTermination()
+    assert deliver.queued(spark, out).isEmpty()
+    assert [(bytes(r.data), r.batch_id) for r in deliver.dead_letters(spark, out).collect()] == [(b"9", 2)]
+    deliver.drain(spark, out, picky)
+    assert deliver.delivered(spark, out).count() == 4
+
+
+def test_a_drain_that_was_cut_off_goes_on(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    records(spark, [record("a", "9", "k", b"9")]).coalesce(1).write.parquet(path)
+    refuse = lambda request, attempt: (1, [("busy", None)] * len(request))
+    deliver.deliver_queued(spark.readStream.schema(RECORD).parquet(path), refuse, out, ck, DONE).awaitTermination()
+    (writer, batch_id), = deliver._last_queues(spark, out)
+    pending = deliver._queue(spark, out, writer, batch_id).drop("due")
+    deliver._send_round(pending, refuse, 500, out, f"{writer}-drain-0", batch_id, None)
+    deliver.drain(spark, out, lambda request, attempt: (0, [(None, None)] * len(request)))
+    assert [(r.attempt, r.outcome) for r in deliver.attempts(spark, out).orderBy("attempt").collect()] == [
+        (1, "failed"), (2, "failed"), (3, "delivered"),
+    ]
