@@ -1,13 +1,15 @@
 """Mixing: the fit against plain numpy, the classifier on held-out labels."""
 
 import os
+import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from shardlog.llm import mixing
-from tests.llm.cases import awkward, documents
+from tests.llm.cases import awkward, documents, sentence
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TARGETS = {"good": 0.9, "poor": 0.07, "toxic": 0.03}
@@ -42,6 +44,68 @@ def test_fit_finds_the_least_squares(spark):
     assert (rate * t) @ p / t.sum() == pytest.approx(goal, abs=1e-3)
 
 
+def plain_least_squares(p, t, goal, rounds=60_000):
+    """Accelerated projected gradient with a fixed step, on rates that are all stored."""
+    w = t / t.sum()
+    most = np.linalg.eigvalsh((p * w[:, None]).T @ p).max() + mixing.RIDGE
+    rate, ahead, k = np.ones(len(p)), np.ones(len(p)), np.sqrt(mixing.RIDGE / most)
+    for _ in range(rounds):
+        gradient = p @ ((ahead * w) @ p - goal) + mixing.RIDGE * (ahead - 1)
+        new = np.maximum(0.0, ahead - gradient / most)
+        ahead, rate = new + (1 - k) / (1 + k) * (new - rate), new
+    return rate
+
+
+@pytest.mark.parametrize("seed,goal", [(1, [0.2, 0.3, 0.5]), (2, [0.9, 0.05, 0.05]), (3, [0.0, 1.0, 0.0]), (4, [0.34, 0.33, 0.33])])
+def test_projected_gradient_ends_at_the_least_squares(spark, seed, goal):
+    rng = np.random.default_rng(seed)
+    p = rng.dirichlet([0.4, 0.3, 0.2], 300)
+    p[:, 1] *= 0.2  # its largest share is out of reach
+    p[:, 0] = 1 - p[:, 1:].sum(axis=1)
+    t = rng.integers(1, 500, 300)
+    df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p, strict=True)], "tokens long, p array<double>")
+    found = mixing.fit(df.repartition(3), goal)
+    rate, want = mixing._rates(p, found.steps), plain_least_squares(p, t, np.array(goal))
+    assert rate == pytest.approx(want, abs=1e-6)
+    assert (rate * t) @ p / t.sum() == pytest.approx((want * t) @ p / t.sum(), abs=5e-4)
+    assert len(found.steps) < mixing.ROUNDS
+
+
+def slow_features(text):
+    """Words by white space of ASCII, their kinds of characters."""
+    words = [w for w in re.split("[ \t\n\x0b\x0c\r]+", text or "") if w]
+    return words, [re.sub("[a-z]+", "x", re.sub("[A-Z]", "X", w)) for w in words]
+
+
+@pytest.mark.parametrize("at_once", [1 << 20, 40, 7])
+def test_features_are_those_of_the_words(monkeypatch, at_once):
+    """Equal words have equal features wherever they stand, other words have others."""
+    monkeypatch.setattr(mixing, "AT_ONCE", at_once)
+    texts = ["", "one Two  two\nONE", "one", "", "x" * 50 + " é one\x1cx Two", " \t", "a1b2 A1B2 a1b2 \U0001f600", "one"]
+    column = pa.array(["skipped", *texts]).slice(1)
+    found = [(int(i), a, b) for t, *f in mixing.Words().parts(column) for i, a, b in zip(t, *f, strict=True)]
+    words, shapes = zip(*map(slow_features, texts), strict=True)
+    assert [i for i, *_ in found] == [i for i, w in enumerate(words) for _ in w]
+    for k, want in ((1, words), (2, shapes)):
+        names = [x for part in want for x in part]
+        assert len(set(zip(names, (f[k] for f in found), strict=True))) == len(set(names)) == len({f[k] for f in found})
+
+
+def test_scores_are_those_of_the_words():
+    model = object.__new__(mixing.Posteriors)
+    model.domains, rng = ["a", "b"], np.random.default_rng(4)
+    model.odds = np.where(rng.random((mixing.FEATURES, 2)) < 0.5, rng.normal(size=(mixing.FEATURES, 2)), 0.0)
+    texts = ["", *(sentence(i, 1 + 37 * i).replace("a", "A", i) for i in range(9)), "one one one"]
+    scores, tokens = model.scores(pa.array(texts), mixing.Words())
+    for text, got, n in zip(texts, scores, tokens, strict=True):
+        parts = list(mixing.Words().parts(pa.array([text])))
+        f = np.concatenate([np.zeros(0, int), *(x for _, *both in parts for x in both)])
+        assert n == len(text.split())
+        favour = np.maximum(model.odds[np.unique(f)], 0)
+        want = [model.odds[f].mean(axis=0), favour.max(axis=0), np.log1p(favour.sum(axis=0))] if len(f) else [np.zeros(6)]
+        assert got == pytest.approx(np.concatenate(want))
+
+
 def test_domain_without_documents_leaves_the_others_in_place(spark):
     rng = np.random.default_rng(5)
     toxic = rng.random(3000) < 0.1
@@ -51,7 +115,7 @@ def test_domain_without_documents_leaves_the_others_in_place(spark):
     df = spark.createDataFrame([(int(a), [float(x) for x in b]) for a, b in zip(t, p, strict=True)], "tokens long, p array<double>")
     goal = [0.95, 0.03, 0.02]
     found = mixing.fit(df.repartition(5), goal)
-    rate = mixing._rates(p, found.pull)
+    rate = mixing._rates(p, found.steps)
     assert (rate * t) @ p / t.sum() - goal == pytest.approx(found.error, abs=1e-6)
     assert found.error[1] == pytest.approx(-0.03, abs=0.002)
     assert rate.max() < 3 and (rate[~toxic] > 0.5).all()
