@@ -45,8 +45,15 @@ class Numbering:
         """``_rows``, the number of rows of each group."""
         return self._counts.groupBy(*self.keys).agg(F.sum("_rows").alias("_rows"))
 
-    def rows(self, name: str, per_group: DataFrame | None = None) -> DataFrame:
-        """All rows with their number, and with the columns that ``per_group`` has for each group."""
+    def placed(self) -> DataFrame:
+        """All rows with ``_id``, ascending in the order of the table, and ``_part``, the partition each lies in."""
+        return self._rows
+
+    def rows(self, name: str, per_group: DataFrame | None = None, placed: bool = False) -> DataFrame:
+        """All rows with their number, and with the columns that ``per_group`` has for each group.
+
+        With ``placed`` they keep ``_id`` and ``_part``.
+        """
         earlier = (
             Window.partitionBy(*self.keys)
             .orderBy("_part")
@@ -61,7 +68,8 @@ class Numbering:
         where = same("r", "p", [*self.keys, "_part"])
         number = (F.col("r._id") + F.col("p._offset")).alias(name)
         joined = self._rows.alias("r").join(materialised(places, "places").alias("p"), where)
-        return joined.select(*[f"r.{c}" for c in self.columns], number, *[f"p.{c}" for c in more])
+        kept = [*self.columns, *(["_id", "_part"] if placed else [])]
+        return joined.select(*[f"r.{c}" for c in kept], number, *[f"p.{c}" for c in more])
 
 
 def number_rows(

@@ -41,14 +41,26 @@ def from_timestamp(records: DataFrame, start: datetime | Column) -> DataFrame:
 
 
 def from_latest(records: DataFrame, marks: DataFrame) -> DataFrame:
-    """Records behind the frozen high-water marks; shards without a mark pass whole."""
-    positions = marks.select(
+    """Records behind the frozen high-water marks; shards without a mark pass whole.
+
+    A mark's shard may be any, so nothing is pushed into the scan of ``records``; of a
+    stored log ``read_log_from_latest`` reads only what is behind the marks.
+    """
+    return read_from_positions(records, _behind(marks), keep_unlisted=True)
+
+
+def _behind(marks: DataFrame) -> DataFrame:
+    return marks.select(
         *SHARD_KEYS,
         F.lit(AFTER_SEQUENCE_NUMBER).alias("position"),
         "sequence_number",
         F.lit(None).cast("timestamp").alias("at_ts"),
     )
-    return read_from_positions(records, positions, keep_unlisted=True)
+
+
+def read_log_from_latest(spark: SparkSession, path: str, marks: DataFrame) -> DataFrame:
+    """``from_latest`` on a stored log: marks bound the scan of their shards, other shards are scanned whole."""
+    return read_log_from_positions(spark, path, _behind(marks), keep_unlisted=True)
 
 
 def resolve_latest(positions: DataFrame, marks: DataFrame) -> DataFrame:
@@ -170,17 +182,26 @@ def read_log_from_positions(
     path: str,
     positions: DataFrame,
     marks: DataFrame | None = None,
+    keep_unlisted: bool = False,
 ) -> DataFrame:
     """``read_from_positions`` on a stored log, which is partitioned by shard.
 
     Each kind of position has a scan of its own, so that a shard read from its
     start does not keep the bounds of the others from the Parquet filters.  The
     filter on the kind makes Spark prune the partitions to the kind's shards when
-    the query runs, however many there are.
+    the query runs, however many there are.  With ``keep_unlisted``, the shards of
+    the log that have no position are found first, by their names alone, and read
+    from their start in the same way.
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
     records, side = scan(spark, path), _stored(positions)
+    if keep_unlisted:
+        unlisted = records.select(*SHARD_KEYS).distinct().join(side, SHARD_KEYS, "left_anti")
+        whole = unlisted.select(
+            *SHARD_KEYS, F.lit(TRIM_HORIZON).alias("_position"), F.lit(None).cast("string").alias("_start"), F.lit(None).cast("timestamp").alias("_at_ts")
+        )
+        side = materialised(side.unionByName(whole), "positions")
     parts = [
         records.where(bound)
         .join(side.where(F.col("_position") == kind), SHARD_KEYS)

@@ -1,12 +1,14 @@
 """Audit recorded traffic against rate and size quotas.
 
-All of them are grouped counts and sums over tumbling windows: Spark combines
-them before the shuffle, so a hot shard or stream sends one row per task and window.
+Most are grouped counts and sums over tumbling windows: Spark combines them before the
+shuffle, so a hot shard or stream sends one row per task and window.  The peaks look at
+every window, wherever it begins.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardlog.operators.running import SUM, running_over
 from shardlog.schema import (
     DELIVERY_BYTES_PER_SECOND,
     DELIVERY_RECORDS_PER_SECOND,
@@ -21,6 +23,7 @@ from shardlog.schema import (
     WRITE_BYTES_PER_SECOND,
     WRITES_PER_SECOND,
 )
+from shardlog.workdir import materialised
 
 SECOND = "1 second"
 
@@ -40,6 +43,54 @@ def traffic(records: DataFrame, keys: list[str], every: str = SECOND) -> DataFra
     )
 
 
+def peak_traffic(records: DataFrame, keys: list[str], period: int = 1_000_000) -> DataFrame:
+    """The most records, and the most bytes, that any window of ``period`` microseconds holds.
+
+    One row a key: ``n_records`` and ``n_bytes`` with the time at which the first such
+    window ends, ``records_at`` and ``bytes_at``.  A window reaches back from its end, which
+    it includes, to a period before, which it does not.  Records of one moment are combined
+    before the shuffle; then each moment adds its records and, a period later, takes them
+    away, and the windows are the running sums, which are spread over tasks by time as well.
+    Records without an arrival time are in no window.
+    """
+    at = F.unix_micros("arrival_ts")
+    moments = (
+        records.where(F.col("arrival_ts").isNotNull())
+        .groupBy(*keys, at.alias("_t"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(put_bytes()).alias("_b"))
+        .withColumn("_kind", F.lit(1))
+    )
+    moments = materialised(moments, "moments")
+    gone = moments.select(*keys, (F.col("_t") + period).alias("_t"), (-F.col("_n")).alias("_n"), (-F.col("_b")).alias("_b"), F.lit(0).alias("_kind"))
+    held = running_over(
+        moments.unionByName(gone), keys, ["_t", "_kind"], {"n_records": (SUM, F.col("_n")), "n_bytes": (SUM, F.col("_b"))}
+    )
+    first = lambda c: F.max(F.struct(F.col(c).alias("n"), (-F.col("_t")).alias("t"))).alias(f"_{c}")
+    best = held.where("_kind = 1").groupBy(*keys).agg(first("n_records"), first("n_bytes"))
+    when = lambda c: F.timestamp_micros(-F.col(f"_{c}.t"))
+    return best.select(
+        *keys, F.col("_n_records.n").alias("n_records"), when("n_records").alias("records_at"),
+        F.col("_n_bytes.n").alias("n_bytes"), when("n_bytes").alias("bytes_at"),
+    )
+
+
+def write_peak(
+    records: DataFrame, max_records: int = WRITES_PER_SECOND, max_bytes: int = WRITE_BYTES_PER_SECOND, period: int = 1_000_000
+) -> DataFrame:
+    """``peak_traffic`` of each shard, and whether any second of it, not only whole ones, exceeds a write quota."""
+    over = (F.col("n_records") > max_records) | (F.col("n_bytes") > max_bytes)
+    return peak_traffic(records, SHARD_KEYS, period).withColumn("exceeded", over)
+
+
+def delivery_peak(
+    records: DataFrame, max_records: int = DELIVERY_RECORDS_PER_SECOND, max_bytes: int = DELIVERY_BYTES_PER_SECOND, period: int = 1_000_000
+) -> DataFrame:
+    """The same for a keyless stream, whose keys do not count."""
+    over = (F.col("n_records") > max_records) | (F.col("n_bytes") > max_bytes)
+    payload = records.withColumn("partition_key", F.lit(""))
+    return peak_traffic(payload, ["stream"], period).withColumn("exceeded", over)
+
+
 def read_rate(
     records: DataFrame,
     per_fetch: int = RECORDS_PER_FETCH,

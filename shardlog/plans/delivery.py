@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from shardlog.functions.message import value_text
-from shardlog.operators import consume, delivery, produce, quota
+from shardlog.operators import consume, delivery, pacing, produce, quota, requests
 from shardlog.plans import tables
 from shardlog.plans.reading import REC
 from shardlog.schema import SHARD_KEYS
@@ -76,6 +76,48 @@ def _hours(windows):
     return windows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
 
 
+HOUR_MICROS = 3_600_000_000
+
+
+def write_schedule(spark, sf):
+    """At most 4 sends of a shard in any hour: when each record goes out, and how many wait before it."""
+    sent = pacing.with_backlog(pacing.write_schedule(tables.event_records(spark, sf), 4, HOUR_MICROS))
+    at = F.col("send_ts").cast("timestamp_ntz").alias("send_ts")
+    return sent.select(*SHARD_KEYS, "sequence_number", at, "waiting")
+
+
+def read_schedule(spark, sf):
+    """Fetches of 3 records, at most 2 of a shard in any hour."""
+    made = pacing.read_schedule(tables.event_records(spark, sf), 3, 2, HOUR_MICROS)
+    times = (F.col(c).cast("timestamp_ntz").alias(c) for c in ("ready_ts", "fetch_ts"))
+    return made.select(*SHARD_KEYS, "fetch_no", "n_records", *times)
+
+
+def write_peak(spark, sf):
+    """The fullest hour of each shard, wherever it begins."""
+    peaks = quota.write_peak(tables.event_records(spark, sf), 9, 120, HOUR_MICROS)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("records_at", "bytes_at")}
+    return peaks.withColumns(times)
+
+
+def delivery_peak(spark, sf):
+    peaks = quota.delivery_peak(tables.typed_records(spark, sf), 12, 100, HOUR_MICROS)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ("records_at", "bytes_at")}
+    return peaks.withColumns(times)
+
+
+def put_shape_bytes(spark, sf):
+    """Document texts in requests of at most 10 records and 20,000 bytes."""
+    shaped = requests.put_shape_bytes(tables.document_records(spark, sf), 10, 20_000)
+    return shaped.select("stream", "request_id", "idx", "partition_key", value_text().alias("payload"))
+
+
+def oversized_after_shaping(spark, sf):
+    """Of the requests that ``put_shape_bytes`` makes only single records exceed the limits."""
+    shaped = requests.put_shape_bytes(tables.document_records(spark, sf), 10, 20_000)
+    return quota.oversized_requests(shaped, 10, 20_000)
+
+
 def read_rate(spark, sf):
     records = tables.event_records(spark, sf)
     return _hours(quota.read_rate(records, per_fetch=3, limit=2, every=HOUR))
@@ -129,6 +171,12 @@ QUERIES = {
     "delivery_counts_keyless": delivery_counts_keyless,
     "error_counts": error_counts,
     "deliver_payload": deliver_payload,
+    "write_schedule": write_schedule,
+    "read_schedule": read_schedule,
+    "write_peak": write_peak,
+    "delivery_peak": delivery_peak,
+    "put_shape_bytes": put_shape_bytes,
+    "oversized_after_shaping": oversized_after_shaping,
     "read_rate": read_rate,
     "write_rate": write_rate,
     "write_bytes": write_bytes,
@@ -171,7 +219,59 @@ WITH src AS (SELECT source AS stream, 'shardId-' || lpad(CAST(doc_id % 4 AS VARC
 {_requests("src", 20)}
 """
 
+# One record after the other: a request is closed where the next record does not fit.
+CUT = f"""
+WITH RECURSIVE src AS (SELECT source AS stream, 'shardId-' || lpad(CAST(doc_id % 4 AS VARCHAR), 12, '0') AS shard_id,
+  CAST(doc_id AS VARCHAR) AS partition_key, text AS payload, doc_id AS n FROM documents),
+placed AS MATERIALIZED (SELECT *, coalesce(octet_length(encode(payload)), 0) + octet_length(encode(partition_key)) AS size,
+  row_number() OVER (PARTITION BY stream, shard_id ORDER BY n) AS p FROM src),
+cut AS (
+  SELECT stream, shard_id, p, CAST(0 AS BIGINT) AS no, 0 AS idx, size AS held FROM placed WHERE p = 1
+  UNION ALL
+  SELECT c.stream, c.shard_id, x.p, c.no + CAST(closes AS BIGINT), CASE WHEN closes THEN 0 ELSE c.idx + 1 END, CASE WHEN closes THEN size ELSE held + size END
+  FROM (SELECT c.*, x.p AS next, c.idx = 9 OR c.held + x.size > 20000 AS closes
+        FROM cut c JOIN placed x ON x.stream = c.stream AND x.shard_id = c.shard_id AND x.p = c.p + 1) c
+  JOIN placed x ON x.stream = c.stream AND x.shard_id = c.shard_id AND x.p = c.next),
+firsts AS (SELECT stream, shard_id, coalesce(sum(c) OVER (ORDER BY stream, shard_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first
+  FROM (SELECT stream, shard_id, max(no) + 1 AS c FROM cut GROUP BY ALL)),
+req AS (SELECT stream, CAST(first + no AS BIGINT) AS request_id, idx, partition_key, payload, size
+  FROM cut JOIN placed USING (stream, shard_id, p) JOIN firsts USING (stream, shard_id))
+"""
+# One record after the other, each a turn of ``limit`` behind the one that it has to wait for.
+PACED = """
+sent AS (
+  SELECT stream, shard_id, i, a, a AS d FROM placed WHERE i < {limit}
+  UNION ALL
+  SELECT x.stream, x.shard_id, x.i, x.a, greatest(x.a, s.d + INTERVAL 1 HOUR)
+  FROM sent s JOIN placed x ON x.stream = s.stream AND x.shard_id = s.shard_id AND x.i = s.i + {limit})
+"""
+PEAK = """, w AS (
+  SELECT {keys}, ts, count(*) OVER last AS n, sum(size) OVER last AS b FROM sized
+  WINDOW last AS (PARTITION BY {keys} ORDER BY ts RANGE BETWEEN INTERVAL '59 minutes 59.999999 seconds' PRECEDING AND CURRENT ROW))
+SELECT {keys}, max(n) AS n_records, arg_min(ts, (-n, ts)) AS records_at, CAST(max(b) AS BIGINT) AS n_bytes, arg_min(ts, (-b, ts)) AS bytes_at,
+  max(n) > {records} OR max(b) > {bytes} AS exceeded FROM w GROUP BY ALL"""
+
 ORACLES = {
+    "write_schedule": f"""{REC.replace("WITH", "WITH RECURSIVE", 1)}, placed AS MATERIALIZED (
+  SELECT stream, shard_id, sequence_number, ts AS a, row_number() OVER (PARTITION BY shard_id ORDER BY ts, event_id) - 1 AS i FROM rec),
+{PACED.format(limit=4)}, gone AS (SELECT shard_id, d, count(*) OVER (PARTITION BY shard_id ORDER BY d) AS n FROM sent)
+SELECT p.stream, p.shard_id, p.sequence_number, s.d AS send_ts, CAST(greatest(p.i - coalesce(g.n, 0), 0) AS BIGINT) AS waiting
+FROM placed p JOIN sent s ON p.shard_id = s.shard_id AND p.i = s.i
+ASOF LEFT JOIN (SELECT DISTINCT * FROM gone) g ON p.shard_id = g.shard_id AND p.a >= g.d""",
+    "read_schedule": f"""{REC.replace("WITH", "WITH RECURSIVE", 1)}, numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY shard_id ORDER BY event_id) - 1) // 3 AS i FROM rec),
+placed AS MATERIALIZED (SELECT stream, shard_id, i, n, max(m) OVER (PARTITION BY shard_id ORDER BY i) AS a
+  FROM (SELECT stream, shard_id, i, count(*) AS n, max(ts) AS m FROM numbered GROUP BY ALL)),
+{PACED.format(limit=2)}
+SELECT stream, shard_id, CAST(i AS BIGINT) AS fetch_no, n AS n_records, a AS ready_ts, d AS fetch_ts
+FROM sent JOIN placed USING (stream, shard_id, i, a)""",
+    "write_peak": f"""{REC}, sized AS (SELECT *, octet_length(encode(payload)) + octet_length(encode(partition_key)) AS size FROM rec)
+{PEAK.format(keys="stream, shard_id", records=9, bytes=120)}""",
+    "delivery_peak": f"""{REC}, sized AS (SELECT event_type AS stream, ts, octet_length(encode(payload)) AS size FROM rec)
+{PEAK.format(keys="stream", records=12, bytes=100)}""",
+    "put_shape_bytes": f"{CUT} SELECT stream, request_id, idx, partition_key, payload FROM req",
+    "oversized_after_shaping": f"""{CUT} SELECT stream, request_id, count(*) AS n_records, CAST(sum(size) AS BIGINT) AS n_bytes
+FROM req GROUP BY stream, request_id HAVING count(*) > 10 OR sum(size) > 20000""",
     "admit_by_hour": f"""{REC}, h AS (SELECT stream, shard_id, date_trunc('hour', ts) AS hour, count(*) AS n FROM rec GROUP BY ALL),
   b AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY shard_id ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM h)
 SELECT stream, shard_id, hour, CAST(least(n, greatest(2000 - before, 0)) AS BIGINT) AS n_accepted, n AS n_offers FROM b""",

@@ -117,6 +117,26 @@ def log_positions(spark, sf):
     return shown(positions.read_log_from_positions(spark, path, tables.positions(spark)))
 
 
+def log_latest(spark, sf):
+    """LATEST on a stored log: one shard has no mark and is read whole, the others are bounded."""
+    path = work_dir(spark, "log")
+    records = tables.event_records(spark, sf)
+    append_sync(records, path)
+    marks = checkpoint(before(records, CUT).where("shard_id <> 'shardId-000000000003'"))
+    return shown(positions.read_log_from_latest(spark, path, marks))
+
+
+def active_at_arrival(spark, sf):
+    """Streams that are created, become active, are deleted and come back while records arrive."""
+    kept = status.active_at_arrival(tables.typed_records(spark, sf), tables.status_history(spark))
+    return shown(kept)
+
+
+def rejected_at_arrival(spark, sf):
+    refused = status.rejected_at_arrival(tables.typed_records(spark, sf), tables.status_history(spark))
+    return refused.select(*SHARD_KEYS, "sequence_number", "reason")
+
+
 def active_only(spark, sf):
     return shown(status.active_only(tables.typed_records(spark, sf), tables.streams(spark)))
 
@@ -287,6 +307,9 @@ QUERIES = {
     "pos_at_timestamp": pos_at_timestamp,
     "pos_per_shard": pos_per_shard,
     "log_positions": log_positions,
+    "log_latest": log_latest,
+    "active_at_arrival": active_at_arrival,
+    "rejected_at_arrival": rejected_at_arrival,
     "active_only": active_only,
     "rejected_streams": rejected_streams,
     "code_names": code_names,
@@ -332,7 +355,22 @@ STATUSES = """
     ('view', 'UPDATING'), ('purchase', NULL)) AS s(stream, status)
 """
 
+HISTORY = """
+  SELECT stream, status, CAST(since AS TIMESTAMP) AS since FROM (VALUES ('signup', 'CREATING', '2024-01-03'), ('signup', 'ACTIVE', '2024-01-05 06:00:00'),
+    ('signup', 'DELETING', '2024-01-12'), ('signup', 'ACTIVE', '2024-01-20 12:30:00'), ('click', 'ACTIVE', '2023-12-31'),
+    ('view', 'ACTIVE', '2024-01-02'), ('view', NULL, '2024-01-15'), ('view', 'UPDATING', '2024-01-25'),
+    ('error', 'CREATING', '2024-01-10')) AS h(stream, status, since)
+"""
+ARRIVED = f"""{REC}, h AS ({HISTORY}),
+met AS (SELECT rec.* EXCLUDE (stream), event_type AS stream, h.status, h.since FROM rec ASOF LEFT JOIN h ON rec.event_type = h.stream AND rec.ts >= h.since)
+"""
+
 ORACLES = {
+    "log_latest": LATEST_SQL.replace("GROUP BY shard_id)", "AND shard_id <> 'shardId-000000000003' GROUP BY shard_id)"),
+    "active_at_arrival": f"{ARRIVED} SELECT {SHOWN} FROM met WHERE status = 'ACTIVE'",
+    "rejected_at_arrival": f"""{ARRIVED} SELECT stream, shard_id, sequence_number, CASE WHEN since IS NULL THEN 'The Stream is not known'
+  WHEN status IS NULL THEN 'Nil stream status' ELSE 'The Stream is not yet active' END AS reason
+FROM met WHERE status IS DISTINCT FROM 'ACTIVE'""",
     "left_to_read": f"""{READ}
 SELECT stream, shard_id, count(*) AS n_messages, CAST(max(event_id) AS VARCHAR) AS checkpoint
 FROM red GROUP BY stream, shard_id""",

@@ -112,6 +112,19 @@ def streams(spark: SparkSession) -> DataFrame:
     )
 
 
+def status_history(spark: SparkSession) -> DataFrame:
+    """The statuses of the event types over January; ``purchase`` has none."""
+    return spark.sql(
+        """
+        SELECT stream, status, CAST(CAST(at AS TIMESTAMP_NTZ) AS TIMESTAMP) AS at FROM VALUES
+          ('signup', 'CREATING', '2024-01-03'), ('signup', 'ACTIVE', '2024-01-05 06:00:00'),
+          ('signup', 'DELETING', '2024-01-12'), ('signup', 'ACTIVE', '2024-01-20 12:30:00'),
+          ('click', 'ACTIVE', '2023-12-31'), ('view', 'ACTIVE', '2024-01-02'), ('view', NULL, '2024-01-15'),
+          ('view', 'UPDATING', '2024-01-25'), ('error', 'CREATING', '2024-01-10') AS t(stream, status, at)
+        """
+    )
+
+
 def sent_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Delivery records as put requests of 500, written down as they were sent."""
     return materialised(put_shape(delivery_records(spark, sf), 500), "requests")
