@@ -89,7 +89,7 @@ def observe_messages(records: DataFrame, to: str | Observation = "progress") ->
     """Count records while they pass, without a pass of their own.
 
     Give an ``Observation`` for a batch, a name for a stream; a stream reports the
-    count of each micro-batch in its progress.  A total over all batches comes
-    from what ``listen`` stores (``streaming.listen.handled_counts``).
+    count of each micro-batch in its progress.  ``streaming.progress`` adds them up
+    while they pass; ``streaming.listen.handled_counts`` counts what ``listen`` stored.
     """
     return records.observe(to, F.count(F.lit(1)).alias("n_messages"))

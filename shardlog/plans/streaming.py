@@ -26,6 +26,8 @@ from shardlog.schema import RECORD
 from shardlog.sources import log
 from shardlog.streaming import append as sinks
 from shardlog.streaming import deliver, latest, listen, rates
+from shardlog.streaming.progress import MessageProgress
+from shardlog.streaming.replays import append_new
 from shardlog.workdir import materialised, work_dir
 
 DONE = {"availableNow": True}
@@ -90,6 +92,28 @@ def stream_drop_replays(spark, sf):
     return shown(log.scan(spark, f"{base}/log"))
 
 
+def stream_append_new(spark, sf):
+    """Replays that come micro-batches later are looked for in the log that was written before."""
+    base = work_dir(spark, "append-new")
+    delivered = replayed(tables.event_records(spark, sf), spark)
+    log.append_sync(delivered, f"{base}/source", partitions=4)
+    records = log.scan_stream(spark, f"{base}/source", max_files=3)
+    append_new(records, f"{base}/log", f"{base}/ck", **DONE).awaitTermination()
+    return shown(log.scan(spark, f"{base}/log"))
+
+
+def stream_progress(spark, sf):
+    """The total that a listener has counted over two runs of a stream, and its progress lines."""
+    base = work_dir(spark, "progress")
+    records = _in_parts(spark, sf, f"{base}/source")
+    lines = []
+    for _ in range(2):
+        with MessageProgress(spark, f"{base}/ck", every=100, tell=lines.append) as seen:
+            listen.listen(seen.counted(records), parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE).awaitTermination()
+        _in_parts(spark, sf, f"{base}/source")  # as much again for the second run
+    return spark.createDataFrame([(seen.total, len(lines))], "n_messages long, n_lines long")
+
+
 def refuse_by_k(request, attempt):
     """A sender: some records are never taken, some only at the third attempt."""
     entries = []
@@ -295,6 +319,8 @@ QUERIES = {
     "stream_write_rate": stream_write_rate,
     "stream_scan_after_rerun": stream_scan_after_rerun,
     "stream_deliver_queue": stream_deliver_queue,
+    "stream_append_new": stream_append_new,
+    "stream_progress": stream_progress,
     "stream_admit_drained": stream_admit_drained,
 }
 
@@ -323,6 +349,11 @@ SELECT stream, partition_key, octet_length(encode(payload)) AS n_bytes, attempt,
     "stream_deliver_payload": "SELECT props AS payload FROM events",
     "stream_write_rate": DELIVERY_SQL["write_rate"],
     "stream_scan_after_rerun": ALL,
+    "stream_append_new": READING_SQL["drop_replays"],
+    "stream_progress": f"""WITH n AS (SELECT event_id % {PARTS} AS part, count(*) AS n FROM events GROUP BY ALL),
+b AS (SELECT part, n FROM n UNION ALL SELECT part + {PARTS}, n FROM n),
+t AS (SELECT sum(n) OVER (ORDER BY part) AS t, sum(n) OVER (ORDER BY part) - n AS before FROM b)
+SELECT CAST(max(t) AS BIGINT) AS n_messages, count(*) FILTER (t // 100 > before // 100) AS n_lines FROM t""",
     "stream_deliver_queue": f"""{REC}, x AS (SELECT stream, event_id % {PARTS} AS part, CAST(json_extract(payload, '$.k') AS BIGINT) % 10 = 0 AS slow FROM rec),
 sent AS (SELECT stream, least(part + a - 1, {PARTS - 1}) AS batch_id, CAST(a AS INTEGER) AS attempt,
     CASE WHEN slow AND a <= 5 THEN 'failed' ELSE 'delivered' END AS outcome

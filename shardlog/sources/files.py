@@ -61,3 +61,28 @@ def write_once(spark: SparkSession, root: str, part: str, write: Callable[[str],
     run = f"{root}/{RUNS}/{uuid.uuid4().hex}"
     write(run)
     return publish(spark, run, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text in one file, in place of what it held; readers find the one or the other."""
+    place, store = _place(spark, path)
+    beside, _ = _place(spark, f"{path}.{uuid.uuid4().hex}")
+    out = store.create(beside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs = spark._jvm.org.apache.hadoop.fs
+    over = spark._sc._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    over[0] = getattr(fs, "Options$Rename").OVERWRITE
+    fs.FileContext.getFileContext(place.toUri(), spark._jsparkSession.sessionState().newHadoopConf()).rename(beside, place, over)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """What ``write_text`` put there."""
+    place, store = _place(spark, path)
+    if not store.exists(place):
+        return None
+    found = store.open(place)
+    try:
+        return bytes(found.readAllBytes()).decode()
+    finally:
+        found.close()

@@ -12,6 +12,7 @@ from shardlog.operators.checkpoint import (
 from shardlog.operators.positions import (
     from_latest,
     read_from_positions,
+    read_log_from_latest,
     read_log_from_positions,
     start_at,
 )
@@ -221,3 +222,15 @@ def test_copies_and_hot_shards_are_spread_in_order(spark):
         .collect()
     )
     assert len(parts) == 4 and all(a.hi < b.lo for a, b in zip(parts, parts[1:]))
+
+
+def test_latest_on_a_stored_log_is_bounded(spark, tmp_path):
+    """Shards with a mark are read behind it, those without are found by name and read whole."""
+    path = str(tmp_path / "log")
+    rows = [record(shard, str(n)) for shard in "abc" for n in range(30)]
+    append_sync(records(spark, rows), path)
+    found = read_log_from_latest(spark, path, checkpoints(spark, [("a", "12"), ("b", "29"), ("gone", "5")]))
+    assert numbers(found) == sorted([("a", str(n)) for n in range(13, 30)] + [("c", str(n)) for n in range(30)])
+    plan = plan_of(found)
+    assert "GreaterThanOrEqual(sequence_number,5)" in plan and plan.count("dynamicpruning") >= 2
+    assert numbers(read_log_from_latest(spark, path, checkpoints(spark, []))) == numbers(records(spark, rows))

@@ -1,7 +1,10 @@
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shardlog.functions.sequence import number_key
 from shardlog.operators.checkpoint import drop_replays
 from shardlog.operators.consume import (
     error_counts,
@@ -17,8 +20,11 @@ from shardlog.sources.log import append_sync as store
 from shardlog.sources.log import scan, scan_stream
 from shardlog.streaming import append as sinks
 from shardlog.streaming import deliver, latest, listen, rates
+from shardlog.streaming.progress import MessageProgress
+from shardlog.streaming.replays import append_new, held
 from shardlog.streaming.writers import folder, writer_of
-from tests.util import BIG, T0, numbers, record, records
+from shardlog.workdir import materialised
+from tests.util import BIG, T0, numbers, plan_of, record, records
 
 DONE = {"availableNow": True}
 
@@ -452,3 +458,57 @@ def test_a_drain_that_was_cut_off_goes_on(spark, tmp_path):
     assert [(r.attempt, r.outcome) for r in deliver.attempts(spark, out).orderBy("attempt").collect()] == [
         (1, "failed"), (2, "failed"), (3, "delivered"),
     ]
+
+
+def test_replays_are_found_in_the_log(spark, tmp_path):
+    """A hundred micro-batches, each repeating the one before and something old; the stream keeps no state."""
+    path, out, ck = (str(tmp_path / n) for n in ("source", "log", "ck"))
+    for part in range(20):
+        names = [str(5 * part + n) for n in range(-5, 5)] + ["3", str(10 * part)]
+        rows = [record("a", n) for n in names if int(n) >= 0] + [record("b", str(part % 7)), record("c", None, data=b"x")]
+        spark.createDataFrame(rows, RECORD).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+    query = append_new(stream, out, ck, **DONE)
+    query.awaitTermination()
+    assert all(not p["stateOperators"] for p in query.recentProgress) and len(query.recentProgress) >= 20
+    got = [(r.shard_id, r.sequence_number) for r in scan(spark, out).collect()]
+    want = {("a", str(n)) for n in range(100)} | {("a", str(10 * p)) for p in range(20)} | {("b", str(n)) for n in range(7)}
+    assert Counter(got) == Counter(want) + Counter({("c", None): 20})
+    sinks.append_sync(stream, f"{out}-all", f"{ck}-all")
+    assert len(got) < scan(spark, f"{out}-all").count()
+
+
+def test_the_look_into_the_log_is_bounded(spark, tmp_path):
+    path = str(tmp_path / "log")
+    store(records(spark, [record(s, str(n)) for s in "abcd" for n in range(50)]), path)
+    batch_ = materialised(records(spark, [record("b", str(n)) for n in (12, 48, 60)]), "b")
+    ranges = batch_.groupBy(*SHARD_KEYS).agg(
+        F.count(F.lit(1)).alias("n"), F.min(number_key()).alias("least"), F.max(number_key()).alias("greatest")
+    )
+    looked = held(spark, path, materialised(ranges, "r"))
+    assert {int(r.sequence_number) for r in looked.collect()} == set(range(12, 50))
+    plan = plan_of(looked)
+    assert "dynamicpruning" in plan and "GreaterThanOrEqual(sequence_number,12)" in plan and "LessThanOrEqual(sequence_number,60)" in plan
+
+
+def test_messages_are_counted_as_they_pass(spark, tmp_path):
+    """110 messages in micro-batches of ten, a restart, and a report that comes twice."""
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    lines = []
+    for first in (0, 60):
+        for part in range(6 if not first else 5):
+            store(batch(spark, "a", [str(first + 10 * part + n) for n in range(10)]), path, partitions=1)
+        with MessageProgress(spark, ck, every=50, tell=lines.append) as seen:
+            stream = seen.counted(scan_stream(spark, path, max_files=1))
+            listen.listen(stream, int, "int", out, ck, **DONE).awaitTermination()
+        assert seen.total == first + (50 if first else 60)
+    assert lines == [50, 100]
+    assert listen.handled_counts(spark, out).first().n_messages == seen.total == 110
+    again = MessageProgress(spark, ck)
+    assert (again.total, again.batch) == (110, 10)
+
+    class Progress:
+        batchId, observedMetrics = 10, {again.name: {"n_messages": 10}}
+
+    again.onQueryProgress(type("Event", (), {"progress": Progress}))
+    assert again.total == 110
