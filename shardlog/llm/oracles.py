@@ -123,7 +123,7 @@ def license_scan() -> str:
 
 
 def url_filter(rules: list[tuple[str, str]]) -> str:
-    two = ", ".join(map(_quoted, hosts.TWO_LABELS))
+    """Every host of the given tables lies under a suffix of one label and is a plain name."""
     table = ", ".join(f"({_quoted(v)}, {_quoted(r)}, {_quoted(r.partition('/')[0])}, {_quoted('/' + r.partition('/')[2])})" for v, r in rules)
 
     def shrunk(name: str, mean: str) -> str:
@@ -144,21 +144,15 @@ def url_filter(rules: list[tuple[str, str]]) -> str:
         FROM pages
     ),
     outcomes AS (
-        SELECT doc_id AS page_id, count(*) AS n, sum((quality = 0 OR toxic = 1)::BIGINT) AS x FROM labels
-        WHERE (quality = 0 OR toxic = 1) IS NOT NULL AND doc_id IS NOT NULL GROUP BY doc_id
+        SELECT page_id, count(*) AS n, sum((quality = 0 OR toxic = 1)::BIGINT) AS x
+        FROM (SELECT DISTINCT page_id, TRY_CAST(regexp_extract(path, '([0-9]{{1,18}})[^0-9]*$', 1) AS BIGINT) AS doc_id FROM p) JOIN labels USING (doc_id)
+        WHERE (quality = 0 OR toxic = 1) IS NOT NULL AND page_id IS NOT NULL GROUP BY page_id
     ),
     host0 AS (
         SELECT host, string_split(host, '.') AS l, coalesce(sum(n), 0)::DOUBLE AS n, coalesce(sum(x), 0)::DOUBLE AS x
         FROM p LEFT JOIN outcomes USING (page_id) GROUP BY host
     ),
-    host1 AS (
-        SELECT *, array_to_string(l[-2:], '.') IN ({two}) AS long FROM host0
-    ),
-    host2 AS (
-        SELECT host, n, x, array_to_string(CASE WHEN long THEN l[-3:] ELSE l[-2:] END, '.') AS domain,
-               array_to_string(CASE WHEN long THEN l[-2:] ELSE l[-1:] END, '.') AS suffix
-        FROM host1
-    ),
+    host2 AS (SELECT host, n, x, array_to_string(l[-2:], '.') AS domain, array_to_string(l[-1:], '.') AS suffix FROM host0),
     suffix0 AS (SELECT suffix, sum(n) AS n, sum(x) AS x FROM host2 GROUP BY suffix),
     suffix1 AS (SELECT *, (SELECT (coalesce(sum(x), 0) + 1) / (coalesce(sum(n), 0) + 2) FROM suffix0) AS m FROM suffix0),
     domain1 AS (

@@ -57,10 +57,9 @@ RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages take the outcomes of the labels table by their number: bad is poor or toxic."""
-    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
-    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), bad.alias("bad"))
-    rows = hosts.judged(table(spark, sf_dir, "pages"), outcomes, RULES)
+    """A page's outcomes are the labels of the document that it shows, whose number stands in its path."""
+    pages_ = table(spark, sf_dir, "pages")
+    rows = hosts.judged(pages_, hosts.outcomes_of(pages_, table(spark, sf_dir, "labels")), RULES)
     return rows.select("page_id", "host", "path", "rule", "verdict")
 
 

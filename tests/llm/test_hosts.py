@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardlog.llm import hosts
-from shardlog.llm.queries import RULES
+from shardlog.llm.queries import QUERIES, RULES
 
 
 @pytest.mark.parametrize("url,host,path,rule,verdict", [
@@ -48,6 +48,54 @@ def test_reputation_follows_the_levels(spark):
     assert got[len(pages) - 1].verdict == "allow"  # one bad page does not outweigh its domain
 
 
+@pytest.mark.parametrize("host,domain,suffix", [
+    ("a.b.example.com", "example.com", "com"), ("example.co.uk", "example.co.uk", "co.uk"), ("x.example.co.id", "example.co.id", "co.id"),
+    ("me.github.io", "me.github.io", "github.io"), ("a.me.github.io", "me.github.io", "github.io"), ("github.io", "github.io", "github.io"),
+    ("a.b.c.ck", "b.c.ck", "c.ck"), ("x.www.ck", "www.ck", "ck"), ("city.kawasaki.jp", "city.kawasaki.jp", "kawasaki.jp"),
+    ("a.b.kawasaki.jp", "a.b.kawasaki.jp", "b.kawasaki.jp"), ("a.b.unlisted", "b.unlisted", "unlisted"), ("com", "com", "com"), ("", "", ""),
+    ("10.0.0.1", "10.0.0.1", "number"), ("[::1]", "[::1]", "number"), ("xn--85x722f.xn--55qx5d.cn", "xn--85x722f.xn--55qx5d.cn", "xn--55qx5d.cn"),
+    ("食狮.公司.cn", "食狮.公司.cn", "公司.cn"), ("l." * 3000 + "co.uk", "l.co.uk", "co.uk"),
+])
+def test_levels(spark, host, domain, suffix):
+    df = spark.createDataFrame([(host, 1)], "host string, n int")
+    got = hosts.placed(df, hosts.suffix_rules(spark)).first()
+    assert (got.host, got.n, got.domain, got.suffix) == (host, 1, domain, suffix)
+
+
+def test_a_list_of_ones_own(spark, tmp_path):
+    (tmp_path / "list").write_text("// own\n\nshop\n*.shop  and a remark\n!my.shop\n")
+    rules = hosts.suffix_rules(spark, str(tmp_path / "list"))
+    df = spark.createDataFrame([("a.b.c.shop",), ("a.my.shop",), ("x.com",)], "host string")
+    assert {(r.host, r.suffix) for r in hosts.placed(df, rules).collect()} == {("a.b.c.shop", "c.shop"), ("a.my.shop", "shop"), ("x.com", "com")}
+
+
+@pytest.mark.parametrize("host,name", [("a.com:8080", "a.com"), ("u:p@a.com", "a.com"), ("a.com.", "a.com"), ("[::1]:80", "[::1]"), ("", ""), ("a@b@c.de:", "c.de")])
+def test_plain_names(spark, host, name):
+    assert spark.createDataFrame([(host,)], "h string").select(hosts.plain(F.col("h"))).first()[0] == name
+
+
+def test_query_finds_planted_hosts(spark, tmp_path):
+    """Bad documents shown by one host only; the numbers of its pages are those of good documents."""
+    pages, labels = [], []
+    for i in range(400):
+        bad = i % 4 == 0
+        host = f"h{i % 3}.pills.net:8080" if bad else f"h{i % 5}.news.net"
+        pages.append((1000 + (i + 1) % 400, f"http://{host}/en/2024/{1000 + i}.html?id=7#5"))
+        labels.append((1000 + i, int(not bad), 0))
+    pages += [(5000, "http://new.pills.net/"), (5001, "http://new.news.net/no/number"), (5002, None), (None, "http://h1.news.net/en/1000")]
+    spark.createDataFrame(pages, "page_id long, url string").withColumn("html", F.lit("")).write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = QUERIES["op8_url_filter"](spark, str(tmp_path)).collect()
+    assert len(got) == len(pages)
+    assert all(r.verdict == ("block" if "pills" in r.host else "allow") for r in got)
+    assert {r.host for r in got if "pills" in r.host} == {"h0.pills.net:8080", "h1.pills.net:8080", "h2.pills.net:8080", "new.pills.net"}
+
+
+@pytest.mark.parametrize("path,number", [("/en/7817", 7817), ("/en/4033.html", 4033), ("/en/1/22/", 22), ("/", None), ("", None), ("/" + "9" * 30, int("9" * 18))])
+def test_the_document_of_a_page(spark, path, number):
+    assert spark.createDataFrame([(path,)], "p string").select(hosts.shown_document(F.col("p"))).first()[0] == number
+
+
 def test_awkward(spark):
     rows = [(1, None), (1, None), (None, "http://a.com/"), (2, ""), (3, "http://" + "x" * 100_000 + ".com/" + "y" * 100_000)]
     df = spark.createDataFrame(rows, "page_id long, url string")
