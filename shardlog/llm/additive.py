@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardlog.llm.common import text_of
+from shardlog.llm.common import lowest, text_of
 from shardlog.llm.language import held_out
+from shardlog.workdir import materialised
 
 SAMPLE = 20_000  # labelled documents that the model is fitted on, at most
 BINS = 32
@@ -193,14 +194,17 @@ def _described(rows: DataFrame) -> DataFrame:
 def fitted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Additive:
     """The model of ``documents (doc_id, text)`` labelled in ``labels (doc_id, quality)``.
 
-    At most ``sample`` labels are used, those with the smallest hashes of their ids. Their
-    ids are broadcast, their features (no texts) reach the driver, where the tables are
-    fitted: both are bounded by ``sample``.
+    At most ``sample`` labels are used, those with the smallest hashes of their ids, of the
+    labels whose document is there; a label that is given twice counts once, and a document
+    that is there twice with the least of its texts. Their ids are broadcast, their features
+    (no texts) reach the driver, where the tables are fitted: both are bounded by ``sample``.
     """
-    marks = labels.where("quality is not null and doc_id is not null")
-    chosen = marks.select("doc_id", "quality", F.xxhash64("doc_id").alias("h")).orderBy("h", "quality").limit(sample)
-    rows = documents.join(F.broadcast(chosen), "doc_id").select("h", "quality", text_of(F.col("text")).alias("text"))
-    found: pd.DataFrame = _described(rows).orderBy("h", "quality", "x").limit(sample).select("quality", "x").toPandas()
+    marks = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality").distinct()
+    there = documents.select("doc_id").distinct()
+    marks = materialised(marks.join(there, "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id")), "marks")
+    chosen = lowest(marks, sample, "h", "quality")
+    rows = documents.join(F.broadcast(chosen), "doc_id").groupBy("h", "doc_id", "quality").agg(F.min(text_of(F.col("text"))).alias("text"))
+    found: pd.DataFrame = _described(rows.select("h", "quality", "text")).orderBy("h", "quality", "x").select("quality", "x").toPandas()
     x = np.array(found["x"].tolist(), float).reshape(-1, len(NAMES))
     return Additive(x, (found["quality"].to_numpy() == 1).astype(float))
 

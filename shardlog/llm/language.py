@@ -63,17 +63,19 @@ class Filters:
     """The filters of all languages in ``rows (lang, text, h)``.
 
     Of each language about ``sample`` documents are taken (all, if it has no more): the
-    share of them whose hash ``h`` is low enough, so that no texts have to be brought together.
+    share of ids whose hash ``h`` is low enough, of the (estimated) number of its ids. An id
+    that is there more than once counts once, with the least of its texts.
     An n-gram belongs to it when at least ``SHARE`` of them, and two, have it. The slots are
     combined by Spark; the driver gets at most one row for each slot and 32 languages, and
     the names of the languages, which are as few as the world's.
     """
 
     def __init__(self, rows: DataFrame, sample: int = SAMPLE):
-        known = materialised(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("known")), "languages")
+        known = materialised(rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("known")), "languages")
         share = F.shiftrightunsigned("h", 11) / float(1 << 53)
-        chosen = rows.join(known, "lang").where(share <= sample / F.col("known")).select("lang", "text")
-        chosen = materialised(chosen, "sample")
+        chosen = rows.join(known, "lang").where(share <= sample / F.col("known"))
+        # copies of an id are combined where they lie, before their texts travel
+        chosen = materialised(chosen.groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text"), "sample")
         sizes = chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"))
         self.languages = sorted(r.lang for r in sizes.select("lang").collect())
         number = {lang: i for i, lang in enumerate(self.languages)}

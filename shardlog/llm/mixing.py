@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shardlog.llm import rowstore
-from shardlog.llm.common import text_of
+from shardlog.llm.common import lowest, text_of
 from shardlog.workdir import materialised
 
 SURE = 2.5  # deviations from which a word's odds count
@@ -137,8 +137,9 @@ class Posteriors:
         present = documents.select(documents["doc_id"].alias("doc_id")).distinct()  # before the sample, which is to be full
         chosen = (
             labels.where(F.col("domain").isin(domains) & F.col("doc_id").isNotNull()).select("doc_id", "domain").distinct()
-            .join(present, "doc_id", "left_semi").select("doc_id", "domain", order.alias("h")).orderBy("h", "domain").limit(sample)
+            .join(present, "doc_id", "left_semi").select("doc_id", "domain", order.alias("h"))
         )
+        chosen = lowest(materialised(chosen, "marks"), sample, "h", "domain")
         rows = documents.select(documents["doc_id"].alias("doc_id"), text_of(documents["text"]).alias("text"))
         rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "domain", "h").agg(F.min("text").alias("text"))
         rows = materialised(rows.select("domain", (F.col("h") % 2 == 0).alias("first"), "text"), "labelled")

@@ -2,6 +2,7 @@
 
 import os
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -81,3 +82,82 @@ def test_features_of_a_text():
     found = dict(zip(additive.NAMES, additive.features("A b c.\nA b c.\n!!"), strict=True))
     assert found["dup_lines"] == 1 - 2 / 3 and found["repeats"] == 6 / 7 and found["capitals"] == 2 / 10
     assert additive.features(" \n") == [0.0] * len(additive.NAMES)
+
+
+def test_quality_sample_is_of_labels_that_can_be_used(spark, monkeypatch):
+    """Labels of absent and held-out documents take no room, an id that comes often counts once."""
+    used = []
+
+    class Counted(additive.Additive):
+        def __init__(self, x, y):
+            used.append(len(y))
+            super().__init__(x, y)
+
+    monkeypatch.setattr(additive, "Additive", Counted)
+    docs = documents(spark, [(i, f"some text {i} " * 9, "en", "a") for i in range(300)] + [(7, f"hot {i}", "en", "a") for i in range(500)])
+    labels = spark.range(400_000).selectExpr("id * 1000 + 1 as doc_id", "cast(id % 2 as int) as quality").union(
+        spark.createDataFrame([(i, i % 2) for i in (*range(300), 7, 7, 7)], "doc_id long, quality int")
+    )
+    additive.scored(docs, labels)
+    out = sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(300))
+    assert used == [300 - out + (1 if zlib.crc32(b"1") % 5 else 0)]  # number 1 is labelled with both kinds
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    sizes = []
+
+    def counted(df, name, write=language.materialised):
+        df = write(df, name)
+        if name == "sample":
+            sizes.append(df.groupBy("lang").count().collect())
+        return df
+
+    monkeypatch.setattr(language, "materialised", counted)
+    ids = spark.range(1000).selectExpr("'a' as lang", "concat('text ', id) as text", "xxhash64(id) as h")
+    hot = spark.range(50_000).selectExpr("'a' as lang", "concat('hot ', id % 3) as text", "xxhash64(5L) as h")
+    filters = language.Filters(ids.union(hot).union(ids.selectExpr("'b'", "text", "h")), sample=200)
+    assert filters.languages == ["a", "b"]
+    assert all(140 < r["count"] < 260 for r in sizes[0])
+
+
+def slow_grams(text):
+    """Every n-gram of a framed text, ASCII other than letters as blanks."""
+    text = "".join(" " if ord(c) < 128 and not "a" <= c <= "z" else c for c in f" {text.lower()} ")
+    return [text[i : i + n] for n in language.SIZES for i in range(len(text) - n + 1)]
+
+
+def test_languages_like_plain_sets_of_grams(spark):
+    """The filters against whole sets: the same prediction wherever sets leave no doubt."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.collect()
+    out = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    own = {}
+    for r in rows:
+        if r.text and r.lang and not out(r.doc_id):
+            own.setdefault(r.lang, []).append(set(slow_grams(r.text)))
+    sets = {}
+    for lang, docs_ in own.items():
+        n = Counter(g for d in docs_ for g in d)
+        sets[lang] = {g for g, k in n.items() if k >= max(2, language.SHARE * len(docs_)) or k == len(docs_)}
+    predicted = {r.doc_id: r for r in language.languages(docs).collect()}
+    for r in rows[::4]:
+        grams = slow_grams(r.text or "")
+        hits = sorted(((sum(g in s for g in grams), lang) for lang, s in sets.items()), reverse=True)
+        if predicted[r.doc_id].lang_pred != "und" and hits[0][0] > 1.05 * hits[1][0] + 5:
+            assert predicted[r.doc_id].lang_pred == hits[0][1]
+            assert abs(predicted[r.doc_id].score - hits[0][0] / sum(h for h, _ in hits)) < 0.02
+
+
+def test_scores_are_sums_of_table_entries():
+    """Vectorised additions against a loop over features and pairs."""
+    rng = np.random.default_rng(2)
+    x = rng.random((600, 4))
+    model = additive.Additive(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float))
+    assert model.pairs
+    for row, got in zip(x[:50], model(x[:50]), strict=True):
+        z = model.base
+        for j, value in enumerate(row):
+            z += model.tables[j][sum(c <= value for c in model.cuts[j])]
+        for k, (i, j) in enumerate(model.pairs):
+            z += model.pair_tables[k][sum(c <= row[i] for c in model.coarse[i])][sum(c <= row[j] for c in model.coarse[j])]
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
