@@ -49,9 +49,11 @@ KINDS = {
     for tag in tags.split()
 }
 N_GROUPS, N_KINDS, N_ABOVE = len(TOKENS), max(KINDS.values()) + 1, 6
+# a tag ends before the next "<" outside quotes, so that looking for its end costs no more than its length
 TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S
+    r"""<!--.*?(?:-->|\Z)|<[!?][^<>]*+>|</([a-zA-Z][^\s/<>]*+)[^<>]*+>|<([a-zA-Z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.S
 )
+DEEPEST = 512  # elements inside each other; what is deeper stands where the deepest one does
 UNQUOTED = re.compile(r"""=\s*[^\s"'>]*/\Z""")  # a last slash that belongs to a value
 MARKS = re.compile(r"""\b(?:class|id|role|aria-label|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PIECES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -72,7 +74,11 @@ def groups_of(value: str) -> tuple[int, ...]:
 
 
 class Page:
-    """The blocks of one page in order: tag, parent, attributes; texts with the block they stand in."""
+    """The blocks of one page in order: tag, parent, attributes; texts with the block they stand in.
+
+    Any text is a page. Tags that never end are text; elements nested beyond ``DEEPEST``
+    keep their text, but are no blocks of their own. The time is in proportion to the length.
+    """
 
     def __init__(self, html: str):
         self.tag, self.parent, self.attrs = ["#root"], [-1], [""]
@@ -110,6 +116,8 @@ class Page:
                     if stack[depth][0] in scope:
                         return
 
+        endless: set[str] = set()  # elements whose end was looked for in vain; it is not further on either
+        over: dict[str, int] = {}  # open elements that are too deep
         at = 0
         while found := TOKEN.search(html, at):
             if found.start() > at:
@@ -123,6 +131,10 @@ class Page:
             if ended:
                 if ended == "br":
                     buffer.append(" ")
+                elif over.get(ended):
+                    over[ended] -= 1
+                    if ended in BLOCK:
+                        flush()
                 elif open_.get(ended):
                     for depth in range(len(stack) - 1, 0, -1):
                         if stack[depth][0] == ended:
@@ -137,9 +149,13 @@ class Page:
             if name in FOREIGN and found[3].endswith("/") and not UNQUOTED.search(found[3]):
                 continue
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+                end = None if name in endless else re.compile(rf"</{re.escape(name)}(?=[\s/>])[^<>]*+>", re.I).search(html, at)
+                if not end:
+                    endless.add(name)
                 if name == "head" and not end:
-                    end = re.compile(r"<body\b", re.I).search(html, at)
+                    end = None if "body" in endless else re.compile(r"<body\b", re.I).search(html, at)
+                    if not end:
+                        endless.add("body")
                     at = end.start() if end else at
                 else:
                     at = end.end() if end else len(html)
@@ -153,6 +169,11 @@ class Page:
             elif name in BLOCK:
                 if name in ("html", "body"):
                     continue
+                if len(stack) > DEEPEST:
+                    flush()
+                    self.inner[here] += 1
+                    over[name] = over.get(name, 0) + 1
+                    continue
                 if name in CLOSES_P:
                     close({"p"}, P_SCOPE)
                 if name in IMPLIED:
@@ -169,6 +190,9 @@ class Page:
                 if name == "a" and open_.get("a"):
                     close({"a"}, BLOCK)
                 self.inner[here] += 1
+                if len(stack) > DEEPEST:
+                    over[name] = over.get(name, 0) + 1
+                    continue
                 stack.append((name, here))
                 open_[name] = open_.get(name, 0) + 1
         if at < len(html):

@@ -10,17 +10,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shardlog.llm.common import text_of
+from shardlog.llm.common import lowest, text_of
 from shardlog.llm.dom import TOKENS, Page
 
 SAMPLE = 300  # pages whose paragraphs the made pages are built from, at most
 PARAGRAPHS = 40  # taken from one of them, each cut to LONGEST characters
 LONGEST = 1500
 MADE = 1600  # pages made
+PAGES_AT_ONCE, BYTES_AT_ONCE = 500, 8 << 20  # read by a task, the latter unless one page has more
 TREES, DEPTH, RATE, BINS, LEAST = 120, 5, 0.2, 32, 5
 PART = 0.4  # of the features, tried by a tree
 
@@ -244,12 +246,25 @@ def paragraphs(html: str) -> list[str]:
     return texts[:PARAGRAPHS]
 
 
+def _stretches(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where some pages of a column begin and how many they are: ``PAGES_AT_ONCE``, or fewer long ones."""
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64))
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        end = int(np.searchsorted(ends, before + BYTES_AT_ONCE, side="right"))
+        end = max(start + 1, min(end, start + PAGES_AT_ONCE))
+        yield start, end - start
+        start = end
+
+
 def extracted(pages: DataFrame, html: str = "html", url: str = "url", key: str = "page_id") -> DataFrame:
     """One row a page: ``page_id``, ``url``, ``text``, ``n_chars``.
 
     Null html counts as empty and has an empty text. The sample that made pages are built
-    from is ``SAMPLE`` pages, those with the smallest hashes of their numbers, in pieces of
-    bounded length; every page is read whole. Repeated rows are read each.
+    from is ``SAMPLE`` pages, those with the smallest hashes of their numbers and html, in
+    pieces of bounded length; every page is read whole, some megabytes of pages at a time.
+    Repeated rows are read each.
     """
     rows = pages.select(pages[key].alias("page_id"), pages[url].alias("url"), text_of(pages[html]).alias("html"))
 
@@ -258,15 +273,18 @@ def extracted(pages: DataFrame, html: str = "html", url: str = "url", key: str =
             found = [paragraphs(h.as_py()) for h in batch.column("html")]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string()))], names=["pieces"])
 
-    chosen = rows.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(SAMPLE).select("html")
-    material = [r.pieces for r in chosen.mapInArrow(pieces, "pieces array<string>").collect() if r.pieces]
+    # equal pages count once, and are taken together where they lie; what meets in one task are hashes only
+    hashed = rows.select("html", F.xxhash64("page_id", "html").alias("h"))
+    chosen = lowest(hashed.select("h").distinct(), SAMPLE, "h")
+    some = hashed.join(F.broadcast(chosen), "h").groupBy("h").agg(F.min("html").alias("html")).select("html")
+    material = sorted(r.pieces for r in some.mapInArrow(pieces, "pieces array<string>").collect() if r.pieces)
     model = fitted(material or [["text"]])
     schema = T.StructType([rows.schema["page_id"], rows.schema["url"]]).add("text", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start, n in _stretches(batch.column("html")):
+                part = batch.slice(start, n)
                 read = [Page(h.as_py()) for h in part.column("html")]
                 odds = model(np.concatenate([p.features() for p in read]))
                 ends = np.cumsum([len(p.tag) for p in read])[:-1]

@@ -3,12 +3,15 @@
 import os
 import random
 import re
+import time
 from html import unescape
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from shardlog.llm import pages
+from shardlog.llm.common import lowest
 from shardlog.llm.dom import Page
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -118,3 +121,42 @@ def test_empty(spark):
 def test_blocks_in_order():
     page = Page("<div>one<p>two<br>2 <b>x</b>y</p>three&nbsp;3<ul><li>four<li>five</ul></div>six<hr>seven")
     assert [t for _, t, _ in page.texts] == ["one", "two 2 xy", "three 3", "four", "five", "six", "seven"]
+
+
+N = 1 << 18
+
+
+@pytest.mark.parametrize("html", [
+    "<a " * N, "<!x " * N, "</a " * N, "<!--" * N, "<head>" * N, "<script>x</script " * N, "<div>" * N, "<p><table><tr><td>" + "<div>" * N,
+    "<span>" * N + "</span>" * N, '<a "' * N, "<a \"<a '<a '\"" * N, "<" * N, "</div>" * N, "&amp" * N, "<b" + " x='<" * N,
+], ids=lambda h: h[:12])
+def test_hostile_pages_take_time_in_proportion(html):
+    began = time.process_time()
+    Page(html)
+    assert time.process_time() - began < 10  # megabytes that took minutes when the rest of the page was searched at each tag
+
+
+def test_deep_elements_keep_their_text():
+    page = Page("<div>" * 600 + "deep" + "</div>" * 600 + "<p>after</p>")
+    assert [t for _, t, _ in page.texts] == ["deep", "after"]
+    assert page.tag[page.texts[1][0]] == "p" and page.parent[page.texts[1][0]] == 0
+
+
+def test_tags_that_never_end_are_text():
+    assert [t for _, t, _ in Page("<p>one <b two</p><p>three <a href='x>y'>four</a> < five").texts] == ["one <b two", "three four < five"]
+
+
+def test_stretches_are_bounded(monkeypatch):
+    monkeypatch.setattr(pages, "BYTES_AT_ONCE", 10)
+    monkeypatch.setattr(pages, "PAGES_AT_ONCE", 3)
+    column = pa.array(["a" * 4, "b" * 7, "", "c" * 30, "d", "e", "f", "g", ""])
+    assert list(pages._stretches(column)) == [(0, 1), (1, 2), (3, 1), (4, 3), (7, 2)]
+    assert list(pages._stretches(column.slice(4, 0))) == []
+
+
+def test_only_hashes_are_ordered(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(pages, "lowest", lambda df, *more: asked.append(df.columns) or lowest(df, *more))
+    rows = [(1, "u", "<p>one</p>")] * 50 + [(2, "u", None)]
+    assert pages.extracted(spark.createDataFrame(rows, "page_id long, url string, html string")).count() == 51
+    assert asked == [["h"]]
