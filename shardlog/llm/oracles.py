@@ -21,9 +21,6 @@ def exact_dedup() -> str:
 
 
 def quality_rules() -> str:
-    signals = len(quality.SIGNALS)
-    p, delta = quality.ALPHA / signals, quality.DELTA / signals
-    grid = ", ".join(f"({j}, {c})" for j, c in enumerate(quality.GRID))
     value = {
         "symbols": "1000 * n_symbols // nullif(word_chars, 0)",
         "dup_lines": "1000 * n_dup_lines // nullif(n_lines, 0)",
@@ -31,6 +28,7 @@ def quality_rules() -> str:
         "capitals": "1000 * n_capitals // nullif(word_chars, 0)",
         "shouts": "1000 * n_shouts // nullif(word_chars, 0)",
     }
+    path = ", ".join(f"('{name}', {j}, {c})" for name, cuts in quality.PATH.items() for j, c in enumerate(cuts))
     each = " UNION ALL ".join(f"SELECT rid, lang, doc_id, '{n}' AS signal, coalesce({v}, 0) AS value FROM counts" for n, v in value.items())
     return rf"""
     WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
@@ -60,32 +58,33 @@ def quality_rules() -> str:
         FROM split LEFT JOIN covered c USING (rid)
     ),
     signals AS ({each}),
+    path(signal, j, cutoff) AS (VALUES {path}),
+    over AS (SELECT rid, min(j) AS level FROM signals JOIN path USING (signal) WHERE value > cutoff GROUP BY rid),
     marked AS (
-        SELECT s.lang, s.signal, s.value, l.quality = 1 AS good
-        FROM signals s JOIN labels l USING (doc_id) WHERE s.lang IS NOT NULL AND l.quality IS NOT NULL
+        SELECT c.lang, l.quality = 1 AS good, coalesce(o.level, {quality.LEVELS}) AS level
+        FROM counts c JOIN labels l USING (doc_id) LEFT JOIN over o USING (rid) WHERE c.lang IS NOT NULL AND l.quality IS NOT NULL
     ),
-    grid(j, cutoff) AS (VALUES {grid}),
     strata AS (SELECT count(DISTINCT lang) AS strata FROM marked),
     tried AS (
-        SELECT lang, signal, j, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,
-               count(*) FILTER (good AND value > cutoff) AS k, count(*) FILTER (NOT good AND value > cutoff) AS caught
-        FROM marked, grid GROUP BY ALL
+        SELECT lang, j, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,
+               count(*) FILTER (good AND level <= j) AS k, count(*) FILTER (NOT good AND level <= j) AS caught
+        FROM marked, range({quality.LEVELS}) AS r(j) GROUP BY ALL
     ),
     tested AS (
-        SELECT *, CASE WHEN k < n * {p} THEN list_sum(list_transform(range(0, k + 1), lambda i:
-                   exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln(1 - {p})))) ELSE 1 END
-                   <= {delta} / strata AS passed,
+        SELECT *, CASE WHEN k < n * {quality.ALPHA} THEN list_sum(list_transform(range(0, k + 1), lambda i:
+                   exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({quality.ALPHA}) + (n - i) * ln(1 - {quality.ALPHA})))) ELSE 1 END
+                   <= {quality.DELTA} / strata AS passed,
                coalesce(caught / nullif(m, 0), 0) - {quality.COST} * k / nullif(n, 0) AS gain
         FROM tried, strata
     ),
     sure AS (
-        SELECT *, coalesce(max(CASE WHEN NOT passed THEN j END) OVER (PARTITION BY lang, signal), -1) AS failed FROM tested
+        SELECT *, coalesce(min(CASE WHEN NOT passed THEN j END) OVER (PARTITION BY lang), {quality.LEVELS}) AS failed FROM tested
     ),
-    cutoffs AS (
-        SELECT lang, signal, cutoff FROM sure WHERE j > failed AND gain > 0
-        QUALIFY row_number() OVER (PARTITION BY lang, signal ORDER BY gain DESC, j DESC) = 1
+    levels AS (
+        SELECT lang, j FROM sure WHERE j < failed AND gain > 0
+        QUALIFY row_number() OVER (PARTITION BY lang ORDER BY gain DESC, j) = 1
     ),
-    beyond AS (SELECT DISTINCT rid FROM signals s JOIN cutoffs c ON s.lang = c.lang AND s.signal = c.signal AND s.value > c.cutoff),
+    beyond AS (SELECT rid FROM counts c JOIN over o USING (rid) JOIN levels v ON c.lang = v.lang AND o.level <= v.j),
     based AS (
         SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counts
     )

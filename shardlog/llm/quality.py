@@ -1,9 +1,11 @@
 """Quality rules whose cutoffs carry a guarantee.
 
-Fixed base rules reject the plainly unusable. Beyond them, each signal of a text gets a
-cutoff per stratum (language), chosen on labelled documents so that, with confidence
+Fixed base rules reject the plainly unusable. Beyond them, the signals of a text have
+cutoffs per stratum (language), chosen on labelled documents so that, with confidence
 ``1 - DELTA`` over all strata together, at most ``ALPHA`` of a stratum's good documents
-are rejected. DataFrame functions only.
+are rejected. The cutoffs of all signals move together, along one path of levels from loose
+to tight, so a stratum needs one sequence of tests only, and about 220 good labels for the
+first of them. DataFrame functions only.
 """
 
 import math
@@ -17,10 +19,13 @@ from shardlog.workdir import materialised
 
 ALPHA = 0.02  # of a stratum's good documents, rejected at most by all signals together
 DELTA = 0.05  # chance that the promise fails in any stratum
-COST = 10.0  # a good document's weight against a bad one when a certified cutoff is chosen
-# fixed values: cutoffs tried, in thousandths, tightest first
-GRID = (5, 10, 20, 30, 50, 75, 100, 150, 200, 300, 400, 500, 700)
-SIGNALS = ("symbols", "dup_lines", "repeats", "capitals", "shouts")
+COST = 10.0  # a good document's weight against a bad one when a certified level is chosen
+LEVELS = 13
+LOOSEST = 700  # cutoff of every signal at the first level, in thousandths
+# fixed values: cutoffs at the last level, in thousandths, which plain prose seldom exceeds
+TIGHTEST = {"symbols": 10, "dup_lines": 100, "repeats": 100, "capitals": 60, "shouts": 10}
+# each signal's cutoffs by level, tighter by the same ratio from one to the next
+PATH = {s: [round(LOOSEST * (t / LOOSEST) ** (j / (LEVELS - 1))) for j in range(LEVELS)] for s, t in TIGHTEST.items()}
 MIN_WORDS = 50
 
 
@@ -125,58 +130,55 @@ def binomial_at_most(k: Column, n: Column, p: float) -> Column:
     return F.when(k < n * p, F.exp(last) * F.aggregate(steps, start, back, lambda s: s["sum"])).otherwise(1.0)
 
 
+def level() -> Column:
+    """The first level of the path at which any signal of a document is over its cutoff, ``LEVELS`` if none is.
+
+    Levels only get tighter, so the document is rejected there and at all later ones.
+    """
+    within = [sum(((value <= c).cast("int") for c in PATH[name]), F.lit(0)) for name, value in _values().items()]
+    return F.least(*within)
+
+
 def cutoffs(counted: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per stratum with a certified cutoff: ``stratum`` and one column a signal (null: none).
+    """Per stratum with a certified level: ``stratum`` and ``level``.
 
     ``counted`` has ``doc_id``, ``stratum`` and the counts, ``labels`` has ``doc_id`` and
-    ``quality``. For a signal, cutoffs are tested from the loosest on and the first that
-    fails ends the test (fixed sequence), so only signals and strata need a correction:
-    each test has ``DELTA / (signals * strata)`` and each signal ``ALPHA / signals``. Of
-    the certified ones the cutoff is taken that separates labelled good and bad best.
+    ``quality``. A level rejects what any signal puts over its cutoff there. Levels are
+    tested from the loosest on, and the first that fails ends the test (fixed sequence): as
+    the path is fixed beforehand and later levels reject more, each test has the whole
+    ``ALPHA``, and ``DELTA`` is divided by the number of strata only. Of the certified levels
+    the one is taken that separates labelled good and bad best.
     """
     marks = labels.where("quality is not null and doc_id is not null").select("doc_id", "quality")
-    values = F.array(*(F.struct(F.lit(n).alias("signal"), v.alias("value")) for n, v in _values().items()))
-    level = sum(((F.col("x.value") > c).cast("int") for c in GRID), F.lit(0))
     rows = (
         counted.where("stratum is not null")
         .join(marks, "doc_id")
-        .select("stratum", "quality", F.explode(values).alias("x"))
-        .groupBy("stratum", F.col("x.signal").alias("signal"), level.alias("level"))
+        .groupBy("stratum", level().alias("level"))
         .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
     )
     levels = materialised(rows, "levels")
     strata = levels.agg(F.countDistinct("stratum")).first()[0]
-    # at most one row a signal and level: a stratum's histograms as arrays
-    sums = levels.groupBy("stratum", "signal").agg(
+    # at most one row a level: a stratum's histogram as arrays
+    sums = levels.groupBy("stratum").agg(
         F.sum("good").alias("n"), F.sum("bad").alias("m"),
-        *(F.sum(F.when(F.col("level") > j, F.col("good")).otherwise(0)).alias(f"good_{j}") for j in range(len(GRID))),
-        *(F.sum(F.when(F.col("level") > j, F.col("bad")).otherwise(0)).alias(f"bad_{j}") for j in range(len(GRID))),
+        *(F.sum(F.when(F.col("level") <= j, F.col("good")).otherwise(0)).alias(f"good_{j}") for j in range(LEVELS)),
+        *(F.sum(F.when(F.col("level") <= j, F.col("bad")).otherwise(0)).alias(f"bad_{j}") for j in range(LEVELS)),
     )
-    tries = F.array(*(
-        F.struct(F.lit(j).alias("j"), F.lit(c).alias("cutoff"), F.col(f"good_{j}").alias("k"), F.col(f"bad_{j}").alias("caught"))
-        for j, c in enumerate(GRID)
-    ))
-    tried = sums.select("stratum", "signal", "n", "m", F.explode(tries).alias("x"))
-    p = ALPHA / len(SIGNALS)
-    passed = binomial_at_most(F.col("x.k"), F.col("n"), p) <= DELTA / (len(SIGNALS) * max(1, strata))
+    tries = F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"good_{j}").alias("k"), F.col(f"bad_{j}").alias("caught")) for j in range(LEVELS)))
+    tried = sums.select("stratum", "n", "m", F.explode(tries).alias("x"))
+    passed = binomial_at_most(F.col("x.k"), F.col("n"), ALPHA) <= DELTA / max(1, strata)
     gain = F.coalesce(F.col("x.caught") / F.expr("nullif(m, 0)"), F.lit(0.0)) - COST * F.col("x.k") / F.expr("nullif(n, 0)")
-    tested = tried.select("stratum", "signal", "x.j", "x.cutoff", passed.alias("passed"), gain.alias("gain"))
-    failed = F.coalesce(F.max(F.when(~F.col("passed"), F.col("j"))), F.lit(-1))
-    sure = tested.groupBy("stratum", "signal").agg(
-        failed.alias("failed"), F.collect_list(F.struct("gain", "j", "cutoff")).alias("all")  # a row a cutoff of the grid
-    )
-    best = F.array_max(F.filter("all", lambda x: (x["j"] > F.col("failed")) & (x["gain"] > 0)))
-    chosen = sure.select("stratum", "signal", best["cutoff"].alias("cutoff")).where("cutoff is not null")
-    return materialised(chosen.groupBy("stratum").pivot("signal", list(SIGNALS)).agg(F.first("cutoff")), "cutoffs")
+    tested = tried.select("stratum", "x.j", passed.alias("passed"), gain.alias("gain"))
+    failed = F.coalesce(F.min(F.when(~F.col("passed"), F.col("j"))), F.lit(LEVELS))
+    sure = tested.groupBy("stratum").agg(failed.alias("failed"), F.collect_list(F.struct("gain", (-F.col("j")).alias("back"))).alias("all"))
+    best = F.array_max(F.filter("all", lambda x: (-x["back"] < F.col("failed")) & (x["gain"] > 0)))  # the loosest of equals
+    return materialised(sure.select("stratum", (-best["back"]).alias("level")).where("level is not null"), "cutoffs")
 
 
 def judged(counted: DataFrame, chosen: DataFrame) -> DataFrame:
-    """``counted`` with ``base_failed`` and ``kept``. Strata without a certified cutoff reject nothing beyond the base."""
-    names = chosen.select("stratum", *(F.col(s).alias(f"cut_{s}") for s in SIGNALS))
-    over = [F.coalesce(v > F.col(f"cut_{n}"), F.lit(False)) for n, v in _values().items()]
-    beyond = over[0]
-    for x in over[1:]:
-        beyond = beyond | x
+    """``counted`` with ``base_failed`` and ``kept``. Strata without a certified level reject nothing beyond the base."""
+    names = chosen.select("stratum", F.col("level").alias("_level"))
+    beyond = F.coalesce(level() <= F.col("_level"), F.lit(False))
     return counted.join(names, "stratum", "left").select(
         *counted.columns, base_failed().alias("base_failed"), (~base_failed() & ~beyond).alias("kept")
     )

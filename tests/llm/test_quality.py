@@ -78,3 +78,64 @@ def test_certified_cutoffs_find_junk_and_keep_good(spark):
     good = [got[i] for i in got if i % 6]
     assert sum(not k for k in good) <= quality.ALPHA * len(good)
     assert not any(got[i] for i in got if i % 6 == 0)
+
+
+def test_path_is_nested():
+    for cuts in quality.PATH.values():
+        assert len(cuts) == quality.LEVELS and cuts == sorted(cuts, reverse=True) and cuts[0] == quality.LOOSEST
+
+
+def slow_levels(rows):
+    """``(stratum, good, level)`` rows: the level chosen for each stratum, one exact test after the other."""
+    strata = {s for s, *_ in rows}
+    chosen = {}
+    for s in strata:
+        good = [r for x, g, r in rows if x == s and g]
+        bad = [r for x, g, r in rows if x == s and not g]
+        best = None
+        for j in range(quality.LEVELS):
+            k, n, p = sum(r <= j for r in good), len(good), Fraction(quality.ALPHA)
+            chance = sum(comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(k + 1))
+            if k >= n * quality.ALPHA or chance > Fraction(quality.DELTA) / len(strata):
+                break
+            gain = sum(r <= j for r in bad) / max(1, len(bad)) - quality.COST * k / n
+            if gain > 0 and (best is None or gain > best[0]):
+                best = gain, j
+        if best:
+            chosen[s] = best[1]
+    return chosen
+
+
+def test_levels_of_planted_strata(spark):
+    """Strata with too few labels, without bad ones, with bad ones at several levels and with good ones among them."""
+    cut = quality.PATH["symbols"]
+    at = lambda j: cut[j] + 1
+    plan = {  # good and bad documents by the share of symbols
+        "few": ([0] * 200, [900] * 50),
+        "clean": ([0] * 250, []),
+        "early": ([0] * 300, [900] * 30 + [at(5)] * 20),
+        "mixed": ([0] * 900 + [at(9)] * 4 + [at(11)] * 40, [at(3)] * 30 + [at(8)] * 30 + [at(10)] * 30 + [at(12)] * 30),
+        "dirty": ([0] * 200 + [900] * 50, [900] * 50),
+    }
+    rows, marks, flat, i = [], [], [], 0
+    for stratum, kinds in plan.items():
+        for good, shares in zip((1, 0), kinds, strict=True):
+            for share in shares:
+                rows.append((i, stratum, 100, 1000, share, 0, 5, 0, 0, 0))
+                marks.append((i, good))
+                flat.append((stratum, good, next((j for j, c in enumerate(cut) if share > c), quality.LEVELS)))
+                i += 1
+    counted = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in quality.COUNTS))
+    labels = spark.createDataFrame(marks, "doc_id long, quality int")
+    got = {r.stratum: r.level for r in quality.cutoffs(counted, labels).collect()}
+    assert got == slow_levels(flat)
+    assert "few" not in got and "clean" not in got and "dirty" not in got
+    assert got["early"] == 5 and 8 <= got["mixed"] < 11
+
+
+def test_levels_of_a_document(spark):
+    row = lambda **c: tuple(c.get(x, 1000 if x in ("n_words", "word_chars", "n_lines") else 0) for x in quality.COUNTS)
+    rows = [row(), row(n_symbols=701), row(n_symbols=700), row(n_repeat_words=701, n_symbols=11), row(n_symbols=10, n_shouts=10), row(n_words=0, word_chars=0, n_lines=0)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in quality.COUNTS))
+    top = quality.LEVELS
+    assert [r.l for r in df.select(quality.level().alias("l")).collect()] == [top, 0, 1, 0, top, top]
