@@ -61,7 +61,8 @@ def quality_rules() -> str:
     path(signal, j, cutoff) AS (VALUES {path}),
     over AS (SELECT rid, min(j) AS level FROM signals JOIN path USING (signal) WHERE value > cutoff GROUP BY rid),
     marked AS (
-        SELECT c.lang, l.quality = 1 AS good, coalesce(o.level, {quality.LEVELS}) AS level
+        SELECT c.lang, l.quality = 1 AS good, CASE WHEN n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words
+               THEN {quality.LEVELS} ELSE coalesce(o.level, {quality.LEVELS}) END AS level
         FROM counts c JOIN labels l USING (doc_id) LEFT JOIN over o USING (rid) WHERE c.lang IS NOT NULL AND l.quality IS NOT NULL
     ),
     strata AS (SELECT count(DISTINCT lang) AS strata FROM marked),

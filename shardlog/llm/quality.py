@@ -3,7 +3,7 @@
 Fixed base rules reject the plainly unusable. Beyond them, the signals of a text have
 cutoffs per stratum (language), chosen on labelled documents so that, with confidence
 ``1 - DELTA`` over all strata together, at most ``ALPHA`` of a stratum's good documents
-are rejected. The cutoffs of all signals move together, along one path of levels from loose
+are rejected by them. The cutoffs of all signals move together, along one path of levels from loose
 to tight, so a stratum needs one sequence of tests only, and about 220 good labels for the
 first of them. DataFrame functions only.
 """
@@ -153,7 +153,8 @@ def cutoffs(counted: DataFrame, labels: DataFrame) -> DataFrame:
     rows = (
         counted.where("stratum is not null")
         .join(marks, "doc_id")
-        .groupBy("stratum", level().alias("level"))
+        # what the base rules reject is not rejected by a level
+        .groupBy("stratum", F.when(base_failed(), LEVELS).otherwise(level()).alias("level"))
         .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") != 1).alias("bad"))
     )
     levels = materialised(rows, "levels")

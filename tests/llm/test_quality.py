@@ -125,6 +125,11 @@ def test_levels_of_planted_strata(spark):
                 marks.append((i, good))
                 flat.append((stratum, good, next((j for j, c in enumerate(cut) if share > c), quality.LEVELS)))
                 i += 1
+    for share in (900,) * 90:  # rejected by the base rules, so no level rejects them
+        rows.append((i, "early", 20, 1000, share, 0, 5, 0, 0, 0))
+        marks.append((i, 1))
+        flat.append(("early", 1, quality.LEVELS))
+        i += 1
     counted = spark.createDataFrame(rows, "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in quality.COUNTS))
     labels = spark.createDataFrame(marks, "doc_id long, quality int")
     got = {r.stratum: r.level for r in quality.cutoffs(counted, labels).collect()}
