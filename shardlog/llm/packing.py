@@ -5,6 +5,7 @@ digit of the rest. A piece is a sequence of its own, so none crosses documents,
 lengths form one bucket for training batches of one shape.
 """
 
+import json
 import re
 import struct
 from collections.abc import Iterator
@@ -26,6 +27,23 @@ NOT_BLANK = "\x1c\x1d\x1e\x1f"
 # fixed values: how the tokenizer divides a lower-case text; texts of ASCII and western letters need no other step
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")
 ODD = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+# fixed values: the steps that are done here, as the tokenizer's file names them
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+DIVIDES = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
 # bytes that cannot be shown stand for themselves 256 places and more further on, in order
 HIDDEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
 SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN)}
@@ -56,7 +74,8 @@ class WordTokenizer:
     The tokenizer drops white space, lower-cases and divides a text into parts that its
     merge table takes one by one. A text of plain characters is divided here in the same
     way; any other goes through the whole tokenizer word by word. Lately met parts and
-    words are kept, in bounded numbers.
+    words are kept, in bounded numbers. If a tokenizer's file names other steps than these,
+    every text goes through it whole.
     """
 
     def __init__(self, path: str):
@@ -64,6 +83,8 @@ class WordTokenizer:
         self.merges = self.tokenizer.model
         self.parts = Recent(self._part, REMEMBERED)
         self.words = Recent(self._whole, REMEMBERED // 4)
+        said = json.loads(self.tokenizer.to_str())
+        self.known = (said.get("normalizer"), said.get("pre_tokenizer")) == (NORMALIZER, DIVIDES) and not said["model"].get("ignore_merges")
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -75,6 +96,8 @@ class WordTokenizer:
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
+        if not self.known:
+            return self._whole(text)
         if not ODD.search(text) and "<|" not in text:
             return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
         if any(c in text for c in NOT_BLANK):

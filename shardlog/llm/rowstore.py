@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardlog.workdir import work_dir
+from shardlog.workdir import named_table, work_dir
 
 POSITION_BITS = 33  # of monotonically_increasing_id
 
@@ -31,7 +31,7 @@ def stored(df: DataFrame, name: str, **derived: Column) -> DataFrame:
         "row",
         *derived,
     )
-    called = f"rows_{uuid.uuid4().hex}"
+    called = named_table(f"rows_{uuid.uuid4().hex}")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = rows.write.format("parquet").option("path", work_dir(spark, name))
     writer.bucketBy(buckets, "chunk").saveAsTable(called)

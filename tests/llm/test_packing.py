@@ -78,3 +78,11 @@ def test_forgetting_words_changes_nothing(monkeypatch):
 def test_buckets(spark, tmp_path):
     packing.write_buckets(packing.pack(documents(spark, awkward()), PATH), str(tmp_path / "b"))
     assert all(name.startswith(("length=", "_SUCCESS", ".")) for name in os.listdir(tmp_path / "b"))
+
+
+def test_another_tokenizer_is_used_as_it_is():
+    assert packing.WordTokenizer(PATH).known
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "One, two  three's\n4 Ünder"
+    want = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert [*np.frombuffer(packing.WordTokenizer(path).encode(text), "<u4")] == want
