@@ -1,7 +1,8 @@
 """A corpus made ready for training: judged, freed of copies, mixed and packed.
 
 Each stage reads what its predecessor wrote. The last returns packed pieces, the others
-documents with their own columns.
+documents with their own columns. Null texts count as empty; rows that are there twice are
+rows of their own until exact dedup, and an empty table goes through every stage.
 """
 
 import public_tokenizers
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from shardlog.llm import exact, mixing, packing, quality, simhash
 from shardlog.llm.common import table
-from shardlog.workdir import materialised
+from shardlog.sources.files import remove
+from shardlog.workdir import temporary, work_dir
 
 # shares of tokens after mixing; where the rules leave nothing poor, its share stays unmet and the others keep theirs
 TARGETS = {"good": 0.95, "poor": 0.03, "toxic": 0.02}
@@ -52,8 +54,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = materialised(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    name, stage = STAGES[-1]
-    return materialised(stage(spark, docs, sf_dir), name)
+    """The packed pieces; what stages store in between goes as soon as the next one has written its rows."""
+    docs, former = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES:
+        path = work_dir(spark, name.replace(" ", "-"))
+        with temporary(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        if former is not None:
+            remove(spark, former)
+        docs, former = spark.read.schema(made.schema).parquet(path), path
+    return docs
