@@ -33,7 +33,7 @@ def stored(df: DataFrame, name: str, **derived: Column) -> DataFrame:
     )
     called = named_table(f"rows_{uuid.uuid4().hex}")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    writer = rows.write.format("parquet").option("path", work_dir(spark, name))
+    writer = rows.write.format("parquet").option("compression", "zstd").option("path", work_dir(spark, name))
     writer.bucketBy(buckets, "chunk").saveAsTable(called)
     return spark.table(called)
 
