@@ -36,10 +36,10 @@ class Numbering:
             .withColumn("_id", F.monotonically_increasing_id())
         )
         self._rows = materialised(placed, "sorted").withColumn("_part", F.shiftright("_id", POSITION_BITS))
-        counts = self._rows.groupBy(*keys, "_part").agg(
+        # looked up in the ids of the sorted rows only, so asking for it twice costs little
+        self._counts = self._rows.groupBy(*keys, "_part").agg(
             F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least")
         )
-        self._counts = materialised(counts, "ranges")
 
     def sizes(self) -> DataFrame:
         """``_rows``, the number of rows of each group."""

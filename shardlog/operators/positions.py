@@ -111,8 +111,12 @@ def _rule() -> Column:
     )
 
 
-def _stored(positions: DataFrame) -> DataFrame:
-    """The positions written once, after which looking at them costs little; checked."""
+def _stored(positions: DataFrame) -> tuple[DataFrame, dict[str, Column]]:
+    """The positions written once, after which looking at them costs little; checked.
+
+    And for each kind of position that occurs, what all of its records fulfil.  The least
+    start of a kind is a literal, so it reaches the Parquet filters.
+    """
     side = materialised(
         positions.select(
             *SHARD_KEYS,
@@ -128,32 +132,31 @@ def _stored(positions: DataFrame) -> DataFrame:
         | (numbered & (F.length("_start") > 0))
         | ((F.col("_position") == AT_TIMESTAMP) & F.col("_at_ts").isNotNull())
     )
-    bad = side.where(~F.coalesce(usable, F.lit(False))).first()
-    if bad is not None:
-        raise ValueError(f"cannot start at position {bad['_position']} with what is given")
-    if not side.groupBy(*SHARD_KEYS).count().where("count > 1").isEmpty():
-        raise ValueError("cannot start a shard at more than one position")
-    return side
-
-
-def _bounds(side: DataFrame) -> dict[str, Column]:
-    """For each kind of position that occurs, what all of its records fulfil.
-
-    The least start of a kind is a literal, so it reaches the Parquet filters.
-    """
     number = F.struct(F.length("_start").alias("len"), F.col("_start").alias("number"))
-    kinds = side.groupBy("_position").agg(
-        F.min(number).alias("least"), F.min(F.unix_micros("_at_ts")).alias("micros")
+    per_shard = side.groupBy(*SHARD_KEYS).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.bool_and(F.coalesce(usable, F.lit(False))).alias("usable"),
+        F.max("_position").alias("_position"),
+        F.min(number).alias("least"),
+        F.min(F.unix_micros("_at_ts")).alias("micros"),
+    )
+    kinds = per_shard.groupBy("_position", "usable").agg(
+        F.max("n").alias("most"), F.min("least").alias("least"), F.min("micros").alias("micros")
     )
     bounds = {}
-    for row in kinds.collect():  # one row a kind
-        if row["_position"] == TRIM_HORIZON:
-            bounds[row["_position"]] = F.lit(True)
-        elif row["_position"] == AT_TIMESTAMP:
-            bounds[row["_position"]] = F.col("arrival_ts") >= F.timestamp_micros(F.lit(row["micros"]))
+    for row in sorted(kinds.collect(), key=lambda r: r["usable"]):  # one row a kind, or two
+        kind = row["_position"]
+        if not row["usable"]:
+            raise ValueError(f"cannot start at position {kind} with what is given")
+        if row["most"] > 1:
+            raise ValueError("cannot start a shard at more than one position")
+        if kind == TRIM_HORIZON:
+            bounds[kind] = F.lit(True)
+        elif kind == AT_TIMESTAMP:
+            bounds[kind] = F.col("arrival_ts") >= F.timestamp_micros(F.lit(row["micros"]))
         else:
-            bounds[row["_position"]] = at_or_after(row["least"]["len"], row["least"]["number"])
-    return bounds
+            bounds[kind] = at_or_after(row["least"]["len"], row["least"]["number"])
+    return side, bounds
 
 
 def read_from_positions(
@@ -169,11 +172,11 @@ def read_from_positions(
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
-    side = _stored(positions)
+    side, bounds = _stored(positions)
     if keep_unlisted:
         joined = records.join(side, SHARD_KEYS, "left")
         return joined.where(F.col("_position").isNull() | _rule()).select(*records.columns)
-    bound = reduce(Column.__or__, _bounds(side).values(), F.lit(False))
+    bound = reduce(Column.__or__, bounds.values(), F.lit(False))
     return records.where(bound).join(side, SHARD_KEYS).where(_rule()).select(*records.columns)
 
 
@@ -195,18 +198,19 @@ def read_log_from_positions(
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
-    records, side = scan(spark, path), _stored(positions)
+    records, (side, bounds) = scan(spark, path), _stored(positions)
     if keep_unlisted:
         unlisted = records.select(*SHARD_KEYS).distinct().join(side, SHARD_KEYS, "left_anti")
         whole = unlisted.select(
             *SHARD_KEYS, F.lit(TRIM_HORIZON).alias("_position"), F.lit(None).cast("string").alias("_start"), F.lit(None).cast("timestamp").alias("_at_ts")
         )
         side = materialised(side.unionByName(whole), "positions")
+        bounds[TRIM_HORIZON] = F.lit(True)
     parts = [
         records.where(bound)
         .join(side.where(F.col("_position") == kind), SHARD_KEYS)
         .where(_rule())
         .select(*records.columns)
-        for kind, bound in sorted(_bounds(side).items())
+        for kind, bound in sorted(bounds.items())
     ]
     return reduce(DataFrame.unionByName, parts, records.where(F.lit(False)))
