@@ -4,7 +4,6 @@ import json
 
 from pyspark.sql import functions as F
 
-from shardlog.functions.message import value_text
 from shardlog.operators.checkpoint import drop_replays
 from shardlog.operators.consume import error_counts, split_errors
 from shardlog.operators.delivery import delivery_errors
@@ -105,12 +104,11 @@ def stream_append_new(spark, sf):
 def stream_progress(spark, sf):
     """The total that a listener has counted over two runs of a stream, and its progress lines."""
     base = work_dir(spark, "progress")
-    records = _in_parts(spark, sf, f"{base}/source")
     lines = []
     for _ in range(2):
+        records = _in_parts(spark, sf, f"{base}/source")  # in the second run as much again
         with MessageProgress(spark, f"{base}/ck", every=100, tell=lines.append) as seen:
             listen.listen(seen.counted(records), parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE).awaitTermination()
-        _in_parts(spark, sf, f"{base}/source")  # as much again for the second run
     return spark.createDataFrame([(seen.total, len(lines))], "n_messages long, n_lines long")
 
 

@@ -172,6 +172,7 @@ def deliver_queued(
     keyless: bool = False,
     concurrency: int | None = None,
     wait: int = 1,
+    when_idle: bool = False,
 ) -> StreamingQuery:
     """Deliver a stream; what is refused queues behind what is new and holds nothing up.
 
@@ -182,16 +183,22 @@ def deliver_queued(
     after the next is there, so that it may be of any size and survives executors and
     restarts.  ``attempts`` and ``delivered`` tell what happened; records refused
     ``max_attempts`` times are ``dead_letters``.  When the stream has ended, ``queued`` is
-    what still waits, and ``drain`` sends it.
+    what still waits, and ``drain`` sends it.  Without new records there is no micro-batch;
+    with ``when_idle`` a clock beside the stream makes one every second, for the queue alone.
     """
     if concurrency is not None:
         require_concurrency(concurrency)
+    records = records.select("stream", "partition_key", "data", F.lit(False).alias("_tick"))
+    if when_idle:
+        clock = records.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load()
+        nothing = [F.lit(None).cast(records.schema[c].dataType).alias(c) for c in ("stream", "partition_key", "data")]
+        records = records.unionByName(clock.select(*nothing, F.lit(True).alias("_tick")))
 
     def send(batch: DataFrame, writer: str, batch_id: int) -> None:
         spark = batch.sparkSession
         before = _queue(spark, out, writer, batch_id - 1)
         key = F.coalesce("partition_key", F.lit("")).alias("partition_key")
-        fresh = batch.select("stream", key, "data", F.lit(1).alias("attempt"))
+        fresh = batch.where(~F.col("_tick")).select("stream", key, "data", F.lit(1).alias("attempt"))
         pending = fresh.unionByName(before.where(F.col("due") <= batch_id).drop("due"))
         if concurrency is not None:
             pending = pending.repartition(concurrency)

@@ -1,3 +1,4 @@
+import time
 from collections import Counter
 
 import pytest
@@ -512,3 +513,17 @@ def test_messages_are_counted_as_they_pass(spark, tmp_path):
 
     again.onQueryProgress(type("Event", (), {"progress": Progress}))
     assert again.total == 110
+
+
+def test_the_queue_is_sent_while_the_stream_is_idle(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    records(spark, [record("a", n, "k", n.encode()) for n in ("1", "5")]).coalesce(1).write.parquet(path)
+    stream = spark.readStream.schema(RECORD).parquet(path)
+    query = deliver.deliver_queued(stream, picky, out, ck, {"processingTime": "1 second"}, when_idle=True)
+    began = time.time()
+    while time.time() - began < 120 and not (files.exists(spark, f"{out}/commits") and deliver.delivered(spark, out).count() == 2):
+        time.sleep(1)
+    query.stop()
+    sent = deliver.attempts(spark, out).orderBy("partition_key", "attempt").where("n_bytes = 1").collect()
+    assert sorted((r.attempt, r.outcome) for r in sent) == [(1, "delivered"), (1, "failed"), (2, "failed"), (3, "delivered")]
+    assert len({r.batch_id for r in sent}) == 3
