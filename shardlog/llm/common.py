@@ -34,8 +34,7 @@ def lowest(df: DataFrame, sample: int, by: str, *ties: str) -> DataFrame:
     the number of rows or tasks. Equal hashes should be few.
     """
     n = df.count()
-    if n > sample:
-        wanted = 1.1 * sample + 50
-        most = int(min(1.0, wanted / n) * ((1 << 64) - 1)) - (1 << 63)
-        df = df.where(F.col(by) <= F.lit(most))
+    wanted = sample + sample // 10 + 50
+    if n > wanted:
+        df = df.where(F.col(by) <= F.lit(((1 << 64) - 1) * wanted // n - (1 << 63)))
     return df.orderBy(by, *ties).limit(sample)

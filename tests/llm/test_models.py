@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from shardlog.llm import additive, language
+from shardlog.llm.common import lowest
 from tests.llm.cases import awkward, documents
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
@@ -161,3 +162,11 @@ def test_scores_are_sums_of_table_entries():
         for k, (i, j) in enumerate(model.pairs):
             z += model.pair_tables[k][sum(c <= row[i] for c in model.coarse[i])][sum(c <= row[j] for c in model.coarse[j])]
         assert abs(got - 1 / (1 + np.exp(-z))) < 1e-9
+
+
+def test_lowest_hashes(spark):
+    df = spark.range(5000).selectExpr("id", "xxhash64(id) as h")
+    want = [r.id for r in df.orderBy("h").collect()]
+    for sample in (1, 10, 700, 4499, 4500, 4999, 5000, 6000):
+        assert [r.id for r in lowest(df, sample, "h").collect()] == want[:sample]
+    assert lowest(df.limit(0), 5, "h").count() == 0
