@@ -13,10 +13,11 @@ from shardlog.schema import (
     AT_TIMESTAMP,
     LATEST,
     POSITION_CODES,
+    SHARD_GROUP,
     SHARD_KEYS,
     TRIM_HORIZON,
 )
-from shardlog.sources.log import scan
+from shardlog.sources.log import scan_groups, with_group
 from shardlog.workdir import materialised
 
 
@@ -187,18 +188,18 @@ def read_log_from_positions(
     marks: DataFrame | None = None,
     keep_unlisted: bool = False,
 ) -> DataFrame:
-    """``read_from_positions`` on a stored log, which is partitioned by shard.
+    """``read_from_positions`` on a stored log, which is partitioned by groups of shards.
 
     Each kind of position has a scan of its own, so that a shard read from its
     start does not keep the bounds of the others from the Parquet filters.  The
-    filter on the kind makes Spark prune the partitions to the kind's shards when
-    the query runs, however many there are.  With ``keep_unlisted``, the shards of
-    the log that have no position are found first, by their names alone, and read
-    from their start in the same way.
+    filter on the kind makes Spark prune the partitions to the groups of the kind's
+    shards when the query runs, however many there are.  With ``keep_unlisted``, the
+    shards of the log that have no position are found first, by their names alone, and
+    read from their start in the same way.
     """
     if marks is not None:
         positions = resolve_latest(positions, marks)
-    records, (side, bounds) = scan(spark, path), _stored(positions)
+    records, (side, bounds) = scan_groups(spark, path), _stored(positions)
     if keep_unlisted:
         unlisted = records.select(*SHARD_KEYS).distinct().join(side, SHARD_KEYS, "left_anti")
         whole = unlisted.select(
@@ -208,9 +209,9 @@ def read_log_from_positions(
         bounds[TRIM_HORIZON] = F.lit(True)
     parts = [
         records.where(bound)
-        .join(side.where(F.col("_position") == kind), SHARD_KEYS)
+        .join(with_group(side.where(F.col("_position") == kind)), [*SHARD_KEYS, SHARD_GROUP])
         .where(_rule())
         .select(*records.columns)
         for kind, bound in sorted(bounds.items())
     ]
-    return reduce(DataFrame.unionByName, parts, records.where(F.lit(False)))
+    return reduce(DataFrame.unionByName, parts, records.where(F.lit(False))).drop(SHARD_GROUP)

@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 
 SHARD_KEYS = ["stream", "shard_id"]
 SEQUENCE_ORDER = ["sequence_len", "sequence_number"]
+SHARD_GROUP = "shard_group"  # the folder of a stored log in which a shard's records lie
+SHARD_GROUPS = 64
 
 RECORD = T.StructType(
     [

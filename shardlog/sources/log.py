@@ -1,19 +1,44 @@
-"""The stored log: a Parquet table partitioned by stream and shard."""
+"""The stored log: a Parquet table partitioned by stream and group of shards.
+
+A stream's shards are dealt out to a fixed number of folders by a checksum of their names,
+and files are sorted by shard and sequence number. So a batch makes at most one file for
+each of its tasks and one for each folder, however many shards there are; few shards have
+a folder each.
+"""
 
 import uuid
+import zlib
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shardlog.functions.message import append_terminator, value_text
-from shardlog.schema import RECORD, SEQUENCE_ORDER, SHARD_KEYS, require_stream
+from shardlog.schema import RECORD, SEQUENCE_ORDER, SHARD_GROUP, SHARD_GROUPS, require_stream
 from shardlog.sources.files import write_once
 
+_STORED = T.StructType([*RECORD.fields, T.StructField(SHARD_GROUP, T.IntegerType())])
+
+
+def shard_group(shard_id: str | Column = "shard_id") -> Column:
+    """The folder of a shard."""
+    return (F.crc32(shard_id) % SHARD_GROUPS).cast("int")
+
 
 def scan(spark: SparkSession, path: str) -> DataFrame:
     """All records of all shards in a stored log, whoever wrote them."""
-    return spark.read.schema(RECORD).parquet(path).select(*RECORD.names)
+    return scan_groups(spark, path).drop(SHARD_GROUP)
+
+
+def scan_groups(spark: SparkSession, path: str) -> DataFrame:
+    """The same with each record's folder: joins and filters on it, too, leave out other folders."""
+    return spark.read.schema(_STORED).parquet(path).select(*RECORD.names, SHARD_GROUP)
+
+
+def with_group(shards: DataFrame) -> DataFrame:
+    """Rows about shards, to be joined with ``scan_groups`` by ``SHARD_KEYS`` and ``SHARD_GROUP``."""
+    return shards.withColumn(SHARD_GROUP, shard_group())
 
 
 def scan_stream(
@@ -34,24 +59,31 @@ def scan_stream(
 def select_shards(
     records: DataFrame, stream: str, shards: Iterable[str] | None = None
 ) -> DataFrame:
-    """Records of one stream, optionally of some shards; prunes partitions of the log."""
+    """Records of one stream, optionally of some shards; of ``scan_groups`` only their folders are read."""
     require_stream(stream)
     chosen = records.where(F.col("stream") == stream)
     if shards is not None:
-        chosen = chosen.where(F.col("shard_id").isin(list(shards)))
+        names = list(shards)
+        chosen = chosen.where(F.col("shard_id").isin(names))
+        if SHARD_GROUP in records.columns:
+            chosen = chosen.where(F.col(SHARD_GROUP).isin([zlib.crc32(s.encode()) % SHARD_GROUPS for s in names]))
     return chosen
 
 
 def in_shard_order(records: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Range-partition by shard and sequence number, sorted inside each partition.
+    """Range-partition by folder, shard and sequence number, sorted inside each partition.
 
     The range boundaries fall inside large shards too, so one hot shard is spread
     over many consecutive partitions instead of landing in one.  Copies of one
     record are told apart by the input partition they come from, so that a record
     that was sent again and again is spread as well.
     """
-    order = [*SHARD_KEYS, *SEQUENCE_ORDER]
-    told_apart = records.withColumn("_from", F.spark_partition_id())
+    return _ordered(records, partitions).drop(SHARD_GROUP)
+
+
+def _ordered(records: DataFrame, partitions: int | None) -> DataFrame:
+    order = ["stream", SHARD_GROUP, "shard_id", *SEQUENCE_ORDER]
+    told_apart = with_group(records).withColumn("_from", F.spark_partition_id())
     ranged = (
         told_apart.repartitionByRange(partitions, *order, "_from")
         if partitions
@@ -69,7 +101,7 @@ def write_part(
     """
 
     def write(run: str) -> None:
-        in_shard_order(records, partitions).write.partitionBy(*SHARD_KEYS).parquet(run)
+        _ordered(records, partitions).write.partitionBy("stream", SHARD_GROUP).parquet(run)
 
     write_once(records.sparkSession, path, f"writer={writer}/batch_id={batch_id}", write)
 
@@ -79,7 +111,7 @@ def append_sync(
 ) -> None:
     """Append a batch to the log and wait until it is durable.
 
-    Sorting by shard and sequence number gives few files per shard and tight
+    Sorting by shard and sequence number gives few files and tight
     min/max statistics, which is what start positions are pruned with.  Any number
     of writers may append to one log.  A batch that may have to be written again
     needs its own ``writer`` and ``batch_id``; without them it is a new one.  Readers,

@@ -6,9 +6,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shardlog.functions.sequence import is_numbered, number_key
 from shardlog.operators.checkpoint import IDENTITY
-from shardlog.schema import SHARD_KEYS
+from shardlog.schema import SHARD_GROUP, SHARD_KEYS
 from shardlog.sources.files import exists
-from shardlog.sources.log import scan, write_part
+from shardlog.sources.log import scan, scan_groups, with_group, write_part
 from shardlog.streaming.writers import write_batches
 from shardlog.workdir import materialised
 
@@ -17,8 +17,8 @@ def held(spark: SparkSession, path: str, ranges: DataFrame) -> DataFrame:
     """Numbers that the log at ``path`` holds in ``ranges (stream, shard_id, n, least, greatest)``.
 
     The least and the greatest number of all ranges are literals, which reach the Parquet
-    filters; the join with the ranges prunes the log to their shards when the query runs,
-    and then to each shard's own range.
+    filters; the join with the ranges prunes the log to the folders of their shards when the
+    query runs, and then to each shard's own range.
     """
     ends = ranges.agg(F.min("least").alias("least"), F.max("greatest").alias("greatest")).first()  # two numbers
     if ends["least"] is None:
@@ -28,7 +28,8 @@ def held(spark: SparkSession, path: str, ranges: DataFrame) -> DataFrame:
     above = (length > least_len) | ((length == least_len) & (number >= least))
     below = (length < most_len) | ((length == most_len) & (number <= most))
     within = (number_key() >= F.col("least")) & (number_key() <= F.col("greatest"))
-    return scan(spark, path).where(above & below).join(ranges.where("n > 0"), SHARD_KEYS).where(within).select(*IDENTITY)
+    known = scan_groups(spark, path).where(above & below)
+    return known.join(with_group(ranges.where("n > 0")), [*SHARD_KEYS, SHARD_GROUP]).where(within).select(*IDENTITY)
 
 
 def not_held(spark: SparkSession, batch: DataFrame, path: str) -> DataFrame:

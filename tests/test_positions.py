@@ -16,8 +16,8 @@ from shardlog.operators.positions import (
     read_log_from_positions,
     start_at,
 )
-from shardlog.schema import AT_TIMESTAMP
-from shardlog.sources.log import append_sync, in_shard_order, scan, select_shards
+from shardlog.schema import AT_TIMESTAMP, SHARD_GROUPS
+from shardlog.sources.log import append_sync, in_shard_order, scan, scan_groups, select_shards
 from tests.util import (
     BIG,
     checkpoints,
@@ -180,6 +180,24 @@ def test_many_shards_prune_and_push_alike(spark, tmp_path):
     assert numbers(read_from_positions(records(spark, rows), positions(spark, start))) == numbers(read)
 
 
+def test_many_shards_share_few_folders(spark, tmp_path):
+    """Files are bounded by tasks and folders, not by shards, and stay sorted, so a shard's read is pruned."""
+    path = str(tmp_path / "log")
+    rows = [record(f"shard {s}", str(n), at=n) for s in range(1000) for n in range(5, 8)]
+    append_sync(records(spark, rows), path, partitions=4)
+    files = list((tmp_path / "log").rglob("part-*.parquet"))
+    assert len(files) <= 4 + SHARD_GROUPS
+    for file in files:
+        keys = [(r.shard_id, r.sequence_len, r.sequence_number) for r in spark.read.parquet(str(file)).collect()]
+        assert keys == sorted(keys)
+    start = positions(spark, [position(f"shard {s}", "AFTER_SEQUENCE_NUMBER", "5") for s in range(1000)])
+    assert read_log_from_positions(spark, path, start).count() == 2000
+    one = select_shards(scan_groups(spark, path), "s", ["shard 7"])
+    assert sorted(r.sequence_number for r in one.collect()) == ["5", "6", "7"]
+    assert len({f.rsplit("/", 2)[1] for f in one.inputFiles()}) == SHARD_GROUPS
+    assert one.select(F.input_file_name()).distinct().count() == 1 and "shard_group" in plan_of(one)
+
+
 def test_one_position_a_shard(spark):
     start = positions(spark, [position("a", "TRIM_HORIZON"), position("a", "AT_SEQUENCE_NUMBER", "9")])
     with pytest.raises(ValueError, match="more than one position"):
