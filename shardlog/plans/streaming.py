@@ -21,12 +21,13 @@ from shardlog.plans.reading import (
     shown,
 )
 from shardlog.plans.reading import ORACLES as READING_SQL
-from shardlog.schema import RECORD
 from shardlog.sources import log
+from shardlog.sources.files import exists, publish, remove
 from shardlog.streaming import append as sinks
 from shardlog.streaming import deliver, latest, listen, rates
 from shardlog.streaming.progress import MessageProgress
 from shardlog.streaming.replays import append_new
+from shardlog.streaming.writers import AT_ONCE
 from shardlog.workdir import materialised, work_dir
 
 DONE = {"availableNow": True}
@@ -105,10 +106,13 @@ def stream_progress(spark, sf):
     """The total that a listener has counted over two runs of a stream, and its progress lines."""
     base = work_dir(spark, "progress")
     lines = []
-    for _ in range(2):
-        records = _in_parts(spark, sf, f"{base}/source")  # in the second run as much again
+    for turn in range(2):  # in the second run as much again
         with MessageProgress(spark, f"{base}/ck", every=100, tell=lines.append) as seen:
-            listen.listen(seen.counted(records), parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE).awaitTermination()
+
+            def start(records):
+                return listen.listen(seen.counted(records), parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **AT_ONCE)
+
+            _in_parts(spark, sf, f"{base}/source", start, turn)
     return spark.createDataFrame([(seen.total, len(lines))], "n_messages long, n_lines long")
 
 
@@ -170,13 +174,29 @@ def stream_deliver_two_writers(spark, sf):
 PARTS = 8  # micro-batches that the queries on carried state make of the events
 
 
-def _in_parts(spark, sf, path):
-    """The events as a stream of ``PARTS`` micro-batches, one file each."""
+def _in_parts(spark, sf, path, start, turn=0):
+    """Lets a stream that ``start`` begins on its records read the events in ``PARTS`` micro-batches.
+
+    All parts are written at once, by as many tasks as read the events. They are shown to the
+    stream one after the other, each whole, when the one before has been read.
+    """
     records = tables.event_records(spark, sf)
-    for part in range(PARTS):
-        some = records.where(F.col("sequence_number").cast("long") % PARTS == part)
-        some.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(RECORD).option("maxFilesPerTrigger", 1).parquet(path)
+    staged = work_dir(spark, "parts")
+    part_of = F.col("sequence_number").cast("long") % PARTS
+    records.withColumn("part", part_of).write.partitionBy("part").parquet(staged)
+    query = None
+    try:
+        for part in range(PARTS):
+            run = f"{staged}/part={part}"
+            if not exists(spark, run):  # no event belongs here; its micro-batch is empty
+                records.where(F.lit(False)).write.parquet(run)
+            publish(spark, run, f"{path}/turn={turn}/part={part}")
+            query = query or start(log.scan_stream(spark, path))
+            query.processAllAvailable()
+    finally:
+        if query is not None:
+            query.stop()
+        remove(spark, staged)
 
 
 def refuse_five_times(request, attempt):
@@ -195,8 +215,7 @@ def stream_deliver_queue(spark, sf):
     """
     base = work_dir(spark, "queue")
     out = f"{base}/out"
-    records = _in_parts(spark, sf, f"{base}/source")
-    deliver.deliver_queued(records, refuse_five_times, out, f"{base}/ck", trigger=DONE).awaitTermination()
+    _in_parts(spark, sf, f"{base}/source", lambda records: deliver.deliver_queued(records, refuse_five_times, out, f"{base}/ck", trigger=AT_ONCE))
     waiting = deliver.queued(spark, out).groupBy("stream").agg(F.count(F.lit(1)).alias("n"))
     left = materialised(waiting.select("stream", F.lit(PARTS - 1).cast("long").alias("batch_id"), F.lit(None).cast("int").alias("attempt"),
                         F.lit("waiting").alias("outcome"), "n"), "waiting")
@@ -208,8 +227,8 @@ def stream_deliver_queue(spark, sf):
 def stream_admit_drained(spark, sf):
     """A buffer of 1,000 messages a shard, from which 100 are taken between micro-batches."""
     base = work_dir(spark, "admit-drained")
-    records = _in_parts(spark, sf, f"{base}/source")
-    listen.admit_stream(records, 1, f"{base}/out", f"{base}/ck", drained=100, trigger=DONE).awaitTermination()
+    out, ck = f"{base}/out", f"{base}/ck"
+    _in_parts(spark, sf, f"{base}/source", lambda records: listen.admit_stream(records, 1, out, ck, drained=100, trigger=AT_ONCE))
     kept = listen.admitted(spark, f"{base}/out").select(*KEYS, F.lit(None).alias("reason"))
     gone = listen.dropped(spark, f"{base}/out").select(*KEYS, "reason")
     return kept.unionByName(gone).withColumn("accepted", F.col("reason").isNull())

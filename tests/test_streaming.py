@@ -1,3 +1,4 @@
+import datetime as dt
 import time
 from collections import Counter
 
@@ -15,6 +16,7 @@ from shardlog.operators.consume import (
 )
 from shardlog.operators.delivery import delivery_counts, delivery_errors
 from shardlog.operators.quota import traffic
+from shardlog.plans import streaming, tables
 from shardlog.schema import RECORD, SHARD_KEYS
 from shardlog.sources import files
 from shardlog.sources.log import append_sync as store
@@ -527,3 +529,28 @@ def test_the_queue_is_sent_while_the_stream_is_idle(spark, tmp_path):
     sent = deliver.attempts(spark, out).orderBy("partition_key", "attempt").where("n_bytes = 1").collect()
     assert sorted((r.attempt, r.outcome) for r in sent) == [(1, "delivered"), (1, "failed"), (2, "failed"), (3, "delivered")]
     assert len({r.batch_id for r in sent}) == 3
+
+
+def test_events_in_parts_are_written_by_many_tasks(spark, tmp_path):
+    """Each part is one micro-batch of several files, however many wrote it; a part without events is an empty one."""
+    n = 8 * streaming.PARTS + 3
+    rows = [(i, dt.datetime(2024, 1, 1), i, "click", 1.0, "{}") for i in range(n) if i % streaming.PARTS != 2]
+    spark.createDataFrame(rows, tables.EVENTS).repartition(4).write.parquet(f"{tmp_path}/sf/events.parquet")
+    read = []
+
+    def start(records):
+        def save(batch, batch_id):
+            files = batch.select(F.input_file_name()).distinct().count()
+            read.append((batch_id, sorted(int(r.sequence_number) for r in batch.collect()), files))
+
+        return records.writeStream.foreachBatch(save).option("checkpointLocation", f"{tmp_path}/ck").start()
+
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")  # a task for each file
+    try:
+        for turn in range(2):
+            streaming._in_parts(spark, f"{tmp_path}/sf", f"{tmp_path}/source", start, turn)
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    parts = [sorted(r[0] for r in rows if r[0] % streaming.PARTS == p) for p in range(streaming.PARTS)]
+    assert [(b, numbers) for b, numbers, _ in read] == list(enumerate(parts * 2))
+    assert max(files for _, _, files in read) > 1
