@@ -265,7 +265,7 @@ def stream_scan_after_rerun(spark, sf):
 def stream_message_counts(spark, sf):
     """Counts over more than a hundred micro-batches, one file in each."""
     base = work_dir(spark, "counts")
-    log.append_sync(tables.event_records(spark, sf).repartition(110), f"{base}/source", partitions=110)
+    log.append_sync(tables.event_records(spark, sf), f"{base}/source", partitions=110)
     records = log.scan_stream(spark, f"{base}/source", max_files=1)
     listen.listen(records, parse_k_or_fail, "bigint", f"{base}/out", f"{base}/ck", **DONE).awaitTermination()
     return listen.handled_counts(spark, f"{base}/out")

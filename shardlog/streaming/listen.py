@@ -32,10 +32,14 @@ def listen(
     """Call ``fn`` with each payload and keep its outcomes, errors included, at ``path``.
 
     The default trigger fetches twice a second.  ``handled_counts`` tells how many
-    messages were handed over since the first start.
+    messages were handed over since the first start.  ``concurrency`` is the number of
+    tasks; without it a micro-batch is dealt out by its size, also when one file or one
+    partition of the source brings all of it.
     """
 
     def save(batch: DataFrame, writer: str, batch_id: int) -> None:
+        if concurrency is None:
+            batch = batch.select(*SHARD_KEYS, "sequence_number", "data").hint("rebalance")
         save_once(for_each_message(batch, fn, result_type, concurrency), path, writer, batch_id)
 
     return write_batches(observe_messages(records), save, checkpoint, trigger or READ_PACE)

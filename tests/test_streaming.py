@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import time
 from collections import Counter
 
@@ -554,3 +555,12 @@ def test_events_in_parts_are_written_by_many_tasks(spark, tmp_path):
     parts = [sorted(r[0] for r in rows if r[0] % streaming.PARTS == p) for p in range(streaming.PARTS)]
     assert [(b, numbers) for b, numbers, _ in read] == list(enumerate(parts * 2))
     assert max(files for _, _, files in read) > 1
+
+
+def test_one_large_file_is_handled_by_many_tasks(spark, tmp_path):
+    path, out, ck = (str(tmp_path / n) for n in ("log", "out", "ck"))
+    rows = [record("a", str(n), data=random.Random(n).randbytes(200_000)) for n in range(60)]
+    store(records(spark, rows), path, partitions=1)
+    listen.listen(scan_stream(spark, path, max_files=1), len, "int", out, ck, **DONE).awaitTermination()
+    assert [r.n_messages for r in listen.handled_counts(spark, out).collect()] == [60]
+    assert len(list((tmp_path / "out").rglob("part-*.parquet"))) > 1
