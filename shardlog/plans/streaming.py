@@ -56,7 +56,7 @@ def stream_append_two_writers(spark, sf):
 def stream_scan(spark, sf):
     """Read a stored log in several micro-batches and append it to another one."""
     base = work_dir(spark, "scan")
-    log.append_sync(tables.event_records(spark, sf), f"{base}/source", partitions=4)
+    log.append_sync(tables.event_records(spark, sf), f"{base}/source")
     records = log.scan_stream(spark, f"{base}/source", max_files=3)
     sinks.append_sync(records, f"{base}/log", f"{base}/ck")
     return shown(log.scan(spark, f"{base}/log"))
@@ -77,7 +77,7 @@ def stream_resume(spark, sf):
     records = tables.event_records(spark, sf)
     early = F.col("arrival_ts") < F.lit(CUT).cast("timestamp")
     for part in (records.where(early), records.where(~early)):
-        log.append_sync(part, f"{base}/source", partitions=2)
+        log.append_sync(part, f"{base}/source")
         stream = log.scan_stream(spark, f"{base}/source")
         sinks.append_sync(stream, f"{base}/log", f"{base}/ck")
     return shown(log.scan(spark, f"{base}/log"))
@@ -86,7 +86,7 @@ def stream_resume(spark, sf):
 def stream_drop_replays(spark, sf):
     base = work_dir(spark, "replays")
     delivered = replayed(tables.event_records(spark, sf), spark)
-    log.append_sync(delivered, f"{base}/source", partitions=2)
+    log.append_sync(delivered, f"{base}/source")
     records = drop_replays(log.scan_stream(spark, f"{base}/source", max_files=6))
     sinks.append_sync(records, f"{base}/log", f"{base}/ck")
     return shown(log.scan(spark, f"{base}/log"))
@@ -96,7 +96,7 @@ def stream_append_new(spark, sf):
     """Replays that come micro-batches later are looked for in the log that was written before."""
     base = work_dir(spark, "append-new")
     delivered = replayed(tables.event_records(spark, sf), spark)
-    log.append_sync(delivered, f"{base}/source", partitions=4)
+    log.append_sync(delivered, f"{base}/source")
     records = log.scan_stream(spark, f"{base}/source", max_files=3)
     append_new(records, f"{base}/log", f"{base}/ck", **DONE).awaitTermination()
     return shown(log.scan(spark, f"{base}/log"))
@@ -242,7 +242,7 @@ def stream_scan_after_rerun(spark, sf):
     first, second = records.where(even), records.where(~even)
 
     def write(batch_id, rows):
-        log.append_sync(rows, f"{base}/source", partitions=4, writer="w", batch_id=batch_id)
+        log.append_sync(rows, f"{base}/source", writer="w", batch_id=batch_id)
 
     write(0, first)
     query = sinks.append(log.scan_stream(spark, f"{base}/source"), f"{base}/log", f"{base}/ck")
@@ -311,7 +311,7 @@ def stream_deliver_bytes(spark, sf):
 
 def stream_write_rate(spark, sf):
     base = work_dir(spark, "rates")
-    log.append_sync(tables.event_records(spark, sf), f"{base}/source", partitions=4)
+    log.append_sync(tables.event_records(spark, sf), f"{base}/source")
     records = log.scan_stream(spark, f"{base}/source", max_files=3)
     rates.collect_traffic(records, f"{base}/out", f"{base}/ck", HOUR, **DONE).awaitTermination()
     over = rates.read_traffic(spark, f"{base}/out").where(F.col("n_records") > 8)

@@ -564,3 +564,13 @@ def test_one_large_file_is_handled_by_many_tasks(spark, tmp_path):
     listen.listen(scan_stream(spark, path, max_files=1), len, "int", out, ck, **DONE).awaitTermination()
     assert [r.n_messages for r in listen.handled_counts(spark, out).collect()] == [60]
     assert len(list((tmp_path / "out").rglob("part-*.parquet"))) > 1
+
+
+def test_replays_are_stored_by_as_many_tasks_as_there_are(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streaming, "work_dir", lambda _, name: f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert streaming.stream_drop_replays(spark, "/root/testdata/sf0.001").count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({f.name[:10] for f in (tmp_path / "replays" / "source").rglob("part-*.parquet")}) > 2
