@@ -8,6 +8,7 @@ made from the number of pieces of each length, a bounded table, and holds for an
 documents. Each piece finds its place from its rank among those of its length.
 """
 
+import codecs
 import json
 import re
 import struct
@@ -28,10 +29,12 @@ END = 2  # the id that closes a document
 REMEMBERED = 200_000  # parts of texts whose ids a task keeps in each of two generations
 AT_ONCE = 1 << 18  # characters of a text that are looked at together
 # fixed values: how the tokenizer divides a text; those of ASCII and western letters need no other step
-PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
+PARTS = re.compile(r" ?[A-Za-zªµºÀ-ÖØ-öø-ÿ]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\sA-Za-zªµºÀ-ÖØ-öø-ÿ0-9²³¹¼-¾]+|\s+(?!\S)|\s+")
 PLAIN = re.compile(r"[\t-\r -~¡-±´-¸º»¿-ÿ]*")
 # what a byte is shown as in the tokenizer's table
 SHOWN = {b: 256 + i for i, b in enumerate(HIDDEN)}
+BYTES = "".join(chr(SHOWN.get(b, b)) for b in range(256))
+PACK = [struct.Struct(f"<{n}I").pack for n in range(256)]
 BREAK = re.compile(r"(?<=[^\s]) (?=[^\s])")  # here a text can be cut, and its parts stay the same
 
 
@@ -57,8 +60,9 @@ class ByteTokenizer:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _part(self, part: str) -> bytes:
-        tokens = self.merges.tokenize(part.encode().decode("latin-1").translate(SHOWN))
-        return struct.pack(f"<{len(tokens)}I", *[t.id for t in tokens])
+        tokens = self.merges.tokenize(codecs.charmap_decode(part.encode(), "strict", BYTES)[0])
+        ids = [t.id for t in tokens]
+        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
     def _some(self, text: str) -> bytes:
         if PLAIN.fullmatch(text):

@@ -147,3 +147,10 @@ def test_another_tokenizer_is_used_as_it_is():
     path = public_tokenizers.path("word_bpe_49k.json")
     text = "One, two  three's\n4 Ünder"
     assert [*np.frombuffer(bestfit.ByteTokenizer(path).encode(text), "<u4")] == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_parts_of_odd_texts_are_those_of_the_tokenizer():
+    mine = bestfit.ByteTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["", " ", "  ", " a", "a ", "a  b", "a \nb", "a\n b", "x\n\ny z", "don't we'll 'tis ' d", "a\tb c", " 12 a3 ,b's"]
+    texts += ["é ü çx ª²", "\n", " \n ", "a.b, c!! d", "z" * 3000 + " " + "1" * 700, "ÿ" * 400]
+    assert [mine.encode(t) for t in texts] == [mine._whole(t) for t in texts]
